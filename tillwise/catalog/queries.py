@@ -43,7 +43,7 @@ def query(name: str):
 
 
 def star(raw: Inputs) -> intermediate.Star:
-    return intermediate.build_star(raw, *CALENDAR, load_time=LOAD_TIME, run_id=RUN)
+    return intermediate.Star(raw, *CALENDAR, load_time=LOAD_TIME, run_id=RUN)
 
 
 def calendar(raw: Inputs) -> DataFrame:
@@ -510,9 +510,8 @@ def _(raw):
 
 def inventory_status(raw: Inputs) -> DataFrame:
     s = star(raw)
-    day = F.date_format("snapshot_date", "yyyy-MM-dd")
     keyed = stock(raw).withColumns(
-        {"date_key": C.date_key("snapshot_date"), "inventory_key": C.surrogate_key(F.concat("product_id", "store_id", day))}
+        {"date_key": C.date_key("snapshot_date"), "inventory_key": C.surrogate_key(facts.INVENTORY_ID)}
     )
     return marts.mart_inventory_status(keyed, s.products, s.stores)
 

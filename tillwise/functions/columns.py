@@ -9,8 +9,6 @@ KEY_SPACE = 1_000_000_000
 # 2**32 modulo KEY_SPACE: folds the next 32 bits of the digest into the remainder.
 _FOLD = (1 << 32) % KEY_SPACE
 
-WHITESPACE = " \t\n\r\x0b\x0c"
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -21,19 +19,18 @@ def int_div(a: Column, b: Column | int) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
 
 
-def surrogate_key(c: Column | str) -> Column:
-    """MD5 of the text, read as a 128-bit integer, modulo 10^9.
+def surrogate_key(text: str) -> Column:
+    """MD5 of the text, read as a 128-bit integer, modulo 10^9. `text` is a SQL expression.
 
     The digest is folded 32 bits at a time, so every step stays inside a bigint.
     With n members about n^2 / (2 * 10^9) pairs collide: use it as an attribute,
     and join on the natural id or on `surrogate_key64`.
     """
-    digest = F.md5(_col(c).cast("string"))
-    key = F.lit(0).cast("bigint")
+    key = "0L"
     for i in range(4):
-        word = F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint")
-        key = (key * F.lit(_FOLD).cast("bigint") + word) % F.lit(KEY_SPACE)
-    return key
+        word = f"CAST(conv(substr(md5(CAST({text} AS STRING)), {1 + 8 * i}, 8), 16, 10) AS BIGINT)"
+        key = f"(({key} * {_FOLD}L + {word}) % {KEY_SPACE}L)"
+    return F.expr(key)
 
 
 def surrogate_key64(*cols: Column | str) -> Column:
@@ -43,24 +40,24 @@ def surrogate_key64(*cols: Column | str) -> Column:
 
 def date_key(c: Column | str) -> Column:
     """YYYYMMDD as an integer, null for null."""
-    d = _col(c).cast("date")
-    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint")
+    d = c if isinstance(c, str) else None
+    if d is not None:
+        return F.expr(f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS BIGINT)")
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("bigint")
 
 
-def strip(c: Column | str) -> Column:
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+def strip(text: str) -> str:
+    """SQL expression without white space at both ends."""
+    return f"btrim({text}, ' \\t\\n\\r')"
 
 
-def title_case(c: Column | str) -> Column:
+def title_case(text: str) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest.
 
     `initcap` starts words at spaces only, so it would give "Non-binary" for "non-binary".
     """
-    runs = F.regexp_extract_all(strip(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    cased = F.transform(
-        runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.right(x, F.length(x) - 1)))
-    )
-    return F.array_join(cased, "")
+    runs = f"regexp_extract_all({strip(text)}, r'(\\p{{L}}+|[^\\p{{L}}]+)', 1)"
+    return F.expr(f"array_join(transform({runs}, x -> concat(upper(left(x, 1)), lower(substr(x, 2)))), '')")
 
 
 def gbp(pence: Column | str) -> Column:
@@ -72,25 +69,28 @@ def pence(pounds: Column | str) -> Column:
     return F.round(_col(pounds) * 100).cast("bigint")
 
 
-def ratio(num: Column, den: Column, places: int, wide: bool = True, times: int = 1) -> Column:
+def ratio(num: Column | str, den: Column | str, places: int, wide: bool = True, times: int = 1) -> Column:
     """times * num / den rounded half away from zero, as double; null where den is 0 or null.
 
-    Works on integers, so the result does not depend on floating-point rounding.
-    `wide` uses decimals that hold any sum of bigints; without it bigint arithmetic
-    is used, which is faster and fits values of a single line.
+    Works on integers, so the result does not depend on floating-point rounding. `wide` uses
+    decimals that hold any sum of bigints; without it bigint arithmetic is used, which is faster
+    and fits the values of a single line. Text arguments are SQL expressions.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        kind = "DECIMAL(24,0)" if wide else "BIGINT"
+        n, d = f"CAST({num} AS {kind})", f"CAST({den} AS {kind})"
+        q = f"((abs({n}) * {2 * times * 10**places} + abs({d})) div nullif(abs({d}) * 2, 0))"
+        # No negative zero: -0.0 and 0.0 would be different values to a comparison by bits.
+        sign = f"CASE WHEN {q} <> 0 AND ({n} < 0) <> ({d} < 0) THEN -1D ELSE 1D END"
+        return F.expr(f"({sign}) * (CAST({q} AS DOUBLE) / {10**places}D)")
     kind = "decimal(24,0)" if wide else "bigint"
-    n, d = num.cast(kind), den.cast(kind)
-    scale = F.lit(2 * times * 10**places).cast("decimal(9,0)" if wide else "bigint")
-    two = F.lit(2).cast("decimal(1,0)" if wide else "bigint")
-    quotient = int_div(F.abs(n) * scale + F.abs(d), F.nullif(F.abs(d) * two, F.lit(0).cast(kind)))
-    sign = F.when((n < 0) != (d < 0), F.lit(-1.0)).otherwise(F.lit(1.0))
-    value = quotient.cast("double") / F.lit(float(10**places))
-    # No negative zero: -0.0 and 0.0 would be different values to a comparison by bits.
-    return F.when(quotient == 0, F.lit(0.0)).otherwise(sign * value)
+    n, d = _col(num).cast(kind), _col(den).cast(kind)
+    q = int_div(F.abs(n) * F.lit(2 * times * 10**places) + F.abs(d), F.nullif(F.abs(d) * 2, F.lit(0)))
+    sign = F.when((q != 0) & ((n < 0) != (d < 0)), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return sign * (q.cast("double") / F.lit(float(10**places)))
 
 
-def percent(num: Column, den: Column, places: int, wide: bool = True) -> Column:
+def percent(num: Column | str, den: Column | str, places: int, wide: bool = True) -> Column:
     return ratio(num, den, places, wide, times=100)
 
 
@@ -106,7 +106,7 @@ def mask_email(c: Column | str) -> Column:
 
 def postcode_district(c: Column | str) -> Column:
     """The outward part of a postcode: SW1 from 'SW1 4AB' or 'SW14AB'."""
-    return F.nullif(F.regexp_extract(strip(c), r"^([A-Za-z]{1,2}[0-9][A-Za-z0-9]?)\s*[0-9][A-Za-z]{2}$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.trim(_col(c)), r"^([A-Za-z]{1,2}[0-9][A-Za-z0-9]?)\s*[0-9][A-Za-z]{2}$", 1), F.lit(""))
 
 
 def to_utc(c: Column | str, zone: str | Column) -> Column:

@@ -11,6 +11,11 @@ from tillwise import model
 from tillwise.functions.columns import date_key, safe_divide, surrogate_key
 
 
+# Natural ids of the rows whose id has several parts, as SQL.
+INVENTORY_ID = "concat(product_id, store_id, date_format(snapshot_date, 'yyyy-MM-dd'))"
+SPEND_ID = "concat(campaign_id, date_format(date, 'yyyy-MM-dd'))"
+
+
 def _now(load_time: datetime | None) -> Column:
     return F.current_timestamp() if load_time is None else F.lit(load_time).cast("timestamp")
 
@@ -79,11 +84,10 @@ def build_fact_inventory(
     df: DataFrame, products: DataFrame, stores: DataFrame, run_id: str, load_time: datetime | None = None
 ) -> DataFrame:
     out = lookup(lookup(df, products, "product_id", "product_key"), stores, "store_id", "store_key")
-    day = F.date_format("snapshot_date", "yyyy-MM-dd")
     return out.withColumns(
         {
             "date_key": date_key("snapshot_date"),
-            "inventory_key": surrogate_key(F.concat("product_id", "store_id", day)),
+            "inventory_key": surrogate_key(INVENTORY_ID),
             "pipeline_run_id": F.lit(run_id),
             "created_at": _now(load_time),
         }
@@ -92,13 +96,12 @@ def build_fact_inventory(
 
 def build_fact_marketing(df: DataFrame, run_id: str, load_time: datetime | None = None) -> DataFrame:
     """Spend rows with keys and derived rates: click rate, cost per click (half-even pence), return on spend."""
-    day = F.date_format("date", "yyyy-MM-dd")
     cpc = F.coalesce(F.bround(safe_divide("spend_pence", "clicks"), 0), F.lit(0.0)).cast("bigint")
     return df.withColumns(
         {
             "date_key": date_key("date"),
             "campaign_key": surrogate_key("campaign_id"),
-            "spend_key": surrogate_key(F.concat("campaign_id", day)),
+            "spend_key": surrogate_key(SPEND_ID),
             "ctr": safe_divide("clicks", "impressions"),
             "cpc_pence": cpc,
             "roas": safe_divide("attributed_revenue_pence", "spend_pence"),

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import date, datetime
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import date_key, gbp, percent, ratio, safe_divide, surrogate_key
@@ -36,37 +36,44 @@ MEASURES = (
 )
 
 
-@dataclass
 class Star:
     """The frames enriched sales are made of: validated orders and lines, and current dimensions.
 
-    Joins use the natural ids: surrogate keys are 9 digits, so two of them may be equal in a
+    `raw` has the raw tables as attributes; a dimension is only planned when it is used.
+    Joins use the natural ids: surrogate keys have 9 digits, so two of them may be equal in a
     large dimension, and a join on them would then repeat lines.
     """
 
-    orders: DataFrame
-    lines: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    stores: DataFrame
-    dates: DataFrame
-    run_id: str = "run"
-
-
-def build_star(
-    raw, first_day: date = date(1990, 1, 1), last_day: date = date(2030, 12, 31),
-    load_time: datetime | None = None, run_id: str = "run",
-) -> Star:
-    """A star over raw inputs (anything with the raw tables as attributes)."""
-    spark: SparkSession = raw.spark
-    return Star(
-        raw.orders, raw.order_lines,
-        dims.transform_customers(raw.customers, load_time),
-        dims.transform_products(raw.products, load_time),
-        dims.transform_stores(raw.stores, load_time),
-        dims.build_dim_date(spark, first_day, last_day),
-        run_id,
-    )
+    def __init__(
+        self, raw, first_day: date = date(1990, 1, 1), last_day: date = date(2030, 12, 31),
+        load_time: datetime | None = None, run_id: str = "run",
+    ):
+        self.raw, self.load_time, self.run_id = raw, load_time, run_id
+        self.first_day, self.last_day = first_day, last_day
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.raw.orders
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self.raw.order_lines
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return dims.transform_customers(self.raw.customers, self.load_time)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return dims.transform_products(self.raw.products, self.load_time)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return dims.transform_stores(self.raw.stores, self.load_time)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return dims.build_dim_date(self.raw.spark, self.first_day, self.last_day)
 
 
 def _attributes(dim: DataFrame, columns: dict[str, str], natural: str) -> DataFrame:
@@ -96,10 +103,9 @@ def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "
 
     lines = star.lines.withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
     sales = lines.join(orders, "order_id", "left")
-    for part, dim, columns, natural in (
-        ("product", star.products, PRODUCT_COLUMNS, "product_id"), ("store", star.stores, STORE_COLUMNS, "store_id"),
-    ):
+    for part, columns, natural in (("product", PRODUCT_COLUMNS, "product_id"), ("store", STORE_COLUMNS, "store_id")):
         if part in parts:
+            dim = star.products if part == "product" else star.stores
             sales = sales.join(_attributes(dim, columns, natural), F.col(f"_{part}") == F.col("_id"), "left").drop("_id", f"_{part}")
         else:
             sales = sales.withColumnRenamed(f"_{part}", natural)
@@ -113,7 +119,7 @@ def enriched_columns(sales: DataFrame, run_id: str) -> DataFrame:
         {
             **money,
             "sale_key": surrogate_key("order_line_id"),
-            "gross_margin_pct": percent(F.col("gross_profit_pence"), F.col("net_revenue_pence"), 2, wide=False),
+            "gross_margin_pct": percent("gross_profit_pence", "net_revenue_pence", 2, wide=False),
             "revenue_per_unit": safe_divide(gbp("net_revenue_pence"), "units_sold"),
             "discount_pct": safe_divide(gbp("discount_pence"), gbp("gross_revenue_pence")) * 100,
             "return_date_key": date_key("return_date"),
@@ -222,7 +228,7 @@ def int_customer_orders(
         F.col("total_orders").cast("bigint").alias("total_orders"),
         F.col("units").cast("bigint").alias("total_units_purchased"),
         gbp("revenue").alias("total_revenue_gbp"),
-        ratio(F.col("revenue"), F.col("lines") * 100, 2).alias("avg_order_value_gbp"),
+        ratio("revenue", "lines * 100", 2).alias("avg_order_value_gbp"),
         gbp("profit").alias("total_profit_gbp"),
         *[F.col(c).cast("bigint").alias(c) for c in ("weekend_orders", "promo_orders", "online_orders", "instore_orders")],
         "top_category",

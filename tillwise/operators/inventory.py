@@ -30,7 +30,7 @@ def with_stock_status(inventory: DataFrame, policy: str = "reorder_point") -> Da
     return joined.withColumns(
         {
             "stock_status": rag_status(F.col("stock_on_hand"), F.col("reorder_point"), policy),
-            "days_of_stock_remaining": ratio(F.col("stock_on_hand") * F.col("_days"), F.col("_units"), 1),
+            "days_of_stock_remaining": ratio("stock_on_hand * _days", "_units", 1),
         }
     ).drop("_product", "_store", "_units", "_days")
 
@@ -81,6 +81,6 @@ def inventory_turnover(inventory: DataFrame) -> DataFrame:
     )
     return per_product.select(
         "product_id", F.col("units").cast("bigint").alias("units_sold"),
-        ratio(F.col("stock"), F.col("snapshots"), 2).alias("avg_stock"),
-        ratio(F.col("units") * F.col("snapshots"), F.col("stock"), 4).alias("turnover_rate"),
+        ratio("stock", "snapshots", 2).alias("avg_stock"),
+        ratio("units * snapshots", "stock", 4).alias("turnover_rate"),
     )

@@ -64,8 +64,8 @@ def daily_sales_kpis(star: Star, start_date: date) -> DataFrame:
         _big("orders").alias("total_orders"),
         _big("units").alias("total_units"),
         _big("customers").alias("unique_customers"),
-        ratio(F.col("revenue"), F.col("orders") * 100, 2).alias("avg_order_value_gbp"),
-        percent(F.col("profit"), F.col("revenue"), 2).alias("gross_margin_pct"),
+        ratio("revenue", "orders * 100", 2).alias("avg_order_value_gbp"),
+        percent("profit", "revenue", 2).alias("gross_margin_pct"),
         _big("returned_lines").alias("returned_lines"),
         gbp("returned_revenue").alias("returned_revenue_gbp"),
         gbp("online").alias("online_revenue_gbp"),
@@ -99,7 +99,7 @@ def with_comparisons(daily: DataFrame) -> DataFrame:
         {
             "revenue_growth_wow_pct": percent(now - week, week, 1),
             "revenue_growth_yoy_pct": percent(now - year, year, 1),
-            "orders_growth_wow_pct": percent(F.col("total_orders") - F.col("orders_wow"), F.col("orders_wow"), 1),
+            "orders_growth_wow_pct": percent("total_orders - orders_wow", "orders_wow", 1),
         }
     )
 
@@ -128,12 +128,12 @@ def store_months(star: Star) -> DataFrame:
         gbp("revenue").alias("revenue_gbp"),
         gbp("profit").alias("gross_profit_gbp"),
         gbp("discount").alias("discount_gbp"),
-        percent(F.col("profit"), F.col("revenue"), 2).alias("gross_margin_pct"),
+        percent("profit", "revenue", 2).alias("gross_margin_pct"),
         _big("orders").alias("total_orders"),
         _big("units").alias("total_units"),
         _big("customers").alias("unique_customers"),
-        ratio(F.col("revenue"), F.col("orders") * 100, 2).alias("avg_order_value_gbp"),
-        percent(F.col("returned"), F.col("lines"), 2).alias("return_rate_pct"),
+        ratio("revenue", "orders * 100", 2).alias("avg_order_value_gbp"),
+        percent("returned", "lines", 2).alias("return_rate_pct"),
         _big("revenue").alias("revenue_pence"),
     )
 
@@ -160,11 +160,11 @@ def product_weeks(star: Star) -> DataFrame:
         "order_year", "order_iso_year", "order_week",
         gbp("revenue").alias("revenue_gbp"),
         gbp("profit").alias("gross_profit_gbp"),
-        percent(F.col("profit"), F.col("revenue"), 2).alias("gross_margin_pct"),
+        percent("profit", "revenue", 2).alias("gross_margin_pct"),
         _big("units").alias("units_sold"),
         _big("orders").alias("orders_containing_product"),
         _big("customers").alias("unique_buyers"),
-        ratio(F.col("revenue"), F.col("units") * 100, 2).alias("avg_selling_price_gbp"),
+        ratio("revenue", "units * 100", 2).alias("avg_selling_price_gbp"),
         percent(list_price - F.col("revenue"), list_price, 1).alias("avg_discount_vs_rrp_pct"),
         gbp("online").alias("online_revenue_gbp"),
         gbp("instore").alias("instore_revenue_gbp"),
@@ -233,7 +233,7 @@ def mart_marketing_attribution(marketing: DataFrame, campaigns: DataFrame) -> Da
         gbp(spend).alias("total_spend_gbp"),
         F.col("impressions").alias("total_impressions"),
         F.col("clicks").alias("total_clicks"),
-        percent(F.col("clicks"), F.col("impressions"), 3).alias("ctr_pct"),
+        percent("clicks", "impressions", 3).alias("ctr_pct"),
         ratio(spend, F.col("clicks") * 100, 4).alias("avg_cpc_gbp"),
         gbp(revenue).alias("attributed_revenue_gbp"),
         orders.alias("attributed_orders"),

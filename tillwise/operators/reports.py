@@ -25,8 +25,8 @@ def daily_revenue(star: Star, as_of: date, days: int = 30) -> DataFrame:
         F.col("order_date").alias("full_date"), F.col("order_day_of_week").alias("day_of_week"), "is_weekend",
         F.col("orders").alias("total_orders"), F.col("units").cast("bigint").alias("total_units"),
         gbp("revenue").alias("net_revenue_gbp"), gbp("profit").alias("gross_profit_gbp"),
-        percent(F.col("profit"), F.col("revenue"), 1).alias("gross_margin_pct"),
-        ratio(F.col("revenue"), F.col("orders") * 100, 2).alias("avg_order_value_gbp"),
+        percent("profit", "revenue", 1).alias("gross_margin_pct"),
+        ratio("revenue", "orders * 100", 2).alias("avg_order_value_gbp"),
     ).orderBy(F.desc("full_date"))
 
 
@@ -49,7 +49,7 @@ def store_mtd_vs_prior(star: Star, as_of: date) -> DataFrame:
     return both.join(stores, F.col("store_id") == F.col("_id")).select(
         "store_id", "store_name", "region", "city", gbp("now").alias("revenue_gbp"), "orders",
         F.col("customers").alias("unique_customers"), gbp("before").alias("revenue_gbp_prior"),
-        percent(F.col("now") - F.col("before"), F.col("before"), 1).alias("mom_growth_pct"),
+        percent("now - before", "before", 1).alias("mom_growth_pct"),
     ).orderBy(F.desc("revenue_gbp"), "store_id")
 
 
@@ -72,7 +72,7 @@ def top_products(star: Star, as_of: date, days: int = 28, n: int = 10) -> DataFr
     totals = product_totals(star, _since(as_of, days))
     return totals.orderBy(F.desc("revenue"), "product_id").limit(n).select(
         "product_id", "product_name", "category", "subcategory", "units_sold", gbp("revenue").alias("revenue_gbp"),
-        gbp("profit").alias("profit_gbp"), percent(F.col("profit"), F.col("revenue"), 1).alias("margin_pct"),
+        gbp("profit").alias("profit_gbp"), percent("profit", "revenue", 1).alias("margin_pct"),
     )
 
 
@@ -88,10 +88,10 @@ def channel_attribution(marketing: DataFrame, campaigns: DataFrame, as_of: date,
     )
     return totals.select(
         "marketing_channel", "active_campaigns", "impressions", "clicks",
-        percent(F.col("clicks"), F.col("impressions"), 2).alias("ctr_pct"), gbp("spend_pence").alias("spend_gbp"),
+        percent("clicks", "impressions", 2).alias("ctr_pct"), gbp("spend_pence").alias("spend_gbp"),
         gbp("attributed_revenue_pence").alias("attributed_revenue_gbp"), "attributed_orders",
-        ratio(F.col("attributed_revenue_pence"), F.col("spend_pence"), 2).alias("roas"),
-        ratio(F.col("spend_pence"), F.col("attributed_orders") * 100, 2).alias("cost_per_order_gbp"),
+        ratio("attributed_revenue_pence", "spend_pence", 2).alias("roas"),
+        ratio("spend_pence", "attributed_orders * 100", 2).alias("cost_per_order_gbp"),
     ).orderBy(F.desc("attributed_revenue_gbp"))
 
 
@@ -120,7 +120,7 @@ def pipeline_health(run_log: DataFrame, as_of: date, days: int = 7) -> DataFrame
     """Runs of the last days with the share of quarantined records."""
     return run_log.filter(F.col("run_date") >= _since(as_of, days)).select(
         "run_date", "source_system", "status", "records_extracted", "records_loaded", "records_quarantined",
-        percent(F.col("records_quarantined"), F.col("records_extracted"), 2).alias("quarantine_rate_pct"),
+        percent("records_quarantined", "records_extracted", 2).alias("quarantine_rate_pct"),
         "duration_seconds", "error_message",
     ).orderBy(F.desc("run_date"), "source_system")
 
@@ -148,7 +148,7 @@ def kpi_cards(kpis: DataFrame, first: date, last: date) -> DataFrame:
         ratio(rev, F.col("total_orders_0") * 100, 2).alias("avg_order_value_gbp"),
         percent(F.col("profit_0"), rev, 2).alias("gross_margin_pct"),
         percent(rev - week, week, 1).alias("revenue_vs_last_week_pct"),
-        percent(F.col("total_orders_0") - F.col("total_orders_7"), F.col("total_orders_7"), 1).alias("orders_vs_last_week_pct"),
+        percent("total_orders_0 - total_orders_7", "total_orders_7", 1).alias("orders_vs_last_week_pct"),
         percent(rev - year, year, 1).alias("revenue_yoy_pct"),
     )
 
@@ -175,9 +175,9 @@ def store_table(star: Star, as_of: date) -> DataFrame:
     )
     return per_store.select(
         "store_id", "store_name", gbp("revenue").alias("revenue_gbp"), "orders",
-        ratio(F.col("revenue"), F.col("orders") * 100, 2).alias("aov_gbp"),
-        percent(F.col("profit"), F.col("revenue"), 2).alias("margin_pct"),
-        percent(F.col("revenue") - F.col("before"), F.col("before"), 1).alias("wow_pct"),
+        ratio("revenue", "orders * 100", 2).alias("aov_gbp"),
+        percent("profit", "revenue", 2).alias("margin_pct"),
+        percent("revenue - before", "before", 1).alias("wow_pct"),
     )
 
 
@@ -240,7 +240,7 @@ def spend_vs_revenue(attribution: DataFrame) -> DataFrame:
         F.sum("total_clicks").alias("clicks"), F.sum("total_impressions").alias("impressions"),
     ).select(
         "campaign_id", "marketing_channel", gbp("spend").alias("spend_gbp"), gbp("revenue").alias("revenue_gbp"), "orders",
-        ratio(F.col("revenue"), F.col("spend"), 2).alias("roas"), percent(F.col("clicks"), F.col("impressions"), 2).alias("ctr_pct"),
+        ratio("revenue", "spend", 2).alias("roas"), percent("clicks", "impressions", 2).alias("ctr_pct"),
     )
 
 
@@ -268,7 +268,7 @@ def filtered_kpis(sales: DataFrame) -> DataFrame:
     per_order = sales.groupBy("order_id").agg(F.sum("net_revenue_pence").alias("revenue"), F.sum("gross_profit_pence").alias("profit"), F.sum("units_sold").alias("units"))
     return per_order.agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"), F.sum("units").alias("units"), F.count("order_id").alias("orders")).select(
         gbp("revenue").alias("revenue_gbp"), F.col("orders").alias("total_orders"), F.col("units").cast("bigint").alias("total_units"),
-        ratio(F.col("revenue"), F.col("orders") * 100, 2).alias("avg_order_value_gbp"), percent(F.col("profit"), F.col("revenue"), 2).alias("gross_margin_pct"),
+        ratio("revenue", "orders * 100", 2).alias("avg_order_value_gbp"), percent("profit", "revenue", 2).alias("gross_margin_pct"),
     )
 
 

@@ -70,8 +70,8 @@ def mart_customer_rfm(customer_orders: DataFrame, recency: str = "best_high") ->
         "customer_id", "customer_region", "loyalty_tier", "acquisition_channel", "top_category", "first_purchase_date",
         "last_purchase_date", "days_since_last_purchase", "purchase_frequency", "total_orders", "total_revenue_gbp",
         "avg_order_value_gbp", "total_profit_gbp", "customer_age_days", "online_orders", "instore_orders",
-        percent(F.col("online_orders"), F.col("total_orders"), 1).alias("online_pct"),
-        percent(F.col("instore_orders"), F.col("total_orders"), 1).alias("instore_pct"),
+        percent("online_orders", "total_orders", 1).alias("online_pct"),
+        percent("instore_orders", "total_orders", 1).alias("instore_pct"),
         "r_score", "f_score", "m_score", "rfm_total_score", "rfm_segment", "segment_priority", "total_revenue_pence",
     )
 
@@ -107,7 +107,7 @@ def rfm_metrics(sales: DataFrame, as_of: date) -> DataFrame:
     ).select(
         "customer_id", "last_purchase_date", "first_purchase_date", "purchase_frequency", "total_orders",
         gbp("total_revenue_pence").alias("total_revenue_gbp"),
-        ratio(F.col("total_revenue_pence"), F.col("_lines") * 100, 2).alias("avg_order_value_gbp"),
+        ratio("total_revenue_pence", "_lines * 100", 2).alias("avg_order_value_gbp"),
         F.datediff(day, "last_purchase_date").cast("bigint").alias("days_since_last_purchase"),
         F.datediff(day, "first_purchase_date").cast("bigint").alias("customer_age_days"),
         "total_revenue_pence",
@@ -162,8 +162,8 @@ def segment_counts(rfm: DataFrame) -> DataFrame:
     total = per_segment.agg(F.sum("revenue").alias("_all"))
     return per_segment.crossJoin(F.broadcast(total)).select(
         "rfm_segment", "customers", gbp("revenue").alias("revenue_gbp"),
-        percent(F.col("revenue"), F.col("_all"), 1).alias("revenue_share_pct"),
-        ratio(F.col("aov"), F.col("customers") * 100, 2).alias("avg_aov_gbp"),
+        percent("revenue", "_all", 1).alias("revenue_share_pct"),
+        ratio("aov", "customers * 100", 2).alias("avg_aov_gbp"),
     )
 
 
@@ -193,8 +193,8 @@ def segment_distribution(customers: DataFrame) -> DataFrame:
     )
     return _with_total(per_segment).select(
         "rfm_segment", F.col("customers").alias("customer_count"),
-        percent(F.col("customers"), F.col("_all"), 1).alias("pct_of_base"),
-        ratio(F.col("ltv"), F.col("known") * 100, 2).alias("avg_ltv_gbp"), gbp("ltv").alias("total_ltv_gbp"),
+        percent("customers", "_all", 1).alias("pct_of_base"),
+        ratio("ltv", "known * 100", 2).alias("avg_ltv_gbp"), gbp("ltv").alias("total_ltv_gbp"),
     ).orderBy(F.desc("total_ltv_gbp"))
 
 

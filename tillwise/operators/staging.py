@@ -54,7 +54,7 @@ def _staged(df: DataFrame, table: str, key: str, current_only: bool) -> DataFram
         elif c.endswith("_gbp") and from_pence in df.columns:
             out.append(gbp(from_pence).alias(c))
         elif c == "gross_margin_pct":
-            out.append(percent(F.col("gross_profit_pence"), F.col("net_revenue_pence"), 2, wide=False).alias(c))
+            out.append(percent("gross_profit_pence", "net_revenue_pence", 2, wide=False).alias(c))
     return rows.select(*out)
 
 

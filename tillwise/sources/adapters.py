@@ -5,228 +5,205 @@ Attributes the tables lack follow fixed integer rules, so any engine derives the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillwise.functions.columns import int_div, pence
+_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table. Its schema is read from the file once and then given."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _id(prefix: str, c: str | Column) -> Column:
-    return F.concat(F.lit(f"{prefix}-"), (F.col(c) if isinstance(c, str) else c).cast("string"))
+def _pence(pounds: str) -> str:
+    return f"CAST(round({pounds} * 100) AS BIGINT)"
 
 
-def _choice(c: Column, *values: str) -> Column:
-    """values[i] for c = i; the last value for anything else."""
-    out = F.when(c == 0, values[0])
-    for i, value in enumerate(values[1:-1], start=1):
-        out = out.when(c == i, value)
-    return out.otherwise(values[-1])
-
-
-def _day(base: str, offset: Column) -> Column:
-    return F.date_add(F.lit(base).cast("date"), offset.cast("int"))
+def _choice(value: str, *names: str) -> str:
+    """SQL for names[i] where value = i; the last name for anything else."""
+    cases = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names[:-1]))
+    return f"CASE {value} {cases} ELSE '{names[-1]}' END"
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation")
-    region = table(spark, folder, "region")
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    k, balance = F.col("c_custkey"), F.col("c_acctbal")
-    tier = F.when(balance < 3000, "bronze").when(balance < 6500, "silver").when(balance < 9000, "gold")
     customer = table(spark, folder, "customer")
-    return customer.join(_places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        _id("CUS", "c_custkey").alias("customer_id"),
-        F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")).alias("email"),
-        _choice(k % 6, "18-24", "25-34", "35-44", "45-54", "55-64", "65+").alias("age_band"),
-        _choice(k % 4, "female", "MALE", " non-binary ", "prefer not to say").alias("gender"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("acquisition_channel"),
-        _day("1995-01-01", k % 2400).alias("acquisition_date"),
-        tier.otherwise("platinum").alias("loyalty_tier"),
+    return customer.join(_places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+        "concat('CUS-', c_custkey) AS customer_id",
+        "concat('user', c_custkey, '@example.com') AS email",
+        _choice("c_custkey % 6", "18-24", "25-34", "35-44", "45-54", "55-64", "65+") + " AS age_band",
+        _choice("c_custkey % 4", "female", "MALE", " non-binary ", "prefer not to say") + " AS gender",
+        "n_name AS city",
+        "r_name AS region",
+        "c_mktsegment AS acquisition_channel",
+        "date_add(DATE'1995-01-01', CAST(c_custkey % 2400 AS INT)) AS acquisition_date",
+        "CASE WHEN c_acctbal < 3000 THEN 'bronze' WHEN c_acctbal < 6500 THEN 'silver' "
+        "WHEN c_acctbal < 9000 THEN 'gold' ELSE 'platinum' END AS loyalty_tier",
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    k, rrp = F.col("p_partkey"), pence("p_retailprice")
-    return table(spark, folder, "part").select(
-        _id("SKU", "p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        F.col("p_brand").alias("brand"),
-        _id("SUP", k % 30).alias("supplier_id"),
-        int_div(rrp * 40, 100).alias("cost_price_pence"),
-        rrp.alias("rrp_pence"),
-        (k % 20 != 0).alias("is_active"),
-        _day("1994-01-01", k % 365).alias("launch_date"),
+    rrp = _pence("p_retailprice")
+    return table(spark, folder, "part").selectExpr(
+        "concat('SKU-', p_partkey) AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "p_brand AS subcategory",
+        "p_brand AS brand",
+        "concat('SUP-', p_partkey % 30) AS supplier_id",
+        f"({rrp} * 40) div 100 AS cost_price_pence",
+        f"{rrp} AS rrp_pence",
+        "p_partkey % 20 <> 0 AS is_active",
+        "date_add(DATE'1994-01-01', CAST(p_partkey % 365 AS INT)) AS launch_date",
     )
 
 
 def raw_stores(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("s_suppkey")
     supplier = table(spark, folder, "supplier")
-    return supplier.join(_places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        _id("STR", "s_suppkey").alias("store_id"),
-        F.col("s_name").alias("store_name"),
-        F.when(k % 5 == 0, "Online").otherwise("Physical").alias("store_type"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("region"),
-        F.lit(None).cast("string").alias("postcode"),
-        _day("1990-01-01", k % 1500).alias("opening_date"),
-        F.lit(True).alias("is_active"),
+    return supplier.join(_places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        "concat('STR-', s_suppkey) AS store_id",
+        "s_name AS store_name",
+        "CASE WHEN s_suppkey % 5 = 0 THEN 'Online' ELSE 'Physical' END AS store_type",
+        "n_name AS city",
+        "r_name AS region",
+        "CAST(NULL AS STRING) AS postcode",
+        "date_add(DATE'1990-01-01', CAST(s_suppkey % 1500 AS INT)) AS opening_date",
+        "true AS is_active",
     )
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    k, priority = F.col("o_orderkey"), F.col("o_orderpriority")
-    channel = (
-        F.when(priority == "1-URGENT", "Online").when(priority == "2-HIGH", "In-Store")
-        .when(priority == "3-MEDIUM", "App").when(priority == "5-LOW", "Wholesale").otherwise("Kiosk")
-    )
-    return table(spark, folder, "orders").select(
-        _id("ORD", "o_orderkey").alias("order_id"),
-        _id("CUS", "o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        channel.alias("channel"),
-        F.when(k % 5 < 2, _id("CAM", k % 100)).alias("campaign_id"),
-        pence("o_totalprice").alias("order_total_pence"),
-        F.lit("POS").alias("source_system"),
+    return table(spark, folder, "orders").selectExpr(
+        "concat('ORD-', o_orderkey) AS order_id",
+        "concat('CUS-', o_custkey) AS customer_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'Online' WHEN '2-HIGH' THEN 'In-Store' WHEN '3-MEDIUM' THEN 'App' "
+        "WHEN '5-LOW' THEN 'Wholesale' ELSE 'Kiosk' END AS channel",
+        "CASE WHEN o_orderkey % 5 < 2 THEN concat('CAM-', o_orderkey % 100) END AS campaign_id",
+        _pence("o_totalprice") + " AS order_total_pence",
+        "'POS' AS source_system",
     )
 
 
 def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    gross = pence("l_extendedprice")
-    rate = F.round(F.col("l_discount") * 100).cast("bigint")
-    returned = F.col("l_returnflag") == "R"
-    priced = table(spark, folder, "lineitem").withColumns(
-        {"gross": gross, "discount": int_div(gross * rate, 100),
-         "cogs": int_div(gross * (F.lit(40) + F.col("l_partkey") % 30), 100)}
-    )
-    net = F.col("gross") - F.col("discount")
-    return priced.select(
-        F.concat(_id("ORD", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_line_id"),
-        _id("ORD", "l_orderkey").alias("order_id"),
-        _id("SKU", "l_partkey").alias("product_id"),
-        _id("STR", "l_suppkey").alias("store_id"),
-        F.col("l_quantity").cast("bigint").alias("units_sold"),
-        F.col("gross").alias("gross_revenue_pence"),
-        F.col("discount").alias("discount_pence"),
-        net.alias("net_revenue_pence"),
-        F.col("cogs").alias("cost_of_goods_pence"),
-        (net - F.col("cogs")).alias("gross_profit_pence"),
-        returned.alias("is_returned"),
-        F.when(returned, F.col("l_shipdate").cast("date")).alias("return_date"),
+    gross = _pence("l_extendedprice")
+    discount = f"(({gross} * CAST(round(l_discount * 100) AS BIGINT)) div 100)"
+    cost = f"(({gross} * (40 + l_partkey % 30)) div 100)"
+    return table(spark, folder, "lineitem").selectExpr(
+        "concat('ORD-', l_orderkey, '-', l_linenumber) AS order_line_id",
+        "concat('ORD-', l_orderkey) AS order_id",
+        "concat('SKU-', l_partkey) AS product_id",
+        "concat('STR-', l_suppkey) AS store_id",
+        "CAST(l_quantity AS BIGINT) AS units_sold",
+        f"{gross} AS gross_revenue_pence",
+        f"{discount} AS discount_pence",
+        f"{gross} - {discount} AS net_revenue_pence",
+        f"{cost} AS cost_of_goods_pence",
+        f"{gross} - {discount} - {cost} AS gross_profit_pence",
+        "l_returnflag = 'R' AS is_returned",
+        "CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS DATE) END AS return_date",
     )
 
 
 def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Stock snapshots; status and days of stock are derived by the inventory operators."""
-    part, store = F.col("l_partkey"), F.col("l_suppkey")
-    reorder = F.lit(10) + part % 31
     return (
         table(spark, folder, "lineitem")
-        .groupBy("l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("snapshot_date"))
-        .agg(F.max("l_linenumber").alias("line"), F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
-        .select(
+        .groupBy("l_partkey", "l_suppkey", F.expr("CAST(l_shipdate AS DATE)").alias("snapshot_date"))
+        .agg(F.max("l_linenumber").alias("line"), F.expr("sum(CAST(l_quantity AS BIGINT))").alias("units"))
+        .selectExpr(
             "snapshot_date",
-            _id("SKU", "l_partkey").alias("product_id"),
-            _id("STR", "l_suppkey").alias("store_id"),
-            ((part * 7 + store * 13 + F.col("line") * 29) % 201).cast("bigint").alias("stock_on_hand"),
-            F.lit(0).cast("bigint").alias("units_received"),
-            F.col("units").cast("bigint").alias("units_sold"),
-            F.lit(0).cast("bigint").alias("units_returned"),
-            reorder.cast("bigint").alias("reorder_point"),
-            (reorder * 3).cast("bigint").alias("reorder_quantity"),
-            F.lit("WMS").alias("source_system"),
+            "concat('SKU-', l_partkey) AS product_id",
+            "concat('STR-', l_suppkey) AS store_id",
+            "CAST((l_partkey * 7 + l_suppkey * 13 + line * 29) % 201 AS BIGINT) AS stock_on_hand",
+            "0L AS units_received",
+            "units AS units_sold",
+            "0L AS units_returned",
+            "CAST(10 + l_partkey % 31 AS BIGINT) AS reorder_point",
+            "CAST(3 * (10 + l_partkey % 31) AS BIGINT) AS reorder_quantity",
+            "'WMS' AS source_system",
         )
     )
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint")
-    )
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
 
 def raw_marketing(spark: SparkSession, folder: str) -> DataFrame:
-    is_type = lambda name: F.col("event_type") == name
-    count = lambda name: F.count_if(is_type(name)).cast("bigint")
-    total = lambda name: F.coalesce(F.sum(F.when(is_type(name), pence("value"))), F.lit(0)).cast("bigint")
-    channel = _choice(F.col("k") % 3, "Paid Search", "Paid Social", "Email")
+    keyed = table(spark, folder, "events").selectExpr(
+        f"concat('CAM-', {_K}) AS campaign_id",
+        _choice(f"{_K} % 3", "Paid Search", "Paid Social", "Email") + " AS channel",
+        "CAST(ts AS DATE) AS date", "event_type", "value",
+    )
+    total = f"CAST(coalesce(sum({_pence('value')}) FILTER (WHERE event_type = '%s'), 0) AS BIGINT)"
     return (
-        _events(spark, folder)
-        .groupBy(_id("CAM", "k").alias("campaign_id"), channel.alias("channel"), F.col("ts").cast("date").alias("date"))
+        keyed.groupBy("campaign_id", "channel", "date")
         .agg(
-            total("view").alias("spend_pence"),
-            (F.count(F.lit(1)) * 20).cast("bigint").alias("impressions"),
-            count("click").alias("clicks"),
-            count("purchase").alias("attributed_orders"),
-            total("purchase").alias("attributed_revenue_pence"),
+            F.expr(total % "view").alias("spend_pence"),
+            F.expr("count(*) * 20").alias("impressions"),
+            F.expr("count_if(event_type = 'click')").alias("clicks"),
+            F.expr("count_if(event_type = 'purchase')").alias("attributed_orders"),
+            F.expr(total % "purchase").alias("attributed_revenue_pence"),
         )
-        .withColumn("source_system", F.upper(F.replace(F.col("channel"), F.lit(" "), F.lit("_"))))
+        .withColumn("source_system", F.expr("upper(replace(channel, ' ', '_'))"))
     )
 
 
 def raw_touches(spark: SparkSession, folder: str) -> DataFrame:
-    channel = _choice(F.col("k") % 5, "Paid Search", "Paid Social", "Email", "Organic Search", "Direct")
-    return _events(spark, folder).filter(F.col("event_type").isin("click", "view")).select(
-        F.col("event_id").alias("touch_id"), _id("CUS", "user_id").alias("customer_id"), "ts", channel.alias("channel")
+    channel = _choice(f"{_K} % 5", "Paid Search", "Paid Social", "Email", "Organic Search", "Direct")
+    return table(spark, folder, "events").filter("event_type IN ('click', 'view')").selectExpr(
+        "event_id AS touch_id", "concat('CUS-', user_id) AS customer_id", "ts", f"{channel} AS channel"
     )
 
 
 def raw_conversions(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder).filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("conversion_id"), _id("CUS", "user_id").alias("customer_id"), "ts",
-        pence("value").alias("revenue_pence"),
+    return table(spark, folder, "events").filter("event_type = 'purchase'").selectExpr(
+        "event_id AS conversion_id", "concat('CUS-', user_id) AS customer_id", "ts", _pence("value") + " AS revenue_pence"
     )
 
 
 # --- the same inputs with faults, for the validation checks ---------------------------------
 
-def _every(c: str, n: int) -> Column:
-    return F.col(c) % n == 0
+_NUMBER = "CAST(regexp_extract(%s, '([0-9]+)$', 1) AS BIGINT) AS %s"
 
 
 def faulty_orders(spark: SparkSession, folder: str) -> DataFrame:
     """All orders, some with missing or wrong values, some twice. order_date is text."""
-    base = raw_orders(spark, folder)
-    keyed = base.withColumn("k", F.regexp_extract("order_id", r"(\d+)$", 1).cast("bigint"))
-    damaged = keyed.select(
-        F.when(~_every("k", 97), F.col("order_id")).alias("order_id"),
-        F.when(~_every("k", 101), F.col("customer_id")).alias("customer_id"),
-        F.when(~_every("k", 103), _id("STR", F.col("k") % 100)).alias("store_id"),
-        F.when(_every("k", 73), F.lit("not-a-date"))
-        .when(~_every("k", 109), F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
-        "channel", "campaign_id",
-        F.when(_every("k", 83), F.lit(-500)).when(~_every("k", 79), F.col("order_total_pence"))
-        .cast("bigint").alias("order_total_pence"),
-        "source_system",
-        F.explode(F.sequence(F.lit(1), F.when(_every("k", 89), F.lit(2)).otherwise(F.lit(1)))).alias("copy"),
+    return (
+        raw_orders(spark, folder)
+        .selectExpr("*", _NUMBER % ("order_id", "k"))
+        .selectExpr(
+            "CASE WHEN k % 97 <> 0 THEN order_id END AS order_id",
+            "CASE WHEN k % 101 <> 0 THEN customer_id END AS customer_id",
+            "CASE WHEN k % 103 <> 0 THEN concat('STR-', k % 100) END AS store_id",
+            "CASE WHEN k % 73 = 0 THEN 'not-a-date' WHEN k % 109 <> 0 THEN date_format(order_date, 'yyyy-MM-dd') END AS order_date",
+            "channel", "campaign_id",
+            "CASE WHEN k % 83 = 0 THEN -500L WHEN k % 79 <> 0 THEN order_total_pence END AS order_total_pence",
+            "source_system",
+            "explode(sequence(1, CASE WHEN k % 89 = 0 THEN 2 ELSE 1 END)) AS copy",
+        )
+        .drop("copy")
     )
-    return damaged.drop("copy")
 
 
 def faulty_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     base = raw_order_lines(spark, folder)
-    keyed = base.withColumns(
-        {"ok": F.regexp_extract("order_id", r"(\d+)$", 1).cast("bigint"),
-         "pk": F.regexp_extract("product_id", r"(\d+)$", 1).cast("bigint")}
-    )
-    return keyed.select(
-        F.when(~_every("ok", 107), F.col("order_line_id")).alias("order_line_id"),
-        F.when(_every("ok", 71), F.lit("ORD-X")).when(~_every("ok", 97), F.col("order_id")).alias("order_id"),
-        F.when(_every("pk", 67), F.lit("SKU-X")).when(~_every("pk", 113), F.col("product_id")).alias("product_id"),
-        "store_id",
-        F.when(_every("pk", 61), F.lit(0)).otherwise(F.col("units_sold")).cast("bigint").alias("units_sold"),
-        *[c for c in base.columns if c not in ("order_line_id", "order_id", "product_id", "store_id", "units_sold")],
+    changed = ("order_line_id", "order_id", "product_id", "units_sold")
+    return base.selectExpr("*", _NUMBER % ("order_id", "ok"), _NUMBER % ("product_id", "pk")).selectExpr(
+        "CASE WHEN ok % 107 <> 0 THEN order_line_id END AS order_line_id",
+        "CASE WHEN ok % 71 = 0 THEN 'ORD-X' WHEN ok % 97 <> 0 THEN order_id END AS order_id",
+        "CASE WHEN pk % 67 = 0 THEN 'SKU-X' WHEN pk % 113 <> 0 THEN product_id END AS product_id",
+        "CASE WHEN pk % 61 = 0 THEN 0L ELSE units_sold END AS units_sold",
+        *[c for c in base.columns if c not in changed],
     )
 
 
