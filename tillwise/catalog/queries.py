@@ -31,10 +31,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+_inputs: dict[tuple[str, str], Inputs] = {}
+
+
+def inputs(spark: SparkSession, folder: str) -> Inputs:
+    """The plans over a folder's tables, shared by the queries of one application. No rows are kept."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _inputs:
+        _inputs[key] = Inputs(spark, folder)
+    return _inputs[key]
+
+
 def query(name: str):
     def register(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Inputs(tune(spark), folder))
+            return fn(inputs(tune(spark), folder))
 
         QUERIES[name] = run
         return fn
@@ -43,7 +54,9 @@ def query(name: str):
 
 
 def star(raw: Inputs) -> intermediate.Star:
-    return intermediate.Star(raw, *CALENDAR, load_time=LOAD_TIME, run_id=RUN)
+    if "planned_star" not in vars(raw):
+        raw.planned_star = intermediate.Star(raw, *CALENDAR, load_time=LOAD_TIME, run_id=RUN)
+    return raw.planned_star
 
 
 def calendar(raw: Inputs) -> DataFrame:

@@ -16,13 +16,18 @@ from tillwise.functions.scale import null_safe_join, running_counts, stage
 DIRECT_ROWS = 1_000_000
 
 
-def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """`rank()` per group by `value` descending, for groups of any size.
 
-    Rows with the same value share a rank, so only distinct values are numbered; the rows
-    get their rank back by an equi-join, whose hot keys Spark splits at run time.
+    The input is written once and counted. Up to `direct_rows` rows no group can be too large for
+    one task and a plain window ranks them. Beyond, only distinct values are numbered (rows with
+    the same value share a rank), and the rows get their rank back by an equi-join, whose hot
+    keys Spark splits at run time.
     """
     staged = stage(df, "rank-input")
+    if staged.count() <= direct_rows:
+        place = F.rank().over(Window.partitionBy(*group).orderBy(F.desc(value)))
+        return staged.withColumn(name, place.cast("bigint"))
     counts = staged.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_counts(counts, group, value, "_n").select(
         *[F.col(c).alias(f"_{c}") for c in [*group, value]], (F.col("before") + 1).cast("bigint").alias(name)
@@ -62,9 +67,11 @@ class Scorer:
         self.df, self.id_col, self.tie_key, self.direct_rows = df, id_col, tie_key, direct_rows
         self.rows = df.count()
 
+    def _order_sql(self, metric: str) -> str:
+        return f"CAST(CAST({metric} AS DECIMAL(20,0)) * {KEY_SPACE}BD + CAST({self.tie_key} AS DECIMAL(10,0)) AS DECIMAL(38,0))"
+
     def _order(self, metric: str) -> Column:
-        base = F.col(metric).cast("decimal(20,0)") * F.lit(KEY_SPACE).cast("decimal(10,0)")
-        return (base + F.col(self.tie_key).cast("decimal(10,0)")).cast("decimal(38,0)")
+        return F.expr(self._order_sql(metric))
 
     def cuts(self, targets: dict[str, list[int]]) -> dict[str, list[Cut | None]]:
         """Rows at the given ranks, per metric. Rank 0 (an empty first tile) gives None."""
@@ -141,12 +148,11 @@ class Scorer:
 
     def tile(self, metric: str, cuts: list[Cut | None]) -> Column:
         """1 + number of boundaries the row lies beyond."""
-        order, out = self._order(metric), F.lit(1)
+        order, terms = self._order_sql(metric), ["1"]
         for cut in cuts:
             if cut is None:
-                out = out + F.lit(1)
+                terms.append("1")
                 continue
-            at = F.lit(cut.value).cast("decimal(38,0)")
-            beyond = (order > at) | ((order == at) & (F.col(self.id_col) > F.lit(cut.id)))
-            out = out + beyond.cast("int")
-        return out
+            name = cut.id.replace("\\", "\\\\").replace("'", "\\'")
+            terms.append(f"CAST({order} > {cut.value}BD OR ({order} = {cut.value}BD AND {self.id_col} > '{name}') AS INT)")
+        return F.expr(" + ".join(terms))

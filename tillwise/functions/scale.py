@@ -30,6 +30,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/tillwise/{name}-{uuid.uuid4().hex}"
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer tasks than there are cores, such as one small file.
+
+    A row group is never split, so a single-row-group file would keep all work up to the first
+    shuffle in one task. Scans with enough tasks are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the written table.
 
@@ -48,9 +58,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) ->
     At most rows / limit keys can qualify, so the table is small enough to broadcast:
     10^12 rows give at most 10^6 keys.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    hot = stage(counts.select(*keys), "hot-keys")
-    return hot if hot.take(1) else None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > limit).select(*keys)
+    return stage(hot, "hot-keys") if hot.take(1) else None
 
 
 def mark_first(

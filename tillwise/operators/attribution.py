@@ -7,8 +7,8 @@ both would otherwise produce their product. Instead
 
 * touches of earlier days are counted per customer, day and channel, and each count is sent to
   the 30 following days (a fixed factor);
-* touches of the same day but earlier hours are running counts over at most 24 hourly rows;
-* touches of the same hour are running counts inside that hour.
+* touches of the same day but earlier minutes are running counts over at most 1440 rows;
+* touches of the same minute are running counts inside that minute.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.columns import gbp, int_div, ratio
+from tillwise.functions.columns import gbp, ratio
 from tillwise.model import TOUCH_CHANNELS
 
 WINDOW_DAYS = 30
@@ -28,10 +28,14 @@ N = [f"n{i}" for i in range(len(TOUCH_CHANNELS))]
 W = [f"w{i}" for i in range(len(TOUCH_CHANNELS))]
 
 
-def decay_weight(age_days: Column) -> Column:
+def decay_weight(age_days: str) -> Column:
     """Weight of a touch by its age in days, halved every HALF_LIFE_DAYS, as an integer."""
-    table = [round(WEIGHT_UNIT * 0.5 ** (d / HALF_LIFE_DAYS)) for d in range(WINDOW_DAYS + 1)]
-    return F.element_at(F.array(*[F.lit(w) for w in table]), (age_days + 1).cast("int")).cast("bigint")
+    table = ", ".join(str(round(WEIGHT_UNIT * 0.5 ** (d / HALF_LIFE_DAYS))) for d in range(WINDOW_DAYS + 1))
+    return F.expr(f"CAST(element_at(array({table}), {age_days} + 1) AS BIGINT)")
+
+
+def _minute() -> Column:
+    return F.expr("hour(ts) * 60 + minute(ts)")
 
 
 def _is_channel(i: int) -> Column:
@@ -42,19 +46,19 @@ def _is_channel(i: int) -> Column:
 def conversion_paths(touches: DataFrame, conversions: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """One row per purchase: touches (`n0..n4`) and decayed weight (`w0..w4`) per channel, first and last channel."""
     place = F.struct("ts", F.col("touch_id").alias("id"), "channel")
-    hourly = touches.groupBy(
-        "customer_id", F.col("ts").cast("date").alias("day"), F.hour("ts").alias("hour")
+    by_minute = touches.groupBy(
+        "customer_id", F.col("ts").cast("date").alias("day"), _minute().alias("minute")
     ).agg(*[F.count_if(_is_channel(i)).alias(n) for i, n in enumerate(N)], F.min(place).alias("first"), F.max(place).alias("last"))
 
     # 1. earlier days, sent to the days whose window they fall in
-    daily = hourly.groupBy("customer_id", "day").agg(
+    daily = by_minute.groupBy("customer_id", "day").agg(
         *[F.sum(n).alias(n) for n in N], F.min("first").alias("first"), F.max("last").alias("last")
     )
     sent = daily.select("*", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("age")).withColumn(
         "to_day", F.date_add("day", F.col("age").cast("int"))
     )
     wanted = conversions.select("customer_id", F.col("ts").cast("date").alias("to_day")).distinct()
-    weight = decay_weight(F.col("age"))
+    weight = decay_weight("age")
     before = sent.join(wanted, ["customer_id", "to_day"], "left_semi").groupBy(
         F.col("customer_id").alias("d_who"), F.col("to_day").alias("d_day")
     ).agg(
@@ -62,34 +66,34 @@ def conversion_paths(touches: DataFrame, conversions: DataFrame, days: int = WIN
         F.min("first").alias("d_first"), F.max("last").alias("d_last"),
     )
 
-    # 2. earlier hours of the same day: at most 24 rows per window
-    wanted_hours = conversions.select(
-        "customer_id", F.col("ts").cast("date").alias("day"), F.hour("ts").alias("hour")
+    # 2. earlier minutes of the same day: at most 1440 rows per window
+    wanted_minutes = conversions.select(
+        "customer_id", F.col("ts").cast("date").alias("day"), _minute().alias("minute")
     ).distinct()
-    hours = hourly.join(wanted_hours.withColumn("_wanted", F.lit(True)), ["customer_id", "day", "hour"], "full_outer")
-    earlier = Window.partitionBy("customer_id", "day").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    in_day = hours.select(
-        F.col("customer_id").alias("h_who"), F.col("day").alias("h_day"), F.col("hour").alias("h_hour"), "_wanted",
+    minutes = by_minute.join(wanted_minutes.withColumn("_wanted", F.lit(True)), ["customer_id", "day", "minute"], "full_outer")
+    earlier = Window.partitionBy("customer_id", "day").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    in_day = minutes.select(
+        F.col("customer_id").alias("h_who"), F.col("day").alias("h_day"), F.col("minute").alias("h_minute"), "_wanted",
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"h_{n}") for n in N],
         F.min("first").over(earlier).alias("h_first"), F.max("last").over(earlier).alias("h_last"),
     ).filter("_wanted").drop("_wanted")
 
-    # 3. the same hour: touches up to the time of the purchase
-    stamp = lambda df: df.withColumns({"day": F.col("ts").cast("date"), "hour": F.hour("ts")})
+    # 3. the same minute: touches up to the time of the purchase
+    stamp = lambda df: df.withColumns({"day": F.col("ts").cast("date"), "minute": _minute()})
     events = stamp(
         touches.select("customer_id", "ts", F.col("touch_id").alias("id"), "channel", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("revenue_pence"))
         .unionByName(conversions.select("customer_id", "ts", F.col("conversion_id").alias("id"), F.lit(None).cast("string").alias("channel"), F.lit(1).alias("kind"), "revenue_pence"))
     )
-    so_far = Window.partitionBy("customer_id", "day", "hour").orderBy("ts", "kind", "id").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("customer_id", "day", "minute").orderBy("ts", "kind", "id").rowsBetween(Window.unboundedPreceding, 0)
     touch = F.when(F.col("kind") == 0, F.struct("ts", "id", "channel"))
-    same_hour = events.select(
-        "customer_id", "ts", "id", "kind", "revenue_pence", "day", "hour",
+    same_minute = events.select(
+        "customer_id", "ts", "id", "kind", "revenue_pence", "day", "minute",
         *[F.sum(F.coalesce(_is_channel(i), F.lit(False)).cast("bigint")).over(so_far).alias(n) for i, n in enumerate(N)],
         F.min(touch).over(so_far).alias("first"), F.max(touch).over(so_far).alias("last"),
     ).filter(F.col("kind") == 1)
 
-    joined = same_hour.join(
-        in_day, (F.col("customer_id") == F.col("h_who")) & (F.col("day") == F.col("h_day")) & (F.col("hour") == F.col("h_hour")), "left"
+    joined = same_minute.join(
+        in_day, (F.col("customer_id") == F.col("h_who")) & (F.col("day") == F.col("h_day")) & (F.col("minute") == F.col("h_minute")), "left"
     ).join(before, (F.col("customer_id") == F.col("d_who")) & (F.col("day") == F.col("d_day")), "left")
 
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
@@ -117,12 +121,8 @@ def touches_before_purchase(touches: DataFrame, conversions: DataFrame, days: in
 
 # --- models: integer weight per channel for each purchase -----------------------------------
 
-def _last_click(_: DataFrame) -> list[Column]:
-    return [F.coalesce((F.col("last_channel") == c).cast("bigint"), F.lit(0)) for c in TOUCH_CHANNELS]
-
-
-def _first_click(_: DataFrame) -> list[Column]:
-    return [F.coalesce((F.col("first_channel") == c).cast("bigint"), F.lit(0)) for c in TOUCH_CHANNELS]
+def _click(column: str) -> list[str]:
+    return [f"coalesce(CAST({column} = '{c}' AS BIGINT), 0L)" for c in TOUCH_CHANNELS]
 
 
 def channel_effects(touches: DataFrame, conversions: DataFrame) -> DataFrame:
@@ -143,19 +143,18 @@ def channel_effects(touches: DataFrame, conversions: DataFrame) -> DataFrame:
         *[F.count_if(cond & F.col("bought")).alias(f"b{name}") for name, cond in groups],
     )
 
-    def rate(name: str) -> Column:  # conversion rate in millionths, 0 without exposure
-        a, b = F.col(f"a{name}"), F.col(f"b{name}")
-        return F.coalesce(int_div(b * CREDIT_UNIT, F.nullif(a, F.lit(0))), F.lit(0))
+    def rate(name: str) -> str:  # conversion rate in millionths, 0 without exposure
+        return f"coalesce(b{name} * {CREDIT_UNIT} div nullif(a{name}, 0), 0L)"
 
-    effects = []
-    for i in range(k):
-        mixed = F.lit(0).cast("bigint")
+    def effect(i: int) -> Column:
+        mixed = []
         for j in range(k):
             if j != i:
                 both = f"{min(i, j)}_{max(i, j)}"
-                mixed = mixed + F.when(F.col(f"a{both}") > 0, rate(both) - rate(f"{i}") - rate(f"{j}")).otherwise(0)
-        effects.append(F.greatest(rate(f"{i}") + int_div(mixed, 2 * (k - 1)), F.lit(0)).alias(f"e{i}"))
-    return counts.select(*effects)
+                mixed.append(f"IF(a{both} > 0, {rate(both)} - {rate(str(i))} - {rate(str(j))}, 0L)")
+        return F.expr(f"greatest({rate(str(i))} + ({' + '.join(mixed)}) div {2 * (k - 1)}, 0L)").alias(f"e{i}")
+
+    return counts.select(*[effect(i) for i in range(k)])
 
 
 def attribute(
@@ -168,57 +167,56 @@ def attribute(
     first channel that takes part, so the channels add up to the total revenue exactly.
     """
     paths = conversion_paths(touches, conversions, days)
-    if model == "last_click":
-        weights = _last_click(paths)
-    elif model == "first_click":
-        weights = _first_click(paths)
+    if model in ("last_click", "first_click"):
+        weights = _click("last_channel" if model == "last_click" else "first_channel")
     elif model == "linear":
-        weights = [F.col(n) for n in N]
+        weights = N
     elif model == "time_decay":
-        weights = [F.col(w) for w in W]
+        weights = W
     elif model == "data_driven":
         paths = paths.crossJoin(F.broadcast(channel_effects(touches, conversions)))  # one row
-        present = [F.when(F.col(n) > 0, F.col(f"e{i}")).otherwise(0) for i, n in enumerate(N)]
-        any_effect = sum(present[1:], present[0]) > 0
+        present = [f"IF({n} > 0, e{i}, 0L)" for i, n in enumerate(N)]
         # Without any positive effect on the path the touches share alike.
-        weights = [F.when(any_effect, p).otherwise(F.col(n)) for p, n in zip(present, N)]
+        weights = [f"IF({' + '.join(present)} > 0, {p}, {n})" for p, n in zip(present, N)]
     else:
         raise ValueError(f"unknown model {model!r}")
 
-    weighted = paths.select("conversion_id", "revenue_pence", *[w.cast("bigint").alias(f"x{i}") for i, w in enumerate(weights)])
-    xs = [F.col(f"x{i}") for i in range(len(TOUCH_CHANNELS))]
-    total = sum(xs[1:], xs[0])
-    direct = TOUCH_CHANNELS.index("Direct")
-    xs = [F.when(total == 0, F.lit(1 if i == direct else 0)).otherwise(x) for i, x in enumerate(xs)]
-    total = F.when(total == 0, F.lit(1)).otherwise(total)
-
-    def split(amount: Column) -> list[Column]:
-        big = amount.cast("decimal(19,0)") * F.lit(CREDIT_UNIT).cast("decimal(7,0)")
-        floors = [int_div(big * x.cast("decimal(18,0)"), total.cast("decimal(18,0)")) for x in xs]
-        rest = big.cast("bigint") - sum(floors[1:], floors[0])
-        out, taken = [], F.lit(False)
-        for x, floor in zip(xs, floors):
-            out.append(floor + F.when(~taken & (x > 0), rest).otherwise(0))
-            taken = taken | (x > 0)
-        return out
-
-    money, orders = split(F.col("revenue_pence")), split(F.lit(1))
-    credits = F.array(
-        *[F.struct(F.lit(c).alias("channel"), m.alias("revenue"), o.alias("orders")) for c, m, o in zip(TOUCH_CHANNELS, money, orders)]
+    k, direct = len(TOUCH_CHANNELS), TOUCH_CHANNELS.index("Direct")
+    weighted = paths.selectExpr("revenue_pence", *[f"CAST({w} AS BIGINT) AS x{i}" for i, w in enumerate(weights)])
+    nothing = " + ".join(f"x{i}" for i in range(k)) + " = 0"
+    shared = weighted.selectExpr(
+        "revenue_pence", *[f"CAST(IF({nothing}, {int(i == direct)}L, x{i}) AS DECIMAL(18,0)) AS y{i}" for i in range(k)]
+    )
+    total = " + ".join(f"y{i}" for i in range(k))
+
+    def floors(amount: str) -> list[str]:
+        return [f"(CAST({amount} AS DECIMAL(19,0)) * {CREDIT_UNIT}BD * y{i} div ({total}))" for i in range(k)]
+
+    split = shared.selectExpr(
+        "*", *[f"{f} AS m{i}" for i, f in enumerate(floors("revenue_pence"))], *[f"{f} AS o{i}" for i, f in enumerate(floors("1"))]
+    )
+
+    def credit(i: int, part: str, amount: str) -> str:
+        rest = f"{amount} * {CREDIT_UNIT} - (" + " + ".join(f"{part}{j}" for j in range(k)) + ")"
+        is_first = " AND ".join([*[f"y{j} = 0" for j in range(i)], f"y{i} > 0"])
+        return f"{part}{i} + IF({is_first}, {rest}, 0L)"
+
+    rows = ", ".join(
+        f"struct('{c}' AS channel, {credit(i, 'm', 'revenue_pence')} AS revenue, {credit(i, 'o', '1')} AS orders)"
+        for i, c in enumerate(TOUCH_CHANNELS)
     )
-    credited = weighted.select(F.inline(credits)).groupBy("channel").agg(
-        F.sum(F.col("revenue").cast("decimal(28,0)")).alias("revenue"), F.sum(F.col("orders").cast("decimal(28,0)")).alias("orders")
+    credited = split.selectExpr(f"inline(array({rows}))").groupBy("channel").agg(
+        F.expr("sum(CAST(revenue AS DECIMAL(28,0)))").alias("revenue"), F.expr("sum(CAST(orders AS DECIMAL(28,0)))").alias("orders")
     )
     spend = marketing.groupBy(F.col("channel").alias("_channel")).agg(F.sum("spend_pence").cast("bigint").alias("spend"))
-    cents = F.lit(CREDIT_UNIT).cast("decimal(7,0)")
-    revenue, n = F.col("revenue").cast("decimal(24,0)"), F.col("orders").cast("decimal(24,0)")
+    money = f"CAST(spend AS DECIMAL(17,0)) * {CREDIT_UNIT}BD"
     return credited.join(spend, F.col("channel") == F.col("_channel"), "left").select(
         "channel",
-        ratio(revenue, cents * 100, 2).alias("attributed_revenue_gbp"),
-        ratio(n, cents, 4).alias("attributed_orders"),
+        ratio("revenue", str(CREDIT_UNIT * 100), 2).alias("attributed_revenue_gbp"),
+        ratio("orders", str(CREDIT_UNIT), 4).alias("attributed_orders"),
         gbp(F.coalesce("spend", F.lit(0))).alias("spend_gbp"),
-        ratio(F.col("spend").cast("decimal(17,0)") * cents, n * 100, 2).alias("cost_per_order_gbp"),
-        ratio(revenue, F.col("spend").cast("decimal(17,0)") * cents, 2).alias("roas"),
+        ratio(money, "CAST(orders AS DECIMAL(24,0)) * 100", 2).alias("cost_per_order_gbp"),
+        ratio("revenue", money, 2).alias("roas"),
     )
 
 

@@ -13,20 +13,18 @@ from tillwise.functions.ranking import DIRECT_ROWS, Scorer, ntile_ends, qcut_end
 from tillwise.functions.scale import scratch_dir, stage
 
 
-def segment(r: Column, f: Column, m: Column) -> Column:
+def segment(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Column:
     """First rule of the table that the three scores satisfy."""
-    out = F.lit(model.OTHER_SEGMENT)
-    for name, r_range, f_range, m_range in reversed(model.SEGMENT_RULES):
-        match = r.between(*r_range) & f.between(*f_range) & m.between(*m_range)
-        out = F.when(match, F.lit(name)).otherwise(out)
-    return out
+    def match(ranges) -> str:
+        return " AND ".join(f"{c} BETWEEN {low} AND {high}" for c, (low, high) in zip((r, f, m), ranges))
 
+    rules = " ".join(f"WHEN {match(ranges)} THEN '{name}'" for name, *ranges in model.SEGMENT_RULES)
+    return F.expr(f"CASE {rules} ELSE '{model.OTHER_SEGMENT}' END")
 
-def segment_priority(name: Column) -> Column:
-    out = F.lit(model.SEGMENT_PRIORITY[model.OTHER_SEGMENT])
-    for label, priority in model.SEGMENT_PRIORITY.items():
-        out = F.when(name == label, F.lit(priority)).otherwise(out)
-    return out.cast("bigint")
+
+def segment_priority(name: str = "rfm_segment") -> Column:
+    cases = " ".join(f"WHEN '{label}' THEN {p}" for label, p in model.SEGMENT_PRIORITY.items())
+    return F.expr(f"CAST(CASE {name} {cases} ELSE {model.SEGMENT_PRIORITY[model.OTHER_SEGMENT]} END AS BIGINT)")
 
 
 def score(metrics: DataFrame, method: str = "ntile", recency: str = "best_high", direct_rows: int = DIRECT_ROWS) -> DataFrame:
@@ -58,10 +56,9 @@ def score(metrics: DataFrame, method: str = "ntile", recency: str = "best_high",
         {"r_score": r.cast("bigint"), "f_score": tile["purchase_frequency"].cast("bigint"),
          "m_score": tile["total_revenue_pence"].cast("bigint")}
     )
-    name = segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     return scored.withColumns(
-        {"rfm_total_score": F.col("r_score") + F.col("f_score") + F.col("m_score"), "rfm_segment": name}
-    ).withColumn("segment_priority", segment_priority(F.col("rfm_segment"))).drop("_tie", "_id", "_recent")
+        {"rfm_total_score": F.col("r_score") + F.col("f_score") + F.col("m_score"), "rfm_segment": segment()}
+    ).withColumn("segment_priority", segment_priority()).drop("_tie", "_id", "_recent")
 
 
 def mart_customer_rfm(customer_orders: DataFrame, recency: str = "best_high") -> DataFrame:

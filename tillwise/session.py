@@ -30,6 +30,8 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g")
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tillwise")
         .config("spark.driver.memory", memory)
+        # Wide aggregations generate methods above the size the JVM compiles by default.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )

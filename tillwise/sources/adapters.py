@@ -7,17 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_schemas: dict[str, T.StructType] = {}
 
+from tillwise.functions.scale import spread_small_scan
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table. Its schema is read from the file once and then given."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _pence(pounds: str) -> str:
@@ -81,8 +75,8 @@ def raw_stores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").selectExpr(
+def raw_orders(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    return spread_small_scan(table(spark, folder, "orders"), "o_orderkey").selectExpr(
         "concat('ORD-', o_orderkey) AS order_id",
         "concat('CUS-', o_custkey) AS customer_id",
         "CAST(o_orderdate AS DATE) AS order_date",
@@ -91,14 +85,15 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderkey % 5 < 2 THEN concat('CAM-', o_orderkey % 100) END AS campaign_id",
         _pence("o_totalprice") + " AS order_total_pence",
         "'POS' AS source_system",
+        *extra,
     )
 
 
-def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
+def raw_order_lines(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     gross = _pence("l_extendedprice")
     discount = f"(({gross} * CAST(round(l_discount * 100) AS BIGINT)) div 100)"
     cost = f"(({gross} * (40 + l_partkey % 30)) div 100)"
-    return table(spark, folder, "lineitem").selectExpr(
+    return spread_small_scan(table(spark, folder, "lineitem"), "l_orderkey").selectExpr(
         "concat('ORD-', l_orderkey, '-', l_linenumber) AS order_line_id",
         "concat('ORD-', l_orderkey) AS order_id",
         "concat('SKU-', l_partkey) AS product_id",
@@ -111,6 +106,7 @@ def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
         f"{gross} - {discount} - {cost} AS gross_profit_pence",
         "l_returnflag = 'R' AS is_returned",
         "CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS DATE) END AS return_date",
+        *extra,
     )
 
 
@@ -173,14 +169,10 @@ def raw_conversions(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the same inputs with faults, for the validation checks ---------------------------------
 
-_NUMBER = "CAST(regexp_extract(%s, '([0-9]+)$', 1) AS BIGINT) AS %s"
-
-
 def faulty_orders(spark: SparkSession, folder: str) -> DataFrame:
     """All orders, some with missing or wrong values, some twice. order_date is text."""
     return (
-        raw_orders(spark, folder)
-        .selectExpr("*", _NUMBER % ("order_id", "k"))
+        raw_orders(spark, folder, "o_orderkey AS k")
         .selectExpr(
             "CASE WHEN k % 97 <> 0 THEN order_id END AS order_id",
             "CASE WHEN k % 101 <> 0 THEN customer_id END AS customer_id",
@@ -196,9 +188,9 @@ def faulty_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def faulty_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    base = raw_order_lines(spark, folder)
-    changed = ("order_line_id", "order_id", "product_id", "units_sold")
-    return base.selectExpr("*", _NUMBER % ("order_id", "ok"), _NUMBER % ("product_id", "pk")).selectExpr(
+    base = raw_order_lines(spark, folder, "l_orderkey AS ok", "l_partkey AS pk")
+    changed = ("order_line_id", "order_id", "product_id", "units_sold", "ok", "pk")
+    return base.selectExpr(
         "CASE WHEN ok % 107 <> 0 THEN order_line_id END AS order_line_id",
         "CASE WHEN ok % 71 = 0 THEN 'ORD-X' WHEN ok % 97 <> 0 THEN order_id END AS order_id",
         "CASE WHEN pk % 67 = 0 THEN 'SKU-X' WHEN pk % 113 <> 0 THEN product_id END AS product_id",
@@ -215,12 +207,14 @@ READERS = {
 
 
 class Inputs:
-    """The raw inputs of one folder, read when asked for."""
+    """The raw inputs of one folder. Each is planned when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in READERS:
-            return READERS[name](self.spark, self.folder)
-        raise AttributeError(name)
+        if name not in READERS:
+            raise AttributeError(name)
+        df = READERS[name](self.spark, self.folder)
+        setattr(self, name, df)
+        return df
