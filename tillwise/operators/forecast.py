@@ -147,7 +147,7 @@ def seasonal_forecast(weekly: DataFrame, horizon: int = HORIZON, min_weeks: int
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=["ds", "units_sold"])
         if len(pdf) < min_weeks:
-            return pd.DataFrame({c: [] for c in ("ds", "category", "yhat", "yhat_lower", "yhat_upper", "is_forecast")})
+            return pd.DataFrame(columns=["ds", "category", "yhat", "yhat_lower", "yhat_upper", "is_forecast"], dtype=object)
         out = fit_predict(pdf, horizon)
         out["category"] = pdf["category"].iloc[0]
         out["ds"] = out["ds"].dt.date
