@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort-merge joins where every partition of one side was measured to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
