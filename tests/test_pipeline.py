@@ -62,8 +62,21 @@ def test_load_table_counts_and_skips_empty(spark, tmp_path):
 def test_stream_drops_repeats_and_equals_batch(spark, tmp_path):
     events = adapters.table(spark, SF, "events")
     path = str(tmp_path / "in")
-    # The first file holds every event twice; a second one brings the later half again.
-    events.unionByName(events).coalesce(1).write.parquet(path)
+    events.unionByName(events).coalesce(1).write.parquet(path)  # every event twice
     out = hourly.stream_sales(spark, path)
     want = events.filter("event_type = 'purchase'").groupBy(F.date_trunc("hour", "ts").alias("h")).count()
     assert {(r.hour_start, r.orders) for r in out.collect()} == {(r.h.strftime("%Y-%m-%d %H:%M:%S"), r["count"]) for r in want.collect()}
+
+
+def test_stream_counts_late_rows(spark, tmp_path):
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    row = lambda i, ts: f"SELECT {i}L AS event_id, TIMESTAMP_NTZ'{ts}' AS ts, 1L AS user_id, 'purchase' AS event_type, 2.5D AS value, '' AS props"
+    late = []
+    for sql in (row(1, "2024-01-01 00:10:00") + " UNION ALL " + row(2, "2024-01-02 00:10:00"), row(3, "2024-01-02 00:20:00"),
+                row(4, "2024-01-01 00:30:00")):
+        spark.sql(sql).coalesce(1).write.mode("append").parquet(path)
+        # A restart goes on from the checkpoint; batch numbers keep growing.
+        late.append(hourly.run_available(hourly.hourly_sales(hourly.read_events(spark, path)), out, checkpoint))
+    hours = {r.hour_start: (r.orders, r.revenue_gbp) for r in hourly.latest_hours(spark, out).collect()}
+    assert hours == {"2024-01-01 00:00:00": (1, 2.5), "2024-01-02 00:00:00": (2, 5.0)}
+    assert late[:2] == [0, 0] and late[2] >= 1

@@ -160,12 +160,11 @@ def not_returned(sales: DataFrame) -> DataFrame:
 def customer_top_category(sales: DataFrame) -> DataFrame:
     """The category with the highest revenue per customer; equal revenue goes to the first name."""
     per_category = sales.groupBy("customer_id", "category").agg(F.sum("net_revenue_pence").alias("revenue"))
-    return _roll_up_categories(per_category, {})
+    return per_category.groupBy("customer_id").agg(_best_category().alias("top_category"))
 
 
-def _roll_up_categories(per_category: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
-    best = F.min_by("category", F.struct(-F.col("revenue"), F.col("category")))
-    return per_category.groupBy("customer_id").agg(best.alias("top_category"), *[c.alias(n) for n, c in aggregates.items()])
+def _best_category() -> Column:
+    return F.min_by("category", F.struct(-F.col("revenue"), F.col("category")))
 
 
 CUSTOMER_GROUP = ("customer_region", "loyalty_tier", "acquisition_channel")
@@ -203,9 +202,8 @@ def int_customer_orders(
         F.count_if(F.col("store_type") == "Online").alias("online_orders"),
         F.count_if(F.col("store_type") == "Physical").alias("instore_orders"),
     )
-    best = F.min_by("category", F.struct(-F.col("revenue"), F.col("category")))
     totals = per_category.groupBy("customer_id", *CUSTOMER_GROUP).agg(
-        best.alias("top_category"),
+        _best_category().alias("top_category"),
         F.max("last_purchase_date").alias("last_purchase_date"),
         F.min("first_purchase_date").alias("first_purchase_date"),
         *[F.sum(c).alias(c) for c in ("units", "revenue", "profit", "lines", "weekend_orders", "promo_orders",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -58,6 +59,14 @@ def validate_and_build(raw, run_id: str, load_time: datetime) -> tuple[dict[str,
     return tables, rejected, reports
 
 
+def _load(df: DataFrame, name: str, warehouse: str) -> int:
+    path = f"{warehouse}/{name}"
+    if name.startswith("dim_"):
+        return writers.load_table(df, path, "overwrite")
+    yearly = df.withColumn("year", F.expr("date_key div 10000").cast("int")).hint("rebalance", "year")
+    return writers.load_table(yearly, path, "append", "year")
+
+
 def run_pipeline(raw, warehouse: str, run_id: str | None = None) -> RunSummary:
     """Load all tables into `warehouse`: dimensions are replaced, facts, rejects and the run log appended."""
     started = _utc_now()
@@ -67,12 +76,10 @@ def run_pipeline(raw, warehouse: str, run_id: str | None = None) -> RunSummary:
     error = None
     try:
         tables, rejected, reports = validate_and_build(raw, summary.run_id, started)
-        for name, df in tables.items():
-            if name.startswith("dim_"):
-                summary.loaded[name] = writers.load_table(df, f"{warehouse}/{name}", "overwrite")
-            else:
-                yearly = df.withColumn("year", F.expr("date_key div 10000").cast("int")).hint("rebalance", "year")
-                summary.loaded[name] = writers.load_table(yearly, f"{warehouse}/{name}", "append", "year")
+        # The tables do not depend on each other: their jobs share the cluster.
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = {name: pool.submit(_load, df, name, warehouse) for name, df in tables.items()}
+            summary.loaded = {name: job.result() for name, job in jobs.items()}
         rejected_rows = writers.append_quarantine(rejected, f"{warehouse}/data_quality_quarantine", summary.run_id)
         summary.reports = {r["source"]: r.asDict() for r in reports.collect()}  # two rows
         extracted = sum(r["records_input"] for r in summary.reports.values())

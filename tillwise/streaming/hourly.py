@@ -38,10 +38,10 @@ def hourly_sales(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
     """Process what has arrived. Each batch writes its changed hours under its own number.
 
-    A batch that is run again after a failure overwrites its own folder, so hours are never doubled.
+    Returns the number of rows that came too late to be counted. A batch that is run again after a failure overwrites its own folder, so hours are never doubled.
     """
     def write(batch: DataFrame, number: int) -> None:
         batch.select(F.col("w.start").alias("hour"), "orders", "revenue_pence").write.mode("overwrite").parquet(f"{out}/batch={number}")
@@ -51,6 +51,7 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def latest_hours(spark: SparkSession, out: str) -> DataFrame:
