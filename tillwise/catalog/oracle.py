@@ -398,6 +398,9 @@ oracle("rfm_segment_counts", f"""SELECT rfm_segment, count(*) AS customers, {GBP
 {R(f"sum({PENCE('avg_order_value_gbp')})", 'count(*) * 100', 2)} AS avg_aov_gbp FROM qcut GROUP BY 1""")
 oracle("rfm_migration", """SELECT coalesce(b.rfm_segment, 'NONE') AS from_segment, coalesce(a.rfm_segment, 'NONE') AS to_segment, count(*) AS customers
 FROM rfm a FULL JOIN rfm_before b USING (customer_id) GROUP BY 1, 2""")
+oracle("rfm_moved_at_risk", """SELECT customer_id, b.rfm_segment AS from_segment, a.days_since_last_purchase, a.total_revenue_gbp AS ltv_gbp
+FROM rfm a JOIN rfm_before b USING (customer_id) WHERE a.rfm_segment = 'At Risk' AND b.rfm_segment <> 'At Risk'""")
+oracle("rfm_acquisition_crosstab", f"SELECT rfm_segment, acquisition_channel, count(*) AS customers, {GBP('sum(total_revenue_pence)')} AS revenue_gbp FROM rfm GROUP BY 1, 2")
 oracle("rfm_history", f"""SELECT {BEFORE} AS run_date, rfm_segment, count(*) AS customers FROM rfm_before GROUP BY 2 UNION ALL SELECT {AS_OF}, rfm_segment, count(*) FROM
 (SELECT * FROM rfm) GROUP BY 2""")
 oracle("rfm_channel_crosstab", f"""SELECT rfm_segment, channel, {BIG('sum(f) AS first_purchase_customers', 'sum(l) AS last_purchase_customers')} FROM rfm JOIN (

@@ -640,6 +640,17 @@ def _(raw):
     return segments.segment_migration(rfm(raw, before, before), rfm(raw))
 
 
+@query("rfm_moved_at_risk")
+def _(raw):
+    before = date(2001, 7, 2)
+    return segments.moved_to(rfm(raw, before, before), rfm(raw), "At Risk")
+
+
+@query("rfm_acquisition_crosstab")
+def _(raw):
+    return segments.segment_by_acquisition(rfm(raw))
+
+
 @query("rfm_history")
 def _(raw):
     path = scratch_path(raw.spark, "rfm-history")

@@ -206,6 +206,16 @@ def segment_migration(previous: DataFrame, current: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("customers"))
 
 
+def moved_to(previous: DataFrame, current: DataFrame, segment_name: str) -> DataFrame:
+    """Customers that are in a segment now and were in another one before."""
+    before = previous.select(F.col("customer_id").alias("_who"), F.col("rfm_segment").alias("from_segment"))
+    return (
+        current.filter(F.col("rfm_segment") == segment_name)
+        .join(before.filter(F.col("from_segment") != segment_name), F.col("customer_id") == F.col("_who"))
+        .select("customer_id", "from_segment", "days_since_last_purchase", F.col("total_revenue_gbp").alias("ltv_gbp"))
+    )
+
+
 def append_history(rfm: DataFrame, run_date: date, path: str) -> None:
     """Keep the segments of a run; writing the same run again replaces only that run."""
     rfm.withColumn("run_date", F.lit(run_date)).write.mode("overwrite").option(
@@ -213,6 +223,13 @@ def append_history(rfm: DataFrame, run_date: date, path: str) -> None:
     ).partitionBy("run_date").parquet(path)
 
 
+def segment_by_acquisition(rfm: DataFrame) -> DataFrame:
+    """Segment by the channel that brought the customer: size and value."""
+    return rfm.groupBy("rfm_segment", "acquisition_channel").agg(
+        F.count(F.lit(1)).alias("customers"), gbp(F.sum("total_revenue_pence")).alias("revenue_gbp")
+    )
+
+
 def first_last_channel(orders: DataFrame) -> DataFrame:
     """Channel of each customer's first and most recent order."""
     place = F.struct("order_date", "order_id")
