@@ -12,7 +12,6 @@ from tillwise.session import tune
 # ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes that end a word of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` become spaces, A-Z become a-z; every
 # byte of a character beyond ASCII stays.
@@ -51,13 +50,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only. `lower` does the same, and faster, where all characters are ASCII."""
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
-        F.translate(text, UPPER, LOWER)
-    )
-
-
 def space_words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text as an array; empty for null."""
     trimmed = F.btrim(text, F.lit(SPACES))

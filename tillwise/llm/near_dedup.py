@@ -36,7 +36,6 @@ ATTEMPTS = 4096
 
 SIGNATURE = "id bigint, fp bigint, key binary, n bigint, bands array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_STEPS = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1) | 1 for k in range(64)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -46,6 +45,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Odd multipliers without a linear relation: with equally spaced ones, shingles that hold the same
+# words in another order would collide.
+_STEPS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of `size` words; of all words if they are fewer."""
     words = (text or b"").lower().split()  # bytes: A-Z only, ASCII white space only

@@ -18,6 +18,15 @@ def plain(text: str) -> str:
     return rf"regexp_extract_all({LOWER.format(text)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+OP2 = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, octet_length(encode(coalesce(html, '')))::BIGINT AS n FROM pages),
+g AS (SELECT h, n, max(page_id) AS top, count(*) AS c FROM p WHERE n >= 1000 GROUP BY h, n)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+  CASE WHEN c > 1 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN c > 1 AND page_id <> top THEN top END AS refers_to
+FROM p LEFT JOIN g USING (h, n)
+"""
+
 OP3 = f"""
 WITH d AS (SELECT doc_id, {plain("coalesce(text, '')")} AS w FROM documents),
 i AS (SELECT item_id, {plain("coalesce(text, '')")} AS w FROM benchmark),
@@ -89,6 +98,7 @@ FROM k LEFT JOIN common ON k.key = common.key GROUP BY doc_id
 """
 
 ORACLES = {
+    "op2_warc": OP2,
     "op3_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op7_near_dedup": OP7,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontamination, line_dedup, near_dedup, quality_rules, sentencepiece_codec
+from tillwise.llm import decontamination, licenses, line_dedup, near_dedup, quality_rules, sentencepiece_codec, warc
 from tillwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("row.doc_id", "ids", "n_tokens", "round_trip")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.pages_through_archives(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.verdicts(found).select(
@@ -47,10 +53,18 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents")).select(
+        "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "duty"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op7_near_dedup": op7_near_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op10_licenses": op10_licenses,
 }
