@@ -191,7 +191,10 @@ class Unigrams:
         self.total = sum(c * n for c, n in sizes.items())
         d = discounts(sizes, cutoff)
         factor = d[np.minimum(falling, cutoff + 1)] if len(falling) else np.empty(0)
-        self.share = factor * falling / max(self.total, 1)
+        kept = factor * falling
+        whole = math.fsum(p * sizes[int(c)] for p, c in zip(kept, falling))
+        # Where no count was low enough to be discounted, unknown words count as one more token.
+        self.share = kept / max(self.total + (whole >= self.total), 1)
         seen = math.fsum(p * sizes[int(c)] for p, c in zip(self.share, falling))
         self.unknown = 1.0 - seen  # one event for all unknown words
 
@@ -319,9 +322,11 @@ def _score(unigrams):
         for k in np.flatnonzero((bucket.contexts < HOT) | (bucket.contexts == START_ID)) if len(bucket.contexts) else ():
             x = hot[int(bucket.contexts[k])]
             count[k], kept[k], below[k] = x["c"], x["k"], x["b"]
-        alpha = np.where(count > 0, (1.0 - kept / np.maximum(count, 1)) / np.maximum(1.0 - below, 1e-300), 1.0)
+        # A context whose counts are all too high for a discount gets one more, unseen, token.
+        whole = np.maximum(count + (kept >= count), 1)
+        alpha = np.where(count > 0, (1.0 - kept / whole) / np.maximum(1.0 - below, 1e-300), 1.0)
         of = np.repeat(np.arange(len(bucket.first)), np.diff(np.append(bucket.first, len(bucket.v))))
-        seen = factors[np.minimum(bucket.counts, len(factors) - 1)] * bucket.counts / np.maximum(count[of], 1)
+        seen = factors[np.minimum(bucket.counts, len(factors) - 1)] * bucket.counts / whole[of]
         logs = np.log10(np.where(bucket.counts > 0, seen, alpha[of] * model.probability(bucket.w)))
         n_docs = np.array(group["n_docs"].to_pylist(), np.int64)
         start = np.cumsum(n_docs) - n_docs

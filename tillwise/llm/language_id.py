@@ -161,22 +161,22 @@ def identify(
     soft = [F.sum(F.col("p")[i]).alias(f"c{i}") for i in range(k)]
     counts = F.array(*[F.col(f"c{i}") for i in range(k)])
 
-    def smoothed(level: DataFrame, parent: Column) -> Column:
+    def smoothed(parent: Column) -> Column:
         """Log prior of a level: its counts and SMOOTHING pages of its parent's distribution."""
         total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(counts, parent, lambda c, q: (c + SMOOTHING * q) / (total + SMOOTHING))
 
     by_host = own.groupBy("host", "domain", "suffix").agg(*soft)
     overall = by_host.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]).select(
-        smoothed(None, F.array(*[F.lit(1.0 / k)] * k)).alias("all_prior")
+        smoothed(F.array(*[F.lit(1.0 / k)] * k)).alias("all_prior")
     )
     sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]
     suffixes = by_host.groupBy("suffix").agg(*sums).crossJoin(F.broadcast(overall)).select(  # one row
-        "suffix", "all_prior", smoothed(None, F.col("all_prior")).alias("suffix_prior"))
+        "suffix", "all_prior", smoothed(F.col("all_prior")).alias("suffix_prior"))
     domains = by_host.groupBy("domain", "suffix").agg(*sums).join(suffixes, "suffix").select(
-        "domain", "suffix", "all_prior", "suffix_prior", smoothed(None, F.col("suffix_prior")).alias("domain_prior"))
+        "domain", "suffix", "all_prior", "suffix_prior", smoothed(F.col("suffix_prior")).alias("domain_prior"))
     hosts = by_host.join(domains, ["domain", "suffix"]).select(
-        "host", F.transform(smoothed(None, F.col("domain_prior")), lambda x: F.log(x)).alias("host_prior"))
+        "host", F.transform(smoothed(F.col("domain_prior")), lambda x: F.log(x)).alias("host_prior"))
     marks = own.groupBy("declared").agg(*soft).crossJoin(F.broadcast(own.agg(*[F.sum(F.col("p")[i]).alias(f"t{i}") for i in range(k)])))
     declared = marks.select(
         F.col("declared").alias("mark"),

@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontamination, licenses, line_dedup, near_dedup, quality_rules, sentencepiece_codec, warc
+from tillwise.llm import (
+    decontamination, katz_lm, language_id, licenses, line_dedup, near_dedup, quality_rules, sentencepiece_codec,
+    substring_dedup, warc,
+)
 from tillwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    languages, model = language_id.train_text_model(table(spark, folder, "documents"))
+    return language_id.identify(table(spark, folder, "pages"), languages, model)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, folder, "documents"))
     return judged.select(
@@ -42,6 +50,14 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_passages(table(spark, folder, "documents"))
+    return cut.select(
+        "row.doc_id", "spans", F.size("spans").cast("bigint").alias("n_spans"),
+        F.char_length("kept_text").cast("bigint").alias("kept_chars"), F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -53,6 +69,11 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_katz_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return katz_lm.score(table(spark, folder, "documents"), held_out)
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).select(
         "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "duty"
@@ -63,8 +84,11 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op9_katz_lm": op9_katz_lm,
     "op10_licenses": op10_licenses,
 }
