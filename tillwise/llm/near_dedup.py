@@ -4,11 +4,12 @@
 2. A node's set is dealt into bins by one hash; each bin keeps its smallest value, and empty bins
    borrow from a filled one chosen by a hash of (bin, attempt) (optimal densification). Bands of
    bins are the buckets.
-3. In each bucket every node is compared with one hub only: a star, so pairs grow with the members.
-   Links are confirmed on the full sets. Two rounds with different hubs join nearly all that belongs
-   together. Last, members of a bucket that are still in different components, and were never
-   compared, are compared too. So no link between two nodes that share a bucket is lost to the star
-   form, and no pairs are spent inside a component.
+3. In each bucket every node is compared with one hub only, the node that meets most others: a star,
+   so pairs grow with the members. Links are confirmed on the full sets.
+4. Nodes whose bucket is still in several components may be linked past the hub. Among them links are
+   found exactly by prefixes: with the shingles of each set in one order, rarest first, two sets that are
+   alike enough share one among the first few. Rare shingles have few holders, so few pairs come of it,
+   and none inside a component. No link between two nodes that share a bucket is lost to the star form.
 
 With 32 bands of 6 bins two texts of similarity 0.85 share no bucket with probability 3e-7.
 """
@@ -175,48 +176,83 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = batch.column("members").to_pylist()
+        sizes = np.array([len(x) // 8 for x in sets], np.int64)
+        for a in range(0, len(sets), 100):
+            part = slice(a, a + 100)
+            at = pa.array(np.repeat(np.arange(len(sets))[part], sizes[part]))
+            values = np.frombuffer(b"".join(sets[part]), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), pa.array(values)], names=["key", "shingle"])
+
+
 class _Rounds:
-    """Candidate pairs of the shared buckets, confirmed round by round."""
+    """Candidate pairs among the nodes that share buckets, confirmed on their sets."""
 
     def __init__(self, shared: DataFrame, sets: DataFrame, min_pct: int):
         self.shared, self.sets, self.min_pct = shared, sets, min_pct
         self.tested: DataFrame | None = None
         self.labels: DataFrame | None = None
 
-    def members(self) -> DataFrame:
-        """Bucket members with the component they are in so far."""
-        if self.labels is None:
-            return self.shared.withColumn("component", F.col("key"))
-        known = self.labels.withColumnRenamed("node", "key")
-        return self.shared.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
-
     def similar_size(self, x: str, y: str) -> Column:
         return (100 * F.col(x) >= self.min_pct * F.col(y)) & (100 * F.col(y) >= self.min_pct * F.col(x))
 
-    def star(self, seed: int) -> DataFrame:
-        members = self.members()
-        hubs = members.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64(F.lit(seed), "key"), "key", "n", "component")).alias("hub")
-        )
-        pairs = members.join(hubs, "bucket").filter(F.col("component") != F.col("hub.component"))
+    def star(self) -> DataFrame:
+        """Each bucket's members with its hub."""
+        met = self.shared.groupBy("key").agg(F.sum("c").alias("met"))
+        members = self.shared.join(met, "key")
+        hubs = members.groupBy("bucket").agg(F.max(F.struct("met", "key", "n")).alias("hub"))
+        pairs = members.join(hubs, "bucket").filter(F.col("key") != F.col("hub.key"))
         return pairs.select("key", "n", F.col("hub.key").alias("other"), F.col("hub.n").alias("m"))
 
-    def remaining(self) -> DataFrame:
-        """Members outside the largest component of their bucket, with all others of the bucket."""
-        members = stage(self.members(), "members")
-        sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-        largest = sizes.groupBy("bucket").agg(
+    def open_nodes(self) -> DataFrame:
+        """Nodes of buckets in several components: key, n, component."""
+        known = self.labels.withColumnRenamed("node", "key")
+        members = self.shared.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        split = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+        return stage(members.join(split.select("bucket"), "bucket").select("key", "n", "component").distinct(), "open-nodes")
+
+    def prefixes(self, nodes: DataFrame) -> DataFrame:
+        """(shingle, key, n, component, pos): the shingles of each node of which alike nodes share one.
+
+        Shingles are ordered by the number of nodes that have them, then by hash. Those that only one
+        node has come first and are counted, not listed.
+        """
+        held = stage(self.sets.join(nodes.select("key"), "key", "left_semi").mapInArrow(_explode_sets, "key binary, shingle bigint"), "held")
+        often = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        listed = held.join(often, "shingle").groupBy("key").agg(
+            F.sort_array(F.collect_list(F.struct("c", "shingle"))).alias("s")  # bounded by the text
+        )
+        alone = (F.col("n") - F.size("s")).cast("int")
+        length = (F.col("n") - F.ceil(self.min_pct * F.col("n") / 100) + 1).cast("int")
+        first = nodes.join(listed, "key").select(
+            "key", "n", "component", alone.alias("alone"), F.slice("s", F.lit(1), F.greatest(length - alone, F.lit(0))).alias("s")
+        )
+        exploded = first.select("key", "n", "component", "alone", F.posexplode("s").alias("at", "x"))
+        return stage(exploded.select(F.col("x.shingle").alias("shingle"), "key", "n", "component", (F.col("alone") + F.col("at")).alias("pos")), "prefixes")
+
+    def beyond_hubs(self) -> DataFrame:
+        """Pairs of different components that share a prefix shingle and can be alike enough.
+
+        Of each shingle's holders, those outside its largest component are paired with all others.
+        """
+        rows = self.prefixes(self.open_nodes())
+        sizes = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c"))
+        largest = sizes.groupBy("shingle").agg(
             F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")
-        ).filter("parts > 1")
-        split = members.join(largest, "bucket")
-        apart = split.filter(F.col("component") != F.col("top.component"))
-        one = apart.select("bucket", "key", "n", F.col("component").alias("mine"))
+        ).filter("parts > 1").select("shingle", F.col("top.component").alias("top"))
+        split = rows.join(largest, "shingle")
+        one = split.filter("component <> top").select("shingle", "key", "n", F.col("pos").alias("p"), F.col("component").alias("mine"))
         two = split.select(
-            "bucket", F.col("key").alias("other"), F.col("n").alias("m"), "component",
-            (F.col("component") != F.col("top.component")).alias("small"),
+            "shingle", F.col("key").alias("other"), F.col("n").alias("m"), F.col("pos").alias("q"), "component",
+            (F.col("component") != F.col("top")).alias("small"),
         )
-        pairs = one.join(two, "bucket").filter(
+        # What both can still share from this shingle on, if it is the first they share.
+        most = F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q"))
+        pairs = one.join(two, "shingle").filter(
             (F.col("mine") != F.col("component")) & (~F.col("small") | (F.col("key") < F.col("other")))
+            & self.similar_size("n", "m") & ((100 + self.min_pct) * most >= self.min_pct * (F.col("n") + F.col("m")))
         )
         return pairs.select("key", "n", "other", "m")
 
@@ -260,7 +296,7 @@ def near_duplicates(
         filled.groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands")), "nodes"
     )
     members = nodes.select(F.explode("bands").alias("bucket"), "key", "n")
-    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
+    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = stage(members.join(several, "bucket"), "shared-buckets")
 
     # The sets of nodes that share a bucket are computed anew from one text each.
@@ -271,9 +307,8 @@ def near_duplicates(
     sets = stage(found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
 
     rounds = _Rounds(shared, sets, min_pct)
-    rounds.confirm(rounds.star(1))
-    rounds.confirm(rounds.star(2))
-    rounds.confirm(rounds.remaining())
+    rounds.confirm(rounds.star())
+    rounds.confirm(rounds.beyond_hubs())
 
     labelled = nodes.select("key", "rep").join(rounds.labels.withColumnRenamed("node", "key"), "key", "left")
     least = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
