@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillwise import model
 from tillwise.operators import attribution as A
 from tillwise.operators import forecast as FC
-from tillwise.operators import inventory, segments
+from tillwise.operators import inventory, reports, segments
 
 
 def test_segment_rules_cover_all_scores(spark):
@@ -115,3 +115,41 @@ def test_attribution_adds_up(spark, name):
     assert len(rows) == 5
     assert abs(sum(r.attributed_revenue_gbp for r in rows) - c.revenue_pence.sum() / 100) < 0.03
     assert abs(sum(r.attributed_orders for r in rows) - len(c)) < 0.001
+
+
+def test_any_touch_channel_and_anonymous_rows(spark):
+    touches = spark.createDataFrame(
+        [(1, "C1", datetime(2024, 1, 5, 10), "Affiliate"), (2, None, datetime(2024, 1, 5, 12, 0, 1), "Email"), (3, "C2", datetime(2024, 1, 1), None)],
+        "touch_id long, customer_id string, ts timestamp_ntz, channel string",
+    )
+    conversions = spark.createDataFrame(
+        [(10, "C1", datetime(2024, 1, 6), 1000), (11, None, datetime(2024, 1, 5, 12, 0, 30), 500)],
+        "conversion_id long, customer_id string, ts timestamp_ntz, revenue_pence long",
+    )
+    marketing = spark.createDataFrame([("Affiliate", 700), ("Podcast", 50)], "channel string, spend_pence long")
+    for kind in ("last_click", "first_click", "linear", "time_decay", "data_driven"):
+        got = {r.channel: r for r in A.attribute(touches, conversions, marketing, kind).collect()}
+        assert (got["Other"].attributed_revenue_gbp, got["Other"].spend_gbp) == (10.0, 7.5), kind
+        assert got["Direct"].attributed_revenue_gbp == 5.0 and got["Email"].attributed_revenue_gbp == 0.0
+        assert sum(r.attributed_revenue_gbp for r in got.values()) == 15.0
+
+
+def test_scores_with_missing_metrics_and_customers(spark):
+    sales = spark.createDataFrame(
+        [(f"O{i}", None if i % 4 == 0 else f"C{i % 7}", date(2024, 1, 1 + i % 9), None if i % 5 == 0 else 100 * i, False) for i in range(40)],
+        "order_id string, customer_id string, order_date date, net_revenue_pence long, is_returned boolean",
+    )
+    metrics = segments.rfm_metrics(sales, date(2024, 2, 1))
+    rows = metrics.collect()
+    assert len(rows) == 7 and all(r.customer_id and r.total_revenue_pence is not None for r in rows)
+    holes = metrics.withColumn("total_revenue_pence", F.when(F.col("customer_id") > "C1", F.col("total_revenue_pence")))
+    for method in ("ntile", "qcut"):
+        scored = {r.customer_id: r for r in segments.score(holes, method).collect()}
+        assert len(scored) == 7 and all(1 <= r[c] <= 5 for r in scored.values() for c in ("r_score", "f_score", "m_score"))
+        assert scored["C0"].m_score == 1
+
+
+def test_statuses_beyond_the_three_are_counted(spark):
+    status = spark.createDataFrame([("a", "RED"), ("a", None), ("a", "BLUE"), ("b", "GREEN")], "category string, stock_status string")
+    got = {r.category: (r.items, r.red_items, r.red_pct) for r in reports.status_by_category(status).collect()}
+    assert got == {"a": (3, 1, 33.3), "b": (1, 0, 0.0)}

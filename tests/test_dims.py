@@ -1,5 +1,6 @@
 from datetime import date
 
+from tillwise import model
 from tillwise.operators import dims
 
 
@@ -39,3 +40,33 @@ def test_scd2_merge(spark):
     ]
     again = dims.scd2_merge(merged, snapshot, "id", ["v"], date(2024, 7, 1))
     assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_rule_holidays_match_the_fixed_ones(spark):
+    """All but the day that was moved for the jubilee of 2022."""
+    years = spark.createDataFrame([(2022,), (2023,), (None,), (2022,)], "year int")
+    got = {(r.holiday_name, str(r.holiday_date)) for r in dims.bank_holidays(years).collect()}
+    assert len(got) == 16 and set(model.UK_HOLIDAYS) - got == {("Spring Bank", "2022-06-02")}
+
+
+def test_merge_keeps_all_columns_and_can_be_repeated(spark):
+    dim = spark.createDataFrame(
+        [("a", "Gold", "x@y", 5, date(2024, 1, 1), None, True, 1), ("b", "Gold", "b@y", 6, date(2024, 1, 1), None, True, 1),
+         ("c", None, "c@y", 7, date(2024, 1, 1), None, True, 1)],
+        "id string, tier string, email string, score int, valid_from date, valid_to date, is_current boolean, version long",
+    )
+    snapshot = spark.createDataFrame([("a", "Silver", "new@y"), ("b", "Gold", "b2@y"), ("d", "Gold", "d@y")], "id string, tier string, email string")
+    once = dims.scd2_merge(dim, snapshot, "id", ["tier"], date(2024, 2, 1))
+    rows = {(r.id, r.version): tuple(r)[1:4] + (str(r.valid_to), r.is_current) for r in once.collect()}
+    assert once.columns == dim.columns
+    assert rows == {
+        ("a", 1): ("Gold", "x@y", 5, "2024-01-31", False), ("a", 2): ("Silver", "new@y", 5, "None", True), ("b", 1): ("Gold", "b2@y", 6, "None", True),
+        ("c", 1): (None, "c@y", 7, "None", True), ("d", 1): ("Gold", "d@y", None, "None", True),
+    }
+    again = dims.scd2_merge(once, snapshot, "id", ["tier"], date(2024, 2, 1))
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+
+
+def test_history_sees_changes_to_and_from_missing(spark):
+    snaps = spark.createDataFrame([("a", None, date(2024, 1, d)) if d == 2 else ("a", "x", date(2024, 1, d)) for d in (1, 2, 3)], "id string, v string, day date")
+    assert [r.v for r in dims.scd2_history(snaps, "id", ["v"], "day").orderBy("version").collect()] == ["x", None, "x"]

@@ -10,56 +10,50 @@ from pyspark.sql import functions as F
 from tillwise.functions import ranking, scale
 
 
-def test_mark_first_splits_a_hot_group(spark):
+def test_mark_first_with_a_hot_key_in_one_partition(spark):
     random.seed(1)
-    rows = [("hot", i % 7) for i in range(400)] + [(f"k{i}", j) for i in range(50) for j in range(i % 3 + 1)] + [("twin", 1)] * 30
-    df = spark.createDataFrame(rows, "k string, v int").repartition(6)
-    plain = scale.mark_first(df, ["k"], [F.col("v")], "first")
-    split = scale.mark_first(df, ["k"], [F.col("v")], "first", limit=20)
-    for out in (plain, split):
-        assert out.count() == len(rows)
-        firsts = {r["k"]: r["v"] for r in out.filter("first").collect()}
-        assert out.filter("first").count() == 52
-        assert firsts["hot"] == 0 and firsts["twin"] == 1
-        assert all(firsts[f"k{i}"] == 0 for i in range(50))
+    rows = [("hot", i % 7) for i in range(400)] + [(f"k{i}", j) for i in range(50) for j in range(i % 3 + 1)]
+    rows += [("twin", 1)] * 30 + [(None, 5), (None, None), ("none", None), ("none", 3)]
+    df = spark.createDataFrame(rows, "k string, v int").coalesce(1)
+    out = scale.mark_first(df, ["k"], ["v"], "first")
+    assert out.columns == ["k", "v", "first"]
+    assert sorted(map(str, ((r["k"], r["v"]) for r in out.collect()))) == sorted(map(str, rows))
+    firsts = [(r["k"], r["v"]) for r in out.filter("first").collect()]
+    assert len(firsts) == len(set(firsts)) == 54
+    assert {("hot", 0), ("twin", 1), ("none", 3), (None, 5)} <= set(firsts)  # missing values come last
+    assert all((f"k{i}", 0) in firsts for i in range(50))
 
 
-@pytest.mark.parametrize("direct_rows", [10**6, 0])
-def test_rank_within_equals_pandas(spark, direct_rows):
-    random.seed(2)
-    rows = [(random.choice(["a", "b", None]), random.choice([0, 5, 5, -3, random.randint(-50, 10**7)]), i) for i in range(600)]
-    rows += [("a", 777, 1000 + i) for i in range(300)]  # a third of the rows share one value
-    df = spark.createDataFrame(rows, "g string, v bigint, id int")
-    out = {r["id"]: r["rank"] for r in ranking.rank_within(df, ["g"], "v", "rank", direct_rows).collect()}
-    pdf = pd.DataFrame(rows, columns=["g", "v", "id"])
-    pdf["rank"] = pdf.groupby(pdf.g.fillna("?"))["v"].rank(method="min", ascending=False).astype(int)
-    assert out == dict(zip(pdf["id"], pdf["rank"]))
+def test_mark_first_reads_no_group_in_one_window(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    plan = scale.mark_first(df, ["k"], ["v"], "first")._jdf.queryExecution().toString()
+    assert "Window" not in plan
 
 
 @pytest.mark.parametrize("n", [1, 3, 5, 7, 99, 500])
-@pytest.mark.parametrize("direct_rows", [10**6, 25])
-def test_scorer_equals_sorted_ranks(spark, n, direct_rows):
+@pytest.mark.parametrize("missing", [0, 2, 40])
+def test_scores_equal_pandas(spark, n, missing):
     random.seed(n)
-    rows = [(f"id{i:04d}", random.choice([1, 1, 1, 2, 9, -4, random.randint(0, 10**6)]), random.randint(0, 3) * 10**8) for i in range(n)]
-    df = spark.createDataFrame(rows, "id string, m bigint, tie bigint")
-    scorer = ranking.Scorer(df, "id", "tie", direct_rows)
-    order = sorted(rows, key=lambda r: (r[1], r[2], r[0]))
+    values = [None if i < min(missing, n - 1) else random.choice([1, 1, 1, 2, 9, -4, random.randint(0, 10**6)]) for i in range(n)]
+    rows = [(f"id{i:04d}", v) for i, v in enumerate(values)]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, m bigint").repartition(7)
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
     rank = {r[0]: i + 1 for i, r in enumerate(order)}
-    tiles = scorer.tile("m", scorer.cuts({"m": ranking.ntile_ends(n, 5)})["m"])
-    bins = scorer.tile("m", scorer.cuts({"m": ranking.qcut_ends(n, 5)})["m"])
-    for r in df.select("id", tiles.alias("t"), bins.alias("b")).collect():
-        k = rank[r["id"]]
-        q, m = divmod(n, 5)
-        want = (k - 1) // (q + 1) + 1 if k <= m * (q + 1) else m + (k - 1 - m * (q + 1)) // q + 1
-        assert r["t"] == want
-        assert r["b"] == (1 if n == 1 else max(1, -(-5 * (k - 1) // (n - 1))))
-
-
-def test_qcut_ends_equal_pandas():
-    for n in range(6, 300):
-        labels = pd.qcut(pd.Series(np.arange(1, n + 1)), 5, labels=[1, 2, 3, 4, 5]).astype(int)
-        ends = [int((labels <= k).sum()) for k in range(1, 5)]
-        assert ranking.qcut_ends(n, 5) == ends, n
+    bins = pd.qcut(pd.Series(range(1, n + 1)), 5, labels=False).add(1).tolist() if n > 1 else [1]
+    tiles = [t + 1 for t, part in enumerate(np.array_split(np.arange(n), 5)) for _ in part]
+    metrics = {"a": F.col("m"), "b": -F.col("m")}
+    for method, want in (("ntile", tiles), ("qcut", bins)):
+        got = ranking.with_scores(df, "id", metrics, method).collect()
+        assert {r["id"]: r["a"] for r in got} == {i: want[k - 1] for i, k in rank.items()}
+        assert all(r["b"] is not None for r in got)
+
+
+def test_one_value_is_split_by_id(spark):
+    """A metric that all rows share is spread over partitions and still ranked exactly."""
+    df = spark.range(1000).select(F.format_string("c%05d", "id").alias("id"), F.lit(1).cast("bigint").alias("m"))
+    ranks = ranking.exact_ranks(df, "id", {"m": F.col("m")})
+    assert {r["id"]: r["rank"] for r in ranks.collect()} == {f"c{i:05d}": i + 1 for i in range(1000)}
 
 
 def test_stage_round_trip(spark):

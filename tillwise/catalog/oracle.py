@@ -183,7 +183,7 @@ SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC,
 oracle("dq_fill_missing", f"""SELECT channel, try_cast(order_date AS DATE) IS NULL AS date_missing, {BIG('sum(coalesce(order_total_pence, 0)) AS total_pence')},
 count(*) FILTER (customer_id IS NULL) AS unknown_customers, count(*) FILTER (campaign_id IS NULL) AS unknown_campaigns, count(*) AS amounts,
 round(max(coalesce(CAST(order_total_pence AS DOUBLE), m)), 0) AS max_amount FROM bad_orders, (SELECT avg(order_total_pence) AS m FROM bad_orders) GROUP BY 1, 2""")
-oracle("dq_value_ceiling", "SELECT order_total_pence >= 45000000 AS needs_review, count(*) AS n, max(order_total_pence) AS largest FROM raw_orders GROUP BY 1")
+oracle("dq_value_ceiling", "SELECT order_total_pence >= 5000000 AS needs_review, count(*) AS n, max(order_total_pence) AS largest FROM raw_orders GROUP BY 1")
 oracle("dq_unknown_customers", """SELECT * FROM (SELECT CASE WHEN length(order_id) % 3 = 0 THEN customer_id || 'X' ELSE customer_id END AS customer_id, order_id
 FROM bad_orders WHERE customer_id IS NOT NULL) WHERE customer_id NOT IN (SELECT customer_id FROM raw_customers)""")
 FRESH = ("SELECT '{0}' AS source, CAST(date_diff('microsecond', max({1}), TIMESTAMP '{2}') // 1000000 AS BIGINT) AS age_seconds, "
@@ -220,7 +220,23 @@ JSON_ROW = """('{"order_id":"' || order_id || '","customer_id":"' || customer_id
 oracle("src_json_landing", f"""SELECT length({JSON_ROW}) % 7 = 0 AS is_corrupt, count(*) AS n,
 {BIG(f"sum(CASE WHEN length({JSON_ROW}) % 7 <> 0 THEN order_total_pence END) AS total_pence")} FROM raw_orders GROUP BY 1""")
 oracle("sink_load_roundtrip", f"SELECT 2 * count(*) AS stored, 2 * count(*) AS reported, {BIG('2 * sum(units_sold) AS units')} FROM raw_lines")
-oracle("sink_write_processed", "SELECT 'products' AS table_name, count(*) AS n FROM part UNION ALL SELECT 'stores', count(*) FROM supplier")
+oracle("sink_write_processed", " UNION ALL ".join(f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {t}) AS n" for n, t in (
+    ("dim_customer", "customer"), ("dim_product", "part"), ("dim_store", "supplier"), ("fact_sales", "fact_sales"),
+    ("fact_inventory", "raw_inventory"), ("fact_marketing_spend", "raw_marketing"))))
+oracle("sink_quarantine", f"""SELECT 'run-1' AS run_id, 'POS' AS source_system, {REASON} AS failure_reason, failed_check, count(*) AS n,
+(SELECT count(*) FROM checked_orders WHERE failed_check IS NOT NULL) AS appended FROM checked_orders WHERE failed_check IS NOT NULL GROUP BY failed_check""")
+oracle("audit_run_log", f"""SELECT 'run-1' AS run_id, DATE '2001-08-02' AS run_date, 'ALL' AS source_system, {BIG("sum(records_input) AS records_extracted",
+"sum(records_clean) AS records_loaded", "sum(records_quarantined) AS records_quarantined")}, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message,
+TIMESTAMP '2001-08-02' AS started_at, TIMESTAMP '2001-08-02' AS completed_at, 0::BIGINT AS duration_seconds
+FROM ({REPORT("orders", "checked_orders")} UNION ALL {REPORT("order_lines", "checked_lines")})""")
+TESTED = [("bad_orders", c) for c in ("order_id", "customer_id", "store_id", "order_date")] + [
+    (f"raw_{t}", c) for t, columns in (("customers", ("customer_id", "region")), ("products", ("product_id", "category")), ("stores", ("store_id", "region")),
+                                       ("lines", ("order_line_id", "order_id", "product_id")), ("marketing", ("campaign_id", "channel"))) for c in columns]
+AGE = "date_diff('microsecond', CAST(max({1}) AS TIMESTAMP), TIMESTAMP '2001-08-02') // 1000000 / 3600.0".format
+oracle("dq_dashboard", "SELECT 'run' AS kind, status AS name, count(*) AS n, CAST(sum(records_extracted) AS DOUBLE) AS value FROM run_log GROUP BY status UNION ALL "
+       "SELECT 'test', CASE WHEN f = 0 THEN 'passed' ELSE 'failed' END, count(*), CAST(sum(f) AS DOUBLE) FROM ("
+       + " UNION ALL ".join(f"SELECT count(*) AS f FROM {t} WHERE {c} IS NULL" for t, c in TESTED) + ") GROUP BY 2 UNION ALL "
+       + " UNION ALL ".join(f"SELECT 'freshness', '{t}', 1, {AGE(t, c)} FROM {t}" for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))))
 oracle("sink_publish", "SELECT store_type, count(*) AS stores, true AS view_exists FROM raw_stores GROUP BY 1")
 oracle("sink_partition_prune", f"""SELECT store_key, count(*) AS lines, {BIG('sum(units_sold) AS units')}, {GBP('sum(net_revenue_pence)')} AS revenue_gbp
 FROM fact_sales WHERE date_key // 10000 = 1998 GROUP BY 1""")
@@ -261,8 +277,21 @@ cte("campaigns", f"""
 SELECT {SK('campaign_id')} AS campaign_key, campaign_id, campaign_id AS campaign_name, min(channel) AS channel, min(date) AS start_date, max(date) AS end_date,
   {BIG('sum(spend_pence) AS budget_pence')}, 'Conversion' AS objective FROM raw_marketing GROUP BY campaign_id""")
 oracle("dim_campaign", "SELECT * FROM campaigns")
-oracle("dim_holiday_effects", """SELECT y AS order_year, orders, effect_days FROM (SELECT year(order_date) AS y, count(*) AS orders FROM raw_orders GROUP BY 1)
-LEFT JOIN (SELECT year(e) AS ey, count(*) AS effect_days FROM (SELECT holiday_date + unnest([0, 1]) AS e FROM holidays) GROUP BY 1) ON y = ey - 27""")
+cte("all_days", """SELECT order_date AS day, 1 AS o, 0 AS e FROM raw_orders UNION ALL SELECT CAST(ts AS DATE), 0, 1 FROM events""")
+cte("computus", """
+SELECT y, make_date(y, e // 31, e % 31 + 1) AS easter FROM (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS e FROM (
+SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM (
+SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM (
+SELECT DISTINCT year(day) AS y, year(day) % 19 AS a, year(day) // 100 AS b, year(day) % 100 AS c FROM all_days))))""")
+cte("rule_holidays", """
+SELECT 'New Year' AS holiday_name, make_date(y, 1, 1) + CASE WHEN isodow(make_date(y, 1, 1)) = 7 THEN 1 ELSE 0 END AS holiday_date FROM computus
+UNION ALL SELECT 'Good Friday', easter - 2 FROM computus UNION ALL SELECT 'Easter Monday', easter + 1 FROM computus
+UNION ALL SELECT 'Early May Bank', make_date(y, 5, 1) + CAST((8 - isodow(make_date(y, 5, 1))) % 7 AS INTEGER) FROM computus
+UNION ALL SELECT 'Spring Bank', make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER) FROM computus
+UNION ALL SELECT 'Summer Bank', make_date(y, 8, 31) - CAST(isodow(make_date(y, 8, 31)) - 1 AS INTEGER) FROM computus
+UNION ALL SELECT 'Christmas Day', make_date(y, 12, 25) FROM computus UNION ALL SELECT 'Boxing Day', make_date(y, 12, 26) FROM computus""")
+oracle("dim_holiday_effects", f"""SELECT holiday_name, year(day) AS effect_year, {BIG('sum(o) AS orders', 'sum(e) AS events')}
+FROM all_days JOIN (SELECT holiday_name, holiday_date + unnest([0, 1]) AS effect_date FROM rule_holidays) ON day = effect_date GROUP BY 1, 2""")
 oracle("key_surrogate", f"SELECT product_id, {SK('product_id')} AS product_key FROM raw_products")
 oracle("key_date", f"SELECT {DKEY('order_date')} AS date_key, count(*) AS orders FROM raw_orders GROUP BY 1")
 cte("fact_sales", f"""
@@ -363,7 +392,7 @@ PRIORITY = "CASE rfm_segment " + " ".join(f"WHEN '{n}' THEN {p}" for n, p in mod
 
 
 def ntile_scores(source: str, r: str = "{}") -> str:
-    tie = f"{SK('customer_id')}, customer_id"
+    tie = "customer_id"
     recency = r.format(f"ntile(5) OVER (ORDER BY days_since_last_purchase DESC, {tie})")
     return f"""
 SELECT *, {SEGMENT} AS rfm_segment FROM (SELECT *, {recency} AS r_score,
@@ -382,7 +411,7 @@ SELECT customer_id, max(order_date) AS last_purchase_date, min(order_date) AS fi
   {GBP('sum(net_revenue_pence)')} AS total_revenue_gbp, {R('sum(net_revenue_pence)', 'count(*) * 100', 2)} AS avg_order_value_gbp,
   {AS_OF} - max(order_date) AS days_since_last_purchase, {AS_OF} - min(order_date) AS customer_age_days, {BIG('sum(net_revenue_pence) AS total_revenue_pence')}
 FROM raw_lines JOIN raw_orders USING (order_id) WHERE is_returned IS DISTINCT FROM true GROUP BY 1""")
-BIN = f"CASE WHEN count(*) OVER () = 1 THEN 1 ELSE greatest(1, (5 * (row_number() OVER (ORDER BY {{0}}, {SK('customer_id')}, customer_id) - 1) + count(*) OVER () - 2) // (count(*) OVER () - 1)) END".format
+BIN = f"CASE WHEN count(*) OVER () = 1 THEN 1 ELSE greatest(1, (5 * (row_number() OVER (ORDER BY {{0}}, customer_id) - 1) + count(*) OVER () - 2) // (count(*) OVER () - 1)) END".format
 cte("qcut", f"""
 SELECT *, {SEGMENT} AS rfm_segment FROM (SELECT *, 6 - {BIN('days_since_last_purchase')} AS r_score, {BIN('purchase_frequency')} AS f_score, {BIN('total_revenue_pence')} AS m_score FROM metrics)""")
 oracle("rfm_metrics", "SELECT * EXCLUDE (total_revenue_pence) FROM metrics")
@@ -549,7 +578,7 @@ SUMS = "(SELECT " + ", ".join(
     BIG(f"sum(total_orders) FILTER (order_date BETWEEN DATE '2001-07-01' - {s} AND DATE '2001-07-28' - {s}) AS orders_{s}") for s in (0, 7)) + " FROM daily)"
 oracle("dash_kpi_cards", f"""SELECT {GBP('revenue_0')} AS revenue_gbp, orders_0 AS total_orders, {R('revenue_0', 'orders_0 * 100', 2)} AS avg_order_value_gbp, {P('profit_0', 'revenue_0', 2)} AS gross_margin_pct,
 {P('revenue_0 - revenue_7', 'revenue_7', 1)} AS revenue_vs_last_week_pct, {P('orders_0 - orders_7', 'orders_7', 1)} AS orders_vs_last_week_pct, {P('revenue_0 - revenue_364', 'revenue_364', 1)} AS revenue_yoy_pct FROM {SUMS}""")
-oracle("dash_revenue_region", f"""SELECT store_region, {GBP('sum(net_revenue_pence)')} AS revenue_gbp, {BIG("count(DISTINCT order_id || '/' || store_id || '/' || order_year || '/' || order_month) AS orders")} FROM enriched GROUP BY 1""")
+oracle("dash_revenue_region", f"""SELECT store_region, {GBP('sum(net_revenue_pence)')} AS revenue_gbp, count(DISTINCT order_id) AS orders FROM enriched GROUP BY 1""")
 oracle("dash_store_table", f"""SELECT store_id, store_name, {GBP('now')} AS revenue_gbp, orders, {R('now', 'orders * 100', 2)} AS aov_gbp, {P('profit', 'now', 2)} AS margin_pct, {P('now - before', 'before', 1)} AS wow_pct FROM (
 SELECT store_id, store_name, {BIG(f'sum(net_revenue_pence) FILTER (order_date > {AS_OF} - 7) AS now', f'sum(gross_profit_pence) FILTER (order_date > {AS_OF} - 7) AS profit', f'sum(net_revenue_pence) FILTER (order_date <= {AS_OF} - 7) AS before')},
 count(DISTINCT order_id) FILTER (order_date > {AS_OF} - 7) AS orders FROM enriched WHERE order_date > {AS_OF} - 14 AND order_date <= {AS_OF} AND store_id IS NOT NULL GROUP BY 1, 2)""")
@@ -584,8 +613,8 @@ SELECT c.conversion_id, c.customer_id, c.revenue_pence, """ + ", ".join(
     + [f"CAST(coalesce(sum({WEIGHTS}[1 + (CAST(c.ts AS DATE) - CAST(t.ts AS DATE))]) FILTER (t.channel = '{ch}'), 0) AS BIGINT) AS {w}" for w, ch in zip(W, model.TOUCH_CHANNELS)]
 ) + f""", arg_min(t.channel, (t.ts, t.touch_id)) AS first_channel, arg_max(t.channel, (t.ts, t.touch_id)) AS last_channel
 FROM raw_conversions c LEFT JOIN raw_touches t ON t.customer_id = c.customer_id AND t.ts <= c.ts AND CAST(t.ts AS DATE) >= CAST(c.ts AS DATE) - {WINDOW_DAYS} GROUP BY 1, 2, 3""")
-oracle("attr_paths", "SELECT conversion_id, customer_id, revenue_pence, " + " + ".join(N) + " AS touches, " + ", ".join(
-    f"{n} AS {ch.lower().replace(' ', '_')}_touches" for n, ch in zip(N, model.TOUCH_CHANNELS)) + ", first_channel, last_channel FROM paths")
+oracle("attr_paths", "SELECT conversion_id, customer_id, revenue_pence, " + " + ".join(N[:K]) + " AS touches, " + ", ".join(
+    f"{n} AS {ch.lower().replace(' ', '_')}_touches" for n, ch in zip(N, model.TOUCH_CHANNELS)) + ", 0::BIGINT AS other_touches, first_channel, last_channel FROM paths")
 PAIRS = [(i, j) for i in range(K) for j in range(i + 1, K)]
 GROUPS = [(f"{i}", f"s{i}") for i in range(K)] + [(f"{i}_{j}", f"s{i} AND s{j}") for i, j in PAIRS]
 cte("channel_flags", "SELECT customer_id, " + ", ".join(f"bool_or(channel = '{ch}') AS s{i}" for i, ch in enumerate(model.TOUCH_CHANNELS))
@@ -602,7 +631,7 @@ def effect(i: int) -> str:
 
 
 cte("effects", "SELECT " + ", ".join(f"{effect(i)} AS e{i}" for i in range(K)) + " FROM channel_rates")
-EFFECT_WEIGHTS = [f"CASE WHEN {' + '.join(f'(CASE WHEN {m} > 0 THEN e{k} ELSE 0 END)' for k, m in enumerate(N))} > 0 THEN CASE WHEN {n} > 0 THEN e{i} ELSE 0 END ELSE {n} END" for i, n in enumerate(N)]
+EFFECT_WEIGHTS = [f"CASE WHEN {' + '.join(f'(CASE WHEN {m} > 0 THEN e{k} ELSE 0 END)' for k, m in enumerate(N[:K]))} > 0 THEN CASE WHEN {n} > 0 THEN e{i} ELSE 0 END ELSE {n} END" for i, n in enumerate(N[:K])]
 
 
 def attribution(weights: list[str], source: str = "paths") -> str:
@@ -628,8 +657,8 @@ LEFT JOIN (SELECT channel, CAST(sum(spend_pence) AS HUGEINT) AS spend FROM raw_m
 CLICK = [[f"coalesce(CAST({c} = '{ch}' AS INTEGER), 0)" for ch in model.TOUCH_CHANNELS] for c in ("last_channel", "first_channel")]
 oracle("attr_last_click", attribution(CLICK[0]))
 oracle("attr_first_click", attribution(CLICK[1]))
-oracle("attr_linear", attribution(N))
-oracle("attr_time_decay", attribution(W))
+oracle("attr_linear", attribution(N[:K]))
+oracle("attr_time_decay", attribution(W[:K]))
 oracle("attr_data_driven", attribution(EFFECT_WEIGHTS, "paths, effects"))
 oracle("attr_compare", f"""SELECT channel, l.attributed_revenue_gbp AS last_click_gbp, d.attributed_revenue_gbp AS data_driven_gbp
 FROM ({attribution(CLICK[0])}) l FULL JOIN ({attribution(EFFECT_WEIGHTS, 'paths, effects')}) d USING (channel)""")

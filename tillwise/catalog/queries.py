@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -137,11 +138,26 @@ def _(raw):
 
 @query("sink_write_processed")
 def _(raw):
-    folder = scratch_path(raw.spark, "processed")
-    writers.write_processed({"products": raw.products, "stores": raw.stores}, folder)
-    n = F.count(F.lit(1)).alias("n")
-    return raw.spark.read.parquet(f"{folder}/products").agg(F.lit("products").alias("table_name"), n).unionByName(
-        raw.spark.read.parquet(f"{folder}/stores").agg(F.lit("stores").alias("table_name"), n)
+    """All six warehouse tables as files; what is read back is counted."""
+    folder, built = scratch_path(raw.spark, "processed"), star(raw)
+    tables = {
+        "dim_customer": built.customers, "dim_product": built.products, "dim_store": built.stores, "fact_sales": sales_fact(raw),
+        "fact_inventory": facts.build_fact_inventory(stock(raw), built.products, built.stores, RUN, LOAD_TIME),
+        "fact_marketing_spend": facts.build_fact_marketing(raw.marketing, RUN, LOAD_TIME),
+    }
+    writers.write_processed(tables, folder)
+    counts = [raw.spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in tables]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query("sink_quarantine")
+def _(raw):
+    """Rejected orders appended to the quarantine table and read back by reason."""
+    path = scratch_path(raw.spark, "quarantine")
+    _, rejected, _ = quality.validate_orders(bad_orders(raw), RUN)
+    appended = writers.append_quarantine(rejected, path, RUN)
+    return raw.spark.read.parquet(path).groupBy("run_id", "source_system", "failure_reason", "failed_check").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(appended).cast("bigint").alias("appended")
     )
 
 
@@ -243,8 +259,7 @@ def _(raw):
 def _(raw):
     """Events reported more than once per user and type: the newest stays."""
     events = adapters.table(raw.spark, raw.folder, "events")
-    newest = [F.desc("ts"), F.desc("event_id")]
-    return quality.dedupe_latest(events, ["event_type", "user_id"], newest).select("event_type", "user_id", "event_id", "value")
+    return quality.dedupe_latest(events, ["event_type", "user_id"], ["ts", "event_id"]).select("event_type", "user_id", "event_id", "value")
 
 
 @query("dq_fill_missing")
@@ -260,7 +275,7 @@ def _(raw):
 
 @query("dq_value_ceiling")
 def _(raw):
-    return quality.order_value_ceiling(raw.orders, 45_000_000).groupBy("needs_review").agg(
+    return quality.order_value_ceiling(raw.orders).groupBy("needs_review").agg(
         F.count(F.lit(1)).alias("n"), F.max("order_total_pence").alias("largest")
     )
 
@@ -306,17 +321,30 @@ def _(raw):
 
 @query("audit_run_log")
 def _(raw):
-    report = quality.dq_report(quality.check_orders(bad_orders(raw)), "orders").first()  # one row
-    return writers.run_log_row(
-        raw.spark, RUN, "ALL", report["records_input"], report["records_clean"], report["records_quarantined"],
-        "SUCCESS", LOAD_TIME, LOAD_TIME,
-    )
+    """The audit row of a run over orders and lines, from the reports of their validation."""
+    orders = quality.check_orders(bad_orders(raw))
+    lines = quality.check_order_lines(bad_lines(raw), quality.clean(orders), raw.products)
+    report = quality.dq_report(orders, "orders").unionByName(quality.dq_report(lines, "order_lines"))
+    return writers.run_log_of(report, RUN, "ALL", "SUCCESS", LOAD_TIME, LOAD_TIME)
+
+
+TABLE_TESTS = {
+    "customers": ["customer_id", "region"], "products": ["product_id", "category"], "stores": ["store_id", "region"],
+    "order_lines": ["order_line_id", "order_id", "product_id"], "marketing": ["campaign_id", "channel"],
+}
 
 
 @query("dq_dashboard")
 def _(raw):
-    tests = data_tests.run_tests(bad_orders(raw), "orders", [data_tests.not_null("order_id"), data_tests.not_null("order_date")])
-    tables = {"orders": (adapters.table(raw.spark, raw.folder, "orders"), "o_orderdate")}
+    """Runs, tests of all inputs, and the age of the newest row of each table that has a time."""
+    tests = data_tests.run_tests(bad_orders(raw), "orders", [data_tests.not_null(c) for c in quality.ORDER_KEYS])
+    for name, columns in TABLE_TESTS.items():
+        tests = tests.unionByName(data_tests.run_tests(getattr(raw, name), name, [data_tests.not_null(c) for c in columns]))
+    tables = {
+        "orders": (adapters.table(raw.spark, raw.folder, "orders"), "o_orderdate"),
+        "lineitem": (adapters.table(raw.spark, raw.folder, "lineitem"), "l_shipdate"),
+        "events": (adapters.table(raw.spark, raw.folder, "events"), "ts"),
+    }
     return quality.quality_dashboard(run_log(raw), tests, tables, LOAD_TIME)
 
 
@@ -368,13 +396,16 @@ def _(raw):
 
 @query("dim_holiday_effects")
 def _(raw):
-    """Events of the stream and orders that fall on days under a holiday's influence."""
-    effects = dims.holiday_effects(raw.spark)
-    days = raw.orders.groupBy(F.year("order_date").alias("y")).agg(F.count(F.lit(1)).alias("orders"))
-    per_year = effects.groupBy(F.year("effect_date").alias("effect_year")).agg(F.count(F.lit(1)).alias("effect_days"))
-    return days.join(F.broadcast(per_year), F.col("y") == F.col("effect_year") - 27, "left").select(
-        F.col("y").cast("bigint").alias("order_year"), "orders", "effect_days"
-    )
+    """Orders and stream events on days under a holiday's influence, per holiday and year."""
+    orders = raw.orders.groupBy(F.col("order_date").alias("day")).agg(F.count(F.lit(1)).alias("orders"), F.lit(0).cast("bigint").alias("events"))
+    stream = adapters.table(raw.spark, raw.folder, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(
+        F.lit(0).cast("bigint").alias("orders"), F.count(F.lit(1)).alias("events"))
+    days = orders.unionByName(stream)
+    effects = dims.effect_days(dims.bank_holidays(days.select(F.year("day").alias("year"))))
+    # The calendar's days are few whatever the number of orders.
+    return days.join(effects, F.col("day") == F.col("effect_date")).groupBy(
+        "holiday_name", F.year("day").cast("bigint").alias("effect_year")
+    ).agg(F.sum("orders").alias("orders"), F.sum("events").alias("events"))
 
 
 @query("fact_sales")
@@ -829,7 +860,7 @@ def _(raw):
 
 @query("dash_revenue_region")
 def _(raw):
-    return reports.revenue_by_region(marts.store_months(star(raw)))
+    return reports.revenue_by_region(star(raw))
 
 
 @query("dash_store_table")

@@ -1,158 +1,62 @@
-"""Exact ranks and quantile scores without gathering a group in one task."""
+"""Exact ranks and quantile scores without gathering a table in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-from decimal import Decimal
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.columns import KEY_SPACE
-from tillwise.functions.scale import null_safe_join, running_counts, stage
+from tillwise.functions.scale import null_safe_join, stage
 
-# Brackets up to this many rows are sorted directly when looking for a cut point.
-DIRECT_ROWS = 1_000_000
 
+def exact_ranks(df: DataFrame, id_col: str, metrics: Mapping[str, Column]) -> DataFrame:
+    """(id, metric, rank, rows): the rank 1..rows of each row by (metric, id), for several metrics at once.
 
-def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """`rank()` per group by `value` descending, for groups of any size.
-
-    The input is written once and counted. Up to `direct_rows` rows no group can be too large for
-    one task and a plain window ranks them. Beyond, only distinct values are numbered (rows with
-    the same value share a rank), and the rows get their rank back by an equi-join, whose hot
-    keys Spark splits at run time.
+    Missing values come first. The values of all metrics are range-partitioned and sorted by (metric,
+    value, id), so a value shared by most rows is still split by id. A row's rank is its place in its
+    partition plus the rows of the partitions before it, of which there are as many numbers as partitions.
+    The placed rows are written once, as places and counts must come from the same run. Ids should be unique;
+    rows equal in value and id are ranked in any order.
     """
-    staged = stage(df, "rank-input")
-    if staged.count() <= direct_rows:
-        place = F.rank().over(Window.partitionBy(*group).orderBy(F.desc(value)))
-        return staged.withColumn(name, place.cast("bigint"))
-    counts = staged.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_counts(counts, group, value, "_n").select(
-        *[F.col(c).alias(f"_{c}") for c in [*group, value]], (F.col("before") + 1).cast("bigint").alias(name)
+    values = F.array(*[
+        F.struct(F.lit(name).alias("metric"), value.cast("bigint").alias("value")) for name, value in metrics.items()
+    ])
+    long = df.select(F.col(id_col).alias("id"), F.explode(values).alias("m")).select("id", "m.metric", "m.value")
+    order = ["metric", F.col("value").asc_nulls_first(), F.col("id").asc_nulls_first()]
+    placed = stage(
+        long.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "ranks"
     )
-    return null_safe_join(staged, ranks, {c: f"_{c}" for c in [*group, value]})
-
-
-def ntile_ends(n: int, tiles: int) -> list[int]:
-    """Last rank of each tile but the last, as `ntile(tiles)` sizes them: larger tiles first."""
-    size, extra = divmod(n, tiles)
-    return [k * size + min(k, extra) for k in range(1, tiles)]
-
-
-def qcut_ends(n: int, bins: int) -> list[int]:
-    """Last rank of each bin when ranks 1..n are cut at their linear-interpolated quantiles."""
-    return [k * (n - 1) // bins + 1 for k in range(1, bins)] if n else [0] * (bins - 1)
-
-
-@dataclass(frozen=True)
-class Cut:
-    """The row at a given rank: order value, then id."""
-
-    value: Decimal
-    id: str
-
-
-class Scorer:
-    """Finds exact rank boundaries of several metrics in one staged table.
-
-    The order of a metric is (metric, tie key, id), where the tie key spreads equal metrics
-    evenly. Each boundary is first narrowed to a bracket by approximate percentiles whose
-    exact row counts are then checked, until the bracket is small enough to sort. The driver
-    only sees boundaries and counts; the scores are plain comparisons against literals.
-    """
-
-    def __init__(self, df: DataFrame, id_col: str, tie_key: str, direct_rows: int = DIRECT_ROWS):
-        self.df, self.id_col, self.tie_key, self.direct_rows = df, id_col, tie_key, direct_rows
-        self.rows = df.count()
-
-    def _order_sql(self, metric: str) -> str:
-        return f"CAST(CAST({metric} AS DECIMAL(20,0)) * {KEY_SPACE}BD + CAST({self.tie_key} AS DECIMAL(10,0)) AS DECIMAL(38,0))"
+    # The id's upper bits are the partition, the lower 33 the place in it.
+    rows = placed.select("id", "metric", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("place"))
+    parts = rows.groupBy("metric", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    by_metric = Window.partitionBy("metric")
+    before = F.sum("n").over(by_metric.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select(
+        F.col("metric").alias("_metric"), F.col("part").alias("_part"),
+        (F.coalesce(before, F.lit(0)) - F.col("first")).alias("start"), F.sum("n").over(by_metric).alias("rows"),
+    )
+    joined = rows.join(F.broadcast(starts), (F.col("metric") == F.col("_metric")) & (F.col("part") == F.col("_part")))
+    return joined.select("id", "metric", (F.col("place") + F.col("start") + 1).alias("rank"), "rows")
 
-    def _order(self, metric: str) -> Column:
-        return F.expr(self._order_sql(metric))
 
-    def cuts(self, targets: dict[str, list[int]]) -> dict[str, list[Cut | None]]:
-        """Rows at the given ranks, per metric. Rank 0 (an empty first tile) gives None."""
-        wanted = {(m, r) for m, ranks in targets.items() for r in ranks if r > 0}
-        # state: (metric, rank) -> low bound (exclusive), high bound (inclusive), rows below, rows inside
-        state = {w: (None, None, 0, self.rows) for w in wanted}
-        while any(s[3] > self.direct_rows for s in state.values()):
-            state = self._narrow(state)
-        found = self._pick(state)
-        return {m: [found.get((m, r)) for r in ranks] for m, ranks in targets.items()}
+def ntile_of(rank: Column, rows: Column, tiles: int = 5) -> Column:
+    """Tile of a rank as `ntile(tiles)` deals it: larger tiles first."""
+    size, extra = F.floor(rows / tiles), rows % tiles
+    large = extra * (size + 1)
+    return F.when(rank <= large, F.floor((rank - 1) / (size + 1)) + 1).otherwise(extra + F.floor((rank - 1 - large) / F.greatest(size, F.lit(1))) + 1)
 
-    def _inside(self, metric: str, low, high) -> Column:
-        order, cond = self._order(metric), F.lit(True)
-        if low is not None:
-            cond = cond & (order > F.lit(low).cast("decimal(38,0)"))
-        if high is not None:
-            cond = cond & (order <= F.lit(high).cast("decimal(38,0)"))
-        return cond
 
-    def _narrow(self, state: dict) -> dict:
-        large = {w: s for w, s in state.items() if s[3] > self.direct_rows}
-        probes = []
-        for i, ((metric, rank), (low, high, below, inside)) in enumerate(large.items()):
-            share = (rank - below) / inside
-            points = [max(0.0, share - 0.001), min(1.0, share + 0.001)]
-            value = F.when(self._inside(metric, low, high), self._order(metric))
-            probes.append(F.percentile_approx(value, points, 10_000).alias(f"p{i}"))
-        guesses = self.df.agg(*probes).first()
-        tests = []
-        for i, ((metric, _), (low, high, _, _)) in enumerate(large.items()):
-            for j in (0, 1):
-                bound = F.lit(guesses[f"p{i}"][j]).cast("decimal(38,0)")
-                tests.append(F.count_if(self._order(metric) <= bound).alias(f"c{i}_{j}"))
-        counts = self.df.agg(*tests).first()
-        out = dict(state)
-        for i, (w, (low, high, below, inside)) in enumerate(large.items()):
-            rank, bounds = w[1], [(low, below), (high, below + inside)]
-            for j in (0, 1):
-                at, n = guesses[f"p{i}"][j], counts[f"c{i}_{j}"]
-                if n < rank and n > bounds[0][1]:
-                    bounds[0] = (at, n)
-                elif n >= rank and n < bounds[1][1]:
-                    bounds[1] = (at, n)
-            new = (bounds[0][0], bounds[1][0], bounds[0][1], bounds[1][1] - bounds[0][1])
-            if new == (low, high, below, inside):
-                # All rows of the bracket share one order value up to the id: sort by id.
-                return {k: (s if k != w else (*new[:3], min(inside, self.direct_rows))) for k, s in out.items()}
-            out[w] = new
-        return out
+def qcut_of(rank: Column, rows: Column, bins: int = 5) -> Column:
+    """Bin of a rank when ranks 1..rows are cut at their linear-interpolated quantiles."""
+    return F.when(rows == 1, F.lit(1)).otherwise(F.greatest(F.lit(1), F.ceil(bins * (rank - 1) / F.greatest(rows - 1, F.lit(1)))))
 
-    def _pick(self, state: dict) -> dict:
-        if not state:
-            return {}
-        # Boundaries of one metric that share a bracket are looked up in one sort.
-        brackets: dict[tuple, list[int]] = {}
-        for (metric, rank), (low, high, below, _) in state.items():
-            brackets.setdefault((metric, low, high, below), []).append(rank)
-        tagged, offsets = [], []
-        for i, ((metric, low, high, below), ranks) in enumerate(brackets.items()):
-            tagged.append(
-                F.when(
-                    self._inside(metric, low, high),
-                    F.struct(F.lit(i).alias("bracket"), self._order(metric).alias("at"), F.col(self.id_col).alias("id")),
-                )
-            )
-            offsets += [(i, rank - below, metric, rank) for rank in ranks]
-        rows = self.df.select(F.explode(F.array_compact(F.array(*tagged))).alias("r")).select("r.*")
-        numbered = rows.withColumn("rn", F.row_number().over(Window.partitionBy("bracket").orderBy("at", "id")))
-        hit = F.lit(False)
-        for i, offset, _, _ in offsets:
-            hit = hit | ((F.col("bracket") == i) & (F.col("rn") == offset))
-        by_place = {(r["bracket"], r["rn"]): Cut(r["at"], r["id"]) for r in numbered.filter(hit).collect()}
-        return {(metric, rank): by_place[(i, offset)] for i, offset, metric, rank in offsets}
 
-    def tile(self, metric: str, cuts: list[Cut | None]) -> Column:
-        """1 + number of boundaries the row lies beyond."""
-        order, terms = self._order_sql(metric), ["1"]
-        for cut in cuts:
-            if cut is None:
-                terms.append("1")
-                continue
-            name = cut.id.replace("\\", "\\\\").replace("'", "\\'")
-            terms.append(f"CAST({order} > {cut.value}BD OR ({order} = {cut.value}BD AND {self.id_col} > '{name}') AS INT)")
-        return F.expr(" + ".join(terms))
+def with_scores(df: DataFrame, id_col: str, metrics: Mapping[str, Column], method: str = "ntile", bins: int = 5) -> DataFrame:
+    """`df` with one score column per metric: 1 for the lowest values to `bins` for the highest."""
+    of = ntile_of if method == "ntile" else qcut_of
+    ranks = exact_ranks(df, id_col, metrics).withColumn("score", of(F.col("rank"), F.col("rows"), bins).cast("bigint"))
+    wide = ranks.groupBy(F.col("id").alias("_id")).agg(
+        *[F.max(F.when(F.col("metric") == name, F.col("score"))).alias(name) for name in metrics]
+    )
+    return null_safe_join(df, wide, {id_col: "_id"})

@@ -6,13 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A window group up to this many rows is left to one task (it sorts and spills on disk).
-HOT_GROUP_ROWS = 1_000_000
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: `spark.checkpoint.dir`, or a local one in tests only."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -30,16 +26,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/tillwise/{name}-{uuid.uuid4().hex}"
 
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than there are cores, such as one small file.
-
-    A row group is never split, so a single-row-group file would keep all work up to the first
-    shuffle in one task. Scans with enough tasks are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the written table.
 
@@ -52,45 +38,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """Keys with more than `limit` rows, as a staged table; None when there are none.
-
-    At most rows / limit keys can qualify, so the table is small enough to broadcast:
-    10^12 rows give at most 10^6 keys.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > limit).select(*keys)
-    return stage(hot, "hot-keys") if hot.take(1) else None
-
-
-def mark_first(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], flag: str, limit: int = HOT_GROUP_ROWS
-) -> DataFrame:
-    """Add `flag`: true on exactly one row per key, the first by `order`.
+def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
+    """Add `flag`: true on exactly one row per key, the first by the `order` columns, missing values last.
 
-    `order` must name every column that can tell two rows apart; rows equal in all of them are
-    interchangeable, and still only one is marked. Groups above `limit` rows are first reduced
-    to one candidate per input partition, so no task sorts a hot group as a whole.
+    Ties are broken by the other columns, and of rows equal in all columns one is marked. Equal rows
+    are first counted, then each key's first row is found; both combine before the shuffle, so no task
+    gathers the rows of a hot key. The rows meet their key's first one in a join whose hot keys are split.
     """
-    by_key = Window.partitionBy(*keys).orderBy(*order)
-    hot = hot_keys(df, keys, limit)
-    if hot is None:
-        return df.withColumn(flag, F.row_number().over(by_key) == 1)
-
-    cold = df.join(F.broadcast(hot), list(keys), "left_anti").withColumn(flag, F.row_number().over(by_key) == 1)
-    in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
-    split = (
-        df.join(F.broadcast(hot), list(keys), "left_semi")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_local", F.row_number().over(in_part) == 1)
-    )
-    # Candidates meet in one group per key; the other rows stay apart by partition.
-    group = F.when(F.col("_local"), F.lit(-1)).otherwise(F.col("_part"))
-    final = Window.partitionBy(*keys, "_group").orderBy(*order)
-    marked = split.withColumn("_group", group).withColumn(
-        flag, F.col("_local") & (F.row_number().over(final) == 1)
-    )
-    return cold.unionByName(marked.drop("_part", "_local", "_group"))
+    ranked = [*order, *[c for c in df.columns if c not in order]]
+    place = F.struct(*[x for c in ranked for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))])
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    firsts = counted.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min(place).alias("_first"))
+    joined = null_safe_join(counted, firsts, {k: f"_of_{k}" for k in keys}, "left")
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
+    return joined.select(
+        *df.columns, place.eqNullSafe(F.col("_first")).alias("_is_first"), F.explode(copies).alias("_copy")
+    ).select(*df.columns, (F.col("_is_first") & (F.col("_copy") == 1)).alias(flag))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: str = "inner") -> DataFrame:
@@ -99,34 +62,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, pairs: dict[str, str], how
     for mine, other in pairs.items():
         condition = condition & F.col(mine).eqNullSafe(F.col(other))
     return left.join(right, condition, how).drop(*pairs.values())
-
-
-def running_counts(
-    df: DataFrame, group: Sequence[str], value: str, count: str, ascending: bool = False
-) -> DataFrame:
-    """For distinct (group, value) rows with a `count`, add `before`: rows ahead of the value.
-
-    A group may hold any number of values. Values are put into buckets of about 0.1 % relative
-    width by a fixed monotone function; a bucket table (at most some 10^5 rows per group)
-    gives the rows in earlier buckets, and a window inside each bucket gives the rest.
-    """
-    magnitude = F.floor(F.log1p(F.abs(F.col(value)).cast("double")) * 1024)
-    bucket = F.when(F.col(value) < 0, -magnitude).otherwise(magnitude)
-    direction = (lambda c: F.col(c).asc()) if ascending else (lambda c: F.col(c).desc())
-
-    bucketed = df.withColumn("_bucket", bucket)
-    ahead = Window.partitionBy(*group).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        bucketed.groupBy(*group, "_bucket")
-        .agg(F.sum(count).alias("_rows"))
-        .withColumn("_ahead", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)))
-        .drop("_rows")
-    )
-    inside = (
-        Window.partitionBy(*group, "_bucket").orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    renamed = buckets.select(*[F.col(c).alias(f"_b_{c}") for c in [*group, "_bucket"]], "_ahead")
-    joined = null_safe_join(bucketed, renamed, {c: f"_b_{c}" for c in [*group, "_bucket"]})
-    return joined.withColumn(
-        "before", (F.col("_ahead") + F.coalesce(F.sum(count).over(inside), F.lit(0))).cast("bigint")
-    ).drop("_bucket", "_ahead")

@@ -9,6 +9,9 @@ both would otherwise produce their product. Instead
   the 30 following days (a fixed factor);
 * touches of the same day but earlier minutes are running counts over at most 1440 rows;
 * touches of the same minute are running counts inside that minute.
+
+Touches of channels beyond the five named ones are counted, credited and charged together as `Other`.
+Touches without customer lead to nobody's purchase; a purchase without customer goes to Direct.
 """
 
 from __future__ import annotations
@@ -16,14 +19,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise import model as fixed
 from tillwise.functions.columns import gbp, ratio
-from tillwise.model import TOUCH_CHANNELS
+from tillwise.functions.scale import stage
 
 WINDOW_DAYS = 30
 HALF_LIFE_DAYS = 7
 CREDIT_UNIT = 1_000_000  # credit is kept in millionths of a penny
 WEIGHT_UNIT = 1 << 20
 
+OTHER = "Other"
+TOUCH_CHANNELS = (*fixed.TOUCH_CHANNELS, OTHER)
 N = [f"n{i}" for i in range(len(TOUCH_CHANNELS))]
 W = [f"w{i}" for i in range(len(TOUCH_CHANNELS))]
 
@@ -42,15 +48,29 @@ def _is_channel(i: int) -> Column:
     return F.col("channel") == TOUCH_CHANNELS[i]
 
 
+def known_channel(channel: str = "channel") -> Column:
+    """One of the five named channels, or `Other`."""
+    return F.when(F.col(channel).isin(*fixed.TOUCH_CHANNELS), F.col(channel)).otherwise(F.lit(OTHER))
+
+
+def _customers_touches(touches: DataFrame) -> DataFrame:
+    return touches.filter(F.col("customer_id").isNotNull()).withColumn("channel", known_channel())
+
 
 def conversion_paths(touches: DataFrame, conversions: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
-    """One row per purchase: touches (`n0..n4`) and decayed weight (`w0..w4`) per channel, first and last channel."""
+    """One row per purchase: touches (`n0..n5`) and decayed weight (`w0..w5`) per channel, first and last channel."""
+    touches = _customers_touches(touches)
+    anonymous = conversions.filter(F.col("customer_id").isNull())
+    conversions = conversions.filter(F.col("customer_id").isNotNull())
     place = F.struct("ts", F.col("touch_id").alias("id"), "channel")
     by_minute = touches.groupBy(
         "customer_id", F.col("ts").cast("date").alias("day"), _minute().alias("minute")
     ).agg(*[F.count_if(_is_channel(i)).alias(n) for i, n in enumerate(N)], F.min(place).alias("first"), F.max(place).alias("last"))
 
     # 1. earlier days, sent to the days whose window they fall in
+    # Only visitors who ever buy are worth sending; they are a small part of all.
+    buyers = conversions.select("customer_id").distinct()
+    by_minute = by_minute.join(buyers, "customer_id", "left_semi")
     daily = by_minute.groupBy("customer_id", "day").agg(
         *[F.sum(n).alias(n) for n in N], F.min("first").alias("first"), F.max("last").alias("last")
     )
@@ -100,12 +120,17 @@ def conversion_paths(touches: DataFrame, conversions: DataFrame, days: int = WIN
     today = {n: zero(n) + zero(f"h_{n}") for n in N}
     # The latest touch is in the latest part that has one, the earliest in the earliest part.
     first, last = F.coalesce("d_first", "h_first", "first"), F.coalesce("last", "h_last", "d_last")
-    return joined.select(
+    known = joined.select(
         F.col("id").alias("conversion_id"), "customer_id", F.col("ts").alias("conversion_ts"), "revenue_pence",
         *[(today[n] + zero(f"d_{n}")).alias(n) for n in N],
         *[(today[n] * WEIGHT_UNIT + zero(f"d_{w}")).alias(w) for n, w in zip(N, W)],
         first["channel"].alias("first_channel"), last["channel"].alias("last_channel"),
     )
+    nothing = F.lit(0).cast("bigint")
+    return known.unionByName(anonymous.select(
+        "conversion_id", "customer_id", F.col("ts").alias("conversion_ts"), "revenue_pence", *[nothing.alias(c) for c in N + W],
+        F.lit(None).cast("string").alias("first_channel"), F.lit(None).cast("string").alias("last_channel"),
+    ))
 
 
 def touches_before_purchase(touches: DataFrame, conversions: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
@@ -133,7 +158,7 @@ def channel_effects(touches: DataFrame, conversions: DataFrame) -> DataFrame:
     row per customer of five flags.
     """
     k = len(TOUCH_CHANNELS)
-    seen = touches.groupBy("customer_id").agg(*[F.max(_is_channel(i)).alias(f"s{i}") for i in range(k)])
+    seen = _customers_touches(touches).groupBy("customer_id").agg(*[F.max(_is_channel(i)).alias(f"s{i}") for i in range(k)])
     buyers = conversions.select("customer_id").distinct().withColumn("_bought", F.lit(True))
     flags = seen.join(buyers, "customer_id", "left").withColumn("bought", F.coalesce("_bought", F.lit(False)))
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
@@ -166,7 +191,11 @@ def attribute(
     goes to Direct. Credit is split in integers and the remainder of each purchase goes to the
     first channel that takes part, so the channels add up to the total revenue exactly.
     """
-    paths = conversion_paths(touches, conversions, days)
+    return credit_paths(conversion_paths(touches, conversions, days), touches, conversions, marketing, model)
+
+
+def credit_paths(paths: DataFrame, touches: DataFrame, conversions: DataFrame, marketing: DataFrame, model: str) -> DataFrame:
+    """`attribute` on paths that are there already."""
     if model in ("last_click", "first_click"):
         weights = _click("last_channel" if model == "last_click" else "first_channel")
     elif model == "linear":
@@ -208,9 +237,11 @@ def attribute(
     credited = split.selectExpr(f"inline(array({rows}))").groupBy("channel").agg(
         F.expr("sum(CAST(revenue AS DECIMAL(28,0)))").alias("revenue"), F.expr("sum(CAST(orders AS DECIMAL(28,0)))").alias("orders")
     )
-    spend = marketing.groupBy(F.col("channel").alias("_channel")).agg(F.sum("spend_pence").cast("bigint").alias("spend"))
+    spend = marketing.groupBy(known_channel().alias("_channel")).agg(F.sum("spend_pence").cast("bigint").alias("spend"))
     money = f"CAST(spend AS DECIMAL(17,0)) * {CREDIT_UNIT}BD"
-    return credited.join(spend, F.col("channel") == F.col("_channel"), "left").select(
+    # Other is listed where a touch or spend was other, even if nothing was earned.
+    listed = (F.col("channel") != OTHER) | (F.col("orders") > 0) | F.col("spend").isNotNull()
+    return credited.join(spend, F.col("channel") == F.col("_channel"), "left").filter(listed).select(
         "channel",
         ratio("revenue", str(CREDIT_UNIT * 100), 2).alias("attributed_revenue_gbp"),
         ratio("orders", str(CREDIT_UNIT), 4).alias("attributed_orders"),
@@ -221,7 +252,10 @@ def attribute(
 
 
 def compare_models(touches: DataFrame, conversions: DataFrame, marketing: DataFrame) -> DataFrame:
-    """Last-click next to data-driven revenue per channel."""
-    last = attribute(touches, conversions, marketing, "last_click").select("channel", F.col("attributed_revenue_gbp").alias("last_click_gbp"))
-    driven = attribute(touches, conversions, marketing, "data_driven").select(F.col("channel").alias("_channel"), F.col("attributed_revenue_gbp").alias("data_driven_gbp"))
-    return last.join(driven, F.col("channel") == F.col("_channel"), "full_outer").select("channel", "last_click_gbp", "data_driven_gbp")
+    """Last-click next to data-driven revenue per channel; both come from one frame of paths."""
+    paths = stage(conversion_paths(touches, conversions), "paths")
+    last = credit_paths(paths, touches, conversions, marketing, "last_click").select("channel", F.col("attributed_revenue_gbp").alias("last_click_gbp"))
+    driven = credit_paths(paths, touches, conversions, marketing, "data_driven").select(F.col("channel").alias("_channel"), F.col("attributed_revenue_gbp").alias("data_driven_gbp"))
+    return last.join(driven, F.col("channel") == F.col("_channel"), "full_outer").select(
+        F.coalesce("channel", "_channel").alias("channel"), "last_click_gbp", "data_driven_gbp"
+    )

@@ -82,11 +82,37 @@ def uk_holidays(spark: SparkSession) -> DataFrame:
 
 
 def holiday_effects(spark: SparkSession) -> DataFrame:
+    """Days influenced by the fixed holidays."""
+    return effect_days(uk_holidays(spark))
+
+
+def bank_holidays(years: DataFrame, year: str = "year") -> DataFrame:
+    """(holiday_name, holiday_date) by rule, for any years.
+
+    Easter by the anonymous Gregorian computus. A New Year's Day on a Sunday moves to Monday; days of
+    a single year, such as a jubilee, are not known to a rule.
+    """
+    y = years.select(F.col(year).cast("int").alias("y")).filter("y IS NOT NULL").distinct()
+    moon = y.selectExpr("y", "y % 19 AS a", "y div 100 AS b", "y % 100 AS c").selectExpr(
+        "*", "(19 * a + b - b div 4 - (b - (b + 8) div 25 + 1) div 3 + 15) % 30 AS h"
+    ).selectExpr("*", "(32 + 2 * (b % 4) + 2 * (c div 4) - h - c % 4) % 7 AS l").selectExpr(
+        "y", "h + l - 7 * ((a + 11 * h + 22 * l) div 451) + 114 AS e"
+    )
+    days = moon.selectExpr(
+        "make_date(y, CAST(e div 31 AS INT), CAST(e % 31 + 1 AS INT)) AS easter", "make_date(y, 1, 1) AS first",
+        "make_date(y, 5, 1) AS may", "make_date(y, 5, 31) AS end_may", "make_date(y, 8, 31) AS end_august", "make_date(y, 12, 25) AS christmas",
+    )
+    return days.selectExpr("""stack(8,
+        'New Year', IF(weekday(first) = 6, date_add(first, 1), first), 'Good Friday', date_sub(easter, 2), 'Easter Monday', date_add(easter, 1),
+        'Early May Bank', date_add(may, (7 - weekday(may)) % 7), 'Spring Bank', date_sub(end_may, weekday(end_may)),
+        'Summer Bank', date_sub(end_august, weekday(end_august)), 'Christmas Day', christmas, 'Boxing Day', date_add(christmas, 1)
+    ) AS (holiday_name, holiday_date)""")
+
+
+def effect_days(holidays: DataFrame) -> DataFrame:
     """Days influenced by a holiday: the day itself and the days after it."""
     last = F.date_add("holiday_date", model.HOLIDAY_DAYS_AFTER)
-    return uk_holidays(spark).select(
-        "holiday_name", F.explode(F.sequence(F.col("holiday_date"), last)).alias("effect_date")
-    )
+    return holidays.select("holiday_name", F.explode(F.sequence(F.col("holiday_date"), last)).alias("effect_date"))
 
 
 def describe_dates(spine: DataFrame) -> DataFrame:
@@ -165,9 +191,8 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: Sequence[str], day: st
     A key has one row per snapshot day, so a window holds at most one row per load.
     """
     by_key = Window.partitionBy(key).orderBy(day)
-    digest = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in tracked])
-    changed = snapshots.withColumn("_hash", digest).withColumn("_prev", F.lag("_hash").over(by_key))
-    starts = changed.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_hash")))
+    changed = snapshots.withColumn("_prev", F.lag(F.struct(*tracked)).over(by_key))
+    starts = changed.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.struct(*tracked)))
     following = F.lead(day).over(by_key)
     return starts.select(
         key, *tracked,
@@ -178,33 +203,42 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: Sequence[str], day: st
     )
 
 
+VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "version")
+
+
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], day: date) -> DataFrame:
-    """Merge a full snapshot into a versioned dimension.
+    """Merge a full snapshot into a versioned dimension, all columns of which are kept.
 
-    Current rows with changed attributes are closed the day before and get a successor; new keys
-    get a first version; keys absent from the snapshot and old versions stay. Both sides are
-    unique on the key among current rows, so the join neither fans out nor skews.
+    Current rows with changed tracked attributes are closed the day before and get a successor; new
+    keys get a first version; keys absent from the snapshot and old versions stay. Other columns that
+    the snapshot has are taken from it into the current version, those it lacks go on from the version
+    before (null for a new key). A version that began on `day` is corrected in place, so a repeated run
+    changes nothing. Both sides are unique on the key among current rows, so the join neither fans out nor skews.
     """
     current, past = dim.filter("is_current"), dim.filter("NOT is_current")
-    incoming = snapshot.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in tracked])
+    own = [c for c in dim.columns if c not in (*VERSION_COLUMNS, key)]
+    given = [c for c in own if c in snapshot.columns]
+    incoming = snapshot.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in given])
     joined = current.join(incoming, F.col(key) == F.col("_key"), "full_outer")
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_new_{c}"))
-    is_new, gone = F.col(key).isNull(), F.col("_key").isNull()
-    changed = ~is_new & ~gone & differs
     today = F.lit(day).cast("date")
+    is_new, gone = F.col(key).isNull(), F.col("_key").isNull()
+    changed = ~is_new & ~gone & differs & (F.col("valid_from") < today)
 
     def version(closed: bool) -> Column:
+        values = {key: F.coalesce(F.col(key), F.col("_key"))}
+        for c in own:
+            old, new = F.col(c), F.col(f"_new_{c}") if c in given else F.col(c)
+            values[c] = (F.when(changed | gone, old).otherwise(new)) if closed else new
         if closed:
-            fields = [F.col(key).alias(key)] + [F.col(c).alias(c) for c in tracked]
-            fields += [F.col("valid_from"), F.when(changed, F.date_sub(today, 1)).otherwise(F.col("valid_to")).alias("valid_to"),
-                       (~changed).alias("is_current"), F.col("version")]
+            values |= {"valid_from": F.col("valid_from"), "valid_to": F.when(changed, F.date_sub(today, 1)).otherwise(F.col("valid_to")),
+                       "is_current": ~changed, "version": F.col("version")}
         else:
-            fields = [F.col("_key").alias(key)] + [F.col(f"_new_{c}").alias(c) for c in tracked]
-            fields += [today.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"),
-                       (F.coalesce(F.col("version"), F.lit(0)) + 1).cast("bigint").alias("version")]
-        return F.struct(*fields)
+            values |= {"valid_from": today, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True),
+                       "version": (F.coalesce(F.col("version"), F.lit(0)) + 1).cast("bigint")}
+        return F.struct(*[values[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
 
     rows = F.array_compact(
         F.array(F.when(~is_new, version(closed=True)), F.when(is_new | changed, version(closed=False)))

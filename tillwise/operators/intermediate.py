@@ -92,16 +92,16 @@ def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "
     if "date" in parts:
         # One row per calendar day: a few thousand rows whatever the size of the facts.
         days = star.dates.select(F.col("full_date").alias("_id"), *[F.col(s).alias(c) for c, s in DATE_COLUMNS.items()])
-        orders = orders.join(F.broadcast(days), F.col("order_date") == F.col("_id"), "left")
-        # A day outside the calendar has no date attributes at all.
-        orders = orders.withColumn("order_date", F.col("_id")).drop("_id")
+        # A day outside the calendar keeps its date and has no other date attributes.
+        orders = orders.join(F.broadcast(days), F.col("order_date") == F.col("_id"), "left").drop("_id")
     if "customer" in parts:
         who = _attributes(star.customers, CUSTOMER_COLUMNS, "customer_id")
         orders = orders.join(who, F.col("_customer") == F.col("_id"), "left").drop("_id", "_customer")
     else:
         orders = orders.withColumnRenamed("_customer", "customer_id")
 
-    lines = star.lines.withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
+    # As staged sales have it: a line without id has no key and is no sale.
+    lines = star.lines.filter(F.col("order_line_id").isNotNull()).withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
     sales = lines.join(orders, "order_id", "left")
     for part, columns, natural in (("product", PRODUCT_COLUMNS, "product_id"), ("store", STORE_COLUMNS, "store_id")):
         if part in parts:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import gbp, percent, ratio
-from tillwise.functions.ranking import rank_within
 from tillwise.operators.intermediate import Star, count_layers, int_sales_enriched, not_returned
 
 
@@ -140,7 +139,9 @@ def store_months(star: Star) -> DataFrame:
 
 def mart_store_performance(star: Star) -> DataFrame:
     """Store by month, ranked by revenue within the month."""
-    return rank_within(store_months(star), ["order_year", "order_month"], "revenue_pence", "revenue_rank_in_month").drop("revenue_pence")
+    # A month has one row per store, so a window group is bounded by the store dimension.
+    place = F.rank().over(Window.partitionBy("order_year", "order_month").orderBy(F.desc("revenue_pence")))
+    return store_months(star).withColumn("revenue_rank_in_month", place.cast("bigint")).drop("revenue_pence")
 
 
 def product_weeks(star: Star) -> DataFrame:
@@ -178,8 +179,10 @@ def mart_product_performance(star: Star) -> DataFrame:
     The week number is the ISO one; the ISO year is part of the key, so the last days of
     December are not merged with the first week of the same calendar year.
     """
-    group = ["order_year", "order_iso_year", "order_week", "category"]
-    return rank_within(product_weeks(star), group, "revenue_pence", "rank_in_category").drop("revenue_pence")
+    # A week has one row per product, so a window group is bounded by the product dimension.
+    group = Window.partitionBy("order_year", "order_iso_year", "order_week", "category")
+    place = F.rank().over(group.orderBy(F.desc("revenue_pence")))
+    return product_weeks(star).withColumn("rank_in_category", place.cast("bigint")).drop("revenue_pence")
 
 
 def mart_inventory_status(inventory: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:

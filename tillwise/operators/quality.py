@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import percent
-from tillwise.functions.scale import HOT_GROUP_ROWS, mark_first
+from tillwise.functions.scale import mark_first
 
 FAILED = "failed_check"
 
@@ -80,10 +80,9 @@ def date_check(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(FAILED, first_failure([(f"date_check:{col}", as_date(col).isNull())]))
 
 
-def duplicate_check(df: DataFrame, key: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def duplicate_check(df: DataFrame, key: str) -> DataFrame:
     """Mark all rows but one per key. The first row in the order of all columns stays."""
-    order = [F.col(c).asc_nulls_last() for c in df.columns]
-    marked = mark_first(df, [key], order, "_first", hot_rows)
+    marked = mark_first(df, [key], df.columns, "_first")
     return marked.withColumn(FAILED, F.when(~F.col("_first"), F.lit(f"duplicate_check:{key}"))).drop("_first")
 
 
@@ -115,13 +114,12 @@ def quarantine(failed: DataFrame, run_id: str, source: str) -> DataFrame:
     )
 
 
-def check_orders(df: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def check_orders(df: DataFrame) -> DataFrame:
     """Orders with the first failed check: missing keys, duplicates, total, date, in this order."""
     columns = df.columns
     missing = df.withColumn("_missing", first_failure(null_checks(df, ORDER_KEYS)))
     complete = missing.filter(F.col("_missing").isNull()).drop("_missing")
-    order = [F.col(c).asc_nulls_last() for c in columns]
-    kept = mark_first(complete, ["order_id"], order, "_first", hot_rows)
+    kept = mark_first(complete, ["order_id"], columns, "_first")
     checks = [("duplicate_check:order_id", ~F.col("_first"))]
     if "order_total_pence" in columns:
         checks.append(("range_check:order_total_pence", range_bad("order_total_pence", 0, open_low=True)))
@@ -189,9 +187,14 @@ def validate_order_lines(
 
 # --- requirements beyond the four checks ----------------------------------------------------
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """One row per composite key, the most recent one."""
-    return mark_first(df, keys, newest_first, "_first", hot_rows).filter("_first").drop("_first")
+def dedupe_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """One row per composite key, that with the greatest `newest` columns, then the greatest of the others.
+
+    Missing values are the smallest. A maximum per key combines before the shuffle, so hot keys cost nothing.
+    """
+    ranked = [*newest, *[c for c in df.columns if c not in newest and c not in keys]]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
 
 
 def fill_missing(

@@ -153,10 +153,11 @@ def kpi_cards(kpis: DataFrame, first: date, last: date) -> DataFrame:
     )
 
 
-def revenue_by_region(store_months: DataFrame) -> DataFrame:
-    return store_months.groupBy("store_region").agg(
-        gbp(F.sum("revenue_pence")).alias("revenue_gbp"), F.sum("total_orders").cast("bigint").alias("orders")
-    )
+def revenue_by_region(star: Star) -> DataFrame:
+    """Revenue and distinct orders per region; an order that two stores of a region serve counts once."""
+    sales = int_sales_enriched(star, parts=("customer", "store"))
+    agg = count_layers(sales, ["store_region"], {"revenue": F.col("net_revenue_pence")})
+    return agg.select("store_region", gbp("revenue").alias("revenue_gbp"), F.col("orders").cast("bigint").alias("orders"))
 
 
 def store_table(star: Star, as_of: date) -> DataFrame:
@@ -201,14 +202,12 @@ def top_customers(rfm: DataFrame, n: int = 100) -> DataFrame:
 
 
 def status_by_category(status: DataFrame) -> DataFrame:
-    """Items per category and stock status with their shares."""
-    counts = status.groupBy("category").pivot("stock_status", ["RED", "AMBER", "GREEN"]).agg(F.count(F.lit(1)))
-    n = {s: F.coalesce(F.col(s), F.lit(0)) for s in ("RED", "AMBER", "GREEN")}
-    total = n["RED"] + n["AMBER"] + n["GREEN"]
-    return counts.select(
-        "category", *[n[s].alias(f"{s.lower()}_items") for s in n], total.alias("items"),
-        *[percent(n[s], total, 1).alias(f"{s.lower()}_pct") for s in n],
+    """Items per category and stock status with their shares; `items` counts those of any other status too."""
+    names = ("RED", "AMBER", "GREEN")
+    counts = status.groupBy("category").agg(
+        *[F.count_if(F.col("stock_status") == s).alias(f"{s.lower()}_items") for s in names], F.count(F.lit(1)).alias("items")
     )
+    return counts.select("*", *[percent(f"{s.lower()}_items", "items", 1).alias(f"{s.lower()}_pct") for s in names])
 
 
 def days_of_stock_histogram(status: DataFrame, width: int = 5) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise import model
-from tillwise.functions.columns import gbp, percent, ratio, surrogate_key
-from tillwise.functions.ranking import DIRECT_ROWS, Scorer, ntile_ends, qcut_ends
+from tillwise.functions.columns import gbp, percent, ratio
+from tillwise.functions.ranking import with_scores
 from tillwise.functions.scale import stage
 
 
@@ -27,38 +27,27 @@ def segment_priority(name: str = "rfm_segment") -> Column:
     return F.expr(f"CAST(CASE {name} {cases} ELSE {model.SEGMENT_PRIORITY[model.OTHER_SEGMENT]} END AS BIGINT)")
 
 
-def score(metrics: DataFrame, method: str = "ntile", recency: str = "best_high", direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def score(metrics: DataFrame, method: str = "ntile", recency: str = "best_high") -> DataFrame:
     """Add r, f, m scores of 1 to 5, their sum, the segment and its priority.
 
     `ntile` makes groups whose sizes differ by at most one; `qcut` cuts the ranks at their
-    interpolated quantiles. Equal values are ordered by customer key, then id. `recency="literal"`
-    numbers the most recent customers 1.
+    interpolated quantiles. Equal values are ordered by customer id; a missing value counts as the
+    lowest. `recency="literal"` numbers the most recent customers 1.
 
-    The metrics are written once to the shared folder: finding the exact boundaries takes a few
-    passes over three narrow columns instead of over all sales.
+    The metrics are written once to the shared folder: ranks and rows must come from one run.
     """
-    tie = F.coalesce(surrogate_key("customer_id"), F.lit(0).cast("bigint"))
-    prepared = metrics.withColumns(
-        {"_tie": tie, "_id": F.coalesce("customer_id", F.lit("")), "_recent": -F.col("days_since_last_purchase")}
+    staged = stage(metrics, "rfm-metrics")
+    days = F.col("days_since_last_purchase")
+    recent = -days if method == "ntile" else days
+    scored = with_scores(
+        staged, "customer_id", {"r_score": recent, "f_score": F.col("purchase_frequency"), "m_score": F.col("total_revenue_pence")}, method
     )
-    staged = stage(prepared, "rfm-metrics")
-    scorer = Scorer(staged, "_id", "_tie", direct_rows)
-    if method == "ntile":
-        recency_metric, ends = "_recent", ntile_ends(scorer.rows, 5)
-    else:
-        recency_metric, ends = "days_since_last_purchase", qcut_ends(scorer.rows, 5)
-    cuts = scorer.cuts({recency_metric: ends, "purchase_frequency": ends, "total_revenue_pence": ends})
-    tile = {m: scorer.tile(m, c) for m, c in cuts.items()}
-    r = tile[recency_metric]
     if method == "qcut" or recency == "literal":
-        r = F.lit(6) - r
-    scored = staged.withColumns(
-        {"r_score": r.cast("bigint"), "f_score": tile["purchase_frequency"].cast("bigint"),
-         "m_score": tile["total_revenue_pence"].cast("bigint")}
-    )
+        scored = scored.withColumn("r_score", F.lit(6) - F.col("r_score"))
     return scored.withColumns(
-        {"rfm_total_score": F.col("r_score") + F.col("f_score") + F.col("m_score"), "rfm_segment": segment()}
-    ).withColumn("segment_priority", segment_priority()).drop("_tie", "_id", "_recent")
+        {"r_score": F.col("r_score").cast("bigint"), "rfm_total_score": F.col("r_score") + F.col("f_score") + F.col("m_score"),
+         "rfm_segment": segment()}
+    ).withColumn("segment_priority", segment_priority())
 
 
 def mart_customer_rfm(customer_orders: DataFrame, recency: str = "best_high") -> DataFrame:
@@ -83,10 +72,12 @@ def load_sales(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def rfm_metrics(sales: DataFrame, as_of: date) -> DataFrame:
     """Recency, frequency and value per customer; lines not known to be returned count.
 
+    Lines without customer belong to nobody and are left out; missing revenue adds nothing.
+
     Aggregated per order and per day first, which counts distinct orders and dates without
     repeating rows. After the line-order join the first step needs no shuffle.
     """
-    kept = sales.filter(~F.col("is_returned").eqNullSafe(F.lit(True)))
+    kept = sales.filter(~F.col("is_returned").eqNullSafe(F.lit(True)) & F.col("customer_id").isNotNull())
     per_order = kept.groupBy("customer_id", "order_date", "order_id").agg(
         F.sum("net_revenue_pence").alias("revenue"), F.count("net_revenue_pence").alias("lines")
     )
@@ -99,7 +90,7 @@ def rfm_metrics(sales: DataFrame, as_of: date) -> DataFrame:
         F.min("order_date").alias("first_purchase_date"),
         F.count("order_date").alias("purchase_frequency"),
         F.sum("orders").cast("bigint").alias("total_orders"),
-        F.sum("revenue").cast("bigint").alias("total_revenue_pence"),
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast("bigint").alias("total_revenue_pence"),
         F.sum("lines").alias("_lines"),
     ).select(
         "customer_id", "last_purchase_date", "first_purchase_date", "purchase_frequency", "total_orders",

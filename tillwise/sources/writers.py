@@ -52,6 +52,21 @@ def run_log_row(
     return spark.createDataFrame([row], RUN_LOG)
 
 
+def run_log_of(
+    report: DataFrame, run_id: str, source: str, status: str, started: datetime, completed: datetime, error: str | None = None
+) -> DataFrame:
+    """The audit row of a run as a sum over its quality reports."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    values = {
+        "run_id": F.lit(run_id), "run_date": F.lit(started.date()), "source_system": F.lit(source),
+        "records_extracted": total("records_input"), "records_loaded": total("records_clean"),
+        "records_quarantined": total("records_quarantined"), "status": F.lit(status), "error_message": F.lit(error),
+        "started_at": F.lit(started), "completed_at": F.lit(completed), "duration_seconds": F.lit(int((completed - started).total_seconds())),
+    }
+    assert list(values) == RUN_LOG.fieldNames()
+    return report.agg(*[v.cast(RUN_LOG[c].dataType).alias(c) for c, v in values.items()])
+
+
 def write_yearly_partitioned(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
     """Partition by the year of `date_key`, sorted inside the files so that scans can skip row groups.
 

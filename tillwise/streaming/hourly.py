@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tillwise.functions.columns import gbp, pence
 from tillwise.functions.scale import scratch_path
@@ -46,12 +50,41 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
     def write(batch: DataFrame, number: int) -> None:
         batch.select(F.col("w.start").alias("hour"), "orders", "revenue_pence").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = (
-        stream.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    name, late, ended = f"hourly-{uuid.uuid4().hex}", {}, threading.Event()
+    runs: set[str] = set()
+
+    class Late(StreamingQueryListener):
+        """Counts by batch; a query's own list of progress forgets all but the last batches."""
+
+        def onQueryStarted(self, event):
+            if event.name == name:
+                runs.add(str(event.runId))
+
+        def onQueryProgress(self, event):
+            if event.progress.name == name:
+                late[event.progress.batchId] = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            if str(event.runId) in runs:
+                ended.set()
+
+    listener, streams = Late(), stream.sparkSession.streams
+    streams.addListener(listener)
+    try:
+        query = (
+            stream.writeStream.queryName(name).outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        # Events come in order: once the end is reported, all progress has been.
+        if not ended.wait(120):
+            raise RuntimeError("the stream's progress was not reported")
+    finally:
+        streams.removeListener(listener)
+    return sum(late.values())
 
 
 def latest_hours(spark: SparkSession, out: str) -> DataFrame:
