@@ -33,7 +33,7 @@ from pyspark.sql import Window
 
 from tillwise.functions.scale import stage
 
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 60_000
 BUCKET_ENTRIES = 1_000_000
 HOT = 2048  # contexts dealt out by pair: no other word can have more than 1/HOT of the tokens
@@ -136,49 +136,54 @@ def _slices(buckets: int):
 
 
 def _count_words(group: pa.Table) -> pa.Table:
-    """The words of a hash range that were learned, by falling count, and how many have each count."""
-    words, places = np.unique(_join(group["words"], np.uint64), return_inverse=True)
+    """A hash range's words ranked by falling count, in place of the hashes of each block's slice.
+
+    One row per block, with the ranks of its words (UNKNOWN_ID for words that were not learned), and one
+    row without block with the counts that occur and how many words have each.
+    """
+    lists = [np.frombuffer(x, np.uint64) for x in group["words"].to_pylist()]
+    words, places = np.unique(np.concatenate(lists), return_inverse=True)
     counts = np.bincount(places, weights=_join(group["counts"], np.uint32), minlength=len(words)).astype(np.int64)
-    words, counts = words[counts > 0], counts[counts > 0]
     order = np.argsort(-counts, kind="stable")
-    classes, n = np.unique(counts, return_counts=True)
+    learned = int((counts > 0).sum())
+    rank = np.full(len(words), UNKNOWN_ID, np.uint32)
+    rank[order[:learned]] = np.arange(learned)
+    classes, n = np.unique(counts[counts > 0], return_counts=True)
+    cut = np.cumsum([0, *map(len, lists)])
+    ranks = [_pack(rank[places[a:b]], np.uint32) for a, b in zip(cut, cut[1:])]
+    bucket, blocks = group["bucket"][0].as_py(), group["block"].to_pylist()
     return pa.table({
-        "bucket": pa.array([group["bucket"][0].as_py()], pa.int64()), "words": pa.array([_pack(words[order], np.uint64)], pa.binary()),
-        "counts": pa.array([_pack(counts[order], np.int64)], pa.binary()), "classes": pa.array([classes.tolist()], pa.list_(pa.int64())),
-        "sizes": pa.array([n.tolist()], pa.list_(pa.int64())),
+        "bucket": pa.array([bucket] * (len(blocks) + 1), pa.int64()), "block": pa.array([*blocks, None], pa.int64()),
+        "ranks": pa.array([*ranks, None], pa.binary()),
+        "classes": pa.array([None] * len(blocks) + [classes.tolist()], pa.list_(pa.int64())),
+        "sizes": pa.array([None] * len(blocks) + [n.tolist()], pa.list_(pa.int64())),
     })
 
 
-WORDS = "bucket bigint, words binary, counts binary, classes array<bigint>, sizes array<bigint>"
+WORDS = "bucket bigint, block bigint, ranks binary, classes array<bigint>, sizes array<bigint>"
 
 
 def _number_words(classes):
     """Numbers of the words of each block's slice: their rank by frequency among all words."""
 
-    def run(slices: pa.Table, words: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         falling, first = classes.value
-        blocks = slices["block"].to_pylist()
-        lists = [np.frombuffer(x, np.uint64) for x in slices["words"].to_pylist()]
-        ids = [np.full(len(x), UNKNOWN_ID, np.uint32) for x in lists]
-        if words.num_rows:
-            known, counts = _join(words["words"], np.uint64), _join(words["counts"], np.int64)
-            own = {x["c"]: x["before"] for x in words["offsets"][0].as_py()}
-            starts = np.flatnonzero(np.append(True, counts[1:] != counts[:-1])) if len(counts) else np.empty(0, np.int64)
-            rank = np.empty(len(counts), np.int64)
-            for a, b in zip(starts, np.append(starts[1:], len(counts))):
-                c = int(counts[a])
-                rank[a:b] = first[np.searchsorted(-falling, -c)] + own[c] + np.arange(b - a)
-            order = np.argsort(known)
-            known, rank = known[order], rank[order]
-            for k, x in enumerate(lists):
-                at = np.minimum(np.searchsorted(known, x), max(len(known) - 1, 0))
-                if len(known):
-                    hit = known[at] == x
-                    ids[k][hit] = rank[at[hit]]
-        return pa.table({
-            "block": pa.array(blocks, pa.int64()), "bucket": slices["bucket"].cast(pa.int64()),
-            "numbers": pa.array([_pack(x, np.uint32) for x in ids], pa.binary()),
-        })
+        for batch in batches:
+            numbers = []
+            for ranks, own in zip(batch.column("ranks").to_pylist(), batch.column("offsets").to_pylist()):
+                rank = np.frombuffer(ranks, np.uint32)
+                out = np.full(len(rank), UNKNOWN_ID, np.uint32)
+                if own:
+                    own = sorted(own, key=lambda x: -x["c"])
+                    counts, sizes, before = (np.array([x[k] for x in own], np.int64) for k in ("c", "n", "before"))
+                    start = np.cumsum(sizes) - sizes  # first rank of each count in this range
+                    shift = first[np.searchsorted(-falling, -counts)] + before - start
+                    seen = rank != UNKNOWN_ID
+                    out[seen] = rank[seen] + shift[np.searchsorted(start, rank[seen], "right") - 1]
+                numbers.append(out.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("bucket"), pa.array(numbers, pa.binary())], names=["block", "bucket", "numbers"]
+            )
 
     return run
 
@@ -211,9 +216,26 @@ class Unigrams:
         return np.where(ids >= START_ID, self.unknown, self.share[at])
 
 
-PAIRS = (
-    "bucket bigint, block bigint, n_docs int, v binary, w binary, learned binary, places binary, docs binary, base binary, known binary"
-)
+PAIRS = "bucket bigint, block bigint, n_docs int, pairs binary, base binary, known binary"
+_CHUNK = (("v", np.uint32), ("w", np.uint32), ("learned", np.uint32), ("places", np.uint32), ("docs", np.uint16))
+
+
+def _pack_chunk(arrays: list[np.ndarray]) -> bytes:
+    """Pairs of a block and bucket, compressed. Bytes of equal weight stand together, which packs best."""
+    n = np.array([len(arrays[0]), len(arrays[-1])], np.int64).tobytes()
+    parts = [np.ascontiguousarray(a, k).view(np.uint8).reshape(len(a), -1).T.tobytes() for a, (_, k) in zip(arrays, _CHUNK)]
+    return n + zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpack_chunk(data: bytes) -> dict[str, np.ndarray]:
+    n_pairs, n_docs = np.frombuffer(data, np.int64, 2)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[16:]), np.uint8)
+    out, at = {}, 0
+    for name, kind in _CHUNK:
+        n, width = int(n_docs if name == "docs" else n_pairs), np.dtype(kind).itemsize
+        out[name] = np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(kind).ravel()
+        at += n * width
+    return out
 
 
 def _pairs(unigrams, buckets: int):
@@ -258,13 +280,12 @@ def _pairs(unigrams, buckets: int):
                     span = [k for k in range(start, min(start + 64, buckets)) if cut[k + 1] > cut[k] or k == home]
                     if not span:
                         continue
-                    part = lambda a, kind, c: pa.array([_pack(a[c[k] : c[k + 1]], kind) for k in span], pa.binary())
+                    chunks = [_pack_chunk([*(a[cut[k] : cut[k + 1]] for a in (pv, pw, learned, size)), docs[doc_cut[k] : doc_cut[k + 1]]]) for k in span]
                     once = lambda a: pa.array([_pack(a, np.float64) if k == home else None for k in span], pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(span, pa.int64()), pa.array([row["block"]] * len(span), pa.int64()),
-                         pa.array([len(lengths)] * len(span), pa.int32()), part(pv, np.uint32, cut), part(pw, np.uint32, cut),
-                         part(learned, np.uint32, cut), part(size, np.uint32, cut), part(docs, np.uint16, doc_cut), once(base), once(known)],
-                        names=["bucket", "block", "n_docs", "v", "w", "learned", "places", "docs", "base", "known"],
+                         pa.array([len(lengths)] * len(span), pa.int32()), pa.array(chunks, pa.binary()), once(base), once(known)],
+                        names=["bucket", "block", "n_docs", "pairs", "base", "known"],
                     )
 
     return run
@@ -274,9 +295,11 @@ class _Bucket:
     """The pairs of a bucket over all blocks."""
 
     def __init__(self, group: pa.Table):
-        v, w = _join(group["v"], np.uint32).astype(np.uint64), _join(group["w"], np.uint32).astype(np.uint64)
+        chunks = [_unpack_chunk(x) for x in group["pairs"].to_pylist()]
+        self.chunks = chunks
+        v, w, learned = (np.concatenate([c[k] for c in chunks]).astype(np.uint64) for k in ("v", "w", "learned"))
         pairs, self.place = np.unique((v << np.uint64(32)) | w, return_inverse=True)
-        self.counts = np.bincount(self.place, weights=_join(group["learned"], np.uint32), minlength=len(pairs)).astype(np.int64)
+        self.counts = np.bincount(self.place, weights=learned, minlength=len(pairs)).astype(np.int64)
         self.v, self.w = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(2**32 - 1)).astype(np.int64)
         self.first = np.flatnonzero(np.append(True, self.v[1:] != self.v[:-1])) if len(pairs) else np.empty(0, np.int64)
         self.contexts = self.v[self.first]
@@ -330,9 +353,9 @@ def _score(unigrams):
         logs = np.log10(np.where(bucket.counts > 0, seen, alpha[of] * model.probability(bucket.w)))
         n_docs = np.array(group["n_docs"].to_pylist(), np.int64)
         start = np.cumsum(n_docs) - n_docs
-        docs = [np.frombuffer(x, np.uint16) for x in group["docs"].to_pylist()]
+        docs = [c["docs"] for c in bucket.chunks]
         place = np.concatenate(docs).astype(np.int64) + np.repeat(start, [len(d) for d in docs])
-        weights = np.repeat(logs[bucket.place], _join(group["places"], np.uint32))
+        weights = np.repeat(logs[bucket.place], np.concatenate([c["places"] for c in bucket.chunks]))
         sums = np.bincount(place, weights=weights, minlength=int(n_docs.sum()))
         return pa.table({
             "block": group["block"], "sums": pa.array([_pack(sums[a : a + n], np.float64) for a, n in zip(start, n_docs)], pa.binary()),
@@ -371,9 +394,8 @@ def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") ->
     pair_buckets = max(8, math.ceil((sizes["t"] or 0) / BUCKET_ENTRIES))
 
     slices = blocks.select("block", "words", "counts").mapInArrow(_slices(word_buckets), "bucket bigint, block bigint, words binary, counts binary")
-    slices = slices.repartition(word_buckets, "bucket")
-    words = stage(slices.groupBy("bucket").applyInArrow(_count_words, WORDS), "lm-words")
-    classes = words.select("bucket", F.explode(F.arrays_zip(F.col("classes").alias("c"), F.col("sizes").alias("n"))).alias("x")).select("bucket", "x.*")
+    words = stage(slices.repartition(word_buckets, "bucket").groupBy("bucket").applyInArrow(_count_words, WORDS), "lm-words")
+    classes = words.filter("block IS NULL").select("bucket", F.explode(F.arrays_zip(F.col("classes").alias("c"), F.col("sizes").alias("n"))).alias("x")).select("bucket", "x.*")
     totals = classes.groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("c")).collect()
     falling, n = (np.array([r[c] for r in totals], np.int64) for c in ("c", "n"))
     first = np.cumsum(n) - n
@@ -381,11 +403,10 @@ def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") ->
         raise ValueError("more than 2^32 - 3 distinct words")
     model = Unigrams(falling, first, dict(zip(falling.tolist(), n.tolist())))
     before = F.sum("n").over(Window.partitionBy("c").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = classes.select("bucket", F.struct("c", F.coalesce(before, F.lit(0)).alias("before")).alias("o")).groupBy("bucket").agg(
+    offsets = classes.select("bucket", F.struct("c", "n", F.coalesce(before, F.lit(0)).alias("before")).alias("o")).groupBy("bucket").agg(
         F.collect_list("o").alias("offsets")
     )
-    numbered = words.select("bucket", "words", "counts").join(offsets, "bucket")
-    numbers = slices.groupBy("bucket").cogroup(numbered.groupBy("bucket")).applyInArrow(
+    numbers = words.filter("block IS NOT NULL").select("bucket", "block", "ranks").join(offsets, "bucket", "left").mapInArrow(
         _number_words(spark.sparkContext.broadcast((falling, first))), "block bigint, bucket bigint, numbers binary"
     )
     per_block = numbers.groupBy("block").agg(F.collect_list(F.struct("bucket", "numbers")).alias("slices"))
