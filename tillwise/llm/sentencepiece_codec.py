@@ -15,6 +15,7 @@ Both kinds of model are paths through the same lattice of pieces:
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -31,7 +32,7 @@ from tillwise.llm.common import free_name
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-KNOWN_WORDS = 200_000  # words a task remembers beyond one batch
+KNOWN_WORDS = 300_000  # words a task remembers beyond one batch, twice
 KNOWN_PAIRS = 2_000_000  # pairs of pieces it remembers
 
 
@@ -54,10 +55,21 @@ class Lattice:
         self.id = {p: i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k == NORMAL}
         self.unknown = kinds.index(UNKNOWN)
         self.byte_id = {int(p[1:-1], 16): i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k == BYTE}
-        self.longest = max(map(len, self.id), default=1)
         self.alphabet = {c for p in self.id for c in p}
         self.worst = min((self.score[i] for i in self.id.values()), default=0.0) - 10.0
-        self.compatible: dict[tuple[int, int], bool] = {}
+        # Rank of the merge that makes a piece, 0 for single characters.
+        order = sorted({-self.score[i] for p, i in self.id.items() if len(p) > 1})
+        place = {v: k + 1 for k, v in enumerate(order)}
+        self.rank = {i: place[-self.score[i]] if len(p) > 1 else 0 for p, i in self.id.items()}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.compatible: dict[int, bool] = {}
+        # Pieces by their characters from the last to the first; a piece's id stands under "".
+        self.backwards: dict = {}
+        for p, i in self.id.items():
+            node = self.backwards
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
         # A word: marks and known characters after them; or one character that no piece has.
         self.words = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]" if inner else f"{MARK}+|[^{MARK}]", re.DOTALL)
@@ -90,18 +102,58 @@ class Lattice:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def split(self, piece: int) -> tuple[int, int] | None:
+        """The two pieces whose merge makes a piece; None if merging never gives it."""
+        if piece not in self.halves:
+            text, limit, found = self.pieces[piece], self.rank[piece], None
+            for k in range(1, len(text)):
+                left, right = self.id.get(text[:k]), self.id.get(text[k:])
+                if left is not None and right is not None and self.whole(left) and self.whole(right) and self.meet(left, right, limit):
+                    found = left, right
+                    break
+            self.halves[piece] = found
+        return self.halves[piece]
+
+    def whole(self, piece: int) -> bool:
+        """Whether merging the characters of a piece gives the piece."""
+        if self.pieces[piece].startswith(MARK * 2):
+            return self.merged(self.pieces[piece]) == [self.pieces[piece]]
+        return not self.rank[piece] or self.split(piece) is not None
+
+    def meet(self, left: int, right: int, limit: float = math.inf) -> bool:
+        """Whether two neighbouring pieces are both made, by merges before `limit`, without one across their border.
+
+        The merges are taken back one by one, the latest first. A merge across the border would have come
+        first if it ranks before the one just taken back; of equal ranks the one further left comes first.
+        """
+        ids, rank, pieces = self.id, self.rank, self.pieces
+        while True:
+            across = ids.get(pieces[left] + pieces[right])
+            if across is not None and rank[across] < limit:
+                return False
+            a, b = rank[left], rank[right]
+            if a > b:
+                limit, left = a, self.split(left)[1]
+            elif b:
+                limit, right = b + 1, self.split(right)[0]
+            else:
+                return True
+
     def pair_stays(self, left: int, right: int) -> bool:
-        found = self.compatible.get((left, right))
+        key = left << 32 | right
+        found = self.compatible.get(key)
         if found is None:
             a, b = self.pieces[left], self.pieces[right]
+            # Runs of marks may be of equal rank though unlike, so they are merged in full.
+            found = self.merged(a + b) == [a, b] if a.startswith(MARK * 2) or b.startswith(MARK * 2) else self.meet(left, right)
             if len(self.compatible) > KNOWN_PAIRS:
                 self.compatible.clear()
-            found = self.compatible[left, right] = self.merged(a + b) == [a, b]
+            self.compatible[key] = found
         return found
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Ids of each of the sorted words of known characters."""
-        ids, score, longest, pieces = self.id, self.score, self.longest, self.pieces
+        score, pieces, unigram, backwards, compatible = self.score, self.pieces, self.unigram, self.backwards, self.compatible
         # State after i characters: last piece of the path there, and for unigram its score.
         last, total = [-1], [0.0]
         before, out = "", []
@@ -113,24 +165,35 @@ class Lattice:
                 shared += 1
             del last[shared + 1 :], total[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                choice, best = -1, -np.inf
-                for begin in range(max(0, end - longest), end):
-                    piece = ids.get(word[begin:end])
+                choice, best, node, begin = -2, -math.inf, backwards, end
+                while begin:
+                    begin -= 1
+                    node = node.get(word[begin])
+                    if node is None:
+                        break
+                    piece = node.get("")
                     if piece is None:
                         continue
-                    if self.unigram:
+                    if unigram:
                         value = total[begin] + score[piece]
                         if value > best:
                             choice, best = piece, value
-                    elif last[begin] != -2 and (begin == 0 or self.pair_stays(last[begin], piece)) and (
-                        end - begin == 1 or self.whole(piece)
-                    ):
-                        choice, best = piece, 0.0
-                        break
-                if choice < 0 and self.unigram:
+                    elif begin:
+                        left = last[begin]
+                        if left >= 0:
+                            stays = compatible.get(left << 32 | piece)
+                            if stays is None:
+                                stays = self.whole(piece) and self.pair_stays(left, piece)
+                                compatible[left << 32 | piece] = stays
+                            if stays:
+                                choice = piece
+                                break
+                    elif self.whole(piece):
+                        choice = piece
+                if choice < 0 and unigram:
                     # A known character that is no piece by itself.
-                    choice, best = -3, total[end - 1] + self.worst
-                last.append(choice if choice != -1 else -2)
+                    best = total[end - 1] + self.worst
+                last.append(choice)
                 total.append(best)
             path, at = [], len(word)
             while at > 0:
@@ -145,13 +208,6 @@ class Lattice:
             before = word
         return out
 
-    def whole(self, piece: int) -> bool:
-        """Whether merging the characters of a piece gives the piece."""
-        found = self.compatible.get((-1, piece))
-        if found is None:
-            found = self.compatible[-1, piece] = self.merged(self.pieces[piece]) == [self.pieces[piece]]
-        return found
-
     def decode(self, ids: list[int]) -> str:
         body = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
         return body[1:] if self.dummy and body.startswith(" ") else body
@@ -162,19 +218,39 @@ class Encoder:
 
     def __init__(self, lattice: Lattice, known_words: int = KNOWN_WORDS):
         self.lattice, self.limit = lattice, known_words
+        # Words met since the last turn, and those of the turn before.
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+
+    def words(self, text: str) -> list[str] | None:
+        """The words between single spaces; None where marks could meet, or the first word has none."""
+        if not self.lattice.dummy or not text or MARK in text:
+            return None
+        words = text.split(" ")
+        return None if "" in words else words
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
-        lattice, known = self.lattice, self.known
-        split = [None if t is None else lattice.words.findall(lattice.marked(t)) for t in texts]
-        new = set(chain.from_iterable(w for w in split if w is not None)).difference(known)
-        plain = sorted(w for w in new if w[-1] in lattice.alphabet)
-        fresh = dict(zip(plain, lattice.encode_sorted(plain)))
-        fresh.update((w, lattice.fallback(w)) for w in new if w[-1] not in lattice.alphabet)
-        known.update(fresh)
-        out = [None if w is None else list(chain.from_iterable(map(known.__getitem__, w))) for w in split]
+        lattice, known, older = self.lattice, self.known, self.older
+        simple = [None if t is None else self.words(t) for t in texts]
+        others = [lattice.words.findall(lattice.marked(t)) if t is not None and w is None else None for t, w in zip(texts, simple)]
+        new = set(chain.from_iterable(w for w in simple if w is not None)).difference(known)
+        again = new & older.keys()
+        known.update((w, older[w]) for w in again)
+        new -= again
+        parts = {w: lattice.words.findall(MARK + w) for w in new}
+        pieces = set(chain.from_iterable(parts.values()))
+        pieces.update(chain.from_iterable(w for w in others if w is not None))
+        plain = sorted(w for w in pieces if w[-1] in lattice.alphabet)
+        coded = dict(zip(plain, lattice.encode_sorted(plain)))
+        coded.update((w, lattice.fallback(w)) for w in pieces if w[-1] not in lattice.alphabet)
+        known.update((w, coded[p[0]] if len(p) == 1 else list(chain.from_iterable(coded[x] for x in p))) for w, p in parts.items())
+        out = [
+            list(chain.from_iterable(map(known.__getitem__, w))) if w is not None
+            else None if o is None else list(chain.from_iterable(map(coded.__getitem__, o)))
+            for w, o in zip(simple, others)
+        ]
         if len(known) > self.limit:
-            known.clear()
+            self.older, self.known = known, {}
         return out
 
 
