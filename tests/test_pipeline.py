@@ -1,5 +1,6 @@
 """Reading, writing, the daily run and the stream."""
 
+from datetime import date
 from types import SimpleNamespace
 
 from conftest import SF
@@ -38,9 +39,67 @@ def test_pipeline_loads_what_passes(spark, tmp_path):
     assert rejected.filter("failure_reason IS NULL").count() == 0
     log = spark.read.parquet(f"{tmp_path}/pipeline_run_log").first()
     assert (log.run_id, log.status, log.records_quarantined) == ("run-7", "SUCCESS", rejected.count())
-    run_pipeline(raw, str(tmp_path), "run-8")  # facts are appended, dimensions replaced
+    run_pipeline(raw, str(tmp_path), "run-8")  # another run adds its facts, a repeated one replaces its own
+    run_pipeline(raw, str(tmp_path), "run-8")
     assert spark.read.parquet(f"{tmp_path}/fact_sales").count() == 2 * lines["records_clean"]
+    assert spark.read.parquet(f"{tmp_path}/data_quality_quarantine").count() == 2 * rejected.count()
+    assert spark.read.parquet(f"{tmp_path}/pipeline_run_log").count() == 2
     assert spark.read.parquet(f"{tmp_path}/dim_store").count() == good.stores.count()
+    assert spark.read.parquet(f"{tmp_path}/dim_customer").count() == good.customers.count()
+
+
+def test_daily_run_keeps_history_and_gates_marts(spark, tmp_path):
+    good, house = Inputs(spark, SF), str(tmp_path)
+    raw = SimpleNamespace(
+        spark=spark, customers=good.customers, products=good.products, stores=good.stores, inventory=good.inventory,
+        marketing=good.marketing, orders=good.orders.withColumn("store_id", F.lit("STR-1")), order_lines=good.order_lines,
+    )
+    lines = spark.createDataFrame(good.order_lines.dropDuplicates(["order_line_id"]).collect(), good.order_lines.schema)
+    raw.order_lines = lines
+    first = run_pipeline(raw, house, "d1", date(2001, 8, 2), with_marts=True)
+    assert set(first.published.values()) == {"PUBLISHED"}, first.published
+    people = spark.read.parquet(f"{house}/dim_customer")
+    scored = people.filter("rfm_segment IS NOT NULL").count()
+    assert scored == spark.read.parquet(f"{house}/mart_customer_rfm").count() > 0
+    assert spark.table("tillwise_mart_store_performance").count() > 0
+    before = spark.read.parquet(f"{house}/mart_executive_kpis").count()
+
+    # The next day some customers move, and too many orders are rejected: history grows, marts stay.
+    moved = good.customers.filter("customer_id LIKE '%7'").count()
+    raw.customers = good.customers.withColumn("city", F.when(F.col("customer_id").like("%7"), "Elsewhere").otherwise(F.col("city")))
+    raw.orders = raw.orders.withColumn("order_total_pence", F.when(F.col("order_id").like("%1"), -1).otherwise(F.col("order_total_pence")))
+    second = run_pipeline(raw, house, "d2", date(2001, 8, 3), with_marts=True)
+    assert set(second.published.values()) == {"KEEP_PREVIOUS: reject rate"}
+    assert spark.read.parquet(f"{house}/mart_executive_kpis").count() == before
+    people = spark.read.parquet(f"{house}/dim_customer")
+    assert people.filter("NOT is_current").count() == moved and people.filter("version = 2").count() == moved > 0
+    assert people.filter("is_current AND rfm_segment IS NOT NULL").count() == scored
+    versions = people.count()
+    run_pipeline(raw, house, "d2", date(2001, 8, 3))
+    assert spark.read.parquet(f"{house}/dim_customer").count() == versions
+
+
+def test_unknown_customers_are_rejected(spark):
+    from tillwise.operators import quality
+
+    good = Inputs(spark, SF)
+    orders = good.orders.withColumn("store_id", F.lit("S")).withColumn("customer_id", F.when(F.col("order_id") == "ORD-1", "CUS-X").otherwise(F.col("customer_id")))
+    checked = quality.check_orders(orders, good.customers)
+    rejected = quality.quarantine(quality.failed(checked), "r", "POS").collect()
+    assert [r.failure_reason for r in rejected] == ["UNKNOWN_CUSTOMER"] * orders.filter("customer_id = 'CUS-X'").count()
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from tillwise.functions import scale
+
+    path = scale.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    folder = os.path.dirname(path.removeprefix("file:"))
+    assert os.path.isdir(folder)
+    scale.clear_scratch(spark)
+    assert not os.path.exists(folder)
 
 
 def test_yearly_partitions_are_pruned(spark, tmp_path):

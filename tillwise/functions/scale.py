@@ -21,9 +21,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/tillwise/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{scratch_dir(spark)}/tillwise/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, in the folder of the application."""
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what the application has staged. Call it when no frame built on staged rows is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -114,8 +114,11 @@ def quarantine(failed: DataFrame, run_id: str, source: str) -> DataFrame:
     )
 
 
-def check_orders(df: DataFrame) -> DataFrame:
-    """Orders with the first failed check: missing keys, duplicates, total, date, in this order."""
+def check_orders(df: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Orders with the first failed check: missing keys, duplicates, total, date, customer, in this order.
+
+    The customer is checked where the customers are given.
+    """
     columns = df.columns
     missing = df.withColumn("_missing", first_failure(null_checks(df, ORDER_KEYS)))
     complete = missing.filter(F.col("_missing").isNull()).drop("_missing")
@@ -126,7 +129,11 @@ def check_orders(df: DataFrame) -> DataFrame:
     checks.append(("date_check:order_date", as_date("order_date").isNull()))
     # Incomplete rows never meet a shuffle: a hot null key cannot gather in one task.
     incomplete = missing.filter(F.col("_missing").isNotNull()).withColumnRenamed("_missing", FAILED)
-    return kept.withColumn(FAILED, first_failure(checks)).drop("_first").unionByName(incomplete)
+    if customers is not None:
+        known = customers.select(F.col("customer_id").alias("_known")).filter(F.col("_known").isNotNull()).distinct()
+        kept = kept.join(known, F.col("customer_id") == F.col("_known"), "left")
+        checks.append(("ref_integrity:customer_id", F.col("_known").isNull()))
+    return kept.withColumn(FAILED, first_failure(checks)).select(*columns, FAILED).unionByName(incomplete)
 
 
 def check_order_lines(df: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:

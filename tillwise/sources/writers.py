@@ -38,8 +38,22 @@ def load_table(df: DataFrame, path: str, mode: str = "append", partition_by: str
     return seen.get["rows"]
 
 
+def replace_run(df: DataFrame, path: str, run_id: str, column: str = "pipeline_run_id", partition_by: str | None = None) -> int:
+    """Store a run's rows in a folder of the run, in place of what the same run stored before.
+
+    Readers of the whole table find the run's id as column `column`.
+    """
+    counted, seen = _counted(df.drop(column))
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/{column}={run_id}")
+    return seen.get["rows"]
+
+
 def append_quarantine(df: DataFrame, path: str, run_id: str) -> int:
-    return load_table(df.withColumn("run_id", F.lit(run_id)), path, "append")
+    """Add a run's rejects; a repeated run replaces its own."""
+    return replace_run(df, path, run_id, "run_id")
 
 
 def run_log_row(
@@ -84,8 +98,10 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def publish_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(name)
+def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table of the catalog, stored at `path` or in the session's warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_export(df: DataFrame, path: str) -> None:
