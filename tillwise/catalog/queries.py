@@ -15,6 +15,7 @@ from tillwise.functions.scale import scratch_path, stage
 from tillwise.operators import (
     attribution, data_tests, dims, facts, forecast, intermediate, inventory, marts, quality, reports, segments, staging,
 )
+from tillwise.plans.pipeline import MART_TESTS
 from tillwise.session import tune
 from tillwise.sources import adapters, readers, writers
 from tillwise.sources.adapters import Inputs
@@ -853,9 +854,28 @@ def _(raw):
 
 # --- dashboards -----------------------------------------------------------------------------
 
+_published: dict[tuple[str, str, str], str] = {}
+
+
+def published(raw: Inputs, name: str, build: Callable[[Inputs], DataFrame]) -> DataFrame:
+    """A stored mart: built, tested and published when a dashboard first asks for it, then read from its files."""
+    key = (raw.spark.sparkContext.applicationId, raw.folder, name)
+    if key not in _published:
+        folder = scratch_path(raw.spark, "marts")
+        table = f"tillwise_{folder.rsplit('-', 1)[1]}_{name}"
+        data_tests.gate(build(raw), name, MART_TESTS[name], lambda staged: writers.publish_table(staged, table, f"{folder}/{name}"))
+        _published[key] = folder
+    return readers.read_table(raw.spark, name, _published[key])
+
+
+def stored_stock(raw: Inputs) -> DataFrame:
+    return published(raw, "mart_inventory_status", inventory_status)
+
+
 @query("dash_kpi_cards")
 def _(raw):
-    return reports.kpi_cards(marts.daily_sales_kpis(star(raw), START), date(2001, 7, 1), date(2001, 7, 28))
+    kpis = published(raw, "mart_executive_kpis", lambda r: marts.mart_executive_kpis(star(r), START))
+    return reports.kpi_cards(kpis, date(2001, 7, 1), date(2001, 7, 28))
 
 
 @query("dash_revenue_region")
@@ -875,32 +895,32 @@ def _(raw):
 
 @query("dash_top_customers")
 def _(raw):
-    return reports.top_customers(rfm(raw))
+    return reports.top_customers(published(raw, "mart_customer_rfm", rfm))
 
 
 @query("dash_stock_status")
 def _(raw):
-    return reports.status_by_category(inventory_status(raw))
+    return reports.status_by_category(stored_stock(raw))
 
 
 @query("dash_days_hist")
 def _(raw):
-    return reports.days_of_stock_histogram(inventory_status(raw))
+    return reports.days_of_stock_histogram(stored_stock(raw))
 
 
 @query("dash_critical_stock")
 def _(raw):
-    return reports.critical_stock(inventory_status(raw))
+    return reports.critical_stock(stored_stock(raw))
 
 
 @query("dash_lost_revenue")
 def _(raw):
-    return reports.lost_revenue(inventory_status(raw))
+    return reports.lost_revenue(stored_stock(raw))
 
 
 @query("dash_campaign_scatter")
 def _(raw):
-    return reports.spend_vs_revenue(marketing_attribution(raw))
+    return reports.spend_vs_revenue(published(raw, "mart_marketing_attribution", marketing_attribution))
 
 
 @query("dash_filtered_kpis")
