@@ -602,7 +602,8 @@ def weekly(raw: Inputs) -> DataFrame:
 
 
 def product_daily(raw: Inputs, first: date | None = None, last: date | None = None) -> DataFrame:
-    fc = forecast.moving_average_forecast(weekly(raw))
+    # A few rows per week, read by every branch of the forecast.
+    fc = stage(forecast.moving_average_forecast(stage(weekly(raw), "weekly")), "forecast")
     return forecast.product_daily_forecast(fc, raw.order_lines, raw.orders, raw.products, first_day=first, last_day=last)
 
 

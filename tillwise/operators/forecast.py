@@ -196,7 +196,12 @@ def product_daily_forecast(
         days = days.filter(F.col("forecast_date") >= F.lit(first_day))
     if last_day is not None:
         days = days.filter(F.col("forecast_date") <= F.lit(last_day))
-    sales = lines.filter(~F.col("is_returned")).join(orders.select("order_id", "order_date"), "order_id")
+    # Only orders that can be in some category's last weeks are joined: a one-row bound cuts the others.
+    earliest = last_actual.agg(F.min("_last").alias("_earliest"))
+    late = orders.select("order_id", "order_date").crossJoin(F.broadcast(earliest)).filter(
+        F.col("order_date") > F.date_sub("_earliest", 7 * weeks)
+    )
+    sales = lines.filter(~F.col("is_returned")).join(late.select("order_id", "order_date"), "order_id")
     per_day = sales.groupBy("product_id", "order_date").agg(F.sum("units_sold").alias("units"))
     known = per_day.join(products.select(F.col("product_id").alias("_id"), "category"), F.col("product_id") == F.col("_id"))
     recent = null_safe_join(known, last_actual.withColumnRenamed("category", "_category"), {"category": "_category"}).filter(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import date_key, gbp, percent, ratio, safe_divide, surrogate_key
@@ -175,24 +175,20 @@ def int_customer_orders(
 ) -> DataFrame:
     """One row per customer over lines that were not returned: recency, frequency, value, habits.
 
-    The additive measures and the top category come from one aggregation over (customer,
-    category). Distinct dates and orders come from a second pass that reads nothing but
-    order ids, so no row is repeated per distinct count. `window_months` limits the history
-    to the months before `as_of`, `until` to orders before a day (the state of an earlier run).
+    Lines meet their orders once. Sums are taken per order and category where the join left the rows;
+    an order's first category row stands for the order, and a day's first row for the day, so distinct
+    orders and days are sums too. `window_months` limits the history to the months before `as_of`,
+    `until` to orders before a day (the state of an earlier run).
     """
     sales = not_returned(int_sales_enriched(star))
-    visits = not_returned(int_sales_enriched(star, parts=("date", "customer")))
     if window_months is not None:
-        since = F.add_months(F.lit(as_of), -window_months)
-        sales, visits = sales.filter(F.col("order_date") >= since), visits.filter(F.col("order_date") >= since)
+        sales = sales.filter(F.col("order_date") >= F.add_months(F.lit(as_of), -window_months))
     if until is not None:
-        before = F.col("order_date") < F.lit(until)
-        sales, visits = sales.filter(before), visits.filter(before)
+        sales = sales.filter(F.col("order_date") < F.lit(until))
 
+    who = ["customer_id", *CUSTOMER_GROUP]
     one = F.lit(1)
-    per_category = sales.groupBy("customer_id", *CUSTOMER_GROUP, "category").agg(
-        F.max("order_date").alias("last_purchase_date"),
-        F.min("order_date").alias("first_purchase_date"),
+    per_order = sales.groupBy(*who, "order_date", "order_id", "category").agg(
         F.sum("units_sold").alias("units"),
         F.sum("net_revenue_pence").alias("revenue"),
         F.sum("gross_profit_pence").alias("profit"),
@@ -202,21 +198,28 @@ def int_customer_orders(
         F.count_if(F.col("store_type") == "Online").alias("online_orders"),
         F.count_if(F.col("store_type") == "Physical").alias("instore_orders"),
     )
-    totals = per_category.groupBy("customer_id", *CUSTOMER_GROUP).agg(
+    added = ["units", "revenue", "profit", "lines", "weekend_orders", "promo_orders", "online_orders", "instore_orders"]
+
+    def first_row(key: str) -> Column:
+        """1 on one row of each order (or day) of a customer; at most one row per category each."""
+        place = F.row_number().over(Window.partitionBy("customer_id", key).orderBy("category"))
+        return ((place == 1) & F.col(key).isNotNull()).cast("bigint")
+
+    marked = per_order.withColumn("orders", first_row("order_id"))
+    # One exchange serves the sums per day and the mark of the day.
+    per_day = marked.repartition("customer_id", "order_date").groupBy(*who, "order_date", "category").agg(
+        *[F.sum(c).alias(c) for c in (*added, "orders")]
+    ).withColumn("days", first_row("order_date"))
+    added += ["orders", "days"]
+    per_category = per_day.groupBy(*who, "category").agg(
+        F.max("order_date").alias("last_purchase_date"), F.min("order_date").alias("first_purchase_date"), *[F.sum(c).alias(c) for c in added]
+    )
+    joined = per_category.groupBy(*who).agg(
         _best_category().alias("top_category"),
         F.max("last_purchase_date").alias("last_purchase_date"),
         F.min("first_purchase_date").alias("first_purchase_date"),
-        *[F.sum(c).alias(c) for c in ("units", "revenue", "profit", "lines", "weekend_orders", "promo_orders",
-                                      "online_orders", "instore_orders")],
-    )
-    per_day = (
-        visits.groupBy("customer_id", "order_date", "order_id").agg(F.lit(1).alias("_seen"))
-        .groupBy("customer_id", "order_date").agg(F.count("order_id").alias("orders"))
-    )
-    habits = per_day.groupBy(F.col("customer_id").alias("_who")).agg(
-        F.count("order_date").alias("purchase_frequency"), F.sum("orders").alias("total_orders")
-    )
-    joined = totals.join(habits, F.col("customer_id").eqNullSafe(F.col("_who")), "left")
+        *[F.sum(c).alias(c) for c in added],
+    ).withColumnsRenamed({"orders": "total_orders", "days": "purchase_frequency"})
     day = F.lit(as_of).cast("date")
     return joined.select(
         "customer_id", *CUSTOMER_GROUP,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import ratio
@@ -22,17 +22,17 @@ def rag_status(stock: Column, reorder_point: Column, policy: str = "reorder_poin
 
 
 def with_stock_status(inventory: DataFrame, policy: str = "reorder_point") -> DataFrame:
-    """Add status and days of stock (stock over mean units sold per snapshot of the product in the store)."""
-    sold = inventory.groupBy(F.col("product_id").alias("_product"), F.col("store_id").alias("_store")).agg(
-        F.sum("units_sold").alias("_units"), F.count(F.lit(1)).alias("_days")
-    )
-    joined = inventory.join(sold, (F.col("product_id") == F.col("_product")) & (F.col("store_id") == F.col("_store")))
-    return joined.withColumns(
+    """Add status and days of stock (stock over mean units sold per snapshot of the product in the store).
+
+    A product has one snapshot a day in a store, so a window group is bounded by the calendar.
+    """
+    pair = Window.partitionBy("product_id", "store_id")
+    return inventory.withColumns({"_units": F.sum("units_sold").over(pair), "_days": F.count(F.lit(1)).over(pair)}).withColumns(
         {
             "stock_status": rag_status(F.col("stock_on_hand"), F.col("reorder_point"), policy),
             "days_of_stock_remaining": ratio("stock_on_hand * _days", "_units", 1),
         }
-    ).drop("_product", "_store", "_units", "_days")
+    ).drop("_units", "_days")
 
 
 def next_days_demand(product_daily: DataFrame, as_of: date, days: int = 7) -> DataFrame:
