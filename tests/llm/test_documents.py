@@ -280,6 +280,54 @@ def test_substring_dedup(spark):
     assert substring_dedup.remove_passages(edges.empty(spark)).count() == 0
 
 
+def passages_removed(rows, min_words=20):
+    """Per row the kept text, by looking every sentence up among all earlier ones."""
+    ends = re.compile(r"\n|[.!?]+(?=\s)")
+    cut, first = [], {}
+    for i, t in rows:
+        out, start = [], 0
+        for m in [*ends.finditer(t or ""), None]:
+            end = m.end() if m else len(t or "")
+            w = tuple(PLAIN.findall(low((t or "")[start:end])))
+            if w:
+                out.append((w, start, end))
+            start = end
+        cut.append(out)
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0))
+    for k in order:
+        for p, (w, _, _) in enumerate(cut[k]):
+            first.setdefault(w, (rows[k], p))
+    kept = []
+    for (i, t), out in zip(rows, cut):
+        drop, group = [], []
+        for p, (w, a, b) in enumerate([*out, (None, 0, 0)]):
+            if w is not None and first[w] != ((i, t), p):
+                group.append((w, a, b))
+                continue
+            if sum(len(g[0]) for g in group) >= min_words:
+                drop.append((group[0][1], group[-1][2]))
+            group = []
+        text, at = "", 0
+        for a, b in drop:
+            text, at = text + t[at:a], b
+        kept.append((i, None if t is None else text + t[at:]))
+    return kept
+
+
+def test_passages_against_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(9000 + k, t) for k, (_, t) in enumerate(edges.texts())] + [(None, rows[0][1] + " More words here.")]
+    got = [(r["row"]["doc_id"], r["kept_text"]) for r in substring_dedup.remove_passages(edges.table(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, passages_removed(rows)))
+
+
+@pytest.mark.parametrize("kind", ["line", "paragraph"])
+def test_other_units(spark, kind):
+    rows = [(1, "First line is short\n\n" + " ".join(edges.words(30, 1))), (2, " ".join(edges.words(30, 1)).upper() + "\n\nNew end")]
+    got = {r["row"]["doc_id"]: r["kept_text"] for r in substring_dedup.remove_passages(edges.table(spark, rows), kind=kind).collect()}
+    assert got == {1: rows[0][1], 2: "New end" if kind == "paragraph" else "\nNew end"}
+
+
 # --- licences ---------------------------------------------------------------------------------
 
 def test_license_places(spark):
@@ -296,6 +344,27 @@ def test_license_places(spark):
     assert got[7]["duty"] is None and 0 < got[7]["score"] < 1
 
 
+def test_licenses_against_brute_force(spark):
+    """Every phrase looked up at every word of every document."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()] + edges.texts()
+    rows += [(7000, "cc by cc by cc-by-nc 4.0 MIT license mit"), (7001, "the apache license version 2 0 bsd 3 clause ISC License")]
+    phrases = {tuple(p.split()): (p in licenses.BASE, label) for p, label in (licenses.BASE | licenses.NOTICES).items()}
+    expected = []
+    for i, t in rows:
+        w = PLAIN.findall(low(t or ""))
+        places, labels = [], set()
+        for k in range(len(w)):
+            for p, (base, label) in phrases.items():
+                if tuple(w[k : k + len(p)]) == p:
+                    labels.add(label)
+                    places += [(k, label)] if base else []
+        expected.append((i, len(w), len(places), min(places)[0] if places else None, max(places)[0] if places else None,
+                         ",".join(sorted({x for _, x in places})), ",".join(sorted(labels))))
+    got = [(r["row"]["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"])
+           for r in licenses.scan_licenses(edges.table(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and sum(g[2] > 0 for g in got) > 20
+
+
 @pytest.mark.parametrize("text, order", [
     ("MIT", ["mit"]), ("A OR B AND C", ["a", "b", "c", "and", "or"]), ("(A OR B) AND C", ["a", "b", "or", "c", "and"]),
     ("A WITH E OR B", ["a", "e", "with", "b", "or"]), ("A B", None), ("", None), ("(A", None), ("A)", None), ("OR A", None), ("A AND", None), ("()", None),
