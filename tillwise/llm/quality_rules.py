@@ -152,7 +152,9 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", carry
     # Measured once; the totals and the documents both read the written rows.
     measured = stage(inner, "quality")
     rates = host_rates(measured, "host")
-    verdicts = rates.select(F.col("host").alias("v_host"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate"))
+    # Written, so that its size is known when the join is planned: few hosts are broadcast by Spark itself,
+    # and the documents stay where they are; many are joined by shuffles, in which a hot host is split.
+    verdicts = stage(rates.select(F.col("host").alias("v_host"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate")), "hosts")
     fails_any = F.col("fail_base") | F.col("fail_symbols") | F.col("fail_duplicate_lines") | F.col("fail_word_length")
     joined = null_safe_join(measured, verdicts, {"host": "v_host"})
     bad = F.col("host_rate") > HOST_LIMIT
