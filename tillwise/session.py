@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime settings; all can be changed on a live session.
@@ -18,8 +22,30 @@ RUNTIME_CONF = {
 }
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application.
+
+    Their Python workers then need no copy of it on their own path. Spark serves the archive to them
+    for as long as the application runs; it is removed when the driver's Python ends.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = tempfile.TemporaryDirectory(prefix="tillwise-")
+    root, archive = Path(__file__).parent, f"{folder.name}/tillwise.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(archive)
+    _shipped[context.applicationId] = folder
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session, and send the package along."""
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
