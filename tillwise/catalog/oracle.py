@@ -255,7 +255,20 @@ SELECT product_id, product_name, {TITLE('category')} AS category, {TITLE('subcat
   {SK('product_id')} AS product_key, CAST(NULL AS VARCHAR) AS supplier_name, CAST(NULL AS DATE) AS discontinue_date, {VERSION} FROM raw_products""")
 cte("dim_store", f"SELECT *, {SK('store_id')} AS store_key, 'United Kingdom' AS country, {VERSION} FROM raw_stores")
 HOLIDAYS = " UNION ALL ".join(f"SELECT '{n}' AS holiday_name, DATE '{d}' AS holiday_date" for n, d in model.UK_HOLIDAYS)
-cte("holidays", HOLIDAYS)
+cte("computus", """
+SELECT y, make_date(y, e // 31, e % 31 + 1) AS easter FROM (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS e FROM (
+SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM (
+SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM (
+SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM (SELECT unnest(range(1990, 2031)) AS y)))))""")
+cte("rule_holidays", """
+SELECT 'New Year' AS holiday_name, make_date(y, 1, 1) + CASE WHEN isodow(make_date(y, 1, 1)) = 7 THEN 1 ELSE 0 END AS holiday_date FROM computus
+UNION ALL SELECT 'Good Friday', easter - 2 FROM computus UNION ALL SELECT 'Easter Monday', easter + 1 FROM computus
+UNION ALL SELECT 'Early May Bank', make_date(y, 5, 1) + CAST((8 - isodow(make_date(y, 5, 1))) % 7 AS INTEGER) FROM computus
+UNION ALL SELECT 'Spring Bank', make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER) FROM computus
+UNION ALL SELECT 'Summer Bank', make_date(y, 8, 31) - CAST(isodow(make_date(y, 8, 31)) - 1 AS INTEGER) FROM computus
+UNION ALL SELECT 'Christmas Day', make_date(y, 12, 25) FROM computus UNION ALL SELECT 'Boxing Day', make_date(y, 12, 26) FROM computus""")
+cte("fixed_holidays", HOLIDAYS)
+cte("holidays", "SELECT * FROM fixed_holidays UNION ALL SELECT * FROM rule_holidays WHERE year(holiday_date) NOT IN (SELECT year(holiday_date) FROM fixed_holidays)")
 PROMO = " OR ".join(f"month(d) * 100 + day(d) BETWEEN {a} AND {b}" for a, b in model.PROMO_PERIODS)
 cte("cal", f"""
 SELECT {DKEY('d')} AS date_key, d AS full_date, dayname(d) AS day_of_week, isodow(d) AS day_of_week_num, week(d) AS week_number, month(d) AS month_num,
@@ -278,18 +291,6 @@ SELECT {SK('campaign_id')} AS campaign_key, campaign_id, campaign_id AS campaign
   {BIG('sum(spend_pence) AS budget_pence')}, 'Conversion' AS objective FROM raw_marketing GROUP BY campaign_id""")
 oracle("dim_campaign", "SELECT * FROM campaigns")
 cte("all_days", """SELECT order_date AS day, 1 AS o, 0 AS e FROM raw_orders UNION ALL SELECT CAST(ts AS DATE), 0, 1 FROM events""")
-cte("computus", """
-SELECT y, make_date(y, e // 31, e % 31 + 1) AS easter FROM (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS e FROM (
-SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM (
-SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM (
-SELECT DISTINCT year(day) AS y, year(day) % 19 AS a, year(day) // 100 AS b, year(day) % 100 AS c FROM all_days))))""")
-cte("rule_holidays", """
-SELECT 'New Year' AS holiday_name, make_date(y, 1, 1) + CASE WHEN isodow(make_date(y, 1, 1)) = 7 THEN 1 ELSE 0 END AS holiday_date FROM computus
-UNION ALL SELECT 'Good Friday', easter - 2 FROM computus UNION ALL SELECT 'Easter Monday', easter + 1 FROM computus
-UNION ALL SELECT 'Early May Bank', make_date(y, 5, 1) + CAST((8 - isodow(make_date(y, 5, 1))) % 7 AS INTEGER) FROM computus
-UNION ALL SELECT 'Spring Bank', make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER) FROM computus
-UNION ALL SELECT 'Summer Bank', make_date(y, 8, 31) - CAST(isodow(make_date(y, 8, 31)) - 1 AS INTEGER) FROM computus
-UNION ALL SELECT 'Christmas Day', make_date(y, 12, 25) FROM computus UNION ALL SELECT 'Boxing Day', make_date(y, 12, 26) FROM computus""")
 oracle("dim_holiday_effects", f"""SELECT holiday_name, year(day) AS effect_year, {BIG('sum(o) AS orders', 'sum(e) AS events')}
 FROM all_days JOIN (SELECT holiday_name, holiday_date + unnest([0, 1]) AS effect_date FROM rule_holidays) ON day = effect_date GROUP BY 1, 2""")
 oracle("key_surrogate", f"SELECT product_id, {SK('product_id')} AS product_key FROM raw_products")

@@ -86,27 +86,39 @@ def holiday_effects(spark: SparkSession) -> DataFrame:
     return effect_days(uk_holidays(spark))
 
 
+# The holidays of a year by rule, from the columns that `_with_feasts` adds.
+HOLIDAY_RULES = {
+    "New Year": "IF(weekday(_first) = 6, date_add(_first, 1), _first)",
+    "Good Friday": "date_sub(_easter, 2)",
+    "Easter Monday": "date_add(_easter, 1)",
+    "Early May Bank": "date_add(_may, (7 - weekday(_may)) % 7)",
+    "Spring Bank": "date_sub(_end_may, weekday(_end_may))",
+    "Summer Bank": "date_sub(_end_august, weekday(_end_august))",
+    "Christmas Day": "_christmas",
+    "Boxing Day": "date_add(_christmas, 1)",
+}
+
+
+def _with_feasts(df: DataFrame) -> DataFrame:
+    """Add the days that holidays are counted from to rows with a year `_y`; Easter by the anonymous Gregorian computus."""
+    first = df.selectExpr("*", "_y % 19 AS _a", "_y div 100 AS _b", "_y % 100 AS _c")
+    moon = first.selectExpr("*", "(19 * _a + _b - _b div 4 - (_b - (_b + 8) div 25 + 1) div 3 + 15) % 30 AS _h")
+    week = moon.selectExpr("*", "(32 + 2 * (_b % 4) + 2 * (_c div 4) - _h - _c % 4) % 7 AS _l")
+    place = week.selectExpr("*", "_h + _l - 7 * ((_a + 11 * _h + 22 * _l) div 451) + 114 AS _e")
+    return place.selectExpr(
+        "*", "make_date(_y, CAST(_e div 31 AS INT), CAST(_e % 31 + 1 AS INT)) AS _easter", "make_date(_y, 1, 1) AS _first",
+        "make_date(_y, 5, 1) AS _may", "make_date(_y, 5, 31) AS _end_may", "make_date(_y, 8, 31) AS _end_august", "make_date(_y, 12, 25) AS _christmas",
+    )
+
+
 def bank_holidays(years: DataFrame, year: str = "year") -> DataFrame:
     """(holiday_name, holiday_date) by rule, for any years.
 
-    Easter by the anonymous Gregorian computus. A New Year's Day on a Sunday moves to Monday; days of
-    a single year, such as a jubilee, are not known to a rule.
+    A New Year's Day on a Sunday moves to Monday; days of a single year, such as a jubilee, are not known to a rule.
     """
-    y = years.select(F.col(year).cast("int").alias("y")).filter("y IS NOT NULL").distinct()
-    moon = y.selectExpr("y", "y % 19 AS a", "y div 100 AS b", "y % 100 AS c").selectExpr(
-        "*", "(19 * a + b - b div 4 - (b - (b + 8) div 25 + 1) div 3 + 15) % 30 AS h"
-    ).selectExpr("*", "(32 + 2 * (b % 4) + 2 * (c div 4) - h - c % 4) % 7 AS l").selectExpr(
-        "y", "h + l - 7 * ((a + 11 * h + 22 * l) div 451) + 114 AS e"
-    )
-    days = moon.selectExpr(
-        "make_date(y, CAST(e div 31 AS INT), CAST(e % 31 + 1 AS INT)) AS easter", "make_date(y, 1, 1) AS first",
-        "make_date(y, 5, 1) AS may", "make_date(y, 5, 31) AS end_may", "make_date(y, 8, 31) AS end_august", "make_date(y, 12, 25) AS christmas",
-    )
-    return days.selectExpr("""stack(8,
-        'New Year', IF(weekday(first) = 6, date_add(first, 1), first), 'Good Friday', date_sub(easter, 2), 'Easter Monday', date_add(easter, 1),
-        'Early May Bank', date_add(may, (7 - weekday(may)) % 7), 'Spring Bank', date_sub(end_may, weekday(end_may)),
-        'Summer Bank', date_sub(end_august, weekday(end_august)), 'Christmas Day', christmas, 'Boxing Day', date_add(christmas, 1)
-    ) AS (holiday_name, holiday_date)""")
+    feasts = _with_feasts(years.select(F.col(year).cast("int").alias("_y")).filter("_y IS NOT NULL").distinct())
+    pairs = ", ".join(f"'{name}', {rule}" for name, rule in HOLIDAY_RULES.items())
+    return feasts.selectExpr(f"stack({len(HOLIDAY_RULES)}, {pairs}) AS (holiday_name, holiday_date)")
 
 
 def effect_days(holidays: DataFrame) -> DataFrame:
@@ -126,11 +138,16 @@ def describe_dates(spine: DataFrame) -> DataFrame:
         F.when(F.month(d).between(3, 5), "Spring").when(F.month(d).between(6, 8), "Summer")
         .when(F.month(d).between(9, 11), "Autumn").otherwise("Winter")
     )
-    # Sixteen fixed rows, so the broadcast has a known size.
-    holidays = F.broadcast(uk_holidays(spine.sparkSession))
+    # Sixteen fixed rows, so the broadcast has a known size; the days of other years follow the rules.
+    fixed = F.broadcast(uk_holidays(spine.sparkSession).withColumnRenamed("holiday_name", "_fixed"))
+    listed = sorted({int(day[:4]) for _, day in model.UK_HOLIDAYS})
+    cases = " ".join(f"WHEN calendar_date = {rule} THEN '{name}'" for name, rule in HOLIDAY_RULES.items())
+    by_rule = F.when(~F.col("_y").isin(listed), F.expr(f"CASE {cases} END"))
+    days = _with_feasts(spine.withColumn("_y", F.year(d))).join(fixed, d == F.col("holiday_date"), "left")
+    holiday = F.coalesce("_fixed", by_rule)
     # ISO year of the week: the year its Thursday falls in.
     thursday = F.date_add(d, (F.lit(3) - F.weekday(d)).cast("int"))
-    return spine.join(holidays, d == F.col("holiday_date"), "left").select(
+    return days.select(
         date_key(d).alias("date_key"),
         d.alias("full_date"),
         F.date_format(d, "EEEE").alias("day_of_week"),
@@ -142,8 +159,8 @@ def describe_dates(spine: DataFrame) -> DataFrame:
         F.year(d).cast("bigint").alias("year"),
         F.year(thursday).cast("bigint").alias("iso_year"),
         (F.weekday(d) >= 5).alias("is_weekend"),
-        F.col("holiday_date").isNotNull().alias("is_uk_public_holiday"),
-        "holiday_name",
+        holiday.isNotNull().alias("is_uk_public_holiday"),
+        holiday.alias("holiday_name"),
         promo.alias("is_promotional"),
         season.alias("season"),
     )
