@@ -413,14 +413,12 @@ def katz_brute(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [2048, 1])
-def test_katz(spark, monkeypatch, hot):
-    monkeypatch.setattr(katz_lm, "HOT", hot)
-    monkeypatch.setattr(katz_lm, "BLOCK_TOKENS", 500)
-    monkeypatch.setattr(katz_lm, "BUCKET_ENTRIES", 3000)
+@pytest.mark.parametrize("hot", [2048, 5, 0])
+def test_katz(spark, hot):
     rows = edges.texts() + [(k, " ".join(edges.words(80, k, 60))) for k in range(500, 560)]
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
-    got = katz_lm.score(edges.table(spark, rows), held_out).collect()
+    options = {"block_tokens": 500, "word_entries": 3000, "pair_tokens": 3000, "hot": hot}
+    got = katz_lm.score(edges.table(spark, rows), held_out, **options).collect()
     expected = katz_brute(rows)
     assert len(got) == len(rows)
     for r in got:

@@ -35,7 +35,8 @@ from tillwise.functions.scale import stage
 
 BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 60_000
-BUCKET_ENTRIES = 1_000_000
+WORD_ENTRIES = 1_000_000  # entries of word lists in a bucket
+PAIR_TOKENS = 1_500_000  # tokens whose pairs are in a bucket
 HOT = 2048  # contexts dealt out by pair: no other word can have more than 1/HOT of the tokens
 CUTOFF = 5  # counts up to this are discounted
 END = np.uint64(1)
@@ -84,36 +85,39 @@ BLOCKS = (
 )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
-    pack = zstandard.ZstdCompressor(level=1).compress
-    ids, train, docs, size = [], [], [], 0
-
-    def block() -> pa.RecordBatch:
-        lengths = np.array([len(d) for d in docs], np.int32)
-        words, places = np.unique(np.concatenate(docs), return_inverse=True)
-        learned = np.repeat(np.array(train, bool), lengths)
-        counts = np.bincount(places[learned], minlength=len(words))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
-             pa.array([lengths.tolist()], pa.list_(pa.int32())), pa.array([_pack(words, np.uint64)], pa.binary()),
-             pa.array([_pack(counts, np.uint32)], pa.binary()), pa.array([pack(_pack(places, np.uint32))], pa.binary()),
-             pa.array([len(places)], pa.int64()), pa.array([len(words)], pa.int64())],
-            names=["block", "ids", "train", "lengths", "words", "counts", "tokens", "n_tokens", "n_words"],
-        )
-
-    for batch in batches:
-        for i, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
-            ids.append(i)
-            train.append(t)
-            docs.append(tokens(text))
-            size += len(docs[-1])
-            if size >= BLOCK_TOKENS or len(docs) >= BLOCK_DOCS:
-                yield block()
-                number += 1
-                ids, train, docs, size = [], [], [], 0
-    if docs:
-        yield block()
+def _blocks(block_tokens: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        pack = zstandard.ZstdCompressor(level=1).compress
+        ids, train, docs, size = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            lengths = np.array([len(d) for d in docs], np.int32)
+            words, places = np.unique(np.concatenate(docs), return_inverse=True)
+            learned = np.repeat(np.array(train, bool), lengths)
+            counts = np.bincount(places[learned], minlength=len(words))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
+                 pa.array([lengths.tolist()], pa.list_(pa.int32())), pa.array([_pack(words, np.uint64)], pa.binary()),
+                 pa.array([_pack(counts, np.uint32)], pa.binary()), pa.array([pack(_pack(places, np.uint32))], pa.binary()),
+                 pa.array([len(places)], pa.int64()), pa.array([len(words)], pa.int64())],
+                names=["block", "ids", "train", "lengths", "words", "counts", "tokens", "n_tokens", "n_words"],
+            )
+
+        for batch in batches:
+            for i, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
+                ids.append(i)
+                train.append(t)
+                docs.append(tokens(text))
+                size += len(docs[-1])
+                if size >= block_tokens or len(docs) >= BLOCK_DOCS:
+                    yield block()
+                    number += 1
+                    ids, train, docs, size = [], [], [], 0
+        if docs:
+            yield block()
+
+    return run
 
 
 def _slices(buckets: int):
@@ -216,14 +220,14 @@ class Unigrams:
         return np.where(ids >= START_ID, self.unknown, self.share[at])
 
 
-PAIRS = "bucket bigint, block bigint, n_docs int, pairs binary, base binary, known binary"
+PAIRS = "bucket bigint, block bigint, pairs binary, base binary, known binary"
 _CHUNK = (("v", np.uint32), ("w", np.uint32), ("learned", np.uint32), ("places", np.uint32), ("docs", np.uint16))
 
 
 def _pack_chunk(arrays: list[np.ndarray]) -> bytes:
     """Pairs of a block and bucket, compressed. Bytes of equal weight stand together, which packs best."""
     n = np.array([len(arrays[0]), len(arrays[-1])], np.int64).tobytes()
-    parts = [np.ascontiguousarray(a, k).view(np.uint8).reshape(len(a), -1).T.tobytes() for a, (_, k) in zip(arrays, _CHUNK)]
+    parts = [np.ascontiguousarray(a, k).view(np.uint8).reshape(len(a), np.dtype(k).itemsize).T.tobytes() for a, (_, k) in zip(arrays, _CHUNK)]
     return n + zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -238,7 +242,7 @@ def _unpack_chunk(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def _pairs(unigrams, buckets: int):
+def _pairs(unigrams, buckets: int, hot_words: int):
     """A block's distinct pairs by bucket: learned count, number of places, and the documents of the places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +267,7 @@ def _pairs(unigrams, buckets: int):
                 places = np.diff(np.append(first, len(v)))
                 learned = np.add.reduceat(np.array(row["train"], bool)[doc].astype(np.int64), first)
                 pv, pw = v[first], w[first]
-                hot = (pv < HOT) | (pv == START_ID)
+                hot = (pv < hot_words) | (pv == START_ID)
                 mixed = (np.where(hot, pv * np.uint64(0x9E3779B97F4A7C15) + pw, pv) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
                 mixed ^= mixed >> np.uint64(29)
                 bucket = (((mixed * np.uint64(0x94D049BB133111EB)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
@@ -283,9 +287,8 @@ def _pairs(unigrams, buckets: int):
                     chunks = [_pack_chunk([*(a[cut[k] : cut[k + 1]] for a in (pv, pw, learned, size)), docs[doc_cut[k] : doc_cut[k + 1]]]) for k in span]
                     once = lambda a: pa.array([_pack(a, np.float64) if k == home else None for k in span], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(span, pa.int64()), pa.array([row["block"]] * len(span), pa.int64()),
-                         pa.array([len(lengths)] * len(span), pa.int32()), pa.array(chunks, pa.binary()), once(base), once(known)],
-                        names=["bucket", "block", "n_docs", "pairs", "base", "known"],
+                        [pa.array(span, pa.int64()), pa.array([row["block"]] * len(span), pa.int64()), pa.array(chunks, pa.binary()), once(base), once(known)],
+                        names=["bucket", "block", "pairs", "base", "known"],
                     )
 
     return run
@@ -296,9 +299,10 @@ class _Bucket:
 
     def __init__(self, group: pa.Table):
         chunks = [_unpack_chunk(x) for x in group["pairs"].to_pylist()]
+        both = [(c.pop("v").astype(np.uint64) << np.uint64(32)) | c.pop("w") for c in chunks]
+        pairs, self.place = np.unique(np.concatenate(both), return_inverse=True)
+        learned = np.concatenate([c.pop("learned") for c in chunks])
         self.chunks = chunks
-        v, w, learned = (np.concatenate([c[k] for c in chunks]).astype(np.uint64) for k in ("v", "w", "learned"))
-        pairs, self.place = np.unique((v << np.uint64(32)) | w, return_inverse=True)
         self.counts = np.bincount(self.place, weights=learned, minlength=len(pairs)).astype(np.int64)
         self.v, self.w = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(2**32 - 1)).astype(np.int64)
         self.first = np.flatnonzero(np.append(True, self.v[1:] != self.v[:-1])) if len(pairs) else np.empty(0, np.int64)
@@ -324,17 +328,17 @@ def _factors(group: pa.Table) -> np.ndarray:
     return discounts({r: n[r] for r in range(1, CUTOFF + 2)})
 
 
-def _hot_sums(unigrams):
+def _hot_sums(unigrams, hot_words: int):
     def run(group: pa.Table) -> pa.Table:
         bucket = _Bucket(group)
         sums = bucket.context_sums(unigrams.value, _factors(group))
-        hot = (bucket.contexts < HOT) | (bucket.contexts == START_ID)
+        hot = (bucket.contexts < hot_words) | (bucket.contexts == START_ID)
         return pa.table({"v": pa.array(bucket.contexts[hot], pa.int64())} | {c: pa.array(x[hot], pa.float64()) for c, x in zip(("c", "k", "b"), sums)})
 
     return run
 
 
-def _score(unigrams):
+def _score(unigrams, hot_words: int):
     """Sums of log10 P(w|v) of a bucket's pairs for each document of each block."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -342,7 +346,7 @@ def _score(unigrams):
         factors = _factors(group)
         count, kept, below = bucket.context_sums(model, factors)
         hot = {x["v"]: x for x in group["hot"][0].as_py() or ()}
-        for k in np.flatnonzero((bucket.contexts < HOT) | (bucket.contexts == START_ID)) if len(bucket.contexts) else ():
+        for k in np.flatnonzero((bucket.contexts < hot_words) | (bucket.contexts == START_ID)) if len(bucket.contexts) else ():
             x = hot[int(bucket.contexts[k])]
             count[k], kept[k], below[k] = x["c"], x["k"], x["b"]
         # A context whose counts are all too high for a discount gets one more, unseen, token.
@@ -351,14 +355,16 @@ def _score(unigrams):
         of = np.repeat(np.arange(len(bucket.first)), np.diff(np.append(bucket.first, len(bucket.v))))
         seen = factors[np.minimum(bucket.counts, len(factors) - 1)] * bucket.counts / whole[of]
         logs = np.log10(np.where(bucket.counts > 0, seen, alpha[of] * model.probability(bucket.w)))
-        n_docs = np.array(group["n_docs"].to_pylist(), np.int64)
-        start = np.cumsum(n_docs) - n_docs
-        docs = [c["docs"] for c in bucket.chunks]
-        place = np.concatenate(docs).astype(np.int64) + np.repeat(start, [len(d) for d in docs])
+        # Sums only for the documents that have pairs here: (chunk, document) as one number.
+        docs = np.concatenate([c["docs"] for c in bucket.chunks]).astype(np.int64)
+        docs += np.repeat(np.arange(len(bucket.chunks)) << 16, [len(c["docs"]) for c in bucket.chunks])
         weights = np.repeat(logs[bucket.place], np.concatenate([c["places"] for c in bucket.chunks]))
-        sums = np.bincount(place, weights=weights, minlength=int(n_docs.sum()))
+        present, place = np.unique(docs, return_inverse=True)
+        sums = np.bincount(place, weights=weights, minlength=len(present))
+        cut = np.searchsorted(present, np.arange(len(bucket.chunks) + 1) << 16)
         return pa.table({
-            "block": group["block"], "sums": pa.array([_pack(sums[a : a + n], np.float64) for a, n in zip(start, n_docs)], pa.binary()),
+            "block": group["block"], "docs": pa.array([_pack(present[a:b] & 0xFFFF, np.uint16) for a, b in zip(cut, cut[1:])], pa.binary()),
+            "sums": pa.array([_pack(sums[a:b], np.float64) for a, b in zip(cut, cut[1:])], pa.binary()),
             "base": group["base"], "known": group["known"],
         })
 
@@ -369,14 +375,20 @@ SCORES = "block bigint, ids array<bigint>, train array<boolean>, lengths array<i
 
 
 def _gather(group: pa.Table, blocks: pa.Table) -> pa.Table:
-    add = lambda c: np.sum([np.frombuffer(x, np.float64) for x in group[c].to_pylist() if x is not None], axis=0).tolist()
+    docs, n = _join(group["docs"], np.uint16), len(blocks["ids"][0])
+    sums = np.bincount(docs, weights=_join(group["sums"], np.float64), minlength=n).tolist()
+    once = lambda c: _join(group[c], np.float64).tolist()
+    columns = {"sums": sums, "base": once("base"), "known": once("known")}
     return pa.table({
-        "block": blocks["block"], "ids": blocks["ids"], "train": blocks["train"], "lengths": blocks["lengths"],
-        **{c: pa.array([add(c)], pa.list_(pa.float64())) for c in ("sums", "base", "known")},
+        **{c: blocks[c] for c in ("block", "ids", "train", "lengths")},
+        **{c: pa.array([x], pa.list_(pa.float64())) for c, x in columns.items()},
     })
 
 
-def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS,
+    word_entries: int = WORD_ENTRIES, pair_tokens: int = PAIR_TOKENS, hot: int = HOT,
+) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     `held_out` is a boolean column (null: false) of the documents that nothing is learned from. `base_score` is the sum of
@@ -388,10 +400,10 @@ def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") ->
     inner = docs.select(
         F.col(doc).cast("bigint").alias("id"), (~F.coalesce(held_out, F.lit(False))).alias("train"), F.col(text).cast("binary").alias("text")
     )
-    blocks = stage(inner.mapInArrow(_blocks, BLOCKS), "lm-blocks")
+    blocks = stage(inner.mapInArrow(_blocks(block_tokens), BLOCKS), "lm-blocks")
     sizes = blocks.agg(F.sum("n_tokens").alias("t"), F.sum("n_words").alias("w")).first()
-    word_buckets = max(8, math.ceil((sizes["w"] or 0) / BUCKET_ENTRIES))
-    pair_buckets = max(8, math.ceil((sizes["t"] or 0) / BUCKET_ENTRIES))
+    word_buckets = max(8, math.ceil((sizes["w"] or 0) / word_entries))
+    pair_buckets = max(8, math.ceil((sizes["t"] or 0) / pair_tokens))
 
     slices = blocks.select("block", "words", "counts").mapInArrow(_slices(word_buckets), "bucket bigint, block bigint, words binary, counts binary")
     words = stage(slices.repartition(word_buckets, "bucket").groupBy("bucket").applyInArrow(_count_words, WORDS), "lm-words")
@@ -412,7 +424,7 @@ def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") ->
     per_block = numbers.groupBy("block").agg(F.collect_list(F.struct("bucket", "numbers")).alias("slices"))
     numbered_blocks = blocks.select("block", "train", "lengths", "tokens").join(per_block, "block")
     unigrams = spark.sparkContext.broadcast(model)
-    pairs = numbered_blocks.mapInArrow(_pairs(unigrams, pair_buckets), PAIRS).repartition(pair_buckets, "bucket")
+    pairs = numbered_blocks.mapInArrow(_pairs(unigrams, pair_buckets, hot), PAIRS).repartition(pair_buckets, "bucket")
 
     # One exchange of the pairs serves the three passes; each broadcast is one row of fixed size.
     counted = pairs.groupBy("bucket").applyInArrow(_classes, "n array<bigint>")
@@ -420,10 +432,10 @@ def score(docs: DataFrame, held_out, doc: str = "doc_id", text: str = "text") ->
         F.array(*[F.coalesce(f"n{r}", F.lit(0)) for r in range(CUTOFF + 3)]).alias("n")
     )
     with_n = pairs.crossJoin(F.broadcast(n_of))
-    hot = with_n.groupBy("bucket").applyInArrow(_hot_sums(unigrams), "v bigint, c double, k double, b double")
-    hot = hot.groupBy("v").agg(*[F.sum(c).alias(c) for c in "ckb"]).agg(F.collect_list(F.struct("v", "c", "k", "b")).alias("hot"))
-    scored = with_n.crossJoin(F.broadcast(hot)).groupBy("bucket").applyInArrow(
-        _score(unigrams), "block bigint, sums binary, base binary, known binary"
+    sums = with_n.groupBy("bucket").applyInArrow(_hot_sums(unigrams, hot), "v bigint, c double, k double, b double")
+    sums = sums.groupBy("v").agg(*[F.sum(c).alias(c) for c in "ckb"]).agg(F.collect_list(F.struct("v", "c", "k", "b")).alias("hot"))
+    scored = with_n.crossJoin(F.broadcast(sums)).groupBy("bucket").applyInArrow(
+        _score(unigrams, hot), "block bigint, docs binary, sums binary, base binary, known binary"
     )
     gathered = scored.groupBy("block").cogroup(blocks.select("block", "ids", "train", "lengths").groupBy("block")).applyInArrow(_gather, SCORES)
     rows = gathered.select(F.explode(F.arrays_zip("ids", "train", "lengths", "sums", "base", "known")).alias("r")).select("r.*")
