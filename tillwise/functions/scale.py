@@ -30,10 +30,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what the application has staged. Call it when no frame built on staged rows is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _file_system(spark, _application_folder(spark))
+    files.delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -12,12 +12,11 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from types import SimpleNamespace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import date_key, surrogate_key
-from tillwise.functions.scale import stage
+from tillwise.functions.scale import folder_exists, stage
 from tillwise.operators import data_tests, dims, facts, inventory, marts, quality, segments
 from tillwise.operators.intermediate import Star, int_customer_orders
 from tillwise.sources import writers
@@ -77,12 +76,7 @@ def build_tables(raw, orders: DataFrame, lines: DataFrame, run_id: str, load_tim
 
 
 def _stored(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if folder_exists(spark, path) else None
 
 
 def _merged(spark, name: str, new: DataFrame, path: str, day: date) -> DataFrame:
