@@ -24,7 +24,7 @@ def surrogate_key(text: str) -> Column:
 
     The digest is folded 32 bits at a time, so every step stays inside a bigint.
     With n members about n^2 / (2 * 10^9) pairs collide: use it as an attribute,
-    and join on the natural id or on `surrogate_key64`.
+    and join on the natural id.
     """
     key = "0L"
     for i in range(4):
@@ -33,11 +33,6 @@ def surrogate_key(text: str) -> Column:
     return F.expr(key)
 
 
-def surrogate_key64(*cols: Column | str) -> Column:
-    """64-bit key for tables too large for `surrogate_key`."""
-    return F.xxhash64(*[_col(c) for c in cols])
-
-
 def date_key(c: Column | str) -> Column:
     """YYYYMMDD as an integer, null for null."""
     d = c if isinstance(c, str) else None
@@ -114,10 +109,6 @@ def to_utc(c: Column | str, zone: str | Column) -> Column:
     return F.date_format(F.to_utc_timestamp(_col(c).cast("timestamp"), zone), "yyyy-MM-dd HH:mm:ss")
 
 
-def month_start(c: Column | str) -> Column:
-    return F.trunc(_col(c), "month")
-
-
 def week_start(c: Column | str) -> Column:
     """Monday of the week."""
     return F.trunc(_col(c), "week")

@@ -58,10 +58,6 @@ RUN_LOG = schema(
     status=S, error_message=S, started_at=TS, completed_at=TS, duration_seconds=L,
 )
 
-QUARANTINE = schema(
-    quarantine_id=S, run_id=S, source_system=S, record_raw=S, failure_reason=S, failed_check=S, quarantined_at=TS,
-)
-
 # --- fixed values ---------------------------------------------------------------------------
 
 # Sales channel keys; a channel not listed gets UNKNOWN_CHANNEL_KEY.
@@ -90,7 +86,6 @@ SEGMENT_PRIORITY = {
 
 STOCK_STATUSES = ("RED", "AMBER", "GREEN")
 LOYALTY_TIERS = ("Bronze", "Silver", "Gold", "Platinum")
-STORE_TYPES = ("Physical", "Online", "App")
 
 # United Kingdom public holidays; the effect of each lasts until HOLIDAY_DAYS_AFTER days later.
 UK_HOLIDAYS = (

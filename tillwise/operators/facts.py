@@ -36,17 +36,6 @@ def channel_key(channel: Column) -> Column:
     return out.otherwise(F.lit(model.UNKNOWN_CHANNEL_KEY)).cast("bigint")
 
 
-def sales_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines with the attributes of their order; lines without an order are kept.
-
-    The store comes from the line when lines carry one, else from the order.
-    """
-    from_order = [c for c in ("customer_id", "store_id", "order_date", "channel", "campaign_id") if c in orders.columns]
-    if "store_id" in lines.columns:
-        from_order = [c for c in from_order if c != "store_id"]
-    return lines.join(orders.select("order_id", *from_order), "order_id", "left")
-
-
 def build_fact_sales(
     orders: DataFrame, lines: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame,
     run_id: str, load_time: datetime | None = None,

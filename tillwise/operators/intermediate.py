@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.columns import date_key, gbp, percent, ratio, safe_divide, surrogate_key
 from tillwise.operators import dims
 
+# Output columns of enriched sales, and the dimension columns they come from.
 DATE_COLUMNS = {
     "order_year": "year", "order_month": "month_num", "order_month_name": "month_name", "order_quarter": "quarter",
     "order_week": "week_number", "order_iso_year": "iso_year", "order_day_of_week": "day_of_week",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.columns import gbp, percent
 
-# Output columns of the staging models, in order. A column ending in _gbp is made from _pence.
+# Output columns of the staging models, in order. A column ending in _gbp is made from _pence.
 COLUMNS = {
     "customers": (
         "customer_key", "customer_id", "email_masked", "age_band", "gender", "city", "region", "postcode_district",
