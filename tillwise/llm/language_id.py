@@ -85,8 +85,10 @@ def train_text_model(docs: DataFrame, text: str = "text", lang: str = "lang", n_
     languages = sorted(r["lang"] for r in sizes)
     model = np.full((len(languages), n_cells), 0.5)
     index = {x: i for i, x in enumerate(languages)}
-    for r in counts.filter(F.col("lang").isin(languages)).collect() if languages else ():
-        model[index[r["lang"]], r["cell"]] += r["n"]
+    if languages:
+        known = counts.filter(F.col("lang").isin(languages)).toArrow()
+        at = np.array([index[x] for x in known["lang"].to_pylist()], np.int64)
+        model[at, known["cell"].to_numpy()] += known["n"].to_numpy()  # one row per language and cell
     return languages, np.log(model / model.sum(axis=1, keepdims=True)) if languages else model
 
 
