@@ -15,6 +15,7 @@ Both kinds of model are paths through the same lattice of pieces:
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ from tillwise.llm.common import free_name
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-KNOWN_WORDS = 300_000  # words a task remembers beyond one batch, twice
-KNOWN_PAIRS = 2_000_000  # pairs of pieces it remembers
+KNOWN_WORDS = 100_000  # words a task remembers beyond one batch, twice
+KNOWN_PAIRS = 500_000  # pairs of pieces it remembers
 
 
 class Lattice:
@@ -268,6 +269,10 @@ def _encode(model):
             n = pa.array([None if e is None else len(e) for e in encoded], pa.int64())
             same = pa.array([None if e is None else encoder.lattice.decode(e) == t for t, e in zip(texts, encoded)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("row"), ids, n, same], names=["row", "ids", "n_tokens", "round_trip"])
+        # Workers are used again by other stages: give back what this task remembered.
+        del encoder
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     return run
 
