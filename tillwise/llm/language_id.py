@@ -27,13 +27,35 @@ CELLS = 1 << 14
 MAX_LANGUAGES = 64  # the text model has at most this many times CELLS numbers: 8 MB
 TEXT_WEIGHT = 0.1  # trigrams overlap and depend on each other; full weight would drown all else
 SMOOTHING = 8.0  # pseudo-pages that each level of the host hierarchy takes from the one above
-TAGS = re.compile(r"<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.IGNORECASE | re.DOTALL)
+HIDDEN = re.compile(r"<(?:!--|(script|style|noscript)\b)", re.IGNORECASE)
+HIDDEN_ENDS = {
+    None: re.compile("-->"), "script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE),
+    "noscript": re.compile(r"</noscript\s*>", re.IGNORECASE),
+}
 LANG_ATTRIBUTE = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})"
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 def visible_text(page: str) -> str:
-    return html_lib.unescape(TAGS.sub(" ", page))
+    """The page without tags, comments and scripts; one pass, also over pages that never close them."""
+    parts, at, unclosed = [], 0, set()
+    while (start := page.find("<", at)) >= 0:
+        parts.append(page[at:start])
+        hidden = HIDDEN.match(page, start)
+        kind = (hidden[1] or "").lower() or None if hidden else ""
+        end = -1
+        if hidden and kind not in unclosed:
+            found = HIDDEN_ENDS[kind].search(page, hidden.end())
+            end = found.end() if found else -1
+            if not found:
+                unclosed.add(kind)
+        if end < 0:
+            end = page.find(">", start) + 1
+        if not end:
+            at = start + 1
+            break
+        at = end
+    return html_lib.unescape(" ".join([*parts, page[at:]]))
 
 
 def cells(text: str, n: int = CELLS) -> np.ndarray:
