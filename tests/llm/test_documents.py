@@ -111,6 +111,15 @@ def test_line_stage(spark, docs):
     assert not row["text"].startswith("  Shared") and row["n_chars"] == len(row["text"])
 
 
+def test_line_stage_leaves_a_full_copy(spark):
+    copied = "First of many\n\nsecond of many\nFirst of many"
+    rows = [(k, copied) for k in range(20, 32)] + [(50 + k, f"second of many\nown line {k}") for k in range(3)]
+    rows += [(90, "FIRST of many"), (91, ""), (92, None), (19, "second of many\nown")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_dedup.line_dedup_stage(edges.table(spark, rows)).collect()}
+    assert got.pop(20) == (copied, len(copied))
+    assert got == {**{50 + k: (f"own line {k}", 10) for k in range(3)}, 91: ("", 0), 92: (None, None), 19: ("own", 3)}
+
+
 # --- near duplicates --------------------------------------------------------------------------
 
 def shingle_set(text):

@@ -60,13 +60,14 @@ def sorted_lines(docs: DataFrame, doc: str, text: str, min_chars: int = MIN_CHAR
 
 def keep_bitmaps(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-    keep_first: bool = False,
+    keep_first: bool = False, keep_first_doc: bool = False,
 ) -> DataFrame:
     """For each document that loses lines: id, fp, n_dropped, keep (runs `start`, `length` of kept lines).
 
     A line is dropped if its key (stripped, A-Z lower-cased) has at least `min_chars` characters and
     is found in at least `min_docs` documents; with `keep_first` its first occurrence by (id,
-    fingerprint, position) stays. Rows with the same id and text are one document. Null texts are one
+    fingerprint, position) stays, with `keep_first_doc` all its places in the first document by (id,
+    fingerprint). Rows with the same id and text are one document. Null texts are one
     empty line. Documents that lose nothing have no row.
     """
     rows = sorted_lines(docs, doc, text, min_chars)
@@ -80,6 +81,8 @@ def keep_bitmaps(
     dropped = rows.join(common, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")))
     if keep_first:
         dropped = dropped.filter(~F.struct("id", "fp", "pos").eqNullSafe(F.col("origin")))
+    if keep_first_doc:
+        dropped = dropped.filter(~F.struct("id", "fp").eqNullSafe(F.struct("origin.id", "origin.fp")))
     per_doc = dropped.groupBy("id", "fp").agg(
         F.sort_array(F.collect_set("pos")).alias("gone")  # bounded by the document
     )
@@ -120,14 +123,32 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc: str = "doc_id", text
     )
 
 
+def _emptied(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Keys (e_id, e_fp) of the documents that lose every line that is not blank."""
+    full = F.size(F.filter(_lines(F.col("text")), lambda x: F.btrim(x, F.lit(SPACES)) != ""))
+    sizes = docs.select(F.col("doc_id").alias("e_id"), fingerprint(F.col("text")).alias("e_fp"), full.alias("full"))
+    same = F.col("e_id").eqNullSafe(F.col("id")) & (F.col("e_fp") == F.col("fp"))
+    return sizes.join(bitmaps.select("id", "fp", "n_dropped"), same).filter("n_dropped = full").select("e_id", "e_fp").distinct()
+
+
 def line_dedup_stage(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The documents without their common lines; `n_chars` follows the text. No document goes.
+    """The documents without their common lines; `n_chars` follows the text.
 
-    A document left without lines has an empty text; a null text stays null.
+    Documents that would lose all their lines are mostly copies of each other. Among them each line stays
+    in the first one that has it, so one full copy of such a text is left; those that even then have no
+    line go. A text without lines before the stage stays, a null text stays null.
     """
     columns = tuple(docs.columns)
-    cut = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=min_docs), carry=columns)
+    bitmaps = stage(keep_bitmaps(docs, min_docs=min_docs), "line-bitmaps")
+    emptied = stage(_emptied(docs, bitmaps), "emptied-docs")
+    keys = docs.select(F.col("doc_id"), F.col("text"), fingerprint(F.col("text")).alias("fp"))
+    hit = F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("fp") == F.col("e_fp"))
+    copies = keys.join(emptied, hit, "left_semi").select("doc_id", "text")
+    again = keep_bitmaps(copies, min_docs=1, keep_first_doc=True)
+    other = bitmaps.join(emptied, F.col("id").eqNullSafe(F.col("e_id")) & (F.col("fp") == F.col("e_fp")), "left_anti")
+    cut = apply_bitmaps(docs, other.unionByName(again), carry=columns)
     changed = F.col("n_dropped") > 0
+    cut = cut.filter(~(changed & (F.btrim("kept_text", F.lit(SPACES)) == "")))
     values = {c: F.col("row")[c] for c in columns}
     if "n_chars" in values:
         values["n_chars"] = F.when(changed, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(values["n_chars"])
