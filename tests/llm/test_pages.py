@@ -70,6 +70,18 @@ def test_parsing_errors():
     assert warc.dechunk(b"3;x=y\r\nabc\r\n2\r\nde\r\n0\r\n\r\n") == b"abcde"
 
 
+def test_archive_of_several_members(spark, tmp_path):
+    head = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: r{0}\r\nWARC-Page-ID: {0}\r\nContent-Length: 7\r\n\r\n"
+    record = lambda k: (head.format(k) + "\r\n\r\nabc" + "\r\n\r\n").encode()
+    members = [gzip.compress(record(k)) for k in range(5)]
+    assert [r[2] for r in warc.parse_records(b"".join(members))] == list(range(5))
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members))
+    assert {r["page_id"] for r in warc.read_archives(spark, str(tmp_path)).collect()} == set(range(5))
+    for cut in (b"".join(members)[:-9], members[0] + members[1][:6], members[0] + b"junk"):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(cut))
+
+
 def test_language_accuracy(spark):
     """Trained on one part of the documents, the text model names the language of the rest."""
     docs = prepare(spark).read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -112,10 +112,25 @@ def write_archives(
 BATCH_BYTES = 4 << 20
 
 
+def gunzip(data: bytes) -> bytes:
+    """All members of a gzip file, one after the other. ValueError for a damaged or truncated one."""
+    out = []
+    while data:
+        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        try:
+            out.append(member.decompress(data))
+        except zlib.error as e:
+            raise ValueError(f"damaged gzip member: {e}") from e
+        if not member.eof:
+            raise ValueError("gzip member cut short")
+        data = member.unused_data
+    return b"".join(out)
+
+
 def parse_records(data: bytes) -> Iterator[tuple]:
     """The records of an archive in the order of RECORD_FIELDS. ValueError if it is damaged."""
     if data[:2] == b"\x1f\x8b":
-        data = zlib.decompress(data, zlib.MAX_WBITS | 16)
+        data = gunzip(data)
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
