@@ -182,6 +182,16 @@ def test_near_stage_leaves_one_of_each(spark):
     assert near_dedup.near_dedup_stage(edges.empty(spark)).count() == 0
 
 
+def test_near_stage_leaves_one_row_where_ids_repeat_or_are_missing(spark):
+    rows = []
+    for i, seed in ((5, 90), (None, 91)):
+        base = edges.words(100, seed)
+        rows += [(i, " ".join([*base[:50], f"new{k}", *base[51:]])) for k in range(3)]
+    rows += [(None, rows[0][1] + " end"), (6, ""), (None, "unlike all others"), (None, "unlike all others")]
+    ids = [r["doc_id"] for r in near_dedup.near_dedup_stage(edges.table(spark, rows)).collect()]
+    assert sorted(map(str, ids)) == ["5", "6", "None", "None"]
+
+
 # --- decontamination --------------------------------------------------------------------------
 
 def passages_brute(rows, items):

@@ -273,18 +273,11 @@ class _Rounds:
         self.labels = components(self.tested.filter("linked"))
 
 
-def near_duplicates(
+def grouped_rows(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, min_pct: int = MIN_PCT,
     bands: int = BANDS, width: int = BAND_BINS,
 ) -> DataFrame:
-    """One row per document: id, fp (text fingerprint), n_shingles, component_id, kept.
-
-    Words are divided by ASCII white space and A-Z lower-cased. Two documents are linked when their
-    shingle sets have a Jaccard similarity of at least `min_pct` per cent; `component_id` is the
-    smallest id reachable over links. Texts without words, and null texts, are linked with nothing.
-    Null ids count only where a group has no other id (its component_id is then null). `kept` is
-    true for the rows that carry the group's id. Repeated rows get equal verdicts.
-    """
+    """The rows of `near_duplicates`, with `part`: the key of the row's group, null for texts without words."""
     columns = [F.col(doc).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text")]
     signed = stage(
         docs.select(*columns, fingerprint(F.col(text)).alias("fp")).select("id", "fp", "text")
@@ -313,24 +306,45 @@ def near_duplicates(
     labelled = nodes.select("key", "rep").join(rounds.labels.withColumnRenamed("node", "key"), "key", "left")
     least = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
     node_ids = labelled.join(least, "component", "left").select(
-        F.col("key").alias("node"), F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id")
+        F.col("key").alias("node"), F.coalesce("component", "key").alias("part"),
+        F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id"),
     )
     rows = signed.select("id", "fp", "key", "n").join(node_ids, F.col("key") == F.col("node"), "left")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return rows.select(
-        "id", "fp", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+        "id", "fp", "part", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
 
 
+def near_duplicates(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, min_pct: int = MIN_PCT,
+    bands: int = BANDS, width: int = BAND_BINS,
+) -> DataFrame:
+    """One row per document: id, fp (text fingerprint), n_shingles, component_id, kept.
+
+    Words are divided by ASCII white space and A-Z lower-cased. Two documents are linked when their
+    shingle sets have a Jaccard similarity of at least `min_pct` per cent; `component_id` is the
+    smallest id reachable over links. Texts without words, and null texts, are linked with nothing.
+    Null ids count only where a group has no other id (its component_id is then null). `kept` is
+    true for the rows that carry the group's id. Repeated rows get equal verdicts.
+    """
+    return grouped_rows(docs, doc, text, size, min_pct, bands, width).drop("part")
+
+
 def near_dedup_stage(docs: DataFrame, min_pct: int = 80) -> DataFrame:
     """One document of each near-duplicate group (five words, similarity of at least 0.8), with all columns.
 
-    Rows equal in id and text are copies, of which one stays. Texts without words all stay.
+    The row of smallest id (null ids last), then of smallest fingerprint, stays. Rows equal in id and text
+    are copies, of which one stays. Texts without words all stay.
     """
     columns = tuple(docs.columns)
-    verdicts = near_duplicates(docs, min_pct=min_pct).filter("kept").select(
-        F.coalesce("id", F.lit(0)).alias("i"), F.col("id").isNull().alias("no_id"), "fp"
-    ).distinct()
+    found = grouped_rows(docs, min_pct=min_pct).select(
+        "part", F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("i"), "fp"
+    )
+    place = ["no_id", "i", "fp"]
+    # Copies in id and text are always in one group.
+    chosen = found.filter("part IS NOT NULL").groupBy("part").agg(F.min(F.struct(*place)).alias("first")).select("first.*")
+    verdicts = chosen.unionByName(found.filter("part IS NULL").select(*place).distinct())
     rows = docs.select(
         F.struct(*[F.col(c) for c in columns]).alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("i"),
         F.col("doc_id").isNull().alias("no_id"), fingerprint(F.col("text")).alias("fp"),
