@@ -5,8 +5,12 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import edges
@@ -445,6 +449,21 @@ def test_katz(spark, hot):
         assert any(mine[:3] == e[:3] and mine[3:] == pytest.approx(e[3:], rel=1e-9) for e in expected[r["doc_id"]])
 
 
+def test_katz_deals_out_pairs_after_unknown_words():
+    unigrams = katz_lm.Unigrams(np.array([3]), np.array([0]), {3: 1})
+    numbers = np.array([katz_lm.UNKNOWN_ID, katz_lm.UNKNOWN_ID, 0] * 40, np.uint32)
+    rows = [{"block": b << 32, "train": [False], "lengths": [len(numbers)], "slices": [{"bucket": 0, "numbers": numbers.tobytes()}],
+             "tokens": zstandard.compress(np.arange(len(numbers), dtype=np.uint32).tobytes())} for b in range(32)]
+    used = {}
+    for out in katz_lm._pairs(SimpleNamespace(value=unigrams), 8, 0)([pa.RecordBatch.from_pylist(rows)]):
+        for bucket, pairs in zip(out["bucket"].to_pylist(), out["pairs"].to_pylist()):
+            chunk = katz_lm._unpack_chunk(pairs)
+            for w, n in zip(chunk["w"][chunk["v"] == katz_lm.UNKNOWN_ID], chunk["places"][chunk["v"] == katz_lm.UNKNOWN_ID]):
+                used.setdefault(int(w), Counter())[bucket] += int(n)
+    assert set(used) == {0, katz_lm.UNKNOWN_ID}
+    assert all(max(x.values()) < 0.5 * sum(x.values()) for x in used.values())
+
+
 def test_katz_with_nothing_learned(spark):
     assert katz_lm.score(edges.empty(spark), F.lit(False)).count() == 0
     row = katz_lm.score(edges.table(spark, [(1, "a b")]), F.lit(True)).first()

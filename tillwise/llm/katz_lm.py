@@ -10,7 +10,8 @@ Rows of single tokens would cost more to move than to count, so tokens travel as
 2. words: lists by hash range, summed to the counts of all words; each word gets its rank by frequency,
    so that a number names a word and tells its count, and goes back to the blocks;
 3. pairs: each block's pairs with counts and the documents they stand in, dealt out by context. The
-   contexts of the `HOT` most frequent words are dealt out by pair. A bucket counts its pairs, then
+   contexts of the `HOT` most frequent words are dealt out by pair, those of unknown words by pair and
+   block. A bucket counts its pairs, then
    evaluates them for every document that has them, and sums of logarithms go back per block.
 
 No step holds more than a bounded number of tokens, and nothing but sums of fixed size comes to the
@@ -20,6 +21,7 @@ driver (count classes: at most sqrt(2 N) numbers for N tokens).
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 60_000
 WORD_ENTRIES = 1_000_000  # entries of word lists in a bucket
 PAIR_TOKENS = 1_500_000  # tokens whose pairs are in a bucket
-HOT = 2048  # contexts dealt out by pair: no other word can have more than 1/HOT of the tokens
+HOT = 2048  # contexts dealt out by pair: no other learned word can have more than 1/HOT of the learned tokens
 CUTOFF = 5  # counts up to this are discounted
 END = np.uint64(1)
 START_ID, UNKNOWN_ID = 2**32 - 2, 2**32 - 1  # word numbers go up to 2^32 - 3
@@ -267,8 +269,11 @@ def _pairs(unigrams, buckets: int, hot_words: int):
                 places = np.diff(np.append(first, len(v)))
                 learned = np.add.reduceat(np.array(row["train"], bool)[doc].astype(np.int64), first)
                 pv, pw = v[first], w[first]
-                hot = (pv < hot_words) | (pv == START_ID)
-                mixed = (np.where(hot, pv * np.uint64(0x9E3779B97F4A7C15) + pw, pv) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+                # Pairs after the unknown word have no learned count, so each block may send its own anywhere.
+                unknown = pv == UNKNOWN_ID
+                hot = (pv < hot_words) | (pv == START_ID) | unknown
+                salt = np.where(unknown, np.uint64(zlib.crc32(str(row["block"]).encode()) << 32), np.uint64(0))
+                mixed = (np.where(hot, pv * np.uint64(0x9E3779B97F4A7C15) + pw + salt, pv) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
                 mixed ^= mixed >> np.uint64(29)
                 bucket = (((mixed * np.uint64(0x94D049BB133111EB)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
