@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    decontamination, katz_lm, language_id, licenses, line_dedup, near_dedup, quality_rules, sentencepiece_codec,
+    decontamination, katz_lm, language_id, licenses, line_dedup, near_dedup, packing, quality_rules, sentencepiece_codec,
     substring_dedup, warc,
 )
 from tillwise.llm.common import table
@@ -17,6 +17,7 @@ from tillwise.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = os.environ.get("TOKENIZER_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+WORD_TOKENIZER = os.environ.get("WORD_TOKENIZER_MODEL", "/opt/tokenizers/word_bpe_49k.json")
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,6 +81,12 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), WORD_TOKENIZER).select(
+        "row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -91,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_katz_lm": op9_katz_lm,
     "op10_licenses": op10_licenses,
+    "op13_packing": op13_packing,
 }
