@@ -97,10 +97,76 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(common.key)::BIGINT AS n_dropp
 FROM k LEFT JOIN common ON k.key = common.key GROUP BY doc_id
 """
 
+# The steps of CRC-32 by its rule (reflected polynomial 0xEDB88320) as a list of 256 numbers, column `steps`.
+CRC_STEPS = """
+bits(i, k, c) AS (SELECT i::UBIGINT, 0, i::UBIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8)
+"""
+
+
+def crc32_of(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, where `steps` of crc_table is in scope."""
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::UBIGINT)"
+    step = "xor(a >> 8, steps[(xor(a, b) & 255)::BIGINT + 1])"
+    return f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, {data}), lambda a, b: {step}))"
+
+
+OP11 = rf"""
+WITH RECURSIVE {CRC_STEPS},
+runs AS (SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS w FROM documents)
+  WHERE length(w) >= 5 GROUP BY ALL),
+hashed AS (SELECT w, n, {crc32_of("concat(doc_id, ':', w)")} AS h FROM runs, crc_table),
+slipped AS (SELECT CASE WHEN h % 97 = 0 THEN w[:(h % length(w))::BIGINT] || w[(h % length(w))::BIGINT + 2:] ELSE w END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words),
+holes AS MATERIALIZED (SELECT word, p, word[:p - 1] AS a, word[p + 1:] AS b FROM places),
+pairs AS (SELECT DISTINCT x, y FROM (
+    SELECT s.word AS x, t.word AS y FROM holes s JOIN holes t ON s.p = t.p AND s.a = t.a AND s.b = t.b WHERE s.word <> t.word
+    UNION ALL SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.a || h.b
+    UNION ALL SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.a || h.b)),
+best AS (SELECT x AS word, count(*) AS n_near, arg_min(y, (-n, y)) AS form, max(n) AS form_n
+  FROM pairs JOIN words ON word = y GROUP BY x),
+forms AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= 2 * words.n THEN form END AS form, CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS spot, 0 AS k FROM forms
+  UNION ALL SELECT walk.word, form, k + 1 FROM walk JOIN forms ON forms.word = spot WHERE form IS NOT NULL),
+ends AS (SELECT word, arg_max(spot, k) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+OP12 = f"""
+WITH RECURSIVE {CRC_STEPS},
+d AS (SELECT doc_id, {plain("coalesce(text, '')")} AS w FROM documents),
+i AS (SELECT {plain("coalesce(text, '')")} AS w FROM benchmark),
+grams AS (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS g FROM d),
+target_grams AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS g FROM i),
+used AS MATERIALIZED (SELECT g, {crc32_of("g")} % 10000 AS bucket FROM (SELECT g FROM grams UNION SELECT g FROM target_grams), crc_table),
+s AS (SELECT bucket, count(*) AS s FROM grams JOIN used USING (g) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target_grams JOIN used USING (g) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM grams) AS all_s, (SELECT count(*) FROM target_grams) AS all_t),
+gains AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (all_s + 10000))::DOUBLE / ((coalesce(s, 0) + 1) * (all_t + 10000)))) AS gain
+  FROM (SELECT DISTINCT bucket FROM used) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), sums),
+sizes AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*)) AS weight
+  FROM grams JOIN used USING (g) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[:8])::UBIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN sizes USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_words >= 20),
+taken AS (SELECT (25 * count(*)) // 100 AS k FROM placed)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id), taken
+"""
+
 ORACLES = {
     "op2_warc": OP2,
     "op3_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op7_near_dedup": OP7,
     "op8_line_dedup": OP8,
+    "op11_spelling": OP11,
+    "op12_resampling": OP12,
 }

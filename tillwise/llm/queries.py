@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    decontamination, katz_lm, language_id, licenses, line_dedup, near_dedup, packing, quality_rules, sentencepiece_codec,
-    substring_dedup, warc,
+    decontamination, katz_lm, language_id, licenses, line_dedup, near_dedup, packing, quality_rules, resampling,
+    sentencepiece_codec, spelling, substring_dedup, warc,
 )
 from tillwise.llm.common import table
 
@@ -81,6 +81,15 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), WORD_TOKENIZER).select(
         "row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
@@ -98,5 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_katz_lm": op9_katz_lm,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
+    "op12_resampling": op12_resampling,
     "op13_packing": op13_packing,
 }
