@@ -15,11 +15,14 @@ Classes round lengths up, so a sequence never overflows; what rounding loses is
 
 from __future__ import annotations
 
+import functools
 import math
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +34,15 @@ from tokenizers import Tokenizer
 
 from tillwise.functions.scale import stage
 
+# Spark's tasks use all cores already.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 SIZE = 2048
 WIDTH = 8
 END_ID = 1
 CUT_COST = 2  # a cut must save more than this many classes' worth of padding
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+GROUP_CHARS = 300_000  # texts encoded together
 CACHE_CHARS = 40
 FEW_CUTS = 100_000  # so many cut pieces are sent to the ids; more of them meet in a shuffle
 
@@ -46,38 +53,92 @@ ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 STOPS = ".,;:!?"
 
 
-class WordTokens(dict):
+class WordTokens:
     """Ids of texts by a tokenizer whose tokens never hold or cross white space and that ignores case.
 
-    Ids of a text are those of its words one after the other, so each word is looked up, and only new
-    ones go to the library. A letter word and one stop after it are looked up apart, as the tokenizer
-    splits them too; letters up to U+00FF are looked up in lower case.
+    Ids of a text are those of its words one after the other, so each word is looked up, and only new ones
+    go to the library: words of letters up to U+00FF in lower case and many at once, a stop after one apart,
+    as the tokenizer splits these too, and all others one by one.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.library.get_vocab()
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        stopped = len(word) > 1 and word[-1] in STOPS and word[-2].isalpha()
-        body = word[:-1] if stopped else word
-        low = body.lower() if body.isalpha() and max(body) <= "\xff" else None
-        if low is None or low == word:
-            ids = self._encode(word)
-        else:
-            ids = self[low] + (self[word[-1]] if stopped else b"")
-        if len(self) < CACHE_WORDS and len(word) <= CACHE_CHARS:
-            self[word] = ids
-        return ids
-
-    def ids(self, text: str) -> np.ndarray:
-        if any(c in text for c in ODD_SPACES):
-            return np.frombuffer(self._encode(text), self.kind)
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split())), self.kind)
+    def _encode_letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters, told apart in the ids of all of them by the tokens that end a word."""
+        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            return {w: self._encode(w) for w in words}
+        raw, size = ids.tobytes(), self.kind.itemsize
+        return {w: raw[a * size : b * size] for w, a, b in zip(words, [0, *ends.tolist()], ends.tolist())}
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; kept for later while there is room."""
+        lower, others = {}, []
+        for word in words:
+            body = word[:-1] if word[-1] in STOPS else word
+            if body.isalpha() and (body.isascii() or max(body) <= "\xff"):
+                lower[word] = body.lower()
+            else:
+                others.append(word)
+        needed = set(lower.values())
+        new = [w for w in needed if w not in self.known]
+        fresh = self._encode_letters(new) if new else {}
+        stops = {stop: self._encode(stop) for stop in STOPS}
+        for word, low in lower.items():
+            if word != low:
+                ids = fresh[low] if low in fresh else self.known[low]
+                fresh[word] = ids + stops[word[-1]] if word[-1] in STOPS else ids
+        for word, encoded in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
+            fresh[word] = np.array(encoded.ids, self.kind).tobytes()
+        if len(self.known) + len(fresh) <= CACHE_WORDS:
+            self.known.update(fresh if len(max(fresh, key=len)) <= CACHE_CHARS else {w: i for w, i in fresh.items() if len(w) <= CACHE_CHARS})
+        return fresh
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the words of all of them are in memory at once."""
+        found: list[list[bytes | None]] = []
+        words: list[list[str]] = []
+        new: set[str] = set()
+        for text in texts:
+            odd = any(c in text for c in ODD_SPACES)
+            words.append([] if odd else text.split())
+            found.append([self._encode(text)] if odd else list(map(self.known.get, words[-1])))
+            if None in found[-1]:
+                new.update(w for w, ids in zip(words[-1], found[-1]) if ids is None)
+        learnt = self._learn(new) if new else {}
+        return [
+            np.frombuffer(b"".join([learnt[w] if i is None else i for w, i in zip(own, ids)] if None in ids else ids), self.kind)
+            for own, ids in zip(words, found)
+        ]
+
+
+@functools.lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """The tokenizer with the words a Python worker has met, at most `CACHE_WORDS`; its tasks share them."""
+    return WordTokens(path)
+
+
+def _in_groups(texts: list[str | None], chars: int) -> Iterator[list[str]]:
+    """Consecutive texts, about `chars` characters together."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -105,12 +166,13 @@ PIECE = T.StructType([
 
 def _pieces(tokenizer: str, end_id: int, size: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         part, seen, number = TaskContext.get().partitionId(), np.zeros(-(-size // width) + 1, np.int64), 0
         for batch in batches:
             docs, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                found = np.append(words.ids(text or ""), np.array(end_id, words.kind))
+            groups = map(words.ids, _in_groups(batch.column("text").to_pylist(), GROUP_CHARS))
+            for k, found in enumerate(chain.from_iterable(groups)):
+                found = np.append(found, np.array(end_id, words.kind))
                 for start in range(0, len(found), size):
                     piece = found[start : start + size]
                     docs.append(k)
@@ -456,7 +518,7 @@ def pack(
         cut = placed.filter(~F.col("whole"))
         ids = pieces.select(F.col("at").alias("ids_at"), "ids")
         met = ids.join(F.broadcast(cut) if plan.cuts <= FEW_CUTS else cut, F.col("ids_at") == F.col("at")).select(*placed.columns, "ids")
-        kind = WordTokens(tokenizer).kind.str
+        kind = word_tokens(tokenizer).kind.str
         placed = placed.filter("whole").unionByName(met.mapInArrow(_cut_crcs(kind), schema))
     along = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(
