@@ -545,6 +545,54 @@ JOIN level USING (category) WHERE NOT is_returned AND date_trunc('week', order_d
 cte("product_daily", f"""
 SELECT product_id, r.category, last_ds + CAST(7 * w + d AS INTEGER) AS forecast_date, CAST(({WHOLE('1.0')} * units * 2000 + a * 7) // (a * 14) AS BIGINT) AS milli
 FROM recent_units r JOIN (SELECT category, {BIG('sum(units) AS a')} FROM recent_units GROUP BY 1) USING (category) JOIN level l USING (category), range(1, 13) t(w), range(0, 7) u(d)""")
+cte("holiday_effect", "SELECT DISTINCT full_date + unnest([0, 1]) AS d FROM cal WHERE is_uk_public_holiday")
+cte("week_flags", """
+SELECT ds, CAST(sum(h) AS BIGINT) AS h, CAST(sum(p) AS BIGINT) AS p FROM (
+SELECT CAST(date_trunc('week', d) AS DATE) AS ds, 1 AS h, 0 AS p FROM holiday_effect
+UNION ALL SELECT CAST(date_trunc('week', full_date) AS DATE), 0, 1 FROM cal WHERE is_promotional) GROUP BY 1""")
+MICRO = "CAST(floor(({}) * 1000000 + 0.5::DOUBLE) AS BIGINT)".format
+
+
+def seasonal(name: str, source: str, horizon: int, min_weeks: int) -> None:
+    """Blocks of a least-squares model over a weekly table; `name` has the rows of the forecast."""
+    cte(f"{name}_series", f"SELECT category, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS n FROM {source} GROUP BY 1 HAVING count(*) >= {min_weeks}")
+    cte(f"{name}_rows", f"""
+SELECT *, (ds - first_ds) / 365.25::DOUBLE AS years, CASE WHEN n >= 104 THEN 6 WHEN n >= 26 THEN 2 ELSE 0 END AS waves FROM (
+SELECT category, ds, units_sold AS y, first_ds, n FROM {source} JOIN {name}_series USING (category) UNION ALL
+SELECT category, last_ds + CAST(7 * w AS INTEGER), NULL, first_ds, n FROM {name}_series, range(1, {horizon + 1}) t(w))""")
+    waves = [f"CASE WHEN waves >= {k} THEN {MICRO(f'{f}(years * (2 * pi()) * {k})')} ELSE 0 END" for k in range(1, 7) for f in ("sin", "cos")]
+    terms = f"1000000, {MICRO('years')}, {', '.join(waves)}, coalesce(h, 0) * 1000000, coalesce(p, 0) * 1000000"
+    cte(f"{name}_x", f"SELECT category, ds, y, n, waves, [{terms}]::BIGINT[] AS x FROM {name}_rows LEFT JOIN week_flags USING (ds)")
+    cte(f"{name}_sums", f"""
+SELECT category, i, j, CASE WHEN j = 17 THEN CAST(sum(x[i]::HUGEINT * y) AS DOUBLE) / 1000000 ELSE
+  CAST(sum(x[i]::HUGEINT * x[j]) AS DOUBLE) / 1000000000000 + CASE WHEN i = j AND i > 1 THEN 0.001::DOUBLE ELSE 0 END END AS v
+FROM {name}_x, range(1, 17) a(i), range(1, 18) b(j) WHERE y IS NOT NULL GROUP BY 1, 2, 3""")
+    cte(f"{name}_m0", f"SELECT category, list(r ORDER BY i) AS m FROM (SELECT category, i, list(v ORDER BY j) AS r FROM {name}_sums GROUP BY 1, 2) GROUP BY 1")
+    for k in range(1, 17):
+        cte(f"{name}_m{k}", f"""
+SELECT category, list_transform(m, lambda r, i: CASE WHEN i = {k} THEN list_transform(r, lambda v: v / r[{k}])
+  ELSE list_transform(r, lambda v, j: v - r[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m FROM {name}_m{k - 1}""")
+    cte(f"{name}_fit", f"""
+SELECT category, ds, y, n, waves, list_sum(list_transform(range(1, 17), lambda i: x[i] * m[i][17])) / 1000000 AS fit
+FROM {name}_x JOIN {name}_m16 USING (category)""")
+    whole = "CAST(round_even(greatest({}, 0::DOUBLE), 0) AS BIGINT)".format
+    cte(name, f"""
+SELECT ds, category, {whole('fit')} AS yhat, {whole('fit - s')} AS yhat_lower, {whole('fit + s')} AS yhat_upper, y IS NULL AS is_forecast
+FROM (SELECT *, sqrt(sum((y - fit) * (y - fit)) OVER (PARTITION BY category) / greatest(1, n - 4 - 2 * waves)) * 1.2815515655446004::DOUBLE AS s FROM {name}_fit)""")
+
+
+cte("train_weeks", "SELECT ds, category, units_sold FROM split WHERE part = 'train'")
+seasonal("seasonal", "weekly", 12, 8)
+seasonal("seasonal_test", "train_weeks", 8, 1)
+cte("seasonal_errors", f"""
+SELECT category, {R('sum(e)', 'count(e) * 1000000', 4)} AS mape_pct FROM (
+SELECT category, CASE WHEN units_sold <> 0 THEN (abs(yhat - units_sold) * 200000000 + units_sold) // (units_sold * 2) END AS e
+FROM split LEFT JOIN (SELECT ds, category, yhat FROM seasonal_test WHERE is_forecast) USING (category, ds) WHERE part = 'test') GROUP BY 1""")
+oracle("fc_seasonal", "SELECT * FROM seasonal")
+oracle("fc_all", "SELECT ds, category, yhat, yhat_lower, yhat_upper, is_forecast, mape_pct FROM seasonal LEFT JOIN seasonal_errors USING (category)")
+oracle("fc_fallback", """
+SELECT *, 'seasonal' AS model FROM seasonal WHERE category IN (SELECT category FROM seasonal_errors WHERE mape_pct <= 20) UNION ALL
+SELECT *, 'moving_average' FROM moving_average WHERE category NOT IN (SELECT category FROM seasonal_errors WHERE mape_pct <= 20)""")
 oracle("fc_product_daily", "SELECT product_id, category, forecast_date, CAST(milli AS DOUBLE) / 1000::DOUBLE AS forecast_units FROM product_daily")
 cte("demand", f"SELECT product_id, CAST(CAST(sum(milli) AS BIGINT) AS DOUBLE) / 1000::DOUBLE AS forecast_units_7d FROM product_daily WHERE forecast_date BETWEEN {AS_OF} AND {AS_OF} + 7 GROUP BY 1")
 oracle("q5_stockout_risk", f"""SELECT product_id, product_name, category, store_name, s.region, stock_on_hand, reorder_point, reorder_quantity, stock_status, days_of_stock_remaining, forecast_units_7d

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+import math
+from datetime import date
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.columns import gbp, int_div, ratio, week_start
 from tillwise.functions.scale import null_safe_join
+from tillwise.operators import dims
 
 HORIZON = 12
 BACKTEST_WEEKS = 8
 MAPE_TARGET = 15.0
 Z80 = 1.2815515655446004  # 90 % quantile of the normal distribution: an 80 % interval
 
-FORECAST_SCHEMA = "ds date, category string, yhat bigint, yhat_lower bigint, yhat_upper bigint, is_forecast boolean"
-
 
 def weekly_category_sales(lines: DataFrame, orders: DataFrame, products: DataFrame, keep_returns: bool = False) -> DataFrame:
     """Units and revenue per category and week (Monday)."""
@@ -101,59 +99,112 @@ def forecast_accuracy(mapes: DataFrame, target: float = MAPE_TARGET) -> DataFram
 
 # --- seasonal model -------------------------------------------------------------------------
 
-def _holiday_days() -> np.ndarray:
-    days = {
-        date.fromisoformat(d) + timedelta(days=k) for _, d in model.UK_HOLIDAYS for k in range(model.HOLIDAY_DAYS_AFTER + 1)
-    }
-    return np.array(sorted(days), dtype="datetime64[D]")
-
-
-def _design(ds: np.ndarray, start: np.datetime64, orders: int) -> np.ndarray:
-    """Intercept, trend, yearly Fourier terms, number of holiday days in the week."""
-    t = (ds - start).astype("timedelta64[D]").astype(float)
-    year = 2 * np.pi * t / 365.25
-    waves = [f(k * year) for k in range(1, orders + 1) for f in (np.sin, np.cos)]
-    holidays = _holiday_days()
-    in_week = np.searchsorted(holidays, ds + np.timedelta64(7, "D")) - np.searchsorted(holidays, ds)
-    return np.column_stack([np.ones_like(t), t / 365.25, *waves, in_week.astype(float)])
-
-
-def fit_predict(history: pd.DataFrame, horizon: int) -> pd.DataFrame:
-    """Least squares on one category's weekly rows; returns fitted and future weeks with an 80 % interval."""
-    history = history.sort_values("ds")
-    ds = history["ds"].to_numpy().astype("datetime64[D]")
-    y = history["units_sold"].to_numpy(dtype=float)
-    future = ds[-1] + 7 * np.arange(1, horizon + 1).astype("timedelta64[D]")
-    orders = 6 if len(ds) >= 104 else 2 if len(ds) >= 26 else 0
-    x, x_new = _design(ds, ds[0], orders), _design(np.concatenate([ds, future]), ds[0], orders)
-    # A little shrinkage keeps the fit defined when a regressor never varies.
-    penalty = np.diag([0.0] + [1e-3] * (x.shape[1] - 1))
-    beta = np.linalg.solve(x.T @ x + penalty, x.T @ y)
-    spread = float(np.sqrt(np.sum((y - x @ beta) ** 2) / max(1, len(y) - x.shape[1]))) * Z80
-    yhat = x_new @ beta
-    clip = lambda v: np.rint(np.maximum(v, 0.0)).astype("int64")
-    return pd.DataFrame(
-        {"ds": np.concatenate([ds, future]).astype("datetime64[ns]"), "yhat": clip(yhat), "yhat_lower": clip(yhat - spread),
-         "yhat_upper": clip(yhat + spread), "is_forecast": [False] * len(ds) + [True] * horizon}
+WAVES = 6  # pairs of yearly sine and cosine terms
+UNIT = 1_000_000  # regressors are whole millionths, so their sums do not depend on the order of addition
+TERMS = 2 + 2 * WAVES + 2  # intercept, trend, waves, holidays, promotions
+SHRINKAGE = 1e-3  # keeps the fit defined where a regressor never varies
+
+
+def week_regressors(weekly: DataFrame, horizon: int) -> DataFrame:
+    """(week, holidays, promotions): days under a holiday's influence and promotion days in the seven days from `week` on.
+
+    All days of the calendar between the first week and the end of the forecast are looked at.
+    """
+    bounds = weekly.agg(F.date_sub(F.min("ds"), model.HOLIDAY_DAYS_AFTER).alias("a"), F.date_add(F.max("ds"), 7 * horizon + 6).alias("b"))
+    days = dims.describe_dates(dims.spine_between(bounds, "a", "b"))
+    effect = dims.effect_days(days.filter("is_uk_public_holiday").select("holiday_name", F.col("full_date").alias("holiday_date")))
+    marked = effect.select(F.col("effect_date").alias("d")).distinct().select("d", F.lit(1).alias("h"), F.lit(0).alias("p")).unionByName(
+        days.filter("is_promotional").select(F.col("full_date").alias("d"), F.lit(0).alias("h"), F.lit(1).alias("p"))
+    )
+    weeks = marked.select("h", "p", F.explode(F.sequence(F.date_sub("d", 6), F.col("d"))).alias("week"))
+    return weeks.groupBy("week").agg(F.sum("h").alias("holidays"), F.sum("p").alias("promotions"))
+
+
+def _micro(value: Column) -> Column:
+    return F.floor(value * UNIT + 0.5).cast("bigint")
+
+
+def _regressors() -> Column:
+    """The terms of a week as an array, from columns t (days since the first week), waves, holidays, promotions."""
+    years = F.col("t") / 365.25
+    angle = years * (2 * math.pi)
+    waves = [
+        F.when(F.col("waves") >= k, _micro(wave(angle * k))).otherwise(F.lit(0).cast("bigint"))
+        for k in range(1, WAVES + 1) for wave in (F.sin, F.cos)
+    ]
+    return F.array(F.lit(UNIT).cast("bigint"), _micro(years), *waves, F.col("holidays") * UNIT, F.col("promotions") * UNIT)
+
+
+def solve_normal(system: Column, terms: int = TERMS) -> Column:
+    """The solution of a symmetric positive definite system, given as rows of an array with the right side in the last column.
+
+    Gauss-Jordan elimination, for which such a system needs no exchange of rows.
+    """
+    def eliminate(rows: Column, k: Column) -> Column:
+        pivot = rows[k]
+        return F.transform(rows, lambda row, i: F.when(i == k, F.transform(row, lambda v: v / row[k])).otherwise(
+            F.zip_with(row, pivot, lambda v, w: v - row[k] / pivot[k] * w)
+        ))
+
+    steps = F.sequence(F.lit(0), F.lit(terms - 1))
+    return F.transform(F.aggregate(steps, system, eliminate), lambda row: row[terms])
+
+
+def _with_terms(weekly: DataFrame, horizon: int, min_weeks: int) -> DataFrame:
+    """Weeks of the series and of the forecast (`y` null) with their array of terms `x` and `n` weeks of history."""
+    known = weekly.select("ds", "category", F.col("units_sold").alias("y")).filter("ds IS NOT NULL AND y IS NOT NULL")
+    series = known.groupBy(F.col("category").alias("_category")).agg(
+        F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"), F.count(F.lit(1)).alias("n")
+    ).filter(F.col("n") >= min_weeks)
+    history = null_safe_join(known, series, {"category": "_category"}).select("category", "ds", "y", "first_ds", "n")
+    ahead = _weeks_ahead(series, horizon).select(
+        F.col("_category").alias("category"), "ds", F.lit(None).cast("bigint").alias("y"), "first_ds", "n"
     )
+    rows = history.unionByName(ahead).withColumns({
+        "t": F.date_diff("ds", "first_ds"), "waves": F.when(F.col("n") >= 104, WAVES).when(F.col("n") >= 26, 2).otherwise(0)
+    })
+    # One row a week of the calendar.
+    joined = rows.join(F.broadcast(week_regressors(known, horizon)), F.col("ds") == F.col("week"), "left")
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("holidays", "promotions")})
+    return joined.select("category", "ds", "y", "n", "waves", _regressors().alias("x"))
+
+
+def seasonal_coefficients(rows: DataFrame) -> DataFrame:
+    """(category, beta): least squares with a little shrinkage, from sums of products per category.
+
+    A row of the normal equations is a group of its own, so no task ever holds a series.
+    """
+    parts = rows.filter("y IS NOT NULL").select("category", F.posexplode("x").alias("i", "xi"), "x", "y")
+    product = lambda other: F.sum(F.col("xi").cast("decimal(18,0)") * other.cast("decimal(18,0)"))
+    sums = parts.groupBy("category", "i").agg(*[product(F.col("x")[j]).alias(f"s{j}") for j in range(TERMS)], product(F.col("y")).alias("s_y"))
+    scaled = [
+        F.col(f"s{j}").cast("double") / float(UNIT) ** 2 + F.when((F.col("i") == j) & (F.col("i") > 0), SHRINKAGE).otherwise(0.0)
+        for j in range(TERMS)
+    ]
+    row = F.array(*scaled, F.col("s_y").cast("double") / float(UNIT))
+    systems = sums.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("i", row.alias("row")))).alias("rows"))  # TERMS rows
+    return systems.select("category", solve_normal(F.transform("rows", lambda r: r["row"])).alias("beta"))
 
 
 def seasonal_forecast(weekly: DataFrame, horizon: int = HORIZON, min_weeks: int = BACKTEST_WEEKS) -> DataFrame:
-    """Trend, yearly season and holidays per category, fitted on all its weeks.
+    """Trend, yearly season, holidays and promotions per category, fitted on all its weeks, with an 80 % interval.
 
-    A group holds one row per week of a category, so it stays small whatever the sales volume.
-    Categories with fewer than `min_weeks` weeks give no rows.
+    Categories with fewer than `min_weeks` weeks give no rows. Series under 104 weeks have two pairs of yearly
+    terms, under 26 weeks none. A window over a category holds a row per week.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=["ds", "units_sold"])
-        if len(pdf) < min_weeks:
-            return pd.DataFrame(columns=["ds", "category", "yhat", "yhat_lower", "yhat_upper", "is_forecast"], dtype=object)
-        out = fit_predict(pdf, horizon)
-        out["category"] = pdf["category"].iloc[0]
-        out["ds"] = out["ds"].dt.date
-        return out[["ds", "category", "yhat", "yhat_lower", "yhat_upper", "is_forecast"]]
-
-    return weekly.select("ds", "category", "units_sold").groupBy("category").applyInPandas(run, FORECAST_SCHEMA)
+    rows = _with_terms(weekly, horizon, min_weeks)
+    beta = seasonal_coefficients(rows).withColumnRenamed("category", "_category")
+    fitted = null_safe_join(rows, beta, {"category": "_category"}).withColumn(
+        "fit", F.aggregate(F.zip_with("x", "beta", lambda x, b: x * b), F.lit(0.0), lambda s, v: s + v) / UNIT
+    )
+    residual = F.col("y") - F.col("fit")
+    free = F.greatest(F.lit(1), F.col("n") - (4 + 2 * F.col("waves")))
+    spread = F.sqrt(F.sum(residual * residual).over(Window.partitionBy("category")) / free) * Z80
+    whole = lambda v: F.rint(F.greatest(v, F.lit(0.0))).cast("bigint")
+    return fitted.withColumn("spread", spread).select(
+        "ds", "category", whole(F.col("fit")).alias("yhat"), whole(F.col("fit") - F.col("spread")).alias("yhat_lower"),
+        whole(F.col("fit") + F.col("spread")).alias("yhat_upper"), F.col("y").isNull().alias("is_forecast"),
+    )
 
 
 def backtest_seasonal(weekly: DataFrame, weeks: int = BACKTEST_WEEKS) -> DataFrame:
