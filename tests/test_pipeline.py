@@ -44,8 +44,8 @@ def test_pipeline_loads_what_passes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/fact_sales").count() == 2 * lines["records_clean"]
     assert spark.read.parquet(f"{tmp_path}/data_quality_quarantine").count() == 2 * rejected.count()
     assert spark.read.parquet(f"{tmp_path}/pipeline_run_log").count() == 2
-    assert spark.read.parquet(f"{tmp_path}/dim_store").count() == good.stores.count()
-    assert spark.read.parquet(f"{tmp_path}/dim_customer").count() == good.customers.count()
+    assert writers.read_published(spark, f"{tmp_path}/dim_store").count() == good.stores.count()
+    assert writers.read_published(spark, f"{tmp_path}/dim_customer").count() == good.customers.count()
 
 
 def test_daily_run_keeps_history_and_gates_marts(spark, tmp_path):
@@ -58,11 +58,11 @@ def test_daily_run_keeps_history_and_gates_marts(spark, tmp_path):
     raw.order_lines = lines
     first = run_pipeline(raw, house, "d1", date(2001, 8, 2), with_marts=True)
     assert set(first.published.values()) == {"PUBLISHED"}, first.published
-    people = spark.read.parquet(f"{house}/dim_customer")
+    people = writers.read_published(spark, f"{house}/dim_customer")
     scored = people.filter("rfm_segment IS NOT NULL").count()
-    assert scored == spark.read.parquet(f"{house}/mart_customer_rfm").count() > 0
+    assert scored == writers.read_published(spark, f"{house}/mart_customer_rfm").count() > 0
     assert spark.table("tillwise_mart_store_performance").count() > 0
-    before = spark.read.parquet(f"{house}/mart_executive_kpis").count()
+    before = writers.read_published(spark, f"{house}/mart_executive_kpis").count()
 
     # The next day some customers move, and too many orders are rejected: history grows, marts stay.
     moved = good.customers.filter("customer_id LIKE '%7'").count()
@@ -70,13 +70,13 @@ def test_daily_run_keeps_history_and_gates_marts(spark, tmp_path):
     raw.orders = raw.orders.withColumn("order_total_pence", F.when(F.col("order_id").like("%1"), -1).otherwise(F.col("order_total_pence")))
     second = run_pipeline(raw, house, "d2", date(2001, 8, 3), with_marts=True)
     assert set(second.published.values()) == {"KEEP_PREVIOUS: reject rate"}
-    assert spark.read.parquet(f"{house}/mart_executive_kpis").count() == before
-    people = spark.read.parquet(f"{house}/dim_customer")
+    assert writers.read_published(spark, f"{house}/mart_executive_kpis").count() == before
+    people = writers.read_published(spark, f"{house}/dim_customer")
     assert people.filter("NOT is_current").count() == moved and people.filter("version = 2").count() == moved > 0
     assert people.filter("is_current AND rfm_segment IS NOT NULL").count() == scored
     versions = people.count()
     run_pipeline(raw, house, "d2", date(2001, 8, 3))
-    assert spark.read.parquet(f"{house}/dim_customer").count() == versions
+    assert writers.read_published(spark, f"{house}/dim_customer").count() == versions
 
 
 def test_unknown_customers_are_rejected(spark):

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +80,16 @@ def test_volume_check(spark):
     assert out[0] is False and out[7] is True and out[8] is False
 
 
+def test_volume_check_looks_back_seven_days_not_rows(spark):
+    days = [(date(2024, 1, 1) + timedelta(days=k), n) for k, n in ((0, 1000), (1, 1000), (8, 100), (9, 100), (12, 300), (30, 5))]
+    daily = spark.createDataFrame([("a", d, n) for d, n in days] + [("b", days[0][0], 7)], "s string, d date, n bigint")
+    out = {(r.s, r.d): (r.prior_total, r.prior_days, r.is_outside) for r in Q.volume_check(daily, ["s"], "d", "n").collect()}
+    assert out[("a", days[2][0])] == (1000, 1, True)  # the second day is seven days before, the first eight
+    assert out[("a", days[3][0])] == (100, 1, False)
+    assert out[("a", days[4][0])] == (200, 2, True)
+    assert out[("a", days[5][0])] == (None, 0, False) and out[("b", days[0][0])] == (None, 0, False)
+
+
 def test_gate_keeps_a_failing_table_back(spark):
     published = []
     good = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")

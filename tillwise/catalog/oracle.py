@@ -192,7 +192,7 @@ oracle("dq_freshness", FRESH("orders", "o_orderdate", "2001-08-02 12:00:00") + "
 oracle("dq_volume", f"""SELECT channel, order_date, records, {BIG('t AS prior_total')}, d AS prior_days,
 coalesce(abs(records * d - t) * 100 > t * 20, false) AS is_outside FROM (
 SELECT *, sum(records) OVER w AS t, count(records) OVER w AS d FROM (SELECT channel, order_date, count(*) AS records FROM raw_orders GROUP BY 1, 2)
-WINDOW w AS (PARTITION BY channel ORDER BY order_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""")
+WINDOW w AS (PARTITION BY channel ORDER BY order_date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""")
 cte("run_log", f"""
 SELECT run_date, source_system, n AS records_extracted, n - bad AS records_loaded, bad AS records_quarantined,
   CASE WHEN bad = 0 THEN 'SUCCESS' WHEN bad < n THEN 'PARTIAL' ELSE 'FAILED' END AS status, CAST(NULL AS VARCHAR) AS error_message, n * 2 AS duration_seconds
@@ -326,6 +326,23 @@ row_number() OVER w AS version FROM (SELECT *, lag(loyalty_tier) OVER (PARTITION
 WHERE prev IS NULL OR prev <> loyalty_tier WINDOW w AS (PARTITION BY customer_id ORDER BY snapshot_date)""")
 cte("merge_input", "SELECT customer_id, loyalty_tier, city, CAST(substr(customer_id, 5) AS BIGINT) AS k FROM dim_customer")
 FIRST, TODAY = "DATE '2001-06-01'", AS_OF
+def dated_versions(dim: str, natural: str, every: int) -> str:
+    """Versions (first day, key) of every member: one, or three where it moved and came back."""
+    k = f"CAST(substr({natural}, 5) AS BIGINT) % {every}"
+    days = "DATE '1993-01-01', DATE '1996-03-01', DATE '1998-09-01'"
+    keyed = SK(f"CASE WHEN version = 1 THEN {natural} ELSE {natural} || '#' || version END")
+    return f"""SELECT *, {keyed} AS version_key, coalesce(lead(valid_from) OVER (PARTITION BY {natural} ORDER BY valid_from), DATE '9999-01-01') AS next_from FROM (
+SELECT {natural}, unnest(CASE WHEN {k} = 0 THEN [{days}] ELSE [DATE '1993-01-01'] END) AS valid_from,
+  unnest(CASE WHEN {k} = 0 THEN [1, 2, 3] ELSE [1] END) AS version FROM {dim})"""
+
+
+cte("customer_versions", dated_versions("dim_customer", "customer_id", 7))
+cte("product_versions", dated_versions("dim_product", "product_id", 3))
+oracle("fact_sales_asof", f"""
+SELECT order_line_id, {DKEY('order_date')} AS date_key, c.version_key AS customer_key, p.version_key AS product_key, store_key, net_revenue_pence
+FROM raw_lines l LEFT JOIN raw_orders o USING (order_id) LEFT JOIN dim_store s ON l.store_id = s.store_id
+LEFT JOIN customer_versions c ON o.customer_id = c.customer_id AND (order_date >= c.valid_from OR c.version = 1) AND order_date < c.next_from
+LEFT JOIN product_versions p ON l.product_id = p.product_id AND (order_date >= p.valid_from OR p.version = 1) AND order_date < p.next_from""")
 oracle("scd2_merge", f"""
 SELECT customer_id || '-old' AS customer_id, loyalty_tier, city, {FIRST} AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current, 1::BIGINT AS version FROM merge_input WHERE k % 11 = 0
 UNION ALL SELECT customer_id, CASE WHEN k % 7 = 0 THEN 'Platinum' ELSE loyalty_tier END, city, {TODAY}, NULL, true, 1 FROM merge_input WHERE k % 11 = 0

@@ -436,6 +436,26 @@ def _(raw):
     return dims.scd2_history(customer_snapshots(raw), "customer_id", ["loyalty_tier", "city"], "snapshot_date")
 
 
+def dated_versions(raw: Inputs, dim: DataFrame, natural: str, attribute: str, every: int, key: str) -> DataFrame:
+    """Versions from three yearly snapshots; every so manyth member changes its attribute in the second and back in the third."""
+    k = F.regexp_extract(natural, r"(\d+)$", 1).cast("bigint")
+    days = F.array(*[F.lit(d).cast("date") for d in ("1993-01-01", "1996-03-01", "1998-09-01")])
+    dated = dim.select(natural, attribute, F.explode(days).alias("snapshot_date"))
+    moved = F.when((k % every == 0) & (F.year("snapshot_date") == 1996), "Moved").otherwise(F.col(attribute))
+    versions = dims.scd2_history(dated.withColumn(attribute, moved), natural, [attribute], "snapshot_date")
+    return versions.withColumn(key, dims.version_key(natural))
+
+
+@query("fact_sales_asof")
+def _(raw):
+    """Order lines with the keys of the customer's and product's versions on the order's day."""
+    s = star(raw)
+    people = dated_versions(raw, s.customers, "customer_id", "loyalty_tier", 7, "customer_key")
+    goods = dated_versions(raw, s.products, "product_id", "category", 3, "product_key")
+    fact = facts.build_fact_sales(raw.orders, raw.order_lines, people, goods, s.stores, RUN, LOAD_TIME)
+    return fact.select("order_line_id", "date_key", "customer_key", "product_key", "store_key", "net_revenue_pence")
+
+
 def customer_snapshots(raw: Inputs) -> DataFrame:
     """Three dated snapshots; some customers change tier in the second."""
     base = star(raw).customers.select("customer_id", "loyalty_tier", "city")
@@ -868,7 +888,7 @@ def published(raw: Inputs, name: str, build: Callable[[Inputs], DataFrame]) -> D
         table = f"tillwise_{folder.rsplit('-', 1)[1]}_{name}"
         data_tests.gate(build(raw), name, MART_TESTS[name], lambda staged: writers.publish_table(staged, table, f"{folder}/{name}"))
         _published[key] = folder
-    return readers.read_table(raw.spark, name, _published[key])
+    return writers.read_published(raw.spark, f"{_published[key]}/{name}")
 
 
 def stored_stock(raw: Inputs) -> DataFrame:

@@ -40,6 +40,41 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, sorted; none where it does not exist."""
+    files, path = _file_system(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file at once: it is written aside and renamed. False, and no change, where `path` exists."""
+    files, aside = _file_system(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = files.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.exists(target) and files.rename(aside, target):
+        return True
+    files.delete(aside, False)
+    return False
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    files, where = _file_system(spark, path)
+    source = files.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what the application has staged. Call it when no frame built on staged rows is read any more."""
     files, path = _file_system(spark, _application_folder(spark))

@@ -223,6 +223,32 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: Sequence[str], day: st
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "version")
 
 
+def version_key(natural: str, version: str = "version") -> Column:
+    """Surrogate key of one version: the first version has the key of the natural id, so unversioned rows keep theirs."""
+    return surrogate_key(f"IF({version} = 1, CAST({natural} AS STRING), concat({natural}, '#', {version}))")
+
+
+def versions_on(df: DataFrame, versions: DataFrame, natural: str, day: str, key: str) -> DataFrame:
+    """Add `key`: that of the version of `natural` that was valid on `day`; null where the id is not known.
+
+    The versions of an id travel as one array sorted by first day, so a row meets its id once, however many
+    versions there are, and finds its version in the array by halving. Days before the first version take that
+    one, as the history begins with the first load; rows without a day take the latest one.
+    """
+    steps = F.struct("valid_from", F.col(key).alias("key"))
+    by_id = versions.groupBy(F.col(natural).alias("_id")).agg(F.array_sort(F.collect_list(steps)).alias("_versions"))
+    joined = df.join(by_id, F.col(natural) == F.col("_id"), "left")
+    size = F.array_size("_versions")
+    # From the largest power of two down to 1: how many versions begin on or before the day.
+    powers = F.transform(F.sequence(F.floor(F.log2(size)).cast("int"), F.lit(0)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    started = F.aggregate(powers, F.lit(0), lambda n, step: F.when(
+        (n + step <= size) & (F.get("_versions", n + step - 1)["valid_from"] <= F.col(day)), n + step
+    ).otherwise(n))
+    at = F.when(F.col(day).isNull(), size).otherwise(F.greatest(started, F.lit(1)))
+    found = F.when(size > 0, F.get("_versions", at - 1)["key"])
+    return joined.withColumn(key, found).drop("_id", "_versions")
+
+
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], day: date) -> DataFrame:
     """Merge a full snapshot into a versioned dimension, all columns of which are kept.
 

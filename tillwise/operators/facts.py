@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.columns import date_key, safe_divide, surrogate_key
+from tillwise.operators import dims
 
 
 # Natural ids of the rows whose id has several parts, as SQL.
@@ -29,6 +30,11 @@ def lookup(df: DataFrame, dim: DataFrame, natural: str, key: str) -> DataFrame:
     return df.join(keys, F.col(natural) == F.col("_id"), "left").drop("_id")
 
 
+def lookup_on(df: DataFrame, dim: DataFrame, natural: str, key: str, day: str) -> DataFrame:
+    """As `lookup`; of a dimension with versions the key of the one valid on `day`."""
+    return dims.versions_on(df, dim, natural, day, key) if "version" in dim.columns else lookup(df, dim, natural, key)
+
+
 def channel_key(channel: Column) -> Column:
     out = F.when(F.lit(False), F.lit(0))
     for name, key in model.CHANNEL_KEYS.items():
@@ -42,14 +48,15 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order line with dimension keys and audit columns.
 
-    Customer keys are looked up on the orders, before these meet their more numerous lines.
+    Customer keys are looked up on the orders, before these meet their more numerous lines. Where customers or
+    products are given in versions, the keys are those of the versions valid on the order's day.
     """
-    keyed_orders = lookup(orders, customers, "customer_id", "customer_key")
+    keyed_orders = lookup_on(orders, customers, "customer_id", "customer_key", "order_date")
     from_order = ["order_id", "customer_key", "order_date", "channel", "campaign_id"]
     if "store_id" not in lines.columns:
         from_order.append("store_id")
     fact = lines.join(keyed_orders.select(*from_order), "order_id", "left")
-    fact = lookup(fact, products, "product_id", "product_key")
+    fact = lookup_on(fact, products, "product_id", "product_key", "order_date")
     fact = lookup(fact, stores, "store_id", "store_key")
     now = _now(load_time)
     fact = fact.withColumns(
@@ -72,7 +79,7 @@ def build_fact_sales(
 def build_fact_inventory(
     df: DataFrame, products: DataFrame, stores: DataFrame, run_id: str, load_time: datetime | None = None
 ) -> DataFrame:
-    out = lookup(lookup(df, products, "product_id", "product_key"), stores, "store_id", "store_key")
+    out = lookup(lookup_on(df, products, "product_id", "product_key", "snapshot_date"), stores, "store_id", "store_key")
     return out.withColumns(
         {
             "date_key": date_key("snapshot_date"),

@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.functions.columns import percent
 from tillwise.functions.scale import mark_first
@@ -243,11 +244,13 @@ def freshness_check(df: DataFrame, ts: str, source: str, as_of: datetime, hours:
 
 
 def volume_check(daily: DataFrame, group: Sequence[str], day: str, count: str, tolerance_pct: int = 20) -> DataFrame:
-    """Compare each day's row count with the mean of the seven rows before it.
+    """Compare each day's row count with the mean over the seven days before it.
 
-    `daily` has one row per group and day, so a window holds at most the days of the calendar.
+    Days without rows are left out of the mean, which then covers fewer days, but never older ones; `day` is a
+    date or a day number. `daily` has one row per group and day, so a window holds at most the days of the calendar.
     """
-    before = Window.partitionBy(*group).orderBy(day).rowsBetween(-7, -1)
+    number = F.unix_date(day) if daily.schema[day].dataType == T.DateType() else F.col(day)
+    before = Window.partitionBy(*group).orderBy(number).rangeBetween(-7, -1)
     total, days = F.sum(count).over(before), F.count(count).over(before)
     # |count - total/days| > tolerance * total/days, in integers
     off = F.abs(F.col(count) * days - total) * 100 > total * tolerance_pct

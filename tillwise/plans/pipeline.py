@@ -9,14 +9,14 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime, time, timezone
 from types import SimpleNamespace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import date_key, surrogate_key
-from tillwise.functions.scale import folder_exists, stage
+from tillwise.functions.scale import stage
 from tillwise.operators import data_tests, dims, facts, inventory, marts, quality, segments
 from tillwise.operators.intermediate import Star, int_customer_orders
 from tillwise.sources import writers
@@ -48,6 +48,7 @@ class RunSummary:
     reports: dict[str, dict] = field(default_factory=dict)
     loaded: dict[str, int] = field(default_factory=dict)
     published: dict[str, str] = field(default_factory=dict)
+    alerts: int = 0
     status: str = "SUCCESS"
 
 
@@ -58,59 +59,59 @@ def validate(raw) -> tuple[DataFrame, DataFrame]:
     return orders, lines
 
 
-def build_tables(raw, orders: DataFrame, lines: DataFrame, run_id: str, load_time: datetime) -> dict[str, DataFrame]:
-    customers = dims.transform_customers(raw.customers, load_time)
-    products = dims.transform_products(raw.products, load_time)
-    stores = dims.transform_stores(raw.stores, load_time)
+def build_facts(
+    raw, orders: DataFrame, lines: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame, run_id: str, load_time: datetime
+) -> dict[str, DataFrame]:
+    """The fact tables over the stored dimensions; rows name the versions of customer and product valid on their day."""
     stock = raw.inventory
     if "stock_status" not in stock.columns:
         stock = inventory.with_stock_status(stock)
     return {
-        "dim_customer": customers,
-        "dim_product": products,
-        "dim_store": stores,
         "fact_sales": facts.build_fact_sales(quality.clean_orders(orders), quality.clean(lines), customers, products, stores, run_id, load_time),
         "fact_inventory": facts.build_fact_inventory(stock, products, stores, run_id, load_time),
         "fact_marketing_spend": facts.build_fact_marketing(raw.marketing, run_id, load_time),
     }
 
 
-def _stored(spark, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if folder_exists(spark, path) else None
-
-
 def _merged(spark, name: str, new: DataFrame, path: str, day: date) -> DataFrame:
     """The stored dimension with the new snapshot merged in; scores written back earlier stay."""
     key, tracked = TRACKED[name]
-    first = new.withColumns({"valid_from": F.lit(day).cast("date"), "version": F.lit(1).cast("bigint")})
-    stored = _stored(spark, path)
-    if stored is None:
-        return first
+    if writers.current_version(spark, path) is None:
+        return new.withColumns({"valid_from": F.lit(day).cast("date"), "version": F.lit(1).cast("bigint")})
+    stored = writers.read_published(spark, path)
     kept = {"created_at", *dims.VERSION_COLUMNS, *(dims.RFM_COLUMNS if name == "dim_customer" else ())}
     snapshot = new.drop(*kept)
     merged = dims.scd2_merge(stored, snapshot, key, tracked, day)
-    return merged.withColumn("created_at", F.coalesce("created_at", "updated_at"))
+    return merged.withColumns({
+        "created_at": F.coalesce("created_at", "updated_at"), name.removeprefix("dim_") + "_key": dims.version_key(key)
+    })
 
 
-def _load(spark, df: DataFrame, name: str, warehouse: str, run_id: str, day: date) -> int:
+def _load_dimension(spark, df: DataFrame, name: str, warehouse: str, day: date) -> int:
     path = f"{warehouse}/{name}"
-    if name in TRACKED:
-        # Written aside first, as the table is read while it is merged.
-        return writers.load_table(stage(_merged(spark, name, df, path, day), name), path, "overwrite")
-    if name.startswith("dim_"):
-        return writers.load_table(df, path, "overwrite")
+    return writers.publish_version(_merged(spark, name, df, path, day) if name in TRACKED else df, path)
+
+
+def _load_fact(df: DataFrame, name: str, warehouse: str, run_id: str) -> int:
     yearly = df.withColumn("year", F.expr("date_key div 10000").cast("int")).hint("rebalance", "year")
-    return writers.replace_run(yearly, path, run_id, partition_by="year")
+    return writers.replace_run(yearly, f"{warehouse}/{name}", run_id, partition_by="year")
 
 
 def load_warehouse(raw, orders: DataFrame, lines: DataFrame, warehouse: str, summary: RunSummary, started: datetime, day: date) -> DataFrame:
     """Load all tables and rejects; returns the quality reports."""
     spark = raw.spark
-    tables = build_tables(raw, orders, lines, summary.run_id, started)
-    # The tables do not depend on each other: their jobs share the cluster.
+    snapshots = {
+        "dim_customer": dims.transform_customers(raw.customers, started), "dim_product": dims.transform_products(raw.products, started),
+        "dim_store": dims.transform_stores(raw.stores, started),
+    }
+    # Dimensions do not depend on each other, nor do facts: their jobs share the cluster.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        jobs = {name: pool.submit(_load, spark, df, name, warehouse, summary.run_id, day) for name, df in tables.items()}
+        jobs = {name: pool.submit(_load_dimension, spark, df, name, warehouse, day) for name, df in snapshots.items()}
         summary.loaded = {name: job.result() for name, job in jobs.items()}
+        stored = [writers.read_published(spark, f"{warehouse}/{name}") for name in snapshots]
+        tables = build_facts(raw, orders, lines, *stored, summary.run_id, started)
+        jobs = {name: pool.submit(_load_fact, df, name, warehouse, summary.run_id) for name, df in tables.items()}
+        summary.loaded |= {name: job.result() for name, job in jobs.items()}
     rejected = quality.quarantine(quality.failed(orders), summary.run_id, "POS").unionByName(
         quality.quarantine(quality.failed(lines), summary.run_id, "POS")
     )
@@ -126,7 +127,9 @@ def build_marts(raw, orders: DataFrame, lines: DataFrame, warehouse: str, as_of:
     accepted = SimpleNamespace(spark=spark, orders=quality.clean_orders(orders), order_lines=quality.clean(lines))
     days = accepted.orders.agg(F.min("order_date").alias("a"), F.max("order_date").alias("b"))
     star = Star(accepted, load_time=load_time)
-    star.customers, star.products, star.stores = (spark.read.parquet(f"{warehouse}/{n}").filter("is_current") for n in ("dim_customer", "dim_product", "dim_store"))
+    star.customers, star.products, star.stores = (
+        writers.read_published(spark, f"{warehouse}/{n}").filter("is_current") for n in ("dim_customer", "dim_product", "dim_store")
+    )
     star.dates = dims.describe_dates(dims.spine_between(days, "a", "b"))
     customers = stage(int_customer_orders(star, as_of), "customer-orders")
     stock = raw.inventory if "stock_status" in raw.inventory.columns else inventory.with_stock_status(raw.inventory)
@@ -163,9 +166,9 @@ def publish_marts(tables: dict[str, DataFrame], reports: DataFrame, warehouse: s
 def write_scores_back(spark, warehouse: str) -> None:
     """Scores, segment and lifetime value of the published RFM mart into the current customers."""
     path = f"{warehouse}/dim_customer"
-    stored = spark.read.parquet(path)
-    scored = segments.update_customers(stored.filter("is_current"), spark.read.parquet(f"{warehouse}/mart_customer_rfm"))
-    writers.load_table(stage(scored.unionByName(stored.filter("NOT is_current")), "scored-customers"), path, "overwrite")
+    stored = writers.read_published(spark, path)
+    scored = segments.update_customers(stored.filter("is_current"), writers.read_published(spark, f"{warehouse}/mart_customer_rfm"))
+    writers.publish_version(scored.unionByName(stored.filter("NOT is_current")), path)
 
 
 def run_pipeline(
@@ -181,6 +184,8 @@ def run_pipeline(
     summary = RunSummary(run_id or str(uuid.uuid4()))
     spark, error = raw.spark, None
     try:
+        alerts = freshness_and_volume(raw, datetime.combine(day, time()))
+        summary.alerts = writers.replace_run(alerts, f"{warehouse}/pipeline_alerts", summary.run_id, "run_id")
         orders, lines = validate(raw)
         reports = load_warehouse(raw, orders, lines, warehouse, summary, started, day)
         if with_marts:
@@ -188,6 +193,8 @@ def run_pipeline(
             summary.published = publish_marts(tables, reports, warehouse, max_reject_pct)
             if summary.published["mart_customer_rfm"] == "PUBLISHED":
                 write_scores_back(spark, warehouse)
+                scores = writers.read_published(spark, f"{warehouse}/mart_customer_rfm")
+                segments.append_history(scores.select("customer_id", "rfm_segment"), day, f"{warehouse}/segment_history")
     except Exception as e:
         summary.status, error = "FAILED", str(e)[:500]
         raise
@@ -198,11 +205,29 @@ def run_pipeline(
     return summary
 
 
-def freshness_and_volume(raw, as_of: datetime, hours: int = 26, tolerance_pct: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Warnings that do not stop a run: the age of the newest order and stock row, and days of unusual volume."""
-    ages = quality.freshness_check(raw.orders, "order_date", "orders", as_of, hours).unionByName(
-        quality.freshness_check(raw.inventory, "snapshot_date", "inventory", as_of, hours)
-    )
-    daily = raw.orders.groupBy("channel", quality.as_date("order_date").alias("order_date")).agg(F.count(F.lit(1)).alias("records"))
-    return ages, quality.volume_check(daily.filter("order_date IS NOT NULL"), ["channel"], "order_date", "records", tolerance_pct).filter("is_outside")
+def freshness_and_volume(raw, as_of: datetime, hours: int = 26, tolerance_pct: int = 20) -> DataFrame:
+    """Warnings that do not stop a run: (check, source, day, value, expected).
 
+    `freshness`: the newest order or stock row is older than `hours` (value: its age in seconds, null for none).
+    `volume`: a channel's orders of the newest day are not within `tolerance_pct` of the mean of the seven days before.
+    """
+    orders, stock = (df.select(quality.as_date(c).alias("day")) for df, c in ((raw.orders, "order_date"), (raw.inventory, "snapshot_date")))
+    ages = quality.freshness_check(orders, "day", "orders", as_of, hours).unionByName(
+        quality.freshness_check(stock, "day", "inventory", as_of, hours)
+    )
+    stale = ages.filter("is_stale").select(
+        F.lit("freshness").alias("check"), "source", F.lit(as_of.date()).alias("day"), F.col("age_seconds").alias("value"),
+        F.lit(hours * 3600).cast("bigint").alias("expected"),
+    )
+    # The newest week and the day itself are all that a warning needs.
+    dated = raw.orders.select("channel", quality.as_date("order_date").alias("order_date")).filter(
+        F.col("order_date").between(F.date_sub(F.lit(as_of.date()), 8), F.lit(as_of.date()))
+    )
+    daily = dated.groupBy("channel", "order_date").agg(F.count(F.lit(1)).alias("records"))
+    newest = F.max("order_date").over(Window.partitionBy("channel"))
+    checked = quality.volume_check(daily, ["channel"], "order_date", "records", tolerance_pct).withColumn("newest", newest)
+    odd = checked.filter("is_outside AND order_date = newest").select(
+        F.lit("volume").alias("check"), F.concat(F.lit("orders of "), F.coalesce("channel", F.lit("no channel"))).alias("source"),
+        F.col("order_date").alias("day"), F.col("records").alias("value"), F.expr("prior_total div prior_days").alias("expected"),
+    )
+    return stale.unionByName(odd)

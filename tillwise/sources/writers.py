@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.functions import scale
 from tillwise.model import RUN_LOG
 
 
@@ -98,10 +100,74 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+MARKERS = "_current"
+KEPT_VERSIONS = 3
+
+
+def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(number, folder) of the published version of the table at `path`; None before the first."""
+    numbers = [n for n in scale.names_in(spark, f"{path}/{MARKERS}") if n.isdigit()]
+    return (int(numbers[-1]), f"{path}/{scale.read_small_file(spark, f'{path}/{MARKERS}/{numbers[-1]}')}") if numbers else None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The published version; the frame goes on reading it when another one is published."""
+    current = current_version(spark, path)
+    if current is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(current[1])
+
+
+def publish_version(df: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> int:
+    """Store `df` as the next version of the table at `path` and switch readers to it; returns its row count.
+
+    The rows are written in full into a folder of their own. Then one small file, a marker with the next number,
+    names that folder, and from then on it is the current version: readers see all of the old rows or all of the
+    new ones, and a run that ends before the marker leaves the old version. `df` may read the current version.
+    Two runs that publish at once cannot take the same number; the later one fails. The last `keep` versions
+    stay for readers under way.
+    """
+    spark = df.sparkSession
+    current = current_version(spark, path)
+    number, folder = (current[0] + 1 if current else 1), f"v-{uuid.uuid4().hex}"
+    counted, seen = _counted(df)
+    counted.write.parquet(f"{path}/{folder}")
+    if not _switch(spark, path, number, folder):
+        scale.delete_path(spark, f"{path}/{folder}")
+        raise RuntimeError(f"version {number} of {path} was published by another run")
+    _drop_old(spark, path, number, keep)
+    return seen.get["rows"]
+
+
+def _switch(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    return scale.write_small_file(spark, f"{path}/{MARKERS}/{number:010d}", folder)
+
+
+def _drop_old(spark: SparkSession, path: str, number: int, keep: int) -> None:
+    """Delete the versions before the last `keep`, each marker before its rows."""
+    for marker in scale.names_in(spark, f"{path}/{MARKERS}"):
+        if marker.isdigit() and int(marker) <= number - keep:
+            folder = scale.read_small_file(spark, f"{path}/{MARKERS}/{marker}")
+            scale.delete_path(spark, f"{path}/{MARKERS}/{marker}")
+            scale.delete_path(spark, f"{path}/{folder}")
+
+
 def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace a table of the catalog, stored at `path` or in the session's warehouse."""
-    writer = df.write.mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    """Publish a version of a table at `path`, or in the session's warehouse, and point the catalog's table at it.
+
+    Moving an existing table is one change of its location; readers of files use `read_published`.
+    """
+    spark = df.sparkSession
+    path = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
+    publish_version(df, path)
+    folder = current_version(spark, path)[1]
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == df.schema.simpleString():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, folder, "parquet")
 
 
 def write_export(df: DataFrame, path: str) -> None:
