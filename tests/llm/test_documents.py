@@ -70,6 +70,15 @@ def test_bad_host_takes_only_failing_documents(spark):
     assert not kept[101] and not kept[0]
 
 
+def test_rule_that_many_of_a_host_fail_is_not_let_off(spark):
+    """At ordinary rates: one in five documents fails the symbol rule in one host, one in fifty in the others."""
+    good, symbols = " ".join(edges.words(60, 5)), " ".join(f"# {w}" for w in edges.words(60, 6))
+    rows = [(1000 * h + k, symbols if k % (5 if h == 0 else 50) == 0 else good, f"h{h}") for h in range(8) for k in range(200)]
+    out = quality_rules.apply_rules(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    dropped = {r["row"]["doc_id"] for r in out if not r["kept"]}
+    assert dropped == set(range(0, 200, 5)) and not any(r["host_bad"] or r["base_failed"] for r in out)
+
+
 def test_quality_stage_keeps_columns(spark, docs):
     out = quality_rules.quality_stage(docs)
     assert out.columns == docs.columns

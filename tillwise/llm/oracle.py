@@ -65,11 +65,13 @@ h AS (SELECT source, rule, count(*)::DOUBLE AS n, sum(fail::INT)::DOUBLE AS k
   FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS fail FROM f) GROUP BY ALL),
 t AS (SELECT rule, count(*) AS hosts, sum(n) AS docs, sum(n * n) AS sq, sum(k) / sum(n) AS p, sum(k * k / n) AS q FROM h GROUP BY rule),
 s AS (SELECT *, (q - docs * p * p - (hosts - 1) * p * (1 - p)) / (docs - sq / docs) AS spread FROM t),
-v AS (SELECT source, max((k + p * weight) / (n + weight)) AS host_rate FROM (
+r AS (SELECT source, rule, (k + p * weight) / (n + weight) AS rate FROM (
     SELECT h.*, p, CASE WHEN hosts > 1 AND spread > 0 THEN least(greatest(p * (1 - p) / spread - 1, 1), 1e6) ELSE 1e6 END AS weight
-    FROM h JOIN s USING (rule)) GROUP BY source)
+    FROM h JOIN s USING (rule))),
+v AS (SELECT source, max(rate) AS host_rate, max(rate) FILTER (rule = 2) > 0.05 AS s2, max(rate) FILTER (rule = 3) > 0.05 AS s3,
+    max(rate) FILTER (rule = 4) > 0.05 AS s4 FROM r GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 AS base_failed,
-  NOT (f1 OR (host_rate > 0.5 AND (f1 OR f2 OR f3 OR f4))) AS kept, host_rate > 0.5 AS host_bad
+  NOT (f1 OR (f2 AND s2) OR (f3 AND s3) OR (f4 AND s4) OR (host_rate > 0.5 AND (f2 OR f3 OR f4))) AS kept, host_rate > 0.5 AS host_bad
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 

@@ -21,7 +21,8 @@ MAX_REPEATED_PCT = 30
 MAX_SYMBOLS_PCT = 10  # symbols per 100 words
 MAX_DUPLICATE_LINES_PCT = 30
 MIN_MEAN_LENGTH, MAX_MEAN_LENGTH = 2, 15  # characters per word
-HOST_LIMIT = 0.5  # shrunk failure rate above which a host is bad
+HOST_LIMIT = 0.5  # shrunk failure rate of any rule above which a host is bad as a whole
+RULE_LIMIT = 0.05  # shrunk failure rate of a rule above which a host's documents are not let off that rule
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 RULES = ("base", "symbols", "duplicate_lines", "word_length")
@@ -140,8 +141,9 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", carry
     """One row per document: `row` (a struct of the carried columns), the measures, `base_failed`,
     `host_rate` (the host's highest shrunk rate), `host_bad` and `kept`.
 
-    `kept` is false where the base rule fails, or where the host is bad and the document fails
-    another rule. Null texts have no words and fail the base rule; null hosts are one host. Rows
+    `kept` is false where the base rule fails, where the document fails another rule that too many of its
+    host's documents fail (`RULE_LIMIT`), and where it fails any rule in a host that is bad as a whole
+    (`HOST_LIMIT`). A document that fails another rule in a host where this is rare is let off. Null texts have no words and fail the base rule; null hosts are one host. Rows
     are never merged: repeated rows are measured each for itself. An empty table gives no rows.
     Other columns of `docs` may have any name.
     """
@@ -154,17 +156,22 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", carry
     rates = host_rates(measured, "host")
     # Written, so that its size is known when the join is planned: few hosts are broadcast by Spark itself,
     # and the documents stay where they are; many are joined by shuffles, in which a hot host is split.
-    verdicts = stage(rates.select(F.col("host").alias("v_host"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate")), "hosts")
-    fails_any = F.col("fail_base") | F.col("fail_symbols") | F.col("fail_duplicate_lines") | F.col("fail_word_length")
+    verdicts = stage(rates.select(
+        F.col("host").alias("v_host"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate"),
+        *[(F.col(f"rate_{r}") > RULE_LIMIT).alias(f"strict_{r}") for r in RULES],
+    ), "hosts")
     joined = null_safe_join(measured, verdicts, {"host": "v_host"})
     bad = F.col("host_rate") > HOST_LIMIT
+    rejected = F.col("fail_base")
+    for r in RULES:
+        rejected = rejected | (F.col(f"fail_{r}") & (bad | F.col(f"strict_{r}")))
     return joined.select(
         "row",
         *[F.col("m")[c].alias(c) for c in MEASURES],
         F.col("fail_base").alias("base_failed"),
         "host_rate",
         bad.alias("host_bad"),
-        (~(F.col("fail_base") | (bad & fails_any))).alias("kept"),
+        (~rejected).alias("kept"),
     )
 
 
