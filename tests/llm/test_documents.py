@@ -249,6 +249,37 @@ def test_longest_match_and_empty_benchmark(spark, docs):
     assert decontamination.decontaminate_stage(docs, none).count() == docs.count()
 
 
+def test_repeated_words_cost_no_more_than_others(spark):
+    """400 equal words against 100,000: every window of the item is the same, and so are all places."""
+    import time
+
+    items = [(1, b"a " * 400), (2, b"a b " * 200), (3, b"x y z " * 50 + b"end")]
+    block = decontamination.BenchmarkBlock(items)
+    assert len(block.starts) == 1 + 2 + 4
+    rows = [(1, "a " * 100_000), (2, "b a " * 30_000), (3, "q " + "y z x " * 60 + "q")]
+    df = spark.createDataFrame([(i, t.decode()) for i, t in items], "item_id bigint, text string")
+    began = time.time()
+    got = {r["row"]["doc_id"]: [tuple(s) for s in r["spans"]] for r in decontamination.find_passages(edges.table(spark, rows), df).collect()}
+    assert time.time() - began < 20
+    assert got == {1: [(1, 0, 100_000, 400)], 2: [(2, 0, 60_000, 400)], 3: [(3, 1, 181, 150)]}
+
+
+def longest_brute(item, words):
+    return max((n for a in range(len(words)) for n in range(1, len(words) - a + 1)
+                if any(item[k : k + n] == words[a : a + n] for k in range(len(item) - n + 1))), default=0)
+
+
+def test_longest_run_of_an_item():
+    import random
+
+    r = random.Random(4)
+    for _ in range(60):
+        item, words = ([r.randrange(1, 4) for _ in range(r.randrange(1, 14))] for _ in range(2))
+        block = decontamination.BenchmarkBlock([(1, " ".join(map(str, item)).encode())], window=3)
+        numbers = [block.number.get(str(w).encode(), 0) for w in words]
+        assert block.longest(0, numbers) == longest_brute(item, words)
+
+
 # --- SentencePiece ----------------------------------------------------------------------------
 
 def test_encoding_equals_the_library(spark, docs):
@@ -376,6 +407,20 @@ def test_license_places(spark):
     assert got[7]["duty"] is None and 0 < got[7]["score"] < 1
 
 
+def test_unknown_identifiers_are_no_licences(spark):
+    tag = "SPDX-License-Identifier: "
+    rows = [(1, tag + "banana AND cabbage"), (2, tag + "MIT OR banana"), (3, tag + "MIT WITH MIT"), (4, tag + "GPL-2.0-only WITH banana"),
+            (5, tag + "LicenseRef-Own-1 OR mit"), (6, tag + "Classpath-exception-2.0"), (7, tag + "GPL-3.0+ AND (Zlib OR X11)")]
+    got = {r["row"]["doc_id"]: (r["labels"], r["score"], r["duty"]) for r in licenses.scan_licenses(edges.table(spark, rows)).collect()}
+    assert all(got[k] == ("", 0.5, None) for k in (1, 2, 3, 4, 6))
+    assert got[5] == ("licenseref-own-1,mit", 1.0, "permissive") and got[7][:2] == ("gpl-3.0+,x11,zlib", 1.0)
+
+
+def test_broken_bytes_end_no_scan():
+    found = licenses.Scanner().scan(b"\xff\xfe the MIT license \xc3")
+    assert found["base_labels"] == "mit" and found["n_base"] == 1
+
+
 def test_licenses_against_brute_force(spark):
     """Every phrase looked up at every word of every document."""
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()] + edges.texts()

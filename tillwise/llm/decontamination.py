@@ -2,8 +2,9 @@
 
 The benchmark is numbered word by word and sent to the tasks in blocks of bounded size. A task sorts
 the suffixes of its documents into a suffix array per batch (a shard) and finds every benchmark suffix
-in it by binary search; the range found gives the places, and comparing on from there the longest
-verbatim match. Only suffixes that begin with enough consecutive benchmark word pairs to hold a
+in it by binary search; the range found gives the places. Suffixes that begin with the same window of an
+item are searched once, and the longest verbatim match of a passage is read off the item's suffix automaton
+in one walk along the passage, so words repeated without end cost no more than others. Only suffixes that begin with enough consecutive benchmark word pairs to hold a
 window enter the array: no other suffix can be in a range that a search returns.
 """
 
@@ -23,6 +24,7 @@ from tillwise.llm.common import split_words
 WINDOW = 10
 BLOCK_WORDS = 2_000_000  # benchmark words sent to the tasks at once: about 100 MB of index
 SHARD_BYTES = 8 << 20
+AUTOMATON_WORDS = 1_000_000  # words of items whose automata a task keeps
 SPANS = "array<struct<item_id: bigint, start: bigint, end: bigint, longest: bigint>>"
 SPAN_ARROW = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "end", "longest")]))
 
@@ -42,12 +44,15 @@ class BenchmarkBlock:
         starts, owner, lengths = [], [], []
         at = 0
         for k, t in enumerate(texts):
-            count = max(1, len(t) - window + 1)
-            starts.append(np.arange(at, at + count))
-            owner.append(np.full(count, k))
-            lengths.append(np.full(count, min(window, len(t))))
+            first = self._distinct(t, window)
+            starts.append(at + first)
+            owner.append(np.full(len(first), k))
+            lengths.append(np.full(len(first), min(window, len(t))))
             at += len(t) + 1
         self.ids = ids
+        self.begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.automata: dict[int, list[tuple[dict[int, int], int, int]]] = {}
+        self.automaton_words = 0
         # Items one after another, each ended by -1, which equals no word; then room for a window.
         tail = [np.full(window, -1, np.int64)]
         self.words = np.concatenate([np.append(t, -1) for t in texts] + tail)
@@ -58,6 +63,32 @@ class BenchmarkBlock:
         pairs = self.words[:-1] * (len(self.number) + 1) + self.words[1:]
         self.pairs = np.unique(pairs[(self.words[:-1] > 0) & (self.words[1:] > 0)])
 
+    @staticmethod
+    def _distinct(words: np.ndarray, window: int) -> np.ndarray:
+        """The first place of each different window of an item."""
+        if len(words) <= window or len(np.unique(words)) == len(words):
+            return np.arange(max(1, len(words) - window + 1))
+        return np.sort(np.unique(np.lib.stride_tricks.sliding_window_view(words, window), axis=0, return_index=True)[1])
+
+    def longest(self, owner: int, words: list[int]) -> int:
+        """The most consecutive `words` that stand so in an item."""
+        if owner not in self.automata:
+            item = self.words[self.begins[owner] : self.begins[owner + 1] - 1].tolist()
+            if self.automaton_words > AUTOMATON_WORDS:
+                self.automata.clear()
+                self.automaton_words = 0
+            self.automata[owner] = suffix_automaton(item)
+            self.automaton_words += len(item)
+        states, state, size, most = self.automata[owner], 0, 0, 0
+        for w in words:
+            while state and w not in states[state][0]:
+                state = states[state][1]
+                size = states[state][2]
+            if w in states[state][0]:
+                state, size = states[state][0][w], size + 1
+            most = max(most, size)
+        return most
+
     def suffix_array(self, words: np.ndarray) -> np.ndarray:
         """Places in `words` at which a window can begin, in the order of the `window` words from there."""
         live = words > 0
@@ -88,13 +119,10 @@ class BenchmarkBlock:
         return np.hstack([big, np.ones((len(places), 1), np.uint8)]).reshape(-1).view(f"S{4 * self.window + 1}")
 
     def matches(self, words: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(place, item, length, longest) of every window of the block found in `words`.
-
-        `words` ends with at least `window` entries of -1. `longest` is how far document and item agree from there.
-        """
+        """(place, item, length) of every window of the block found in `words`, which ends with at least `window` entries of -1."""
         order = self.suffix_array(words)
         if not len(order) or not len(self.starts):
-            return (np.empty(0, np.int64),) * 4
+            return (np.empty(0, np.int64),) * 3
         keys = self.keys(words, order)
         low = np.searchsorted(keys, self.keys(self.words, self.starts, self.lengths), "left")
         high = np.searchsorted(keys, self.keys(self.words, self.starts, self.lengths, 2**32 - 1), "right")
@@ -102,20 +130,39 @@ class BenchmarkBlock:
         which = np.repeat(np.arange(len(count)), count)
         inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         place = order[np.repeat(low, count) + inside]
-        item_place, length = self.starts[which], self.lengths[which]
-        longest = length.copy()
-        growing = np.arange(len(place))
-        while len(growing):
-            p, q = place[growing] + longest[growing], item_place[growing] + longest[growing]
-            same = (words[np.minimum(p, len(words) - 1)] == self.words[np.minimum(q, len(self.words) - 1)]) & (
-                self.words[np.minimum(q, len(self.words) - 1)] > 0
-            )
-            growing = growing[same]
-            longest[growing] += 1
-        return place, self.owner[which], length, longest
-
-
-def _merge(doc: np.ndarray, place: np.ndarray, item: np.ndarray, length: np.ndarray, longest: np.ndarray):
+        return place, self.owner[which], self.lengths[which]
+
+
+def suffix_automaton(words: list[int]) -> list[tuple[dict[int, int], int, int]]:
+    """States (next state by word, suffix link, length) of the smallest automaton of all runs of `words`; 0 is the start."""
+    steps, link, length, last = [{}], [-1], [0], 0
+    for w in words:
+        new = len(steps)
+        steps.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        at, last = last, new
+        while at >= 0 and w not in steps[at]:
+            steps[at][w] = new
+            at = link[at]
+        if at < 0:
+            continue
+        to = steps[at][w]
+        if length[to] == length[at] + 1:
+            link[new] = to
+            continue
+        copy = len(steps)
+        steps.append(dict(steps[to]))
+        link.append(link[to])
+        length.append(length[at] + 1)
+        while at >= 0 and steps[at].get(w) == to:
+            steps[at][w] = copy
+            at = link[at]
+        link[to] = link[new] = copy
+    return list(zip(steps, link, length))
+
+
+def _merge(doc: np.ndarray, place: np.ndarray, item: np.ndarray, length: np.ndarray):
     """Windows of one item that overlap or touch in a document, put together: one row per passage."""
     order = np.lexsort((place, item, doc))
     doc, place, item, end = doc[order], place[order], item[order], (place + length)[order]
@@ -123,9 +170,9 @@ def _merge(doc: np.ndarray, place: np.ndarray, item: np.ndarray, length: np.ndar
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] > end[:-1])
     first = np.flatnonzero(new)
     if not len(first):
-        return doc, item, place, end, longest
+        return doc, item, place, end
     last = np.append(first[1:], len(doc)) - 1
-    return doc[first], item[first], place[first], end[last], np.maximum.reduceat(longest[order], first)
+    return doc[first], item[first], place[first], end[last]
 
 
 def _find(block_of, last: bool):
@@ -144,12 +191,14 @@ def _find(block_of, last: bool):
                     counts.append(len(words))
                     arrays += [np.fromiter(map(get, words, repeat(0)), np.int64, len(words)), gap]
                     at += len(words) + block.window
-                place, item, length, longest = block.matches(np.concatenate(arrays))
+                shard = np.concatenate(arrays)
+                place, item, length = block.matches(shard)
                 doc = np.searchsorted(starts, place, "right") - 1
                 first = len(counts) - len(texts)
-                for d, i, a, b, most in zip(*(x.tolist() for x in _merge(doc, place, item, length, longest))):
+                for d, i, a, b in zip(*(x.tolist() for x in _merge(doc, place, item, length))):
                     found.append((first + d, {
-                        "item_id": block.ids[i], "start": a - starts[d], "end": b - starts[d], "longest": most,
+                        "item_id": block.ids[i], "start": a - starts[d], "end": b - starts[d],
+                        "longest": block.longest(i, shard[a:b].tolist()),
                     }))
             for d, span in found:
                 spans[d].append(span)
@@ -188,6 +237,14 @@ def benchmark_blocks(items: DataFrame, item: str, text: str, window: int, block_
         yield BenchmarkBlock(part, window)
 
 
+def _with_last(blocks: Iterator[BenchmarkBlock]) -> Iterator[tuple[BenchmarkBlock, bool]]:
+    block = next(blocks)
+    for following in blocks:
+        yield block, False
+        block = following
+    yield block, True
+
+
 def find_passages(
     docs: DataFrame, items: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), item: str = "item_id",
     item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
@@ -206,9 +263,8 @@ def find_passages(
         F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(text).cast("string").alias("text"),
         F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPANS).alias("spans"),
     )
-    blocks = list(benchmark_blocks(items, item, item_text, window, block_words))
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
+    # A block goes to the tasks, and leaves the driver, before the block after the next one is made.
+    for block, last in _with_last(benchmark_blocks(items, item, item_text, window, block_words)):
         schema = T.StructType([f for f in found.schema if not (last and f.name == "text")])
         found = found.mapInArrow(_find(spark.sparkContext.broadcast(block), last), schema)
     return found

@@ -50,6 +50,25 @@ TAG = "spdx license identifier"
 TAG_LINE = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
 TOKEN = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
+# Identifiers in common use, lower-cased; expressions with any other name are not valid.
+IDENTIFIERS = frozenset("""
+0bsd afl-3.0 agpl-1.0-only agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-2.0
+blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 bzip2-1.0.6
+cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0
+cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpl-1.0 curl ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 ftl
+gfdl-1.3-only gfdl-1.3-or-later gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0+ gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0+ gpl-3.0-only gpl-3.0-or-later
+hpnd icu ijg ipl-1.0 isc json lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1+ lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0+ lgpl-3.0-only lgpl-3.0-or-later
+libpng libpng-2.0 lppl-1.3c mit mit-0 mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 ncsa nist-software ofl-1.1 openldap-2.8 openssl osl-3.0
+php-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby sissl sleepycat tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 zlib zpl-2.1
+""".split())
+# Names that may stand after `with`.
+EXCEPTIONS = frozenset("""
+autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception classpath-exception-2.0 font-exception-2.0
+gcc-exception-2.0 gcc-exception-3.1 libtool-exception linux-syscall-note llvm-exception openjdk-assembly-exception-1.0 qt-gpl-exception-1.0
+swift-exception universal-foss-exception-1.0 wxwindows-exception-3.1
+""".split())
+REFERENCE = re.compile(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
+
 # How much a licence asks for, from its identifier's first part.
 DUTIES = {
     "mit": 1, "bsd": 1, "apache": 1, "isc": 1, "unlicense": 0, "cc0": 0, "0bsd": 0, "zlib": 1, "cc": 1,
@@ -104,9 +123,14 @@ def postfix(expression: str) -> list[str] | None:
 def evaluate(items: list[str]) -> tuple[int, list[str]] | None:
     """(duty, licence identifiers): `and` asks for the most of its sides, `or` for the least, `with` one less.
 
-    The right side of `with` must be an exception's identifier; it is no licence itself.
+    The right side of `with` must be an exception's identifier, which is no licence itself; all other names must be
+    known identifiers or references to a licence text. An expression with an unknown name has no value.
     """
     stack: list[tuple[int, list[str]]] = []
+    for place, item in enumerate(items):
+        is_exception = items[place + 1 : place + 2] == ["with"]
+        if item not in PRECEDENCE and not (item in EXCEPTIONS if is_exception else item in IDENTIFIERS or REFERENCE.fullmatch(item)):
+            return None
     for item in items:
         if item in PRECEDENCE:
             right, left = stack.pop(), stack.pop()
@@ -132,7 +156,7 @@ class Scanner:
 
     def scan(self, text: bytes) -> dict:
         words = split_words(text)
-        body = f" {b' '.join(words).decode()} "
+        body = f" {b' '.join(words).decode('utf-8', 'replace')} "
         base, notices, tags = [], set(), 0
         for end, phrase in self.automaton.iter(body):
             if phrase == TAG:
