@@ -82,6 +82,40 @@ def test_archive_of_several_members(spark, tmp_path):
             list(warc.parse_records(cut))
 
 
+def archive_record(kind, name, block, **more):
+    fields = {"WARC-Type": kind, "WARC-Record-ID": name, **{k.replace("_", "-"): v for k, v in more.items()}, "Content-Length": len(block)}
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+
+
+def test_damaged_records_end_no_read(spark, tmp_path):
+    """A missing last segment, a cut chunk and a chunk size that is none: these records are not intact, the others are read."""
+    good = HTTP + b"3\r\nabc\r\n0\r\n\r\n"
+    sha = hashlib.sha1(b"abc").hexdigest()
+    out = archive_record("response", "good", good, WARC_Page_ID=1, WARC_Payload_Digest=f"sha1:{sha}")
+    out += archive_record("response", "cut", HTTP + b"9\r\nabc\r\n0\r\n\r\n", WARC_Page_ID=2, WARC_Payload_Digest=f"sha1:{sha}")
+    out += archive_record("response", "size", HTTP + b"-1\r\nabc\r\n", WARC_Page_ID=3, WARC_Payload_Digest=f"sha1:{sha}")
+    out += archive_record("response", "seg", HTTP + b"6\r\nabc", WARC_Page_ID=4, WARC_Payload_Digest=f"sha1:{sha}", WARC_Segment_Number=1)
+    out += archive_record("revisit", "again", b"", WARC_Page_ID=5, WARC_Payload_Digest=f"sha1:{sha}", WARC_Refers_To="seg")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(out))
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["intact"], r["refers_to"]) for r in warc.read_archives(spark, str(tmp_path), True).collect()}
+    assert got == {1: (3, sha, True, None), 2: (None, None, False, None), 3: (None, None, False, None), 4: (None, None, False, None), 5: (None, sha, False, 4)}
+
+
+def test_records_over_piece_borders(monkeypatch):
+    records = [archive_record("response", f"r{k}", b"\r\n\r\n" * k, WARC_Page_ID=k) for k in range(40)]
+    want = [(k, b"\r\n\r\n" * k) for k in range(40)]
+    for size in (1, 7, 64, 1 << 18):
+        monkeypatch.setattr(warc, "READ_BYTES", size)
+        for data in (b"".join(records), gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records))):
+            assert [(r[2], r[8]) for r in warc.parse_records(data)] == want
+    for name in ("WARC-Type", "Content-Length", "WARC-Record-ID"):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(records[3].replace(name.encode(), b"X-Other")))
+
+
 def test_language_accuracy(spark):
     """Trained on one part of the documents, the text model names the language of the rest."""
     docs = prepare(spark).read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -23,7 +23,7 @@ WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, octet_length(encode(co
 g AS (SELECT h, n, max(page_id) AS top, count(*) AS c FROM p WHERE n >= 1000 GROUP BY h, n)
 SELECT page_id, n AS payload_bytes, h AS payload_digest,
   CASE WHEN c > 1 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN c > 1 AND page_id <> top THEN top END AS refers_to
+  CASE WHEN c > 1 AND page_id <> top THEN top END AS refers_to, true AS intact
 FROM p LEFT JOIN g USING (h, n)
 """
 

@@ -27,7 +27,7 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.pages_through_archives(table(spark, folder, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
     )
 
 

@@ -24,7 +24,7 @@ CRLF = "\r\n"
 RECORD_END = CRLF * 2
 SEGMENT_CHARS = 32_768
 CHUNK_CHARS = 8_192
-FILE_RECORDS = 256
+FILE_RECORDS = 2048  # of at most SEGMENT_CHARS characters each
 MIN_REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
 
@@ -110,45 +110,71 @@ def write_archives(
 
 
 BATCH_BYTES = 4 << 20
+READ_BYTES = 1 << 18
 
 
-def gunzip(data: bytes) -> bytes:
-    """All members of a gzip file, one after the other. ValueError for a damaged or truncated one."""
-    out = []
-    while data:
-        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
-        try:
-            out.append(member.decompress(data))
-        except zlib.error as e:
-            raise ValueError(f"damaged gzip member: {e}") from e
-        if not member.eof:
-            raise ValueError("gzip member cut short")
-        data = member.unused_data
-    return b"".join(out)
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """The contents of an archive piece by piece, those of all members of a gzip file one after the other.
+
+    ValueError for a damaged or truncated member.
+    """
+    view = memoryview(data)
+    pieces = (view[k : k + READ_BYTES] for k in range(0, len(view), READ_BYTES))
+    if data[:2] != b"\x1f\x8b":
+        yield from map(bytes, pieces)
+        return
+    member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+    started = False
+    for piece in pieces:
+        rest = bytes(piece)
+        while rest:
+            started = True
+            try:
+                yield member.decompress(rest)
+            except zlib.error as e:
+                raise ValueError(f"damaged gzip member: {e}") from e
+            rest = member.unused_data
+            if member.eof:
+                member, started = zlib.decompressobj(zlib.MAX_WBITS | 16), False
+    if started:
+        raise ValueError("gzip member cut short")
 
 
 def parse_records(data: bytes) -> Iterator[tuple]:
-    """The records of an archive in the order of RECORD_FIELDS. ValueError if it is damaged."""
-    if data[:2] == b"\x1f\x8b":
-        data = gunzip(data)
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no record at byte {at}")
-        lines = data[at:end].decode("utf-8").split(CRLF)[1:]
-        h = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        start = end + 4
-        stop = start + int(h["content-length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} has another length than it says")
+    """The records of an archive in the order of RECORD_FIELDS, read one by one. ValueError if it is damaged."""
+    source, held, passed = unpacked(data), bytearray(), 0
+
+    def more() -> bool:
+        piece = next(source, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while held or more():
+        if not held:
+            continue
+        end = -1
+        while (end := held.find(b"\r\n\r\n", max(0, end))) < 0 and more():
+            pass
+        if end < 0 or not held.startswith(b"WARC/"):
+            raise ValueError(f"no record at byte {passed}")
+        lines = held[:end].decode("utf-8", "replace").split(CRLF)[1:]
+        h = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        for name in ("warc-type", "warc-record-id", "content-length"):
+            if name not in h:
+                raise ValueError(f"record at byte {passed} has no {name}")
         number = lambda k: int(h[k]) if k in h else None
+        start, stop = end + 4, end + 4 + int(h["content-length"])
+        while len(held) < stop + 4 and more():
+            pass
+        if held[stop : stop + 4] != b"\r\n\r\n":
+            raise ValueError(f"record at byte {passed} has another length than it says")
         yield (
             h["warc-type"], h["warc-record-id"], number("warc-page-id"), h.get("warc-payload-digest", "").removeprefix("sha1:"),
             h.get("warc-refers-to"), number("warc-segment-number"), h.get("warc-segment-origin-id"),
-            number("warc-segment-total-length"), data[start:stop],
+            number("warc-segment-total-length"), bytes(held[start:stop]),
         )
-        at = stop + 4
+        del held[: stop + 4]
+        passed += stop + 4
 
 
 def dechunk(body: bytes) -> bytes:
@@ -159,6 +185,8 @@ def dechunk(body: bytes) -> bytes:
         if end < 0:
             raise ValueError("chunk without a size")
         size = int(body[at:end].split(b";")[0], 16)
+        if size < 0:
+            raise ValueError("chunk of a negative size")
         if size == 0:
             return b"".join(out)
         out.append(body[end + 2 : end + 2 + size])
@@ -183,7 +211,11 @@ RECORDS = (
 
 
 def _payload_columns(block: bytes, with_payload: bool) -> tuple:
-    payload = payload_of(block)
+    """Length, SHA-1 and payload; nulls where the body's framing is damaged."""
+    try:
+        payload = payload_of(block)
+    except ValueError:
+        return None, None, None
     return len(payload), hashlib.sha1(payload, usedforsecurity=False).hexdigest(), payload if with_payload else None
 
 
@@ -220,7 +252,9 @@ def _parse(with_payload: bool):
 def _decode(with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            decoded = list(zip(*[_payload_columns(b, with_payload) for b in batch.column("block").to_pylist()])) or [()] * 3
+            blocks = zip(batch.column("block").to_pylist(), batch.column("complete").to_pylist())
+            decoded = [_payload_columns(block, with_payload) if complete else (None,) * 3 for block, complete in blocks]
+            decoded = list(zip(*decoded)) or [()] * 3
             added = [pa.array(c, t) for c, (_, t) in zip(decoded, _PAYLOAD)]
             kept = ["id", "page", "digest", "complete", "copies"]
             yield pa.RecordBatch.from_arrays(
@@ -242,7 +276,7 @@ def reassemble(records: DataFrame) -> DataFrame:
     )
     block = F.array_join(F.transform("parts", lambda p: p["block"].cast("string")), "").cast("binary")
     ordered = (F.size("parts") == F.element_at("parts", -1)["segment"]) & (F.element_at("parts", 1)["segment"] == 1)
-    complete = ordered & (F.octet_length(block) == F.coalesce("total", F.lit(-1)))
+    complete = F.coalesce(ordered & (F.octet_length(block) == F.coalesce("total", F.lit(-1))), F.lit(False))
     return parts.select("id", "page", "digest", block.alias("block"), complete.alias("complete"), "copies")
 
 
@@ -251,13 +285,14 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
     Columns: page_id, payload_bytes, payload_digest (both of the full payload; a revisit has its
     response's length), record_type, refers_to (page of the response, for revisits), intact (digest, order
-    and total length agree), payload (null unless asked for, and for revisits). Damaged framing raises an
-    error. A revisit whose response is missing has its digest, but no length.
+    and total length agree), payload (null unless asked for, and for revisits). A record that lacks a segment or
+    whose chunked body is damaged has no length, digest or payload and is not intact; an archive in which
+    the records themselves cannot be told apart raises an error. A revisit whose response is missing has its digest, but no length.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
     records = stage(files.mapInArrow(_parse(with_payload), RECORDS), "warc-records")
     columns = ["id", "page", "bytes", "sha1", "payload"]
-    intact = (F.col("digest") == F.col("sha1")).alias("intact")
+    intact = F.coalesce(F.col("digest") == F.col("sha1"), F.lit(False)).alias("intact")
     whole = records.filter("type = 'response' AND segment IS NULL").select(*columns, intact)
     assembled = reassemble(records).mapInArrow(
         _decode(with_payload),
@@ -265,7 +300,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     )
     # Repeated records came together as one; they are counted out again.
     copied = assembled.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(
-        *columns, (F.col("complete") & (F.col("digest") == F.col("sha1"))).alias("intact")
+        *columns, (F.col("complete") & F.coalesce(F.col("digest") == F.col("sha1"), F.lit(False))).alias("intact")
     )
     responses = stage(whole.unionByName(copied), "warc-responses")
     origins = responses.groupBy("id").agg(
