@@ -730,5 +730,17 @@ oracle("attr_compare", f"""SELECT channel, l.attributed_revenue_gbp AS last_clic
 FROM ({attribution(CLICK[0])}) l FULL JOIN ({attribution(EFFECT_WEIGHTS, 'paths, effects')}) d USING (channel)""")
 oracle("stream_hourly_sales", f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour_start, count(*) AS orders, {GBP(f"sum({PENCE('value')})")} AS revenue_gbp
 FROM events WHERE event_type = 'purchase' GROUP BY 1""")
+cte("newest_stock", """
+SELECT l_partkey, l_suppkey, arg_max(stock, (l_shipdate, stock)) AS stock_on_hand, 10 + l_partkey % 31 AS reorder_point
+FROM (SELECT *, (l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 201 AS stock FROM lineitem) GROUP BY l_partkey, l_suppkey""")
+cte("shipped", """
+SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS TIMESTAMP) AS line_ts, CAST(l_quantity AS BIGINT) AS units,
+  CAST(round(l_extendedprice * 100) AS BIGINT) AS pence FROM lineitem""")
+cte("ordered", "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS order_ts FROM orders")
+oracle("stream_store_sales", f"""
+SELECT strftime(date_trunc('hour', order_ts), '%Y-%m-%d %H:%M:%S') AS hour_start, 'STR-' || l.l_suppkey AS store_id, {RAG('stock_on_hand <= reorder_point')} AS stock_status,
+  count(*) AS lines, {BIG('sum(units) AS units')}, {GBP('sum(pence)')} AS revenue_gbp
+FROM shipped l JOIN ordered ON l_orderkey = o_orderkey AND line_ts BETWEEN order_ts AND order_ts + INTERVAL 130 DAY
+JOIN newest_stock USING (l_partkey, l_suppkey) GROUP BY 1, 2, 3""")
 
 ORACLES = {name: sql(statement) for name, statement in ORACLES.items()}

@@ -19,7 +19,7 @@ from tillwise.plans.pipeline import MART_TESTS
 from tillwise.session import tune
 from tillwise.sources import adapters, readers, writers
 from tillwise.sources.adapters import Inputs
-from tillwise.streaming import hourly
+from tillwise.streaming import hourly, store_sales
 
 AS_OF = date(2001, 8, 2)  # the day after the last order
 EVENTS_AS_OF = date(2024, 1, 31)  # the day after the last event
@@ -1017,3 +1017,27 @@ def _(raw):
 @query("stream_hourly_sales")
 def _(raw):
     return hourly.stream_sales(raw.spark, f"{raw.folder}/event[s].parquet")
+
+
+def stream_of(raw: Inputs, name: str, *columns: str) -> DataFrame:
+    schema = adapters.table(raw.spark, raw.folder, name).schema
+    return store_sales.read_files(raw.spark, f"{raw.folder}/{name[:-1]}[{name[-1]}].parquet", schema).selectExpr(*columns)
+
+
+@query("stream_store_sales")
+def _(raw):
+    """Orders and shipped lines joined as streams, by hour of the order, store and stock status."""
+    gross = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    ids = ("concat('SKU-', l_partkey) AS product_id", "concat('STR-', l_suppkey) AS store_id")
+    orders = stream_of(raw, "orders", "concat('ORD-', o_orderkey) AS order_id",
+                       "CAST(o_orderdate AS TIMESTAMP) + make_interval(0, 0, 0, 0, CAST(o_orderkey % 24 AS INT)) AS order_ts")
+    lines = stream_of(raw, "lineitem", "concat('ORD-', l_orderkey, '-', l_linenumber) AS order_line_id", "concat('ORD-', l_orderkey) AS order_id",
+                      "CAST(l_shipdate AS TIMESTAMP) AS line_ts", *ids, "CAST(l_quantity AS BIGINT) AS units_sold", f"{gross} AS net_revenue_pence")
+    stock = stream_of(raw, "lineitem", *ids, "CAST(l_shipdate AS TIMESTAMP) AS snapshot_ts",
+                      "CAST((l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 201 AS BIGINT) AS stock_on_hand", "CAST(10 + l_partkey % 31 AS BIGINT) AS reorder_point")
+    tables = store_sales.StoreSales(raw.spark, scratch_path(raw.spark, "store-sales"))
+    tables.take_stock(stock)
+    # The lines of the test tables repeat ids, so all columns tell them apart.
+    each = ["order_line_id", "order_id", "line_ts", "product_id", "store_id", "units_sold", "net_revenue_pence"]
+    tables.take_sales(store_sales.lines_with_orders(orders, lines, "1 day", "130 days", each))
+    return tables.hourly()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +43,9 @@ def hourly_sales(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
-    """Process what has arrived. Each batch writes its changed hours under its own number.
-
-    Returns the number of rows that came too late to be counted. A batch that is run again after a failure overwrites its own folder, so hours are never doubled.
-    """
-    def write(batch: DataFrame, number: int) -> None:
-        batch.select(F.col("w.start").alias("hour"), "orders", "revenue_pence").write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    name, late, ended = f"hourly-{uuid.uuid4().hex}", {}, threading.Event()
+def run_stream(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> int:
+    """Process what has arrived, batch by batch; returns the number of rows that came too late to be counted."""
+    name, late, ended = f"tillwise-{uuid.uuid4().hex}", {}, threading.Event()
     runs: set[str] = set()
 
     class Late(StreamingQueryListener):
@@ -75,7 +70,7 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
     streams.addListener(listener)
     try:
         query = (
-            stream.writeStream.queryName(name).outputMode("update").foreachBatch(write)
+            stream.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
         query.awaitTermination()
@@ -87,6 +82,17 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
     return sum(late.values())
 
 
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
+    """Process what has arrived. Each batch writes its changed hours under its own number.
+
+    Returns the number of rows that came too late to be counted. A batch that is run again after a failure overwrites its own folder, so hours are never doubled.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.select(F.col("w.start").alias("hour"), "orders", "revenue_pence").write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return run_stream(stream, write, checkpoint, "update")
+
+
 def latest_hours(spark: SparkSession, out: str) -> DataFrame:
     """The most recent state of every hour written so far."""
     rows = spark.read.schema("hour timestamp, orders bigint, revenue_pence bigint, batch bigint").parquet(out)
