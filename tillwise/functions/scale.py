@@ -96,8 +96,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
     """Add `flag`: true on exactly one row per key, the first by the `order` columns, missing values last.
 
-    Ties are broken by the other columns, and of rows equal in all columns one is marked. Equal rows
-    are first counted, then each key's first row is found; both combine before the shuffle, so no task
+    Ties are broken by the other columns, and of rows equal in all columns one is marked. Only the keys are
+    shuffled to find those that stand more than once. They are written, so that their size is known when the
+    rows meet them: where they are few, as they should be, all other rows pass without a shuffle.
+    """
+    repeated = stage(
+        df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "repeated-keys"
+    )
+    again = F.lit(True)
+    for k in keys:
+        again = again & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    once = df.join(repeated, again, "left_anti").withColumn(flag, F.lit(True))
+    return once.unionByName(_mark_first_of_repeated(df.join(repeated, again, "left_semi"), keys, order, flag))
+
+
+def _mark_first_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
+    """`mark_first` where any key may be hot.
+
+    Equal rows are first counted, then each key's first row is found; both combine before the shuffle, so no task
     gathers the rows of a hot key. The rows meet their key's first one in a join whose hot keys are split.
     """
     ranked = [*order, *[c for c in df.columns if c not in order]]
