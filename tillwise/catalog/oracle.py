@@ -742,5 +742,20 @@ SELECT strftime(date_trunc('hour', order_ts), '%Y-%m-%d %H:%M:%S') AS hour_start
   count(*) AS lines, {BIG('sum(units) AS units')}, {GBP('sum(pence)')} AS revenue_gbp
 FROM shipped l JOIN ordered ON l_orderkey = o_orderkey AND line_ts BETWEEN order_ts AND order_ts + INTERVAL 130 DAY
 JOIN newest_stock USING (l_partkey, l_suppkey) GROUP BY 1, 2, 3""")
+JSON_LINE = "'{\"order_id\":\"' || order_id || '\",\"customer_id\":\"' || customer_id || '\",\"order_total_pence\":' || order_total_pence || ',\"channel\":\"' || channel || '\"}'"
+oracle("src_landing_stream", f"""
+SELECT channel, count(*) AS n, {BIG('sum(order_total_pence) AS total_pence')} FROM raw_orders WHERE length({JSON_LINE}) % 7 <> 0 GROUP BY 1
+UNION ALL SELECT 'quarantined', count(*), NULL FROM raw_orders WHERE length({JSON_LINE}) % 7 = 0""")
+oracle("dash_entitled_sales", f"""
+SELECT user_name, store_id, {GBP('sum(net_revenue_pence)')} AS revenue_gbp FROM raw_lines JOIN (
+SELECT 'north' AS user_name, store_id FROM raw_stores WHERE CAST(substr(store_id, 5) AS BIGINT) % 3 = 0 UNION ALL
+SELECT 'kiosk', store_id FROM raw_stores WHERE store_id IN ('STR-1', 'STR-2')) USING (store_id) GROUP BY 1, 2""")
+oracle("fc_product_units", f"""
+SELECT product_id, category, forecast_date, CAST(whole + CASE WHEN row_number() OVER (PARTITION BY category, forecast_date ORDER BY part DESC, product_id)
+  <= day_units - sum(whole) OVER (PARTITION BY category, forecast_date) THEN 1 ELSE 0 END AS BIGINT) AS forecast_units FROM (
+SELECT product_id, r.category, forecast_date, day_units, day_units * units // a AS whole, day_units * units % a AS part
+FROM recent_units r JOIN (SELECT category, {BIG('sum(units) AS a')} FROM recent_units GROUP BY 1) USING (category) JOIN (
+SELECT category, last_ds + CAST(7 * w + k AS INTEGER) AS forecast_date, y * (k + 1) // 7 - y * k // 7 AS day_units
+FROM (SELECT category, last_ds, {WHOLE('1.0')} AS y FROM level), range(1, 13) t(w), range(0, 7) u(k)) USING (category))""")
 
 ORACLES = {name: sql(statement) for name, statement in ORACLES.items()}

@@ -19,7 +19,7 @@ from tillwise.plans.pipeline import MART_TESTS
 from tillwise.session import tune
 from tillwise.sources import adapters, readers, writers
 from tillwise.sources.adapters import Inputs
-from tillwise.streaming import hourly, store_sales
+from tillwise.streaming import hourly, landing, store_sales
 
 AS_OF = date(2001, 8, 2)  # the day after the last order
 EVENTS_AS_OF = date(2024, 1, 31)  # the day after the last event
@@ -108,6 +108,23 @@ def _(raw):
     return readers.lower_columns(upper)
 
 
+@query("src_landing_stream")
+def _(raw):
+    """Landed files taken in as a stream, twice: the second run finds nothing new."""
+    path = scratch_path(raw.spark, "landing")
+    text = raw.orders.select(F.to_json(F.struct("order_id", "customer_id", "order_total_pence", "channel")).alias("value"))
+    broken = F.when(F.length("value") % 7 == 0, F.concat(F.lit("{"), F.col("value"))).otherwise(F.col("value"))
+    text.select(broken.alias("value")).write.text(f"{path}/in")
+    feed = landing.Landing(raw.spark, f"{path}/in", f"{path}/out", model.schema(order_id=model.S, customer_id=model.S, order_total_pence=model.L))
+    feed.take()
+    feed.take()
+    accepted = feed.accepted.read().groupBy(F.col("extra")["channel"].alias("channel")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order_total_pence").alias("total_pence")
+    )
+    bad = feed.quarantined.read().agg(F.lit("quarantined").alias("channel"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("total_pence"))
+    return accepted.unionByName(bad)
+
+
 @query("src_json_landing")
 def _(raw):
     path = scratch_path(raw.spark, "landing")
@@ -781,6 +798,12 @@ def _(raw):
     return product_daily(raw).drop("forecast_milli_units")
 
 
+@query("fc_product_units")
+def _(raw):
+    fc = stage(forecast.moving_average_forecast(stage(weekly(raw), "weekly")), "forecast")
+    return forecast.product_daily_units(fc, raw.order_lines, raw.orders, raw.products)
+
+
 @query("fc_fallback")
 def _(raw):
     w = stage(weekly(raw), "weekly")
@@ -966,6 +989,18 @@ def _(raw):
     )
 
 
+@query("dash_entitled_sales")
+def _(raw):
+    """Sales as each of three users sees them: one with a third of the stores, one with two, one without an entry."""
+    k = F.regexp_extract("store_id", r"(\d+)$", 1).cast("bigint")
+    entries = raw.stores.filter(k % 3 == 0).select(F.lit("north").alias("user_name"), "store_id").unionByName(
+        raw.stores.filter(F.col("store_id").isin("STR-1", "STR-2")).select(F.lit("kiosk").alias("user_name"), "store_id")
+    )
+    sales = raw.order_lines.groupBy("store_id").agg(F.sum("net_revenue_pence").alias("pence"))
+    views = [reports.secured(sales, entries, F.lit(u)).select(F.lit(u).alias("user_name"), "store_id", C.gbp("pence").alias("revenue_gbp")) for u in ("north", "kiosk", "nobody")]
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
 @query("dash_blend")
 def _(raw):
     """Customer segments next to lifetime habits, blended on the customer."""

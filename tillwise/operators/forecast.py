@@ -230,6 +230,25 @@ def forecast_with_fallback(forecast: DataFrame, mapes: DataFrame, fallback: Data
     return kept.unionByName(rest)
 
 
+def _recent_shares(forecast: DataFrame, lines: DataFrame, orders: DataFrame, products: DataFrame, weeks: int) -> DataFrame:
+    """(category, product_id, units, all_units): a product's and its category's units in the last `weeks` weeks of history."""
+    last_actual = forecast.filter(~F.col("is_forecast")).groupBy("category").agg(F.max("ds").alias("_last"))
+    # Only orders that can be in some category's last weeks are joined: a one-row bound cuts the others.
+    earliest = last_actual.agg(F.min("_last").alias("_earliest"))
+    late = orders.select("order_id", "order_date").crossJoin(F.broadcast(earliest)).filter(
+        F.col("order_date") > F.date_sub("_earliest", 7 * weeks)
+    )
+    sales = lines.filter(~F.col("is_returned")).join(late.select("order_id", "order_date"), "order_id")
+    per_day = sales.groupBy("product_id", "order_date").agg(F.sum("units_sold").alias("units"))
+    known = per_day.join(products.select(F.col("product_id").alias("_id"), "category"), F.col("product_id") == F.col("_id"))
+    recent = null_safe_join(known, last_actual.withColumnRenamed("category", "_category"), {"category": "_category"}).filter(
+        week_start("order_date") > F.date_sub("_last", 7 * weeks)
+    )
+    per_product = recent.groupBy("category", "product_id").agg(F.sum("units").alias("units"))
+    per_category = recent.groupBy(F.col("category").alias("_category")).agg(F.sum("units").alias("all_units"))
+    return null_safe_join(per_product, per_category, {"category": "_category"})
+
+
 def product_daily_forecast(
     forecast: DataFrame, lines: DataFrame, orders: DataFrame, products: DataFrame, weeks: int = 4,
     first_day: date | None = None, last_day: date | None = None,
@@ -239,7 +258,6 @@ def product_daily_forecast(
     The share is taken over the last `weeks` weeks of history; a week is divided evenly over its
     days. Units are in thousandths. A date range cuts the days before products are attached.
     """
-    last_actual = forecast.filter(~F.col("is_forecast")).groupBy("category").agg(F.max("ds").alias("_last"))
     days = forecast.filter("is_forecast").select(
         "category", "yhat", F.explode(F.sequence(F.col("ds"), F.date_add("ds", 6))).alias("forecast_date")
     )
@@ -247,21 +265,32 @@ def product_daily_forecast(
         days = days.filter(F.col("forecast_date") >= F.lit(first_day))
     if last_day is not None:
         days = days.filter(F.col("forecast_date") <= F.lit(last_day))
-    # Only orders that can be in some category's last weeks are joined: a one-row bound cuts the others.
-    earliest = last_actual.agg(F.min("_last").alias("_earliest"))
-    late = orders.select("order_id", "order_date").crossJoin(F.broadcast(earliest)).filter(
-        F.col("order_date") > F.date_sub("_earliest", 7 * weeks)
-    )
-    sales = lines.filter(~F.col("is_returned")).join(late.select("order_id", "order_date"), "order_id")
-    per_day = sales.groupBy("product_id", "order_date").agg(F.sum("units_sold").alias("units"))
-    known = per_day.join(products.select(F.col("product_id").alias("_id"), "category"), F.col("product_id") == F.col("_id"))
-    recent = null_safe_join(known, last_actual.withColumnRenamed("category", "_category"), {"category": "_category"}).filter(
-        week_start("order_date") > F.date_sub("_last", 7 * weeks)
-    )
-    per_product = recent.groupBy("category", "product_id").agg(F.sum("units").alias("units"))
-    per_category = recent.groupBy(F.col("category").alias("_category")).agg(F.sum("units").alias("all_units"))
-    shares = null_safe_join(per_product, per_category, {"category": "_category"})
+    shares = _recent_shares(forecast, lines, orders, products, weeks)
     spread = null_safe_join(shares, days.withColumnRenamed("category", "_category"), {"category": "_category"})
     milli = int_div(F.col("yhat") * F.col("units") * 2000 + F.col("all_units") * 7, F.nullif(F.col("all_units") * 14, F.lit(0)))
     return spread.select("product_id", "category", "forecast_date", milli.alias("forecast_milli_units"),
                          (milli.cast("double") / 1000.0).alias("forecast_units"))
+
+
+def product_daily_units(forecast: DataFrame, lines: DataFrame, orders: DataFrame, products: DataFrame, weeks: int = 4) -> DataFrame:
+    """As `product_daily_forecast` in whole units that add up: days to the week's forecast, products to the day's.
+
+    A day gets what the week's units have reached by its end more than by its start. A product gets the whole part of
+    its share, and the units then left go one each to the largest remainders, the smaller product id first. A window
+    holds the products of a category on a day.
+    """
+    reached = lambda k: int_div(F.col("yhat") * k, 7)
+    days = forecast.filter("is_forecast").select(
+        F.col("category").alias("_category"), "ds", "yhat", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k")
+    ).select("_category", F.date_add("ds", F.col("k")).alias("forecast_date"), (reached(F.col("k") + 1) - reached(F.col("k"))).alias("day_units"))
+    shares = _recent_shares(forecast, lines, orders, products, weeks).filter("all_units > 0")
+    share = F.col("day_units").cast("decimal(19,0)") * F.col("units")
+    spread = null_safe_join(shares, days, {"category": "_category"}).withColumns(
+        {"whole": int_div(share, F.col("all_units")).cast("bigint"), "part": (share % F.col("all_units")).cast("bigint")}
+    )
+    group = Window.partitionBy("category", "forecast_date")
+    place = F.row_number().over(group.orderBy(F.desc("part"), "product_id"))
+    left = F.col("day_units") - F.sum("whole").over(group)
+    return spread.select(
+        "product_id", "category", "forecast_date", (F.col("whole") + (place <= left).cast("bigint")).alias("forecast_units")
+    )

@@ -276,6 +276,15 @@ def restrict_to_store(df: DataFrame, store_id: str) -> DataFrame:
     return df.filter(F.col("store_id") == store_id)
 
 
+def secured(df: DataFrame, entitlements: DataFrame, user: Column | None = None, key: str = "store_id") -> DataFrame:
+    """Row-level security by a table of (user_name, `key`): the rows of the user's entries, and none without an entry.
+
+    The user is the session's unless given. A null key is no one's; repeated entries do not repeat rows.
+    """
+    mine = entitlements.filter(F.col("user_name") == (F.session_user() if user is None else user)).select(F.col(key).alias("_granted"))
+    return df.join(mine, F.col(key) == F.col("_granted"), "left_semi")
+
+
 def blend(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of two marts on shared keys."""
     return left.join(right, keys, "left")
