@@ -398,6 +398,7 @@ cte("customer_orders", customer_orders(AS_OF))
 BEFORE = "DATE '2001-07-02'"
 cte("customer_orders_before", customer_orders(BEFORE, f"order_date < {BEFORE}"))
 oracle("int_customer_orders", "SELECT * EXCLUDE (total_revenue_pence) FROM customer_orders JOIN top_category USING (customer_id)")
+oracle("customer_state", "SELECT * EXCLUDE (total_revenue_pence) FROM customer_orders JOIN top_category USING (customer_id)")
 oracle("int_customer_orders_12m", "SELECT customer_id, days_since_last_purchase, purchase_frequency, total_orders, total_revenue_gbp FROM ("
        + customer_orders(AS_OF, "order_date >= DATE '2000-08-02'") + ")")
 

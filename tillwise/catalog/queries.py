@@ -13,7 +13,8 @@ from tillwise import model
 from tillwise.functions import columns as C
 from tillwise.functions.scale import scratch_path, stage
 from tillwise.operators import (
-    attribution, data_tests, dims, facts, forecast, intermediate, inventory, marts, quality, reports, segments, staging,
+    attribution, customer_state, data_tests, dims, facts, forecast, intermediate, inventory, marts, quality, reports, segments,
+    staging,
 )
 from tillwise.plans.pipeline import MART_TESTS
 from tillwise.session import tune
@@ -543,6 +544,19 @@ def _(raw):
     return customer_orders(raw).drop("total_revenue_pence", "total_profit_pence")
 
 
+@query("customer_state")
+def _(raw):
+    """The same from a stored state: the history up to July, then week by week merged into it; a week given twice counts once."""
+    s = star(raw)
+    sales = stage(intermediate.not_returned(intermediate.int_sales_enriched(s)).select(
+        "customer_id", "order_id", "order_date", "category", "units_sold", "net_revenue_pence", "gross_profit_pence", "is_weekend", "is_promotional_period", "store_type"
+    ), "state-sales")
+    store = customer_state.HabitStore(raw.spark, scratch_path(raw.spark, "customer-state"))
+    for day in (date(2001, 7, 1), date(2001, 7, 8), date(2001, 7, 8), date(2001, 7, 20), AS_OF):
+        store.advance(sales, day)
+    return customer_state.customer_orders_of(store.state(), s.customers, AS_OF).drop("total_revenue_pence", "total_profit_pence")
+
+
 @query("int_customer_orders_12m")
 def _(raw):
     """The same over the last 12 months, as the requirements ask."""
