@@ -59,3 +59,18 @@ def test_one_value_is_split_by_id(spark):
 def test_stage_round_trip(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     assert sorted(scale.stage(df, "t").collect()) == df.collect()
+
+
+def test_scope_deletes_what_it_staged(spark):
+    before = scale.stage(spark.range(2), "outside")
+    with scale.scratch_scope(spark):
+        path = scale.stage(spark.range(3), "inside").inputFiles()[0].rpartition("/")[0]
+        assert scale.folder_exists(spark, path)
+    assert not scale.folder_exists(spark, path) and before.count() == 2
+    try:
+        with scale.scratch_scope(spark):
+            path = scale.scratch_path(spark, "failed")
+            spark.range(1).write.parquet(path)
+            raise ValueError
+    except ValueError:
+        assert not scale.folder_exists(spark, path)

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: `spark.checkpoint.dir`, or a local one in tests only."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -27,7 +32,23 @@ def _application_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses, in the folder of the application."""
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at its end what was staged inside (in the same thread). Frames built on it must not outlive it."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get()
+        _made.reset(token)
+        for path in made:
+            delete_path(spark, path)
 
 
 def _file_system(spark: SparkSession, folder: str):

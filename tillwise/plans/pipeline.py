@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import date_key, surrogate_key
-from tillwise.functions.scale import stage
+from tillwise.functions.scale import scratch_scope, stage
 from tillwise.operators import data_tests, dims, facts, inventory, marts, quality, segments
 from tillwise.operators.intermediate import Star, int_customer_orders
 from tillwise.sources import writers
@@ -177,8 +177,16 @@ def run_pipeline(
 ) -> RunSummary:
     """One run on `day` into `warehouse`. With marts, also the marts as of `as_of` (default: `day`) and the scores.
 
-    Customers and products keep their history; stores are replaced; facts and rejects are kept per run.
+    Customers and products keep their history; stores are replaced; facts and rejects are kept per run. What the
+    run stages is deleted at its end.
     """
+    with scratch_scope(raw.spark):
+        return _run(raw, warehouse, run_id, day, with_marts, as_of, start, max_reject_pct)
+
+
+def _run(
+    raw, warehouse: str, run_id: str | None, day: date | None, with_marts: bool, as_of: date | None, start: date, max_reject_pct: float
+) -> RunSummary:
     started = _utc_now()
     day = day or started.date()
     summary = RunSummary(run_id or str(uuid.uuid4()))
