@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.columns import gbp, int_div, ratio, week_start
-from tillwise.functions.scale import null_safe_join
+from tillwise.functions.scale import null_safe_join, stage
 from tillwise.operators import dims
 
 HORIZON = 12
@@ -186,12 +186,8 @@ def seasonal_coefficients(rows: DataFrame) -> DataFrame:
     return systems.select("category", solve_normal(F.transform("rows", lambda r: r["row"])).alias("beta"))
 
 
-def seasonal_forecast(weekly: DataFrame, horizon: int = HORIZON, min_weeks: int = BACKTEST_WEEKS) -> DataFrame:
-    """Trend, yearly season, holidays and promotions per category, fitted on all its weeks, with an 80 % interval.
-
-    Categories with fewer than `min_weeks` weeks give no rows. Series under 104 weeks have two pairs of yearly
-    terms, under 26 weeks none. A window over a category holds a row per week.
-    """
+def _fitted(weekly: DataFrame, horizon: int, min_weeks: int) -> DataFrame:
+    """The forecast's columns with `n`, the series' weeks of history."""
     rows = _with_terms(weekly, horizon, min_weeks)
     beta = seasonal_coefficients(rows).withColumnRenamed("category", "_category")
     fitted = null_safe_join(rows, beta, {"category": "_category"}).withColumn(
@@ -203,10 +199,19 @@ def seasonal_forecast(weekly: DataFrame, horizon: int = HORIZON, min_weeks: int
     whole = lambda v: F.rint(F.greatest(v, F.lit(0.0))).cast("bigint")
     return fitted.withColumn("spread", spread).select(
         "ds", "category", whole(F.col("fit")).alias("yhat"), whole(F.col("fit") - F.col("spread")).alias("yhat_lower"),
-        whole(F.col("fit") + F.col("spread")).alias("yhat_upper"), F.col("y").isNull().alias("is_forecast"),
+        whole(F.col("fit") + F.col("spread")).alias("yhat_upper"), F.col("y").isNull().alias("is_forecast"), "n",
     )
 
 
+def seasonal_forecast(weekly: DataFrame, horizon: int = HORIZON, min_weeks: int = BACKTEST_WEEKS) -> DataFrame:
+    """Trend, yearly season, holidays and promotions per category, fitted on all its weeks, with an 80 % interval.
+
+    Categories with fewer than `min_weeks` weeks give no rows. Series under 104 weeks have two pairs of yearly
+    terms, under 26 weeks none. A window over a category holds a row per week.
+    """
+    return _fitted(weekly, horizon, min_weeks).drop("n")
+
+
 def backtest_seasonal(weekly: DataFrame, weeks: int = BACKTEST_WEEKS) -> DataFrame:
     train = backtest_split(weekly, weeks).filter(F.col("part") == "train").drop("part")
     return seasonal_forecast(train, weeks, min_weeks=1).filter("is_forecast").select("ds", "category", "yhat")
@@ -216,10 +221,22 @@ def held_out(weekly: DataFrame, weeks: int = BACKTEST_WEEKS) -> DataFrame:
     return backtest_split(weekly, weeks).filter(F.col("part") == "test").drop("part")
 
 
-def forecast_all(weekly: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """The seasonal forecast of every category, with its backtest error attached."""
-    errors = mape(backtest_seasonal(weekly), held_out(weekly)).select(F.col("category").alias("_category"), "mape_pct")
-    return null_safe_join(seasonal_forecast(weekly, horizon), errors, {"category": "_category"}, "left")
+def forecast_all(weekly: DataFrame, horizon: int = HORIZON, weeks: int = BACKTEST_WEEKS) -> DataFrame:
+    """The seasonal forecast of every category, with its backtest error attached.
+
+    A category's whole series and the part before its held-out weeks are two series of one fit.
+    """
+    of = lambda df, kind: df.select(
+        "ds", F.struct("category", F.lit(kind).alias("kind")).alias("category"), "units_sold"
+    )
+    train = backtest_split(weekly, weeks).filter(F.col("part") == "train")
+    fits = stage(_fitted(of(weekly, "all").unionByName(of(train, "train")), max(horizon, weeks), 1).select(
+        "ds", F.col("category.category").alias("category"), F.col("category.kind").alias("kind"), "yhat", "yhat_lower", "yhat_upper", "is_forecast", "n"
+    ), "seasonal-fits")
+    errors = mape(fits.filter("kind = 'train' AND is_forecast"), held_out(weekly, weeks)).select(F.col("category").alias("_category"), "mape_pct")
+    last = F.max(F.when(~F.col("is_forecast"), F.col("ds"))).over(Window.partitionBy("category"))
+    whole = fits.filter(f"kind = 'all' AND n >= {weeks}").withColumn("_last", last).filter(F.col("ds") <= F.date_add("_last", 7 * horizon))
+    return null_safe_join(whole.drop("kind", "n", "_last"), errors, {"category": "_category"}, "left")
 
 
 def forecast_with_fallback(forecast: DataFrame, mapes: DataFrame, fallback: DataFrame, max_mape: float = 20.0) -> DataFrame:
