@@ -24,7 +24,7 @@ from tillwise.llm.common import split_words
 WINDOW = 10
 BLOCK_WORDS = 2_000_000  # benchmark words sent to the tasks at once: about 100 MB of index
 SHARD_BYTES = 8 << 20
-AUTOMATON_WORDS = 1_000_000  # words of items whose automata a task keeps
+AUTOMATON_WORDS = 100_000  # words of items whose automata a task keeps: some 50 MB
 SPANS = "array<struct<item_id: bigint, start: bigint, end: bigint, longest: bigint>>"
 SPAN_ARROW = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "end", "longest")]))
 
