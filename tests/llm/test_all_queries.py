@@ -36,9 +36,10 @@ def test_empty_tables(spark, folders, name):
     assert ALL[name](spark, folders[False]).count() == 0
 
 
-@pytest.mark.parametrize("name", [n for n in ALL if n != "pipeline"])
+@pytest.mark.parametrize("name", [n for n in ALL if n not in ("pipeline", "op11_spelling")])  # op11 gives words
 def test_edge_cases_give_a_row_each(spark, folders, name):
     out = ALL[name](spark, folders[True])
+    out = out.filter("start = 0") if "sequence_id" in out.columns else out  # a document's first piece
     table, key = ("pages", "page_id") if "page_id" in out.columns else ("documents", "doc_id")
     count = lambda df: {(r[key], r["n"]) for r in df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert count(out) == count(spark.read.parquet(f"{folders[True]}/{table}.parquet"))
