@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.streaming import store_sales as S
 
@@ -94,3 +95,22 @@ def test_folders_left_by_a_lost_run_do_not_count(spark, tmp_path, monkeypatch):
     empty = S.BatchTable(spark, str(tmp_path / "e"), S.STOCK, S._newest)
     empty.add(rows(0).limit(0), 0)
     assert empty.compact(0) and empty._through() == 0 and empty.read().count() == 0
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """Sales and lines without an order come from one run of the stream's join."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def passed(value):
+        seen.add(1)
+        return value
+
+    rows = [line(1, "O1", at(1, 9, 5)), line(2, "O1", at(1, 9, 6))]
+    spark.createDataFrame([("O1", at(1, 9))], ORDERS).write.parquet(str(tmp_path / "orders"))
+    spark.createDataFrame(rows, LINES).coalesce(1).write.parquet(str(tmp_path / "lines"))
+    read = lambda name, schema: S.read_files(spark, str(tmp_path / name), spark.createDataFrame([], schema).schema)
+    sold = S.lines_with_orders(read("orders", ORDERS), read("lines", LINES)).withColumn("order_ts", passed.asNondeterministic()("order_ts"))
+    tables = S.StoreSales(spark, str(tmp_path / "out"))
+    tables.take_sales(sold)
+    assert seen.value == 2 and tables.hourly().first().lines == 2

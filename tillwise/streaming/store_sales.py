@@ -131,22 +131,27 @@ class StoreSales:
     def take_sales(self, sold: DataFrame) -> int:
         """Lines (of `lines_with_orders`) that have arrived, with the stock status known when their batch is taken."""
         def write(batch: DataFrame, number: int) -> None:
-            stock = self.stock.read().select(
-                F.col("product_id").alias("p"), F.col("store_id").alias("s"), rag_status(F.col("stock_on_hand"), F.col("reorder_point")).alias("stock_status")
-            )
-            known = batch.filter("order_ts IS NOT NULL").join(stock, (F.col("product_id") == F.col("p")) & (F.col("store_id") == F.col("s")), "left")
-            rows = known.select(
-                F.date_trunc("hour", "order_ts").alias("hour"), "store_id", F.coalesce("stock_status", F.lit("UNKNOWN")).alias("stock_status"),
-                F.lit(1).cast("bigint").alias("lines"), F.col("units_sold").alias("units"), F.col("net_revenue_pence").alias("revenue_pence"),
-            )
-            self.unmatched.add(batch.filter("order_ts IS NULL").select("order_line_id", "order_id", "line_ts"), number)
-            self.sales.add(_summed(rows), number)
+            # Both tables need the batch: it is written once, or the join of the streams would run for each of them.
+            with scale.scratch_scope(batch.sparkSession):
+                self._add_sold(scale.stage(batch, "sold"), number)
 
         late = run_stream(sold, write, f"{self.path}/sales-checkpoint", "append")
         self.sales.compact()
         self.unmatched.compact()
         return late
 
+    def _add_sold(self, batch: DataFrame, number: int) -> None:
+        stock = self.stock.read().select(
+            F.col("product_id").alias("p"), F.col("store_id").alias("s"), rag_status(F.col("stock_on_hand"), F.col("reorder_point")).alias("stock_status")
+        )
+        known = batch.filter("order_ts IS NOT NULL").join(stock, (F.col("product_id") == F.col("p")) & (F.col("store_id") == F.col("s")), "left")
+        rows = known.select(
+            F.date_trunc("hour", "order_ts").alias("hour"), "store_id", F.coalesce("stock_status", F.lit("UNKNOWN")).alias("stock_status"),
+            F.lit(1).cast("bigint").alias("lines"), F.col("units_sold").alias("units"), F.col("net_revenue_pence").alias("revenue_pence"),
+        )
+        self.unmatched.add(batch.filter("order_ts IS NULL").select("order_line_id", "order_id", "line_ts"), number)
+        self.sales.add(_summed(rows), number)
+
     def hourly(self) -> DataFrame:
         return self.sales.read().select(
             F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour_start"), "store_id", "stock_status", "lines", "units", gbp("revenue_pence").alias("revenue_gbp")
