@@ -74,3 +74,17 @@ def test_scope_deletes_what_it_staged(spark):
             raise ValueError
     except ValueError:
         assert not scale.folder_exists(spark, path)
+
+
+def test_shuffles_of_large_inputs_start_with_more_partitions(spark):
+    """A task's share of a large input does not grow with it; small inputs keep the session's partitions."""
+    from tillwise import session
+
+    first, advisory = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    try:
+        session.partition_for(spark, 5000 * session.INPUT_BYTES_PER_PARTITION)
+        assert spark.conf.get(first) == "5000" and spark.conf.get(advisory) == "16MB"
+    finally:
+        session.partition_for(spark, 0)
+    assert spark.conf.get(first, None) is None and spark.conf.get(advisory) == before

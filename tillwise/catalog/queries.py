@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions import columns as C
-from tillwise.functions.scale import scratch_path, stage
+from tillwise.functions.scale import bytes_in, scratch_path, stage
 from tillwise.operators import (
     attribution, customer_state, data_tests, dims, facts, forecast, intermediate, inventory, marts, quality, reports, segments,
     staging,
 )
 from tillwise.plans.pipeline import MART_TESTS
-from tillwise.session import tune
+from tillwise.session import partition_for, tune
 from tillwise.sources import adapters, readers, writers
 from tillwise.sources.adapters import Inputs
 from tillwise.streaming import hourly, landing, store_sales
@@ -48,7 +48,8 @@ def inputs(spark: SparkSession, folder: str) -> Inputs:
 def query(name: str):
     def register(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(inputs(tune(spark), folder))
+            tables = sum(bytes_in(spark, f"{folder}/{t}.parquet") for t in adapters.TABLES)
+            return fn(inputs(partition_for(tune(spark), tables), folder))
 
         QUERIES[name] = run
         return fn

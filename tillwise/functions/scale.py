@@ -61,6 +61,12 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def bytes_in(spark: SparkSession, path: str) -> int:
+    """The bytes of a file or of all files of a folder; 0 where it does not exist."""
+    files, where = _file_system(spark, path)
+    return files.getContentSummary(where).getLength() if files.exists(where) else 0
+
+
 def names_in(spark: SparkSession, folder: str) -> list[str]:
     """The names in a folder, sorted; none where it does not exist."""
     files, path = _file_system(spark, folder)

@@ -22,6 +22,14 @@ RUNTIME_CONF = {
 }
 
 
+# Shuffles of large inputs start with a partition for each so many bytes of input, and small ones are put together
+# up to the second figure: the rows of one task, and the memory it takes, then do not grow with the input.
+INPUT_BYTES_PER_PARTITION = 1 << 20
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_ADVISED = "16MB"
+
+
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -52,6 +60,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def partition_for(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Let the shuffles that follow have partitions in proportion to an input; settings given with the session stay."""
+    given = spark.sparkContext.getConf()
+    count = input_bytes // INPUT_BYTES_PER_PARTITION
+    large = count > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for key, value in ((_FIRST_PARTITIONS, str(count)), (_ADVISORY, _ADVISED)):
+        if given.contains(key):
+            continue
+        if large:
+            spark.conf.set(key, value)
+        else:
+            spark.conf.unset(key)
+    return spark
+
+
 def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
