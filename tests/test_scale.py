@@ -88,3 +88,18 @@ def test_shuffles_of_large_inputs_start_with_more_partitions(spark):
     finally:
         session.partition_for(spark, 0)
     assert spark.conf.get(first, None) is None and spark.conf.get(advisory) == before
+
+
+def test_lines_meet_their_orders_last(spark):
+    """No shuffle of lines carries the attributes of their orders, customers and days."""
+    from tillwise.operators.intermediate import int_sales_enriched
+    from tillwise.catalog.queries import inputs, star
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = int_sales_enriched(star(inputs(spark, "/root/testdata/sf0.001")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = [plan.index(f"hashpartitioning({key}#") for key in ("order_id", "_product", "_store")]
+    assert at == sorted(at)

@@ -86,8 +86,9 @@ def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "
     """Order lines with date, customer, product and store attributes; unknown ids give nulls.
 
     Only the dimensions named in `parts` are joined. Date and customer attributes are attached
-    to the orders before these meet their lines, so the large join carries them once; afterwards
-    the lines stay partitioned by order, which the per-order aggregations of the marts reuse.
+    to the orders before these meet their lines, so the large join carries them once. Lines meet
+    their orders last: no shuffle of lines carries these attributes, the widest of all, and the lines
+    stay partitioned by order, which the per-order aggregations of the marts reuse.
     """
     orders = star.orders.select("order_id", F.col("customer_id").alias("_customer"), "order_date", "channel")
     if "date" in parts:
@@ -102,15 +103,18 @@ def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "
         orders = orders.withColumnRenamed("_customer", "customer_id")
 
     # As staged sales have it: a line without id has no key and is no sale.
-    lines = star.lines.filter(F.col("order_line_id").isNotNull()).withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
-    sales = lines.join(orders, "order_id", "left")
-    for part, columns, natural in (("product", PRODUCT_COLUMNS, "product_id"), ("store", STORE_COLUMNS, "store_id")):
+    sales = star.lines.filter(F.col("order_line_id").isNotNull()).withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
+    kept = [c for c in star.lines.columns if c != "order_id" and not (c == "product_id" and "product" in parts) and not (c == "store_id" and "store" in parts)]
+    added: list[str] = []
+    for part, columns, natural in (("store", STORE_COLUMNS, "store_id"), ("product", PRODUCT_COLUMNS, "product_id")):
         if part in parts:
             dim = star.products if part == "product" else star.stores
             sales = sales.join(_attributes(dim, columns, natural), F.col(f"_{part}") == F.col("_id"), "left").drop("_id", f"_{part}")
+            added = [*columns, *added]
         else:
             sales = sales.withColumnRenamed(f"_{part}", natural)
-    return sales
+    sales = sales.join(orders, "order_id", "left")
+    return sales.select("order_id", *kept, *[c for c in orders.columns if c != "order_id"], *added)
 
 
 def enriched_columns(sales: DataFrame, run_id: str) -> DataFrame:
