@@ -527,3 +527,20 @@ def test_katz_with_nothing_learned(spark):
 def test_split_words():
     assert split_words("A-b_c É1\x00ü".encode()) == [b"a", b"b", b"c", "É1".encode(), "ü".encode()]
     assert hashlib.sha256(b"").hexdigest()  # the digest of no items
+
+
+def test_encoder_takes_a_batch_in_parts(monkeypatch):
+    """Only a part's words are held as Python objects at a time; the rows stay whole and in order."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    sizes, encode = [], sentencepiece_codec.Encoder.encode
+    monkeypatch.setattr(sentencepiece_codec.Encoder, "encode", lambda self, texts: sizes.append(len(texts)) or encode(self, texts))
+    n = 2 * sentencepiece_codec.PART_ROWS + 1
+    texts = [f"word {i}" if i % 7 else None for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array([{"doc_id": i} for i in range(n)]), pa.array(texts)], names=["row", "body"])
+    run = sentencepiece_codec._encode(SimpleNamespace(value=sentencepiece_codec.load_model(TOKENIZER)))
+    out = [r for b in run(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+    assert max(sizes) == sentencepiece_codec.PART_ROWS and [r["row"]["doc_id"] for r in out] == list(range(n))
+    assert [r["ids"] for r in out if r["ids"] is not None] == sentencepiece_codec.reference_encode(TOKENIZER, [t for t in texts if t is not None])

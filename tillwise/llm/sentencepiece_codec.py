@@ -34,6 +34,7 @@ from tillwise.llm.common import free_name
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 KNOWN_WORDS = 100_000  # words a task remembers beyond one batch, twice
+PART_ROWS = 500  # rows encoded together
 KNOWN_PAIRS = 500_000  # pairs of pieces it remembers
 
 
@@ -255,10 +256,16 @@ class Encoder:
         return out
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of at most PART_ROWS rows; an empty batch is one part."""
+    return (batch.slice(k, PART_ROWS) for k in range(0, max(batch.num_rows, 1), PART_ROWS))
+
+
 def _encode(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Lattice(model.value))
-        for batch in batches:
+        # A batch in parts: only a part's words and ids are held as Python objects at a time.
+        for batch in chain.from_iterable(map(_parts, batches)):
             texts = batch.column("body").to_pylist()
             encoded = encoder.encode(texts)
             sizes = [0 if e is None else len(e) for e in encoded]
