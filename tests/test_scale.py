@@ -90,6 +90,26 @@ def test_shuffles_of_large_inputs_start_with_more_partitions(spark):
     assert spark.conf.get(first, None) is None and spark.conf.get(advisory) == before
 
 
+def test_scans_of_large_inputs_are_cut_finer(spark, tmp_path):
+    """A scan's task holds what it shuffles, so a split of a large input is bounded below Spark's 128 MB."""
+    from tillwise import session
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before, cores = spark.conf.get(key), spark.conf.get("spark.sql.files.minPartitionNum", None)
+    blob = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"-{i}")), 512) for i in range(8)])
+    spark.range(120_000).coalesce(1).select(blob.alias("blob")).write.option("parquet.block.size", 4 << 20).parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        session.partition_for(spark, 0)
+        assert spark.conf.get(key) == before and spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() == 1
+        session.partition_for(spark, 5000 * session.INPUT_BYTES_PER_PARTITION)
+        assert spark.conf.get(key) == "16MB" and spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() > 1
+    finally:
+        session.partition_for(spark, 0)
+        spark.conf.unset("spark.sql.files.minPartitionNum") if cores is None else spark.conf.set("spark.sql.files.minPartitionNum", cores)
+    assert spark.conf.get(key) == before
+
+
 def test_lines_meet_their_orders_last(spark):
     """No shuffle of lines carries the attributes of their orders, customers and days."""
     from tillwise.operators.intermediate import int_sales_enriched

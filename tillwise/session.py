@@ -24,10 +24,13 @@ RUNTIME_CONF = {
 
 # Shuffles of large inputs start with a partition for each so many bytes of input, and small ones are put together
 # up to the second figure: the rows of one task, and the memory it takes, then do not grow with the input.
+# Scans are cut likewise: a scan's task holds what it shuffles, which is several times its compressed split.
 INPUT_BYTES_PER_PARTITION = 1 << 20
 _FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _ADVISED = "16MB"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+_SPLIT_AT = _ADVISED
 
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
@@ -61,11 +64,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def partition_for(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """Let the shuffles that follow have partitions in proportion to an input; settings given with the session stay."""
+    """Let the shuffles and scans that follow have partitions in proportion to an input; settings given with the session stay."""
     given = spark.sparkContext.getConf()
     count = input_bytes // INPUT_BYTES_PER_PARTITION
     large = count > int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for key, value in ((_FIRST_PARTITIONS, str(count)), (_ADVISORY, _ADVISED)):
+    for key, value in ((_FIRST_PARTITIONS, str(count)), (_ADVISORY, _ADVISED), (_SPLIT, _SPLIT_AT)):
         if given.contains(key):
             continue
         if large:
