@@ -544,3 +544,24 @@ def test_encoder_takes_a_batch_in_parts(monkeypatch):
     out = [r for b in run(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
     assert max(sizes) == sentencepiece_codec.PART_ROWS and [r["row"]["doc_id"] for r in out] == list(range(n))
     assert [r["ids"] for r in out if r["ids"] is not None] == sentencepiece_codec.reference_encode(TOKENIZER, [t for t in texts if t is not None])
+
+
+def test_encoder_searches_a_word_once_in_a_worker(monkeypatch):
+    """A later task knows the words of an earlier one, and a stop is no part of the word before it."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    searched, search = [], sentencepiece_codec.Lattice.encode_sorted
+    monkeypatch.setattr(sentencepiece_codec.Lattice, "encode_sorted", lambda self, words: searched.extend(words) or search(self, words))
+    texts = ["qorvex qorvex. qorvex, sqorvex!", "", None, "qorvex. x.com 3.5 É.É (qorvex)", "..a ▁b.c  d.\ne.f"]
+    batch = pa.RecordBatch.from_arrays([pa.array([{"doc_id": i} for i in range(len(texts))]), pa.array(texts)], names=["row", "body"])
+    model = sentencepiece_codec.load_model(TOKENIZER)
+    for _ in range(2):
+        out = [r for b in sentencepiece_codec._encode(SimpleNamespace(value=model))(iter([batch.slice(0, 4)])) for r in b.to_pylist()]
+        assert [r["ids"] for r in out if r["ids"] is not None] == sentencepiece_codec.reference_encode(TOKENIZER, [t for t in texts[:4] if t is not None])
+    assert searched.count("▁qorvex") == 1 and "▁qorvex." not in searched
+    lattice = sentencepiece_codec.Lattice(model)
+    for as_bytes in (False, True):
+        ids = sentencepiece_codec.Encoder(lattice, as_bytes=as_bytes).encode(texts)[-1]
+        assert (np.frombuffer(ids, np.int32).tolist() if as_bytes else ids) == sentencepiece_codec.reference_encode(TOKENIZER, texts[-1:])[0]

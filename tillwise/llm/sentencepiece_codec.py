@@ -15,9 +15,10 @@ Both kinds of model are paths through the same lattice of pieces:
 
 from __future__ import annotations
 
-import gc
+import functools
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -33,7 +34,7 @@ from tillwise.llm.common import free_name
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-KNOWN_WORDS = 100_000  # words a task remembers beyond one batch, twice
+KNOWN_WORDS = 300_000  # words a Python worker remembers, twice; about 200 bytes each
 PART_ROWS = 500  # rows encoded together
 KNOWN_PAIRS = 500_000  # pairs of pieces it remembers
 
@@ -64,17 +65,22 @@ class Lattice:
         place = {v: k + 1 for k, v in enumerate(order)}
         self.rank = {i: place[-self.score[i]] if len(p) > 1 else 0 for p, i in self.id.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.compatible: dict[int, bool] = {}
-        # Pieces by their characters from the last to the first; a piece's id stands under "".
-        self.backwards: dict = {}
+        # For each piece: whether another may follow it.
+        self.followers: list[dict[int, bool]] = [{} for _ in self.pieces]
+        self.pairs = 0
+        # Pieces by their characters from the last to the first: (id of the piece that begins here or -1, what comes before).
+        self.backwards: dict[str, tuple[int, dict]] = {}
         for p, i in self.id.items():
             node = self.backwards
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = i
+            for c in p[:0:-1]:
+                node = node.setdefault(c, (-1, {}))[1]
+            node[p[0]] = i, node.get(p[0], (-1, {}))[1]
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
-        # A word: marks and known characters after them; or one character that no piece has.
-        self.words = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]" if inner else f"{MARK}+|[^{MARK}]", re.DOTALL)
+        letters, apart = self._borders()
+        # A word: letters before a character that no piece joins to a letter; or marks and known characters after them;
+        # or one character that no piece has.
+        before = f"{MARK}*[{letters}]+(?=[{apart}])|" if letters and apart else ""
+        self.words = re.compile(f"{before}{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]" if inner else f"{MARK}+|[^{MARK}]", re.DOTALL)
         # Bytes of each piece for decoding; control pieces have none.
         self.bytes = [
             b"" if k == CONTROL else bytes([int(p[1:-1], 16)]) if k == BYTE else
@@ -82,6 +88,18 @@ class Lattice:
             for p, k in zip(self.pieces, kinds)
         ]
 
+    def _borders(self) -> tuple[str, str]:
+        """Letters, and known characters that follow a letter in no piece, as parts of a character class.
+
+        A text falls apart between the two, as no merge crosses a pair of characters that no piece has. Sums of
+        scores are left whole, so that they round as before.
+        """
+        if self.unigram:
+            return "", ""
+        letters = {c for c in self.alphabet if c.isalpha() and c != MARK}
+        joined = {b for p in self.id for a, b in zip(p, p[1:]) if a in letters}
+        return tuple("".join(map(re.escape, sorted(x))) for x in (letters, self.alphabet - letters - joined - {MARK}))
+
     def marked(self, text: str) -> str:
         return (MARK if self.dummy and text else "") + text.replace(" ", MARK)
 
@@ -142,61 +160,34 @@ class Lattice:
                 return True
 
     def pair_stays(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        found = self.compatible.get(key)
+        found = self.followers[left].get(right)
         if found is None:
             a, b = self.pieces[left], self.pieces[right]
             # Runs of marks may be of equal rank though unlike, so they are merged in full.
-            found = self.merged(a + b) == [a, b] if a.startswith(MARK * 2) or b.startswith(MARK * 2) else self.meet(left, right)
-            if len(self.compatible) > KNOWN_PAIRS:
-                self.compatible.clear()
-            self.compatible[key] = found
+            found = self.whole(right) and (
+                self.merged(a + b) == [a, b] if a.startswith(MARK * 2) or b.startswith(MARK * 2) else self.meet(left, right)
+            )
+            if self.pairs >= KNOWN_PAIRS:
+                self.pairs = 0
+                for table in self.followers:
+                    table.clear()
+            self.pairs += 1
+            self.followers[left][right] = found
         return found
 
-    def encode_sorted(self, words: list[str]) -> list[list[int]]:
+    def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each of the sorted words of known characters."""
-        score, pieces, unigram, backwards, compatible = self.score, self.pieces, self.unigram, self.backwards, self.compatible
         # State after i characters: last piece of the path there, and for unigram its score.
         last, total = [-1], [0.0]
-        before, out = "", []
+        search = self._best_sums if self.unigram else self._merged_paths
+        pieces, before = self.pieces, ""
         for word in words:
             shared = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], total[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                choice, best, node, begin = -2, -math.inf, backwards, end
-                while begin:
-                    begin -= 1
-                    node = node.get(word[begin])
-                    if node is None:
-                        break
-                    piece = node.get("")
-                    if piece is None:
-                        continue
-                    if unigram:
-                        value = total[begin] + score[piece]
-                        if value > best:
-                            choice, best = piece, value
-                    elif begin:
-                        left = last[begin]
-                        if left >= 0:
-                            stays = compatible.get(left << 32 | piece)
-                            if stays is None:
-                                stays = self.whole(piece) and self.pair_stays(left, piece)
-                                compatible[left << 32 | piece] = stays
-                            if stays:
-                                choice = piece
-                                break
-                    elif self.whole(piece):
-                        choice = piece
-                if choice < 0 and unigram:
-                    # A known character that is no piece by itself.
-                    best = total[end - 1] + self.worst
-                last.append(choice)
-                total.append(best)
+            search(word, shared, last, total)
             path, at = [], len(word)
             while at > 0:
                 piece = last[at]
@@ -206,23 +197,77 @@ class Lattice:
                 else:
                     path.append(piece)
                     at -= len(pieces[piece])
-            out.append(path[::-1])
+            path.reverse()
+            yield path
             before = word
-        return out
+
+    def _best_sums(self, word: str, shared: int, last: list[int], total: list[float]) -> None:
+        """The states of a word beyond those of its first `shared` characters, for unigram models."""
+        del last[shared + 1 :], total[shared + 1 :]
+        for end in range(shared + 1, len(word) + 1):
+            choice, best, node, begin = -2, -math.inf, self.backwards, end
+            while begin:
+                begin -= 1
+                found = node.get(word[begin])
+                if found is None:
+                    break
+                piece, node = found
+                if piece >= 0 and (value := total[begin] + self.score[piece]) > best:
+                    choice, best = piece, value
+            if choice < 0:
+                # A known character that is no piece by itself.
+                best = total[end - 1] + self.worst
+            last.append(choice)
+            total.append(best)
+
+    def _merged_paths(self, word: str, shared: int, last: list[int], total: list[float]) -> None:
+        """The same for BPE models, which have no sums."""
+        del last[shared + 1 :]
+        backwards, followers = self.backwards, self.followers
+        for end in range(shared + 1, len(word) + 1):
+            choice, node, begin = -2, backwards, end
+            while begin:
+                begin -= 1
+                found = node.get(word[begin])
+                if found is None:
+                    break
+                piece, node = found
+                if piece < 0:
+                    continue
+                if begin:
+                    left = last[begin]
+                    if left >= 0:
+                        stays = followers[left].get(piece)
+                        if stays is None:
+                            stays = self.pair_stays(left, piece)
+                        if stays:
+                            choice = piece
+                            break
+                elif self.whole(piece):
+                    choice = piece
+            last.append(choice)
 
     def decode(self, ids: list[int]) -> str:
         body = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
         return body[1:] if self.dummy and body.startswith(" ") else body
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers: one object a word, which joins into a text's ids without a step for each id."""
+    return array("i", ids).tobytes()
+
+
 class Encoder:
-    """Encodes groups of texts; keeps a bounded number of words from group to group."""
+    """Encodes groups of texts; keeps a bounded number of words from group to group.
+
+    A text's ids come as a list, or with `as_bytes` as 32-bit integers.
+    """
 
-    def __init__(self, lattice: Lattice, known_words: int = KNOWN_WORDS):
-        self.lattice, self.limit = lattice, known_words
+    def __init__(self, lattice: Lattice, known_words: int = KNOWN_WORDS, as_bytes: bool = False):
+        self.lattice, self.limit, self.as_bytes = lattice, known_words, as_bytes
         # Words met since the last turn, and those of the turn before.
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str] | None:
         """The words between single spaces; None where marks could meet, or the first word has none."""
@@ -231,7 +276,7 @@ class Encoder:
         words = text.split(" ")
         return None if "" in words else words
 
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+    def encode(self, texts: list[str | None]) -> list[bytes | list[int] | None]:
         lattice, known, older = self.lattice, self.known, self.older
         simple = [None if t is None else self.words(t) for t in texts]
         others = [lattice.words.findall(lattice.marked(t)) if t is not None and w is None else None for t, w in zip(texts, simple)]
@@ -243,17 +288,22 @@ class Encoder:
         pieces = set(chain.from_iterable(parts.values()))
         pieces.update(chain.from_iterable(w for w in others if w is not None))
         plain = sorted(w for w in pieces if w[-1] in lattice.alphabet)
-        coded = dict(zip(plain, lattice.encode_sorted(plain)))
-        coded.update((w, lattice.fallback(w)) for w in pieces if w[-1] not in lattice.alphabet)
-        known.update((w, coded[p[0]] if len(p) == 1 else list(chain.from_iterable(coded[x] for x in p))) for w, p in parts.items())
+        coded = dict(zip(plain, map(packed, lattice.encode_sorted(plain))))
+        coded.update((w, packed(lattice.fallback(w))) for w in pieces if w[-1] not in lattice.alphabet)
+        known.update((w, coded[p[0]] if len(p) == 1 else b"".join(map(coded.__getitem__, p))) for w, p in parts.items())
         out = [
-            list(chain.from_iterable(map(known.__getitem__, w))) if w is not None
-            else None if o is None else list(chain.from_iterable(map(coded.__getitem__, o)))
+            b"".join(map(known.__getitem__, w)) if w is not None else None if o is None else b"".join(map(coded.__getitem__, o))
             for w, o in zip(simple, others)
         ]
         if len(known) > self.limit:
             self.older, self.known = known, {}
-        return out
+        return out if self.as_bytes else [None if ids is None else np.frombuffer(ids, np.int32).tolist() for ids in out]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(model: bytes) -> Encoder:
+    """The encoder of a Python worker: its later tasks know the words and pairs of pieces that it has met, as far as they are kept."""
+    return Encoder(Lattice(model), as_bytes=True)
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -263,22 +313,20 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _encode(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Lattice(model.value))
+        encoder = _encoder(model.value)
         # A batch in parts: only a part's words and ids are held as Python objects at a time.
         for batch in chain.from_iterable(map(_parts, batches)):
             texts = batch.column("body").to_pylist()
-            encoded = encoder.encode(texts)
+            encoded = [None if e is None else np.frombuffer(e, np.int32) for e in encoder.encode(texts)]
             sizes = [0 if e is None else len(e) for e in encoded]
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(e for e in encoded if e is not None), np.int32, int(offsets[-1]))
+            flat = np.concatenate([np.empty(0, np.int32), *(e for e in encoded if e is not None)])
             missing = pa.array([e is None for e in encoded], pa.bool_())
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat), mask=missing)
             n = pa.array([None if e is None else len(e) for e in encoded], pa.int64())
-            same = pa.array([None if e is None else encoder.lattice.decode(e) == t for t, e in zip(texts, encoded)], pa.bool_())
+            same = pa.array([None if e is None else encoder.lattice.decode(e.tolist()) == t for t, e in zip(texts, encoded)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("row"), ids, n, same], names=["row", "ids", "n_tokens", "round_trip"])
-        # Workers are used again by other stages: give back what this task remembered.
-        del encoder
-        gc.collect()
+        # Workers are used again by other stages: give back what this task no longer needs.
         pa.default_memory_pool().release_unused()
 
     return run
