@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -160,3 +161,40 @@ def test_knapsack_against_all_sums():
         brute[f] = max(brute[f - c] + prices[c] for c in range(1, f + 1))
         assert best[f] == brute[f]
         assert sum(c * n for c, n in packing._taken(last, f).items()) == f
+
+
+def test_a_word_goes_to_the_library_once(library):
+    """Whatever its case and the punctuation around it, also in later groups."""
+    class Counting:
+        def __init__(self):
+            self.asked = []
+
+        def encode(self, text, **how):
+            self.asked += text.split()
+            return library.encode(text, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            self.asked += texts
+            return library.encode_batch_fast(texts, **how)
+
+    words = packing.WordTokens(WORD_TOKENIZER)
+    words.library = Counting()
+    texts = ["Qorvex qorvex, (QORVEX) qorvex&&&", None, "", " \n", 'QORVEX! "qorvex".\x0bqorvex]$%', "qorvex's <qorvex> qorvex-é"]
+    for text, ids in zip(texts * 2, [*words.ids(texts), *words.ids(pa.array(texts))], strict=True):
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+    assert words.library.asked.count("qorvex") == 1 and len(words.library.asked) == len(set(words.library.asked))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZéÀµª'\"#&$(-_`~[]\\^.7 \n\x1ć̸日"), max_size=12), max_size=5))
+def test_punctuation_around_words_equals_the_library(texts):
+    words = test_any_text_equals_the_library.words
+    for text, ids in zip(texts, words.ids(texts), strict=True):
+        assert ids.tolist() == words.library.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_are_grouped_by_bytes():
+    texts = pa.array(["abc", None, "de", "éé", "x" * 9, "", "y"])
+    groups = [g.to_pylist() for g in packing._in_groups(texts, 5)]
+    assert groups == [["abc", None, "de"], ["éé"], ["x" * 9], ["", "y"]]
+    assert list(packing._in_groups(pa.array([], pa.string()), 5)) == []

@@ -20,12 +20,13 @@ import math
 import os
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,30 +43,33 @@ WIDTH = 8
 END_ID = 1
 CUT_COST = 2  # a cut must save more than this many classes' worth of padding
 CACHE_WORDS = 600_000
-GROUP_CHARS = 300_000  # texts encoded together
+GROUP_BYTES = 8_000_000  # texts encoded together
 CACHE_CHARS = 40
 FEW_CUTS = 100_000  # so many cut pieces are sent to the ids; more of them meet in a shuffle
 
 # --- token ids -------------------------------------------------------------------------------
 
-# Python's split takes these as white space, Unicode's property does not have them.
-ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
-STOPS = ".,;:!?"
+# Letters up to U+00FF with ASCII punctuation around them. Apostrophes are left out, as the tokenizer splits off contractions
+# first, and marks of special tokens.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+MARKS = r"""!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"""
+AROUND = rf"^(?P<before>[{MARKS}]*)(?P<letters>[{LETTERS}]+)(?P<after>[{MARKS}]*)\z"
 
 
 class WordTokens:
     """Ids of texts by a tokenizer whose tokens never hold or cross white space and that ignores case.
 
-    Ids of a text are those of its words one after the other, so each word is looked up, and only new ones
-    go to the library: words of letters up to U+00FF in lower case and many at once, a stop after one apart,
-    as the tokenizer splits these too, and all others one by one.
+    Ids of a text are those of its words (between ASCII white space) one after the other. Arrow splits the texts of
+    a group and numbers their distinct words. Letters up to U+00FF are taken in lower case and apart from the punctuation
+    before and after them, as the tokenizer splits these too; other words stay whole. Each distinct part is looked up once, and
+    only new ones go to the library, those of letters many at once. The ids are then put in the order of the texts by numbers.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         vocabulary = self.library.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}  # a text's outer white space gives empty words
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
@@ -81,45 +85,49 @@ class WordTokens:
         raw, size = ids.tobytes(), self.kind.itemsize
         return {w: raw[a * size : b * size] for w, a, b in zip(words, [0, *ends.tolist()], ends.tolist())}
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of new words; kept for later while there is room."""
-        lower, others = {}, []
-        for word in words:
-            body = word[:-1] if word[-1] in STOPS else word
-            if body.isalpha() and (body.isascii() or max(body) <= "\xff"):
-                lower[word] = body.lower()
-            else:
-                others.append(word)
-        needed = set(lower.values())
-        new = [w for w in needed if w not in self.known]
-        fresh = self._encode_letters(new) if new else {}
-        stops = {stop: self._encode(stop) for stop in STOPS}
-        for word, low in lower.items():
-            if word != low:
-                ids = fresh[low] if low in fresh else self.known[low]
-                fresh[word] = ids + stops[word[-1]] if word[-1] in STOPS else ids
-        for word, encoded in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
-            fresh[word] = np.array(encoded.ids, self.kind).tobytes()
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of new parts; kept for later while there is room."""
+        letters, others = [], []
+        for part in parts:
+            (letters if part.isalpha() and (part.isascii() or max(part) <= "\xff") and part.islower() else others).append(part)
+        fresh = self._encode_letters(letters) if letters else {}
+        for part, encoded in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
+            fresh[part] = np.array(encoded.ids, self.kind).tobytes()
         if len(self.known) + len(fresh) <= CACHE_WORDS:
             self.known.update(fresh if len(max(fresh, key=len)) <= CACHE_CHARS else {w: i for w, i in fresh.items() if len(w) <= CACHE_CHARS})
         return fresh
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; the words of all of them are in memory at once."""
-        found: list[list[bytes | None]] = []
-        words: list[list[str]] = []
-        new: set[str] = set()
-        for text in texts:
-            odd = any(c in text for c in ODD_SPACES)
-            words.append([] if odd else text.split())
-            found.append([self._encode(text)] if odd else list(map(self.known.get, words[-1])))
-            if None in found[-1]:
-                new.update(w for w, ids in zip(words[-1], found[-1]) if ids is None)
-        learnt = self._learn(new) if new else {}
-        return [
-            np.frombuffer(b"".join([learnt[w] if i is None else i for w, i in zip(own, ids)] if None in ids else ids), self.kind)
-            for own, ids in zip(words, found)
-        ]
+    @staticmethod
+    def _parts(words: pa.StringArray) -> pa.DictionaryArray:
+        """Three parts of each word, one after the other: punctuation, letters in lower case, punctuation; or the word between empty ones."""
+        found = pc.extract_regex(words, AROUND)
+        before, letters, after = (pc.struct_field(found, name) for name in ("before", "letters", "after"))
+        middle = pc.if_else(found.is_valid(), pc.utf8_lower(letters), words)
+        columns = [pc.if_else(found.is_valid(), before, ""), middle, pc.if_else(found.is_valid(), after, "")]
+        parts = pa.concat_arrays(columns).dictionary_encode()
+        order = np.arange(3 * len(words)).reshape(3, -1).T.ravel()
+        return parts.take(pa.array(order))
+
+    def ids(self, texts: Sequence[str | None] | pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text (null: none); the words and ids of all of them are in memory at once."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(pa.array(texts, pa.string()), ""))
+        words = lists.flatten().dictionary_encode()
+        parts = self._parts(words.dictionary)
+        vocabulary = parts.dictionary.to_pylist()
+        found = list(map(self.known.get, vocabulary))
+        if None in found:
+            learnt = self._learn([w for w, ids in zip(vocabulary, found) if ids is None])
+            found = [learnt[w] if ids is None else ids for w, ids in zip(vocabulary, found)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        pool, begins = np.frombuffer(b"".join(found), self.kind), np.cumsum(sizes) - sizes
+        numbers = parts.indices.to_numpy().reshape(-1, 3)[words.indices.to_numpy()].ravel()
+        lengths = sizes[numbers]
+        ends = np.cumsum(lengths)
+        # Each id's place in the pool: its part's begin there, and how far it is from its part's begin in the texts.
+        places = np.repeat(begins[numbers] - ends + lengths, lengths)
+        places += np.arange(len(places))
+        borders = np.r_[0, ends][3 * lists.value_lengths().to_numpy().cumsum()]
+        return np.split(pool[places], borders)[:-1]
 
 
 @functools.lru_cache(maxsize=1)
@@ -128,17 +136,17 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def _in_groups(texts: list[str | None], chars: int) -> Iterator[list[str]]:
-    """Consecutive texts, about `chars` characters together."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text or "")
-        size += len(group[-1])
-        if size >= chars:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def _in_groups(texts: pa.StringArray, most: int) -> Iterator[pa.StringArray]:
+    """Consecutive texts, at most `most` bytes together or one text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    begin = size = 0
+    for k, n in enumerate(sizes.tolist()):
+        if size + n > most and k > begin:
+            yield texts.slice(begin, k - begin)
+            begin, size = k, 0
+        size += n
+    if begin < len(texts):
+        yield texts.slice(begin)
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -170,7 +178,7 @@ def _pieces(tokenizer: str, end_id: int, size: int, width: int):
         part, seen, number = TaskContext.get().partitionId(), np.zeros(-(-size // width) + 1, np.int64), 0
         for batch in batches:
             docs, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-            groups = map(words.ids, _in_groups(batch.column("text").to_pylist(), GROUP_CHARS))
+            groups = map(words.ids, _in_groups(batch.column("text"), GROUP_BYTES))
             for k, found in enumerate(chain.from_iterable(groups)):
                 found = np.append(found, np.array(end_id, words.kind))
                 for start in range(0, len(found), size):
