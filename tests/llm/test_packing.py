@@ -182,7 +182,8 @@ def test_a_word_goes_to_the_library_once(library):
     texts = ["Qorvex qorvex, (QORVEX) qorvex&&&", None, "", " \n", 'QORVEX! "qorvex".\x0bqorvex]$%', "qorvex's <qorvex> qorvex-é"]
     for text, ids in zip(texts * 2, [*words.ids(texts), *words.ids(pa.array(texts))], strict=True):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, text
-    assert words.library.asked.count("qorvex") == 1 and len(words.library.asked) == len(set(words.library.asked))
+    assert sorted(w for w in words.library.asked if "qorvex" in w.lower()) == ["<qorvex>", "qorvex", "qorvex's", "qorvex-é"]
+    assert len(words.library.asked) == len(set(words.library.asked))
 
 
 @settings(max_examples=100, deadline=None)
