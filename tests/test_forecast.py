@@ -79,3 +79,13 @@ def test_fallback_where_the_error_is_large(spark):
     errors = spark.createDataFrame([("a", 20.0), ("b", 20.1)], "category string, mape_pct double")
     out = FC.forecast_with_fallback(model, errors, model.withColumn("yhat", F.lit(9).cast("bigint"))).collect()
     assert {(r.category, r.yhat, r.model) for r in out} == {("a", 1, "seasonal"), ("b", 9, "moving_average")}
+
+
+def test_error_of_all_forecasts_is_that_of_the_backtest(spark):
+    """Weeks without rows before the held-out part put its end beyond the backtest's weeks; these are not compared."""
+    rows = [(d, c, 100 + 7 * k % 50) for c, missing in (("gap", (30, 31)), ("whole", ()), (None, (31,))) for k, d in enumerate(weeks(40)) if k not in missing]
+    weekly = spark.createDataFrame(rows, "ds date, category string, units_sold bigint")
+    want = {r.category: r.mape_pct for r in FC.mape(FC.backtest_seasonal(weekly), FC.held_out(weekly)).collect()}
+    out = FC.forecast_all(weekly).collect()
+    assert {(r.category, r.mape_pct) for r in out} == set(want.items())
+    assert sum(r.is_forecast for r in out) == 36

@@ -224,7 +224,8 @@ def held_out(weekly: DataFrame, weeks: int = BACKTEST_WEEKS) -> DataFrame:
 def forecast_all(weekly: DataFrame, horizon: int = HORIZON, weeks: int = BACKTEST_WEEKS) -> DataFrame:
     """The seasonal forecast of every category, with its backtest error attached.
 
-    A category's whole series and the part before its held-out weeks are two series of one fit.
+    A category's whole series and the part before its held-out weeks are two series of one fit. The latter is
+    tested on the `weeks` weeks that follow it only, as `backtest_seasonal` is, also where the forecast reaches further.
     """
     of = lambda df, kind: df.select(
         "ds", F.struct("category", F.lit(kind).alias("kind")).alias("category"), "units_sold"
@@ -233,9 +234,11 @@ def forecast_all(weekly: DataFrame, horizon: int = HORIZON, weeks: int = BACKTES
     fits = stage(_fitted(of(weekly, "all").unionByName(of(train, "train")), max(horizon, weeks), 1).select(
         "ds", F.col("category.category").alias("category"), F.col("category.kind").alias("kind"), "yhat", "yhat_lower", "yhat_upper", "is_forecast", "n"
     ), "seasonal-fits")
-    errors = mape(fits.filter("kind = 'train' AND is_forecast"), held_out(weekly, weeks)).select(F.col("category").alias("_category"), "mape_pct")
     last = F.max(F.when(~F.col("is_forecast"), F.col("ds"))).over(Window.partitionBy("category"))
-    whole = fits.filter(f"kind = 'all' AND n >= {weeks}").withColumn("_last", last).filter(F.col("ds") <= F.date_add("_last", 7 * horizon))
+    until = lambda df, ahead: df.withColumn("_last", last).filter(F.col("ds") <= F.date_add("_last", 7 * ahead))
+    tested = until(fits.filter("kind = 'train'"), weeks).filter("is_forecast")
+    errors = mape(tested, held_out(weekly, weeks)).select(F.col("category").alias("_category"), "mape_pct")
+    whole = until(fits.filter(f"kind = 'all' AND n >= {weeks}"), horizon)
     return null_safe_join(whole.drop("kind", "n", "_last"), errors, {"category": "_category"}, "left")
 
 
