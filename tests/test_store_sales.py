@@ -1,5 +1,6 @@
 """Orders and lines joined as streams: late, repeated and unmatched rows, restarts, stock, compaction."""
 
+import random
 from datetime import datetime
 
 import pytest
@@ -114,3 +115,39 @@ def test_a_batch_is_computed_once(spark, tmp_path):
     tables = S.StoreSales(spark, str(tmp_path / "out"))
     tables.take_sales(sold)
     assert seen.value == 2 and tables.hourly().first().lines == 2
+
+
+def test_a_backlog_is_replayed_in_order_of_time(spark, tmp_path):
+    """The same sales come out whether a backlog is one batch or several, and the state holds only a part of it."""
+    random.seed(3)
+    orders = [(f"O{i}", at(1 + i % 28, i % 24)) for i in range(300)] + [(None, at(3, 1)), ("O305", None)]
+    lines = [line(i, f"O{i % 310}", at(1 + i % 310 % 28, i % 310 % 24, i % 60)) for i in range(900)]
+    lines += [line(1, "O1", at(2, 1, 1)), line(2000, "O5", at(6, 23)), line(2001, None, at(9, 1)), line(2002, "O3", None)]
+    random.shuffle(lines)
+    stock = [("P1", "S1", at(1, 8), 5, 10)]
+    tables = {"lines": (spark.createDataFrame(lines, LINES), "line_ts"), "orders": (spark.createDataFrame(orders, ORDERS), "order_ts")}
+    assert S.in_time_order(tables, str(tmp_path / "backlog"), 6)
+    for name, (rows, _) in tables.items():
+        rows.coalesce(1).write.parquet(str(tmp_path / name))
+        assert len(list((tmp_path / "backlog" / name).glob("slice=*/part-*.parquet"))) == 6
+    found, kept = {}, {}
+    for kind, folder, files in (("once", tmp_path, None), ("replayed", tmp_path / "backlog", 1)):
+        read = lambda name: S.read_files(spark, str(folder / name), tables[name][0].schema, files)  # noqa: B023, E731
+        shop = S.StoreSales(spark, str(tmp_path / "out" / kind))
+        shop.stock.add(spark.createDataFrame(stock, STOCK), 0)
+        assert shop.take_sales(S.lines_with_orders(read("orders"), read("lines"), "1 hour", "2 hours")) == 0
+        found[kind] = sorted(map(tuple, shop.hourly().collect())), sorted(r.order_line_id for r in shop.unmatched.read().collect())
+        kept[kind] = [r.n for r in spark.read.parquet(f"{shop.unmatched.path}/batches").groupBy("batch").agg(F.count("*").alias("n")).collect()]
+    assert found["once"] == found["replayed"] and found["once"][0] and found["once"][1]
+    # Lines without an order leave the state while the backlog is read, and not all at its end.
+    assert len(kept["once"]) == 1 and len(kept["replayed"]) > 3
+
+
+def test_cuts_by_hour_are_about_equal(spark):
+    rows = spark.range(10_000).selectExpr("CASE WHEN id % 100 <> 0 THEN CAST(id * 977 % 1000003 AS BIGINT) END AS s")
+    cuts = S._hours_that_cut(rows, 5)
+    assert len(cuts) == 4 and cuts == sorted(set(cuts)) and all(c % 3600 == 0 for c in cuts)
+    parts = [rows.filter((F.col("s") >= a) & (F.col("s") < b)).count() for a, b in zip([0, *cuts], [*cuts, 10**7], strict=True)]
+    assert sum(parts) == 9900 and max(parts) < 2100
+    assert S._hours_that_cut(rows, 1) == [] and S._hours_that_cut(rows.limit(0), 5) == []
+    assert S._hours_that_cut(spark.range(50).selectExpr("7200L AS s"), 5) == []

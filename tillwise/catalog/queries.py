@@ -1069,9 +1069,29 @@ def _(raw):
     return hourly.stream_sales(raw.spark, f"{raw.folder}/event[s].parquet")
 
 
-def stream_of(raw: Inputs, name: str, *columns: str) -> DataFrame:
-    schema = adapters.table(raw.spark, raw.folder, name).schema
-    return store_sales.read_files(raw.spark, f"{raw.folder}/{name[:-1]}[{name[-1]}].parquet", schema).selectExpr(*columns)
+ORDER_TS = "CAST(o_orderdate AS TIMESTAMP) + make_interval(0, 0, 0, 0, CAST(o_orderkey % 24 AS INT))"
+LINE_TS = "CAST(l_shipdate AS TIMESTAMP)"
+STREAMED = {
+    "lineitem": (LINE_TS, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")),
+    "orders": (ORDER_TS, ("o_orderkey", "o_orderdate")),
+}
+
+
+def stream_source(raw: Inputs) -> Callable[..., DataFrame]:
+    """Streams over the order and line files; a backlog of many times a batch's bytes is replayed in order of time."""
+    spark, files = raw.spark, {n: f"{raw.folder}/{n}.parquet" for n in STREAMED}
+    tables = {n: (adapters.table(spark, raw.folder, n).select(*columns), ts) for n, (ts, columns) in STREAMED.items()}
+    slices = -(-sum(bytes_in(spark, f) for f in files.values()) // store_sales.SLICE_BYTES)
+    backlog = scratch_path(spark, "backlog")
+    in_order = slices > 1 and store_sales.in_time_order(tables, backlog, slices)
+
+    def stream(name: str, *columns: str) -> DataFrame:
+        schema = tables[name][0].schema
+        if in_order:
+            return store_sales.read_files(spark, f"{backlog}/{name}", schema, 1).selectExpr(*columns)
+        return store_sales.read_files(spark, f"{raw.folder}/{name[:-1]}[{name[-1]}].parquet", schema).selectExpr(*columns)
+
+    return stream
 
 
 @query("stream_store_sales")
@@ -1079,12 +1099,12 @@ def _(raw):
     """Orders and shipped lines joined as streams, by hour of the order, store and stock status."""
     gross = "CAST(round(l_extendedprice * 100) AS BIGINT)"
     ids = ("concat('SKU-', l_partkey) AS product_id", "concat('STR-', l_suppkey) AS store_id")
-    orders = stream_of(raw, "orders", "concat('ORD-', o_orderkey) AS order_id",
-                       "CAST(o_orderdate AS TIMESTAMP) + make_interval(0, 0, 0, 0, CAST(o_orderkey % 24 AS INT)) AS order_ts")
-    lines = stream_of(raw, "lineitem", "concat('ORD-', l_orderkey, '-', l_linenumber) AS order_line_id", "concat('ORD-', l_orderkey) AS order_id",
-                      "CAST(l_shipdate AS TIMESTAMP) AS line_ts", *ids, "CAST(l_quantity AS BIGINT) AS units_sold", f"{gross} AS net_revenue_pence")
-    stock = stream_of(raw, "lineitem", *ids, "CAST(l_shipdate AS TIMESTAMP) AS snapshot_ts",
-                      "CAST((l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 201 AS BIGINT) AS stock_on_hand", "CAST(10 + l_partkey % 31 AS BIGINT) AS reorder_point")
+    stream = stream_source(raw)
+    orders = stream("orders", "concat('ORD-', o_orderkey) AS order_id", f"{ORDER_TS} AS order_ts")
+    lines = stream("lineitem", "concat('ORD-', l_orderkey, '-', l_linenumber) AS order_line_id", "concat('ORD-', l_orderkey) AS order_id",
+                   f"{LINE_TS} AS line_ts", *ids, "CAST(l_quantity AS BIGINT) AS units_sold", f"{gross} AS net_revenue_pence")
+    stock = stream("lineitem", *ids, f"{LINE_TS} AS snapshot_ts",
+                   "CAST((l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 201 AS BIGINT) AS stock_on_hand", "CAST(10 + l_partkey % 31 AS BIGINT) AS reorder_point")
     tables = store_sales.StoreSales(raw.spark, scratch_path(raw.spark, "store-sales"))
     tables.take_stock(stock)
     # The lines of the test tables repeat ids, so all columns tell them apart.

@@ -73,6 +73,14 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
 
 
+def set_times(spark: SparkSession, folder: str, millis: int) -> bool:
+    """Give a folder's files a time of modification; false where the store does not keep it."""
+    files, path = _file_system(spark, folder)
+    for f in files.listStatus(path):
+        files.setTimes(f.getPath(), millis, -1)
+    return all(f.getModificationTime() == millis for f in files.listStatus(path))
+
+
 def write_small_file(spark: SparkSession, path: str, text: str) -> bool:
     """Make a small file at once: it is written aside and renamed. False, and no change, where `path` exists."""
     files, aside = _file_system(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash instead of sort-merge joins where every partition of one side was measured to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Streams keep the state of their last batch in memory, not also that of the one before; a batch that runs again reads it from its files.
+    "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
 }
 
 

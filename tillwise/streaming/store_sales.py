@@ -4,11 +4,16 @@ Lines meet their orders in a join of two streams: both have a watermark, and a l
 within a span of time after it, so an order leaves the state when no line can come any more, and a line that
 has found no order leaves it as unmatched. Stock is a stream of its own that keeps the newest row of each
 product and store. Batches add to tables of small folders, which are put together from time to time.
+
+What has arrived is one batch, and all its rows are state until the watermark passes them. A large backlog is
+therefore cut into files by time and replayed oldest first, so that the state holds two such files and the rows
+within the watermark's span, however large the backlog.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +26,8 @@ from tillwise.sources import writers
 from tillwise.streaming.hourly import run_stream
 
 KEPT_BATCHES = 24  # folders that are read as they are before they are put together
+SLICE_BYTES = 96 << 20  # of a backlog's files for one batch of its replay
+SLICE = "slice"
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -28,6 +35,45 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_b
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
+def _hours_that_cut(seconds: DataFrame, parts: int) -> list[int]:
+    """The full hours, as seconds, that cut the rows into about equal parts; the driver gets a count for each hour."""
+    hours = seconds.filter("s IS NOT NULL").groupBy(F.expr("s div 3600").alias("hour")).count().collect()
+    total, before, cuts = sum(r["count"] for r in hours), 0, []
+    for r in sorted(hours, key=lambda r: r.hour):
+        if before * parts >= total * (len(cuts) + 1) and len(cuts) < parts - 1:
+            cuts.append(r.hour * 3600)
+        before += r["count"]
+    return cuts
+
+
+def in_time_order(tables: Mapping[str, tuple[DataFrame, str]], path: str, slices: int) -> bool:
+    """Write each table to `path`/name as files that a stream takes in order of time, one a batch; whether that is possible.
+
+    `tables` has rows and the SQL expression of their time. All tables are cut at the same times, full hours that cut
+    the first one into about equal parts, and get equally many files, so the streams over them advance together and none of
+    their rows is late. Rows without a time come first. A file stream goes by the files' times of modification; in a
+    store that does not keep the times given to files the answer is false.
+    """
+    first, stamp = next(iter(tables.values()))
+    cuts = _hours_that_cut(first.select(F.unix_seconds(F.expr(stamp)).alias("s")), slices)
+    began = int(time.time()) * 1000
+    for name, (rows, ts) in tables.items():
+        at, folder = F.unix_seconds(F.expr(ts)), f"{path}/{name}"
+        place = F.lit(0)
+        for cut in cuts:
+            place = place + F.coalesce((at >= cut).cast("int"), F.lit(0))
+        # A slice is one task's file, in row groups small enough for several tasks to read it.
+        cut_up = rows.withColumn(SLICE, place).repartitionByRange(len(cuts) + 1, SLICE)
+        cut_up.write.option("parquet.block.size", 8 << 20).partitionBy(SLICE).parquet(folder)
+        for k in range(len(cuts) + 1):
+            part = f"{folder}/{SLICE}={k}"
+            if not scale.folder_exists(rows.sparkSession, part):
+                rows.limit(0).coalesce(1).write.parquet(part)
+            if not scale.set_times(rows.sparkSession, part, began + 1000 * k):
+                return False
+    return True
+
+
 def lines_with_orders(
     orders: DataFrame, lines: DataFrame, delay: str = "1 hour", within: str = "2 hours", line_id: Sequence[str] = ("order_line_id",)
 ) -> DataFrame:
@@ -62,9 +108,9 @@ class BatchTable:
         current = writers.current_version(self.spark, f"{self.path}/base")
         return -1 if current is None else int(self.spark.read.parquet(f"{current[1]}").agg(F.max("through")).first()[0])
 
-    def read(self) -> DataFrame:
-        """The table's rows, those of equal key merged."""
-        return self.merge(self._parts(self._through()))
+    def read(self, only: Callable[[DataFrame], DataFrame] = lambda parts: parts) -> DataFrame:
+        """The table's rows, those of equal key merged; `only` may leave out keys before that."""
+        return self.merge(only(self._parts(self._through())))
 
     def _parts(self, through: int) -> DataFrame:
         parts = self.spark.createDataFrame([], self.schema)
@@ -141,11 +187,13 @@ class StoreSales:
         return late
 
     def _add_sold(self, batch: DataFrame, number: int) -> None:
-        stock = self.stock.read().select(
+        known = batch.filter("order_ts IS NOT NULL")
+        # Only stock of what was sold is merged. The pairs are written, so that few of them spare the stock a shuffle.
+        pairs = scale.stage(known.select("product_id", "store_id").distinct(), "pairs")
+        stock = self.stock.read(lambda parts: parts.join(pairs, ["product_id", "store_id"], "left_semi")).select(
             F.col("product_id").alias("p"), F.col("store_id").alias("s"), rag_status(F.col("stock_on_hand"), F.col("reorder_point")).alias("stock_status")
         )
-        known = batch.filter("order_ts IS NOT NULL").join(stock, (F.col("product_id") == F.col("p")) & (F.col("store_id") == F.col("s")), "left")
-        rows = known.select(
+        rows = known.join(stock, (F.col("product_id") == F.col("p")) & (F.col("store_id") == F.col("s")), "left").select(
             F.date_trunc("hour", "order_ts").alias("hour"), "store_id", F.coalesce("stock_status", F.lit("UNKNOWN")).alias("stock_status"),
             F.lit(1).cast("bigint").alias("lines"), F.col("units_sold").alias("units"), F.col("net_revenue_pence").alias("revenue_pence"),
         )
