@@ -123,3 +123,66 @@ def test_lines_meet_their_orders_last(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     at = [plan.index(f"hashpartitioning({key}#") for key in ("order_id", "_product", "_store")]
     assert at == sorted(at)
+
+
+def _shop(spark, days=40):
+    """A star of a few rows: ids unknown, missing and given twice, attributes missing."""
+    from datetime import date, timedelta
+    from types import SimpleNamespace
+
+    from tillwise.operators.intermediate import Star
+
+    n = lambda k, m: None if k % 11 == 0 else k % m
+    day = lambda k: date(2001, 1, 1) + timedelta(k % days)
+    text = lambda prefix, v: None if v is None else f"{prefix}{v}"
+    customers = [(text("C", k), f"u{k}@x.com", text("a", n(k, 3)), text("g", n(k, 2)), text("t", n(k, 5)), text("r", n(k, 4)), "web", day(k), text("l", n(k, 3))) for k in range(30)]
+    products = [(text("P", k), f"name {k % 7}", text("c", n(k, 3)), text("s", n(k, 4)), text("b", n(k, 2)), text("S", n(k, 5)), 40 + k, 100 + k, True, day(k)) for k in range(25)]
+    stores = [(f"S{k}", f"store {k}", "Online" if k % 2 else "Physical", "x", "y", None, day(k), True) for k in range(6)]
+    orders = [(text("O", k), text("C", n(k, 35)), None if k % 17 == 0 else day(k), "Online", 5 * k, "POS", text("CAM-", n(k, 3))) for k in range(80)]
+    lines = [(text("L", n(k, 999)), text("O", n(k, 90)), text("P", n(k, 28)), text("S", n(k, 7)), k % 4, 1000 + k, k % 50, 950 + k, 400, 500 + k, k % 9 == 0, day(k) if k % 9 == 0 else None) for k in range(400)]
+    made = lambda rows, schema: spark.createDataFrame(rows + rows[:3], schema)
+    raw = SimpleNamespace(
+        spark=spark,
+        customers=made(customers, "customer_id string, email string, age_band string, gender string, city string, region string, acquisition_channel string, acquisition_date date, loyalty_tier string"),
+        products=made(products, "product_id string, product_name string, category string, subcategory string, brand string, supplier_id string, cost_price_pence bigint, rrp_pence bigint, is_active boolean, launch_date date"),
+        stores=made(stores, "store_id string, store_name string, store_type string, city string, region string, postcode string, opening_date date, is_active boolean"),
+        orders=made(orders, "order_id string, customer_id string, order_date date, channel string, order_total_pence bigint, source_system string, campaign_id string"),
+        order_lines=made(lines, "order_line_id string, order_id string, product_id string, store_id string, units_sold bigint, gross_revenue_pence bigint, discount_pence bigint, net_revenue_pence bigint, cost_of_goods_pence bigint, gross_profit_pence bigint, is_returned boolean, return_date date"),
+    )
+    return Star(raw, date(2001, 1, 1), date(2001, 2, 1))
+
+
+def test_small_dimensions_are_broadcast_and_shared_attributes_numbered(spark, monkeypatch):
+    """Neither a shuffle for small dimensions nor one with attributes that members share, and the same rows on every path."""
+    from tillwise.operators.intermediate import int_sales_enriched
+
+    def of(limit, numbered):
+        monkeypatch.setattr(scale, "BROADCAST_BYTES", limit)
+        df = int_sales_enriched(_shop(spark), numbered=numbered)
+        return df.columns, sorted(map(str, df.collect())), df._jdf.queryExecution().executedPlan().toString()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        columns, rows, plan = of(0, False)
+        for limit, numbered in ((0, True), (1700, True), (3300, True), (1 << 20, True), (1 << 20, False)):
+            found = of(limit, numbered)
+            assert found[:2] == (columns, rows), limit
+            if limit == 3300:  # the stores are small, the products are not; their combinations are
+                assert "hashpartitioning(_store" not in found[2] and "hashpartitioning(_product" in found[2] and "_product_set" in found[2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) > 400 and "hashpartitioning(_store" in plan and "hashpartitioning(_product" in plan
+
+
+def test_small_is_measured(spark):
+    df = spark.createDataFrame([("x" * 1000, None, 1)] * 20, "a string, b string, c int")
+    assert scale.is_small(df) and scale.is_small(df.limit(0))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not scale.is_small(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    big = spark.range(70_000).select(F.repeat(F.lit("y"), 1000).alias("a"))
+    assert not scale.is_small(big)

@@ -533,7 +533,7 @@ def _(raw):
 
 @query("int_sales_enriched")
 def _(raw):
-    return intermediate.enriched_columns(intermediate.int_sales_enriched(star(raw)), RUN)
+    return intermediate.enriched_columns(intermediate.int_sales_enriched(star(raw), numbered=True), RUN)
 
 
 def customer_orders(raw: Inputs, as_of: date = AS_OF, until: date | None = None) -> DataFrame:

@@ -10,6 +10,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_BYTES = 64 << 20  # of rows in memory: a frame measured to be no larger is sent to all tasks
 
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
@@ -128,6 +131,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the rows, counted with the bytes of their texts, may be broadcast; never where broadcasts are turned off.
+
+    Spark's own estimate, from file sizes, does not hold for frames made by joins, and what it measures at run time comes
+    after the other side of the join was shuffled. Meant for dimensions, as their rows are read once more.
+    """
+    if df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() < 0:
+        return False
+    fixed, texts = 8 + 8 * len(df.columns), F.lit(0)
+    for f in df.schema:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            texts = texts + F.coalesce(F.octet_length(f.name) + 7, F.lit(0)).cast("bigint")
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(texts), F.lit(0)).alias("texts")).first()
+    return found["rows"] * fixed + found["texts"] <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_small(df) else df
+
+
 def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
     """Add `flag`: true on exactly one row per key, the first by the `order` columns, missing values last.
 

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.functions import scale
 from tillwise.functions.columns import date_key, gbp, percent, ratio, safe_divide, surrogate_key
 from tillwise.operators import dims
 
@@ -32,6 +33,11 @@ STORE_COLUMNS = {
     "store_id": "store_id", "store_name": "store_name", "store_type": "store_type", "store_region": "region",
     "store_city": "city",
 }
+# Attributes that many members of a dimension share: their combinations can travel as one number.
+SHARED = {
+    "customer": ("age_band", "gender", "customer_region", "customer_city", "loyalty_tier", "acquisition_channel", "rfm_segment"),
+    "product": ("category", "subcategory", "brand", "supplier_id"),
+}
 MEASURES = (
     "gross_revenue_pence", "discount_pence", "net_revenue_pence", "cost_of_goods_pence", "gross_profit_pence",
 )
@@ -51,6 +57,13 @@ class Star:
     ):
         self.raw, self.load_time, self.run_id = raw, load_time, run_id
         self.first_day, self.last_day = first_day, last_day
+        self._small: dict[str, bool] = {}
+
+    def is_small(self, part: str, attributes: DataFrame) -> bool:
+        """Whether a dimension's attributes may be broadcast; measured once."""
+        if part not in self._small:
+            self._small[part] = scale.is_small(attributes)
+        return self._small[part]
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -82,22 +95,49 @@ def _attributes(dim: DataFrame, columns: dict[str, str], natural: str) -> DataFr
     return current.select(F.col(natural).alias("_id"), *[F.col(src).alias(out) for out, src in columns.items()])
 
 
-def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "product", "store")) -> DataFrame:
+def _numbered(rows: DataFrame, shared: Sequence[str], number: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with `number` in place of the shared columns, and the frame that gives these back.
+
+    The combinations are written, so that both frames have the same numbers. Where there are too many of them to
+    broadcast, the rows stay as they are.
+    """
+    sets = scale.stage(rows.select(*shared).distinct().withColumn(number, F.monotonically_increasing_id()), "shared")
+    if not scale.is_small(sets):
+        return rows, None
+    theirs = sets.select(number, *[F.col(c).alias(f"_of_{c}") for c in shared])
+    same = F.lit(True)
+    for c in shared:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    kept = [c for c in rows.columns if c not in shared]
+    return rows.join(F.broadcast(theirs), same, "left").select(*kept, number), sets
+
+
+def int_sales_enriched(
+    star: Star, parts: Sequence[str] = ("date", "customer", "product", "store"), numbered: bool = False
+) -> DataFrame:
     """Order lines with date, customer, product and store attributes; unknown ids give nulls.
 
-    Only the dimensions named in `parts` are joined. Date and customer attributes are attached
-    to the orders before these meet their lines, so the large join carries them once. Lines meet
+    Only the dimensions named in `parts` are joined. Customer attributes are attached to the orders before
+    these meet their lines, so the large join carries them once. Lines meet
     their orders last: no shuffle of lines carries these attributes, the widest of all, and the lines
-    stay partitioned by order, which the per-order aggregations of the marts reuse.
+    stay partitioned by order, which the per-order aggregations of the marts reuse. Small dimensions are
+    broadcast. With `numbered`, attributes that members share go through the shuffles as numbers of their
+    combinations; that is for those who want all attributes of large dimensions.
     """
     orders = star.orders.select("order_id", F.col("customer_id").alias("_customer"), "order_date", "channel")
-    if "date" in parts:
-        # One row per calendar day: a few thousand rows whatever the size of the facts.
-        days = star.dates.select(F.col("full_date").alias("_id"), *[F.col(s).alias(c) for c, s in DATE_COLUMNS.items()])
-        # A day outside the calendar keeps its date and has no other date attributes.
-        orders = orders.join(F.broadcast(days), F.col("order_date") == F.col("_id"), "left").drop("_id")
+    sets: dict[str, DataFrame] = {}
+
+    def attributes(part: str, dim: DataFrame, columns: dict[str, str]) -> DataFrame:
+        found = _attributes(dim, columns, f"{part}_id")
+        if numbered and part in SHARED and not star.is_small(part, found):
+            found, named = _numbered(found, SHARED[part], f"_{part}_set")
+            if named is not None:
+                sets[f"_{part}_set"] = named
+        return found
+
     if "customer" in parts:
-        who = _attributes(star.customers, CUSTOMER_COLUMNS, "customer_id")
+        who = attributes("customer", star.customers, CUSTOMER_COLUMNS)
+        who = F.broadcast(who) if star.is_small("customer", who) else who
         orders = orders.join(who, F.col("_customer") == F.col("_id"), "left").drop("_id", "_customer")
     else:
         orders = orders.withColumnRenamed("_customer", "customer_id")
@@ -106,15 +146,33 @@ def int_sales_enriched(star: Star, parts: Sequence[str] = ("date", "customer", "
     sales = star.lines.filter(F.col("order_line_id").isNotNull()).withColumnsRenamed({"product_id": "_product", "store_id": "_store"})
     kept = [c for c in star.lines.columns if c != "order_id" and not (c == "product_id" and "product" in parts) and not (c == "store_id" and "store" in parts)]
     added: list[str] = []
-    for part, columns, natural in (("store", STORE_COLUMNS, "store_id"), ("product", PRODUCT_COLUMNS, "product_id")):
+    late: list[tuple[str, DataFrame]] = []
+    for part, columns in (("store", STORE_COLUMNS), ("product", PRODUCT_COLUMNS)):
         if part in parts:
-            dim = star.products if part == "product" else star.stores
-            sales = sales.join(_attributes(dim, columns, natural), F.col(f"_{part}") == F.col("_id"), "left").drop("_id", f"_{part}")
+            dim = attributes(part, star.products if part == "product" else star.stores, columns)
+            if star.is_small(part, dim):
+                late.append((part, dim))
+            else:
+                sales = sales.join(dim, F.col(f"_{part}") == F.col("_id"), "left").drop("_id", f"_{part}")
             added = [*columns, *added]
         else:
-            sales = sales.withColumnRenamed(f"_{part}", natural)
+            sales = sales.withColumnRenamed(f"_{part}", f"{part}_id")
     sales = sales.join(orders, "order_id", "left")
-    return sales.select("order_id", *kept, *[c for c in orders.columns if c != "order_id"], *added)
+    for part, dim in late:
+        # What is broadcast needs no shuffle, so no shuffle carries it.
+        sales = sales.join(F.broadcast(dim), F.col(f"_{part}") == F.col("_id"), "left").drop("_id", f"_{part}")
+    of_order = [*(() if "customer" in parts else ("customer_id",)), "order_date", "channel"]
+    if "date" in parts:
+        # One row per calendar day: a few thousand rows whatever the size of the facts.
+        days = star.dates.select(F.col("full_date").alias("_id"), *[F.col(s).alias(c) for c, s in DATE_COLUMNS.items()])
+        # A day outside the calendar keeps its date and has no other date attributes.
+        sales = sales.join(F.broadcast(days), F.col("order_date") == F.col("_id"), "left").drop("_id")
+        of_order += DATE_COLUMNS
+    for number, named in sets.items():
+        sales = sales.join(F.broadcast(named), number, "left")
+    if "customer" in parts:
+        of_order += CUSTOMER_COLUMNS
+    return sales.select("order_id", *kept, *of_order, *added)
 
 
 def enriched_columns(sales: DataFrame, run_id: str) -> DataFrame:
