@@ -186,3 +186,40 @@ def test_small_is_measured(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     big = spark.range(70_000).select(F.repeat(F.lit("y"), 1000).alias("a"))
     assert not scale.is_small(big)
+
+
+def test_facts_shuffle_lines_and_stock_as_little_as_they_can(spark, monkeypatch):
+    """Stores of any measured small size need no shuffle, lines meet the orders last, and stock is shuffled once by product."""
+    from datetime import date, datetime, timedelta
+
+    from tillwise.operators import facts, inventory
+
+    shop, at = _shop(spark), datetime(2001, 2, 1)
+    raw = shop.raw
+    snapshots = [(date(2001, 1, 1) + timedelta(k % 9), None if k % 13 == 0 else f"P{k % 28}", f"S{k % 7}", k, k % 5, k % 3) for k in range(300)]
+    stock = spark.createDataFrame(snapshots + snapshots[:2], "snapshot_date date, product_id string, store_id string, stock_on_hand bigint, units_sold bigint, reorder_point bigint")
+
+    def of(limit, by_product):
+        monkeypatch.setattr(scale, "BROADCAST_BYTES", limit)
+        sales = facts.build_fact_sales(raw.orders, raw.order_lines, shop.customers, shop.products, shop.stores, "r", at)
+        held = facts.build_fact_inventory(inventory.with_stock_status(stock, by_product=by_product), shop.products, shop.stores, "r", at)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (sales, held)]
+        return [(sorted(df.columns), sorted(str(sorted(r.asDict().items(), key=str)) for r in df.collect())) for df in (sales, held)], plans
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        rows, (plan, stock_before) = of(0, False)
+        orders_last = [plan.index(f"hashpartitioning({key}#") for key in ("order_id", "product_id", "store_id")]
+        assert orders_last == sorted(orders_last)
+        found, (sales_plan, stock_plan) = of(500, True)
+        assert found == rows and of(1 << 20, True)[0] == rows
+        # Given in 9 rows the stores are small, the products are not. What is left by store puts one row per id together.
+        shuffles = lambda text, key: text.count(f"Exchange hashpartitioning({key}#")
+        assert [shuffles(p, "store_id") for p in (plan, stock_before, sales_plan, stock_plan)] == [2, 2, 1, 1]
+        assert shuffles(sales_plan, "product_id") == 2
+        # By product and store and by product and once for the products; then by product only.
+        assert shuffles(stock_before, "product_id") == 3 and shuffles(stock_plan, "product_id") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert any("product_key', None" not in r for r in rows[0][1]) and len(rows[0][1]) > 400

@@ -162,7 +162,7 @@ def _(raw):
     folder, built = scratch_path(raw.spark, "processed"), star(raw)
     tables = {
         "dim_customer": built.customers, "dim_product": built.products, "dim_store": built.stores, "fact_sales": sales_fact(raw),
-        "fact_inventory": facts.build_fact_inventory(stock(raw), built.products, built.stores, RUN, LOAD_TIME),
+        "fact_inventory": facts.build_fact_inventory(stock(raw, by_product=True), built.products, built.stores, RUN, LOAD_TIME),
         "fact_marketing_spend": facts.build_fact_marketing(raw.marketing, RUN, LOAD_TIME),
     }
     writers.write_processed(tables, folder)
@@ -435,14 +435,14 @@ def _(raw):
     return no_audit(sales_fact(raw))
 
 
-def stock(raw: Inputs) -> DataFrame:
-    return inventory.with_stock_status(raw.inventory)
+def stock(raw: Inputs, by_product: bool = False) -> DataFrame:
+    return inventory.with_stock_status(raw.inventory, by_product=by_product)
 
 
 @query("fact_inventory")
 def _(raw):
     s = star(raw)
-    return no_audit(facts.build_fact_inventory(stock(raw), s.products, s.stores, RUN, LOAD_TIME))
+    return no_audit(facts.build_fact_inventory(stock(raw, by_product=True), s.products, s.stores, RUN, LOAD_TIME))
 
 
 @query("fact_marketing_spend")
@@ -523,7 +523,7 @@ def _(raw):
 @query("stg_inventory")
 def _(raw):
     s = star(raw)
-    return no_audit(staging.stg_inventory(facts.build_fact_inventory(stock(raw), s.products, s.stores, RUN, LOAD_TIME)))
+    return no_audit(staging.stg_inventory(facts.build_fact_inventory(stock(raw, by_product=True), s.products, s.stores, RUN, LOAD_TIME)))
 
 
 @query("stg_marketing_spend")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise import model
+from tillwise.functions import scale
 from tillwise.functions.columns import date_key, safe_divide, surrogate_key
 from tillwise.operators import dims
 
@@ -21,13 +22,16 @@ def _now(load_time: datetime | None) -> Column:
     return F.current_timestamp() if load_time is None else F.lit(load_time).cast("timestamp")
 
 
-def lookup(df: DataFrame, dim: DataFrame, natural: str, key: str) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, natural: str, key: str, keep: bool = True) -> DataFrame:
     """Add the dimension key of a natural id; null where the dimension does not know it.
 
-    The dimension is reduced to one row per id first, so a repeated id cannot repeat facts.
+    The dimension is reduced to one row per id first, so a repeated id cannot repeat facts. Small dimensions are
+    broadcast. Without `keep` the key takes the place of the id.
     """
     keys = dim.groupBy(F.col(natural).alias("_id")).agg(F.max(key).alias(key))
-    return df.join(keys, F.col(natural) == F.col("_id"), "left").drop("_id")
+    if scale.is_small(dim.select(natural, key)):
+        keys = F.broadcast(keys)
+    return df.join(keys, F.col(natural) == F.col("_id"), "left").drop("_id", *(() if keep else (natural,)))
 
 
 def lookup_on(df: DataFrame, dim: DataFrame, natural: str, key: str, day: str) -> DataFrame:
@@ -48,16 +52,24 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order line with dimension keys and audit columns.
 
-    Customer keys are looked up on the orders, before these meet their more numerous lines. Where customers or
-    products are given in versions, the keys are those of the versions valid on the order's day.
+    Customer keys are looked up on the orders, before these meet their more numerous lines; keys of products and stores
+    take the place of their ids before the lines meet the orders, so no shuffle of lines carries what the orders add.
+    Where customers or products are given in versions, the keys are those of the versions valid on the order's day.
     """
     keyed_orders = lookup_on(orders, customers, "customer_id", "customer_key", "order_date")
     from_order = ["order_id", "customer_key", "order_date", "channel", "campaign_id"]
-    if "store_id" not in lines.columns:
+    versioned, by_order = "version" in products.columns, "store_id" not in lines.columns
+    if by_order:
         from_order.append("store_id")
+    else:
+        lines = lookup(lines, stores, "store_id", "store_key", keep=False)
+    if not versioned:
+        lines = lookup(lines, products, "product_id", "product_key", keep=False)
     fact = lines.join(keyed_orders.select(*from_order), "order_id", "left")
-    fact = lookup_on(fact, products, "product_id", "product_key", "order_date")
-    fact = lookup(fact, stores, "store_id", "store_key")
+    if versioned:
+        fact = lookup_on(fact, products, "product_id", "product_key", "order_date")
+    if by_order:
+        fact = lookup(fact, stores, "store_id", "store_key")
     now = _now(load_time)
     fact = fact.withColumns(
         {

@@ -65,7 +65,7 @@ def build_facts(
     """The fact tables over the stored dimensions; rows name the versions of customer and product valid on their day."""
     stock = raw.inventory
     if "stock_status" not in stock.columns:
-        stock = inventory.with_stock_status(stock)
+        stock = inventory.with_stock_status(stock, by_product=True)
     return {
         "fact_sales": facts.build_fact_sales(quality.clean_orders(orders), quality.clean(lines), customers, products, stores, run_id, load_time),
         "fact_inventory": facts.build_fact_inventory(stock, products, stores, run_id, load_time),
