@@ -13,7 +13,8 @@ within the watermark's span, however large the backlog.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def _hours_that_cut(seconds: DataFrame, parts: int) -> list[int]:
     return cuts
 
 
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Tasks whose rows are all of one folder, or two, write them as they come; else they would sort them by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def in_time_order(tables: Mapping[str, tuple[DataFrame, str]], path: str, slices: int) -> bool:
     """Write each table to `path`/name as files that a stream takes in order of time, one a batch; whether that is possible.
 
@@ -64,7 +77,8 @@ def in_time_order(tables: Mapping[str, tuple[DataFrame, str]], path: str, slices
             place = place + F.coalesce((at >= cut).cast("int"), F.lit(0))
         # A slice is one task's file, in row groups small enough for several tasks to read it.
         cut_up = rows.withColumn(SLICE, place).repartitionByRange(len(cuts) + 1, SLICE)
-        cut_up.write.option("parquet.block.size", 8 << 20).partitionBy(SLICE).parquet(folder)
+        with _unsorted_writes(rows.sparkSession):
+            cut_up.write.option("parquet.block.size", 8 << 20).partitionBy(SLICE).parquet(folder)
         for k in range(len(cuts) + 1):
             part = f"{folder}/{SLICE}={k}"
             if not scale.folder_exists(rows.sparkSession, part):
